@@ -198,4 +198,90 @@ SELECT tp, fp, tn, fn, round(accuracy, 6) AS accuracy, round(precision, 6) AS pr
        round(coalesce(2 * precision * recall / nullif(precision + recall, 0), 0), 6) AS f1 FROM m""")
 
 
-ORACLE_SQL: dict[str, str] = _sql()
+# --- pages -------------------------------------------------------------------
+UWS = (r"\t\n\x{0B}\f\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+            ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+URL_RE = "^([a-zA-Z][a-zA-Z0-9+.-]*)://([^/?#]*)"
+
+
+def text_content(x: str) -> str:
+    out = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    for a, b in ENTITIES:
+        out = f"replace({out}, {q(a)}, {q(b)})"
+    return out
+
+
+def py_strip(x: str) -> str:
+    return f"regexp_replace({x}, '^[{UWS}]+|[{UWS}]+$', '', 'g')"
+
+
+def article(x: str) -> str:
+    return f"regexp_extract({x}, '(?s)<article[^>]*>(.*?)</article>', 1)"
+
+
+def paragraphs(x: str) -> str:
+    ps = f"regexp_extract_all({x}, '(?s)<p[^>]*>(.*?)</p>', 1)"
+    return f"trim(coalesce(array_to_string(list_transform({ps}, lambda p: {py_strip(text_content('p'))}), ' '), ''))"
+
+
+def main_text(html: str) -> str:
+    art = article(html)
+    block = text_content(art)
+    markers = " OR ".join(f"contains({block}, {q(m)})" for m in L.CORPORATE_MARKERS)
+    chosen = f"(CASE WHEN {markers} THEN {paragraphs(art)} ELSE {py_strip(block)} END)"
+    tried = f"(length({py_strip(block)}) > {L.GOOD_TEXT_CHARS})"
+    text = f"(CASE WHEN {tried} THEN {chosen} ELSE '' END)"
+    raw = f"(CASE WHEN length({text}) >= {L.REJECT_TEXT_CHARS} THEN {text} END)"
+    for j in L.PAGE_JUNK:
+        raw = f"replace({raw}, {q(j)}, '')"
+    return f"trim(regexp_replace({raw}, '[{UWS}]+', ' ', 'g'))"
+
+
+def resolve(h: str, url: str) -> str:
+    scheme = f"regexp_extract({url}, '{URL_RE}', 1)"
+    host = f"regexp_extract({url}, '{URL_RE}', 2)"
+    base_dir = f"regexp_replace(regexp_replace({url}, '[?#].*$', ''), '[^/]*$', '')"
+    return (f"CASE WHEN regexp_matches({h}, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN {h} "
+            f"WHEN starts_with({h}, '//') THEN {scheme} || ':' || {h} "
+            f"WHEN starts_with({h}, '/') THEN {scheme} || '://' || {host} || {h} "
+            f"ELSE {base_dir} || {h} END")
+
+
+HREFS = """hr AS (SELECT page_id, url, regexp_extract_all(html, '<a\\s[^>]*?href="([^"]*)"', 1) AS l FROM pages),
+ln0 AS (SELECT page_id, url, unnest(l) AS href, unnest(range(1, len(l) + 1)) AS pos FROM hr),
+ln AS (SELECT page_id, pos, href, """ + resolve("href", "url") + """ AS link FROM ln0),
+adm AS (SELECT *, link IS NOT NULL AND contains(link, 'example.com') AND NOT ends_with(trim(link), '-video') AS admitted FROM ln)"""
+
+
+def _sql_more() -> dict[str, str]:
+    s: dict[str, str] = {}
+    s["page_main_text"] = f"SELECT page_id, {main_text('html')} AS content FROM pages"
+    s["page_paragraphs"] = f"SELECT page_id, {paragraphs(article('html'))} AS paragraphs FROM pages"
+    s["page_links"] = f"WITH {HREFS} SELECT page_id, CAST(pos AS INT) AS pos, href, link FROM ln"
+    s["link_admission"] = f"WITH {HREFS} SELECT page_id, CAST(pos AS INT) AS pos, link FROM adm WHERE admitted"
+    s["new_links_antijoin"] = (f"WITH {HREFS} SELECT DISTINCT link FROM adm WHERE admitted "
+                               f"AND link NOT IN (SELECT url FROM pages WHERE url IS NOT NULL)")
+    s["crawl_round_summary"] = (
+        f"WITH {HREFS}, seen AS (SELECT DISTINCT url AS link, true AS s FROM pages WHERE url IS NOT NULL) "
+        f"SELECT page_id, count(*) AS n_links, sum(admitted::BIGINT) AS n_admitted, "
+        f"sum((admitted AND seen.s IS NULL)::BIGINT) AS n_new FROM adm LEFT JOIN seen USING (link) GROUP BY page_id")
+    company = f"coalesce(CASE " + " ".join(
+        f"WHEN starts_with(url, {q(p)}) THEN {q(n)}" for n, p in sorted(L.CRAWL_TARGETS, key=lambda t: -len(t[1]))
+    ) + f" END, regexp_extract(url, '{URL_RE}', 2))"
+    s["page_records"] = (
+        f"WITH r AS (SELECT url AS link, {company} AS company, '05 May 10:30' AS date, {main_text('html')} AS content "
+        f"FROM pages) SELECT * FROM r WHERE content IS NOT NULL AND content <> '' AND NOT starts_with(content, 'Hata:')")
+    tr = "strftime(ts, '%-d %B %H:%M')"
+    out = tr
+    for en, t in L.MONTHS_EN_TR:
+        out = f"regexp_replace({out}, '\\b{en}\\b', {q(t)}, 'g')"
+    s["month_standardise"] = f"SELECT event_id, {tr} AS date_en, {out} AS date_tr FROM events"
+    s["json_roundtrip"] = ("SELECT doc_id, source AS company, CAST(NULL AS VARCHAR) AS date, "
+                           "CAST(doc_id AS VARCHAR) AS link, text AS content FROM documents")
+    s["json_event_props"] = "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"
+    return s
+
+
+ORACLE_SQL: dict[str, str] = {**_sql(), **_sql_more()}

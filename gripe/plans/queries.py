@@ -17,11 +17,16 @@ from .. import lexicons as L
 from ..functions import scoring as SC
 from ..functions import sentiment as S
 from ..functions import text as TX
+from ..functions import dates as DT
+from ..functions import jsonio as JS
 from ..operators import churn as CH
+from ..operators import links as LK
+from ..operators import topics as TP
 from ..operators import dedup as DD
 from ..operators import report as RP
 from ..operators import terms as TM
 from ..sources import complaints as CP
+from ..sources import pages as PG
 
 LEX = L.FIXTURE
 R6 = 6  # float results are compared at 6 decimals
@@ -192,6 +197,125 @@ def q_cloud_words(spark, sf):
     return c.select("company", "word", "n", "rank", F.round("rel", R6).alias("rel"))
 
 
+# --- pages and links ---------------------------------------------------------
+
+TEST_DOMAIN = "example.com"  # the synthetic pages live under *.example.{com,net,org}
+
+
+def _pages(spark, sf):
+    return spark.read.parquet(f"{sf}/pages.parquet")
+
+
+def _links(spark, sf):
+    links = PG.page_links(_pages(spark, sf))
+    c = F.col("link")
+    admitted = c.isNotNull() & c.contains(TEST_DOMAIN) & ~F.trim(c).endswith(L.BAD_LINK_SUFFIX)
+    return links.withColumn("admitted", admitted)
+
+
+def q_page_main_text(spark, sf):
+    return _pages(spark, sf).select("page_id", PG.main_text("html").alias("content"))
+
+
+def q_page_paragraphs(spark, sf):
+    return _pages(spark, sf).select("page_id", PG.paragraphs(PG.article_html("html")).alias("paragraphs"))
+
+
+def q_page_links(spark, sf):
+    return PG.page_links(_pages(spark, sf))
+
+
+def q_link_admission(spark, sf):
+    return LK.admit_links(PG.page_links(_pages(spark, sf)), TEST_DOMAIN).select("page_id", "pos", "link")
+
+
+def q_new_links_antijoin(spark, sf):
+    """Admitted links not among the already crawled pages (the seen set)."""
+    found = LK.admit_links(PG.page_links(_pages(spark, sf)), TEST_DOMAIN).select("link")
+    seen = _pages(spark, sf).select(F.col("url").alias("link"))
+    return LK.new_links(found, seen)
+
+
+def q_crawl_round_summary(spark, sf):
+    seen = _pages(spark, sf).select(F.col("url").alias("link"))
+    return LK.round_summary(_links(spark, sf), seen)
+
+
+def q_page_records(spark, sf):
+    """Pages → crawl records; the date falls back to a fixed crawl time (pages carry no date)."""
+    now = F.lit("2024-05-05 10:30:00").cast("timestamp")
+    r = PG.extract_records(_pages(spark, sf), now=now)
+    return r.select("link", "company", "date", "content")
+
+
+# --- dates and JSON ----------------------------------------------------------
+
+def q_month_standardise(spark, sf):
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    en = F.date_format("ts", "d MMMM HH:mm")
+    return e.select("event_id", en.alias("date_en"), DT.month_to_tr(en).alias("date_tr"))
+
+
+def q_json_roundtrip(spark, sf):
+    """documents → JSON records → decoded with the fixed schema."""
+    d = CP.documents_as_complaints(spark, sf)
+    enc = d.select("doc_id", F.to_json(F.struct("company", "date", "link", "content")).alias("value"))
+    dec = enc.select("doc_id", JS.decode_json("value").alias("r"))
+    return dec.select("doc_id", "r.company", "r.date", "r.link", "r.content")
+
+
+def q_json_event_props(spark, sf):
+    from pyspark.sql import types as T
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    sch = T.StructType([T.StructField("k", T.IntegerType())])
+    return e.select("event_id", JS.decode_json("props", sch).alias("p")).select("event_id", "p.k")
+
+
+# --- topic model and forest (model results: rows-only checks) ---------------
+
+def _topics(spark, sf):
+    st = store(spark, sf).select("doc_id", "company", "link", "cleaned", "sentiment")
+    vocab, cv, model = TP.fit_topics(st, "cleaned", LEX.analysis_stop)
+    return st, vocab, cv, model
+
+
+def q_lda_topic_share(spark, sf):
+    st, vocab, cv, model = _topics(spark, sf)
+    t = TP.assign_topics(st, cv, model, "cleaned", LEX.analysis_stop)
+    named = t.withColumn("topic_name", TP.name_topics("topic"))
+    return RP.share_of_total(RP.value_counts(named, "topic_name"))
+
+
+def q_lda_company_crosstab(spark, sf):
+    st, vocab, cv, model = _topics(spark, sf)
+    t = TP.assign_topics(st, cv, model, "cleaned", LEX.analysis_stop)
+    return RP.crosstab_pct(t, "company", "topic", [1, 2, 3], names=["topic_1", "topic_2", "topic_3"], digits=2)
+
+
+def q_topic_terms(spark, sf):
+    st, vocab, cv, model = _topics(spark, sf)
+    return TP.topic_terms(model, vocab, 10)
+
+
+def _forest(spark, sf):
+    st, vocab, cv, model = _topics(spark, sf)
+    t = TP.assign_topics(st, cv, model, "cleaned", LEX.analysis_stop)
+    f = CH.churn_features(t, LEX, topic="topic")
+    train, test = CH.hash_split(f, "link", 20)
+    rf = CH.fit_forest(train)
+    return f, test, rf
+
+
+def q_rf_risk_summary(spark, sf):
+    f, test, rf = _forest(spark, sf)
+    return RP.risk_summary(CH.score_risk(rf, f), "churn_risk")
+
+
+def q_rf_metrics(spark, sf):
+    f, test, rf = _forest(spark, sf)
+    return CH.binary_metrics(rf.transform(test), "churn_label", "prediction")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_text": q_clean_text,
     "clean_text_reference_lexicon": q_clean_text_reference_lexicon,
@@ -220,4 +344,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_edges": q_word_edges,
     "word_nodes": q_word_nodes,
     "cloud_words": q_cloud_words,
+    "page_main_text": q_page_main_text,
+    "page_paragraphs": q_page_paragraphs,
+    "page_links": q_page_links,
+    "link_admission": q_link_admission,
+    "new_links_antijoin": q_new_links_antijoin,
+    "crawl_round_summary": q_crawl_round_summary,
+    "page_records": q_page_records,
+    "month_standardise": q_month_standardise,
+    "json_roundtrip": q_json_roundtrip,
+    "json_event_props": q_json_event_props,
+    "lda_topic_share": q_lda_topic_share,
+    "lda_company_crosstab": q_lda_company_crosstab,
+    "topic_terms": q_topic_terms,
+    "rf_risk_summary": q_rf_risk_summary,
+    "rf_metrics": q_rf_metrics,
 }
