@@ -281,6 +281,9 @@ def _sql_more() -> dict[str, str]:
     s["json_roundtrip"] = ("SELECT doc_id, source AS company, CAST(NULL AS VARCHAR) AS date, "
                            "CAST(doc_id AS VARCHAR) AS link, text AS content FROM documents")
     s["json_event_props"] = "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"
+    s["stream_clean_sentiment"] = with_base("SELECT link, company, cleaned, sentiment FROM enr")
+    s["stream_idempotent_sink"] = with_base("SELECT link, company, sentiment FROM enr")
+    s["skip_duplicate_insert"] = with_base("SELECT doc_id, company, cleaned FROM store")
     return s
 
 

@@ -316,6 +316,58 @@ def q_rf_metrics(spark, sf):
     return CH.binary_metrics(rf.transform(test), "churn_label", "prediction")
 
 
+# --- sinks and streaming -----------------------------------------------------
+
+def _records_json(spark, sf, copies: int = 1) -> str:
+    """documents → crawl records as JSON lines in a fresh shared folder
+    (``copies`` > 1 writes the same records again as a replay)."""
+    from ..session import scratch_path
+    d = CP.documents_as_complaints(spark, sf)
+    rec = d.select("company", "date", "link", "content",
+                   (F.col("doc_id").cast("double") + F.lit(1.7e9)).alias("crawl_timestamp"))
+    path = scratch_path(spark, "records-json")
+    for i in range(copies):
+        rec.write.mode("append").json(f"{path}/round={i}")
+    return path
+
+
+def _run_stream(spark, src: str, key: str = "link", files_per_trigger: int | None = None) -> str:
+    from ..session import scratch_path
+    from ..streaming import pipeline as PL
+    target, ckpt, quar = (scratch_path(spark, n) for n in ("stream-store", "stream-ckpt", "stream-quarantine"))
+    raw = PL.read_json_files(spark, f"{src}/*", files_per_trigger)
+    q = PL.start_pipeline(PL.process(raw, LEX), target, ckpt, key=key, quarantine=quar,
+                          trigger={"availableNow": True})
+    q.awaitTermination()
+    return target
+
+
+def q_stream_clean_sentiment(spark, sf):
+    """documents as JSON records → streaming clean + sentiment → idempotent store."""
+    from ..operators.sinks import read_store
+    target = _run_stream(spark, _records_json(spark, sf))
+    return read_store(spark, target).select("link", "company", "cleaned", "sentiment")
+
+
+def q_stream_idempotent_sink(spark, sf):
+    """The same records delivered twice (replay), one file per micro-batch: stored once."""
+    from ..operators.sinks import read_store
+    target = _run_stream(spark, _records_json(spark, sf, copies=2), files_per_trigger=4)
+    return read_store(spark, target).select("link", "company", "sentiment")
+
+
+def q_skip_duplicate_insert(spark, sf):
+    """Batch insert into a store with a unique cleaned-text key, run twice: one row per text,
+    the smallest doc_id kept."""
+    from ..operators.sinks import read_store, upsert_new
+    from ..session import scratch_path
+    target = scratch_path(spark, "skipdup-store")
+    batch = enriched(spark, sf).select("doc_id", "company", "link", "cleaned", "sentiment")
+    for _ in range(2):
+        upsert_new(batch, target, "cleaned", order_col="doc_id", hashed_key=True)
+    return read_store(spark, target).select("doc_id", "company", "cleaned")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_text": q_clean_text,
     "clean_text_reference_lexicon": q_clean_text_reference_lexicon,
@@ -359,4 +411,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topic_terms": q_topic_terms,
     "rf_risk_summary": q_rf_risk_summary,
     "rf_metrics": q_rf_metrics,
+    "stream_clean_sentiment": q_stream_clean_sentiment,
+    "stream_idempotent_sink": q_stream_idempotent_sink,
+    "skip_duplicate_insert": q_skip_duplicate_insert,
 }

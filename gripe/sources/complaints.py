@@ -88,7 +88,7 @@ def make_record(df: DataFrame, company: "Column | str", date: "Column | str",
     c = lambda x: F.col(x) if isinstance(x, str) else x
     return df.select(c(company).alias("company"), c(date).alias("date"), c(link).alias("link"),
                      c(content).alias("content"),
-                     F.unix_micros(F.current_timestamp()).cast("double").__truediv__(1e6).alias("crawl_timestamp"))
+                     (F.unix_micros(F.current_timestamp()) / F.lit(1e6)).alias("crawl_timestamp"))
 
 
 def valid_content(df: DataFrame, content: str = "content") -> DataFrame:
