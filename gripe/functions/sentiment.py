@@ -39,8 +39,31 @@ def lexicon_score(text: "Column | str", negative: Sequence[str], positive: Seque
     return F.lit(step) * (count_hits(m, positive) - count_hits(m, negative))
 
 
+def sentiment_label(text: "Column | str", score: "Column | str", req: "Column | str") -> Column:
+    """The label from a precomputed score and request flag (M2)."""
+    t, score, req = _col(text), _col(score), _col(req)
+    return (F.when(t.isNull() | (t == ""), F.lit(L.NEUTRAL))
+            .when(req & (score > -4) & (score < 4), F.lit(L.REQUEST))
+            .when(score <= -2, F.lit(L.NEGATIVE))
+            .when(score >= 2, F.lit(L.POSITIVE))
+            .otherwise(F.lit(L.NEUTRAL)))
+
+
+def with_sentiment(df, text: str = "cleaned", lexicon: L.Lexicon = L.REFERENCE, out: str = "sentiment",
+                   lowered: bool = False):
+    """Adds the sentiment label, scoring each text once (M2).
+
+    Score and request flag are projected first and the label reads them,
+    so no lexicon scan is repeated per CASE branch.
+    """
+    m = _col(text) if lowered else F.lower(_col(text))
+    scored = df.select("*", lexicon_score(m, lexicon.negative, lexicon.positive).alias("_score"),
+                       any_hit(m, lexicon.request).alias("_req"))
+    return scored.withColumn(out, sentiment_label(text, "_score", "_req")).drop("_score", "_req")
+
+
 def sentiment(text: "Column | str", lexicon: L.Lexicon = L.REFERENCE) -> Column:
-    """Lexicon sentiment label of already cleaned text (M2).
+    """Lexicon sentiment label of already cleaned text (M2), as one column.
 
     null or empty → NOTR; a request marker with -4 < score < 4 → NOTR (TALEP);
     score <= -2 → NEGATIF; score >= 2 → POZITIF; else NOTR.

@@ -45,14 +45,17 @@ def split_tokens(c: "Column | str", drop_empty: bool = False) -> Column:
     return F.filter(arr, lambda x: x != "") if drop_empty else arr
 
 
-def remove_stop(tokens: "Column | str", stop: Sequence[str]) -> Column:
+def remove_stop(tokens: "Column | str", stop: Sequence[str], lowered: bool = False) -> Column:
     """Case-insensitive stop-word removal keeping order and repeats.
 
+    ``lowered=True`` skips lower-casing tokens that are already lower case.
     A null array stays null (no failure on a malformed record).
     """
     stop_l = sorted({w.lower() for w in stop})
     if not stop_l:
         return _col(tokens)
+    if lowered:
+        return F.filter(_col(tokens), lambda x: ~x.isin(stop_l))
     return F.filter(_col(tokens), lambda x: ~F.lower(x).isin(stop_l))
 
 
@@ -67,9 +70,12 @@ def clean_stages(content: "Column | str", stop: Sequence[str], turkish_case: boo
     ``words``: tokens before stop-word removal; ``filtered``: after;
     ``cleaned``: the filtered tokens joined again.
     """
-    squeezed = squeeze_ws(strip_nonletters(fold_case(content, turkish_case)))
+    # One pass: a run of anything but kept letters becomes one blank.  Equal to
+    # "each non-letter → blank, then each whitespace run → blank" (F2 + F3),
+    # because after the first step every such run is whitespace.
+    squeezed = F.regexp_replace(fold_case(content, turkish_case), f"[^{KEEP_LETTERS}]+", " ")
     words = split_tokens(squeezed)
-    filtered = remove_stop(words, stop)
+    filtered = remove_stop(words, stop, lowered=True)
     return {"words": words, "filtered": filtered, "cleaned": join_tokens(filtered)}
 
 

@@ -30,14 +30,17 @@ def drop_null_text(df: DataFrame, col: str = "cleaned") -> DataFrame:
 def dedup_text(df: DataFrame, col: str = "cleaned", order_col: str = "doc_id") -> DataFrame:
     """Null texts dropped, then one row per distinct text: the smallest ``order_col`` (A1).
 
-    The null group's keeper is null (``min`` over nothing), so the semi-join
-    drops null texts without a filter on the text column; such a filter would
-    be pushed below the projection and re-evaluate the cleaning expression.
+    One pass: rows are grouped by the 32-byte content key and the row with
+    the smallest ``order_col`` is kept as ``min(struct(order_col, ...))``.
+    The partial (map-side) aggregate keeps one row per key per task, so a
+    text repeated in a third of all rows is collapsed before the shuffle.
+    The null-text group is removed after the aggregate (its key is null),
+    so no filter is pushed onto the text expression.
     """
-    k = df.select(content_key(col).alias("_k"), F.col(order_col))
-    keepers = (k.groupBy("_k").agg(F.min(F.when(F.col("_k").isNotNull(), F.col(order_col))).alias(order_col))
-               .select(order_col))
-    return df.join(keepers, on=order_col, how="left_semi")
+    others = [c for c in df.columns if c != order_col]
+    k = df.select(content_key(col).alias("_k"), F.struct(order_col, *others).alias("_r"))
+    best = k.groupBy("_k").agg(F.min("_r").alias("_r"))
+    return best.filter(F.col("_k").isNotNull()).select("_r.*")
 
 
 def row_counts(df: DataFrame, distinct_col: str = "cleaned") -> DataFrame:

@@ -38,8 +38,12 @@ def enriched(spark: SparkSession, sf_dir: str, lexicon: L.Lexicon = LEX) -> Data
 
 
 def store(spark: SparkSession, sf_dir: str, lexicon: L.Lexicon = LEX) -> DataFrame:
-    """The analysis input: enriched records, null texts dropped, one row per cleaned text."""
-    return DD.dedup_text(enriched(spark, sf_dir, lexicon), "cleaned", "doc_id")
+    """The analysis input: cleaned records, null texts dropped, one row per cleaned
+    text, then the sentiment (a function of the text, so it is scored once per text)."""
+    d = CP.documents_as_complaints(spark, sf_dir)
+    c = d.select("doc_id", "company", "date", "link",
+                 TX.clean_text("content", lexicon.stream_stop).alias("cleaned"))
+    return S.with_sentiment(DD.dedup_text(c, "cleaned", "doc_id"), "cleaned", lexicon, lowered=True)
 
 
 def risk_store(spark: SparkSession, sf_dir: str, lexicon: L.Lexicon = LEX) -> DataFrame:

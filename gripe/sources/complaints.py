@@ -11,13 +11,24 @@ from ..functions import sentiment as S
 from ..functions import text as TX
 
 
+def ensure_parallelism(df: DataFrame, factor: int = 1) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    Text cleaning is CPU-bound; a small file with few row groups would run
+    on a few cores only.  On large inputs the scan already has far more
+    splits than cores and nothing changes (no shuffle is added).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism * factor
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def documents_as_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map the ``documents`` table onto the complaint record model.
 
     company := source, content := text, link := doc_id as text, date := null.
     Only the four needed columns are read (column pruning reaches the scan).
     """
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    d = ensure_parallelism(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text"))
     return d.select(
         F.col("doc_id"),
         F.col("source").alias("company"),
@@ -52,7 +63,7 @@ def enrich(df: DataFrame, lexicon: L.Lexicon = L.REFERENCE, content: str = "cont
     if keep_arrays:
         cols += [st["words"].alias("tokens"), st["filtered"].alias("filtered_tokens")]
     out = df.select(*cols, st["cleaned"].alias("cleaned"))
-    out = out.withColumn("sentiment", S.sentiment(F.col("cleaned"), lexicon))
+    out = S.with_sentiment(out, "cleaned", lexicon, lowered=True)
     if stamp:
         out = out.withColumn("processed_at", F.current_timestamp())
     return out
