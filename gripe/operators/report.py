@@ -61,23 +61,21 @@ def share_of_total(counts: DataFrame, count_col: str = "n", digits: int | None =
 
 def crosstab_pct(df: DataFrame, row: str, col: str, values: Sequence, names: Sequence[str] | None = None,
                  digits: int | None = None) -> DataFrame:
-    """Row-normalised crosstab ×100 with explicit columns.
+    """Row-normalised crosstab ×100 with one column per listed value.
 
-    ``pivot`` with the value list given needs no extra distinct job; a
-    value no row has still gets a column (0).  Rows with a null ``row`` or
-    ``col`` are dropped.
+    One aggregate of conditional counts per row key (partial aggregation,
+    one shuffle; no pivot job).  A value no row has still gets a column (0).
+    Rows with a null ``row`` or ``col`` are left out, as a crosstab does.
     """
     names = list(names or [str(v) for v in values])
-    base = df.filter(F.col(row).isNotNull() & F.col(col).isNotNull())
-    piv = base.groupBy(row).pivot(col, list(values)).agg(F.count(F.lit(1)))
-    vcols = [str(v) for v in values]
-    piv = piv.fillna(0, subset=vcols)
-    total = sum((F.col(f"`{c}`") for c in vcols), F.lit(0))
+    r, c = F.col(row), F.col(col)
+    counts = [F.count(F.when(c == F.lit(v), F.lit(1))).alias(f"_n{i}") for i, v in enumerate(values)]
+    agg = df.filter(r.isNotNull()).groupBy(row).agg(*counts, F.count(c).alias("_total"))
     out = [F.col(row)]
-    for c, n in zip(vcols, names):
-        pct = F.col(f"`{c}`") * 100.0 / total
+    for i, n in enumerate(names):
+        pct = F.col(f"_n{i}") * 100.0 / F.col("_total")
         out.append((round2(pct, digits) if digits is not None else pct).alias(n))
-    return piv.select(*out)
+    return agg.filter(F.col("_total") > 0).select(*out)
 
 
 def risk_summary(df: DataFrame, score: str, by: str = "company", digits: int | None = 2) -> DataFrame:

@@ -45,10 +45,14 @@ def assign_topics(df: DataFrame, cv, model, text: str = "cleaned", stop: Sequenc
     from pyspark.ml.functions import vector_to_array
 
     withv = cv.transform(df.withColumn("_tokens", analysis_tokens(text, stop)))
-    out = model.transform(withv)
-    arr = vector_to_array("_dist")
-    return (out.withColumn("topic_dist", arr).withColumn("topic", dominant_topic("topic_dist"))
-            .drop("_tokens", "_counts", "_dist"))
+    out = model.transform(withv).withColumn("_arr", vector_to_array("_dist"))
+    # a document without vocabulary terms gets an all-zero vector; its
+    # posterior is the symmetric prior, i.e. uniform (argmax: topic 1)
+    k = model.getK()
+    total = F.aggregate("_arr", F.lit(0.0), lambda a, x: a + x)
+    dist = F.when(total > 0, F.col("_arr")).otherwise(F.array_repeat(F.lit(1.0 / k), k))
+    return (out.withColumn("topic_dist", dist).withColumn("topic", dominant_topic("topic_dist"))
+            .drop("_tokens", "_counts", "_dist", "_arr"))
 
 
 def topic_terms(model, vocab: Sequence[str], n: int = 10) -> DataFrame:
