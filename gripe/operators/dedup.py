@@ -34,13 +34,15 @@ def dedup_text(df: DataFrame, col: str = "cleaned", order_col: str = "doc_id") -
     the smallest ``order_col`` is kept as ``min(struct(order_col, ...))``.
     The partial (map-side) aggregate keeps one row per key per task, so a
     text repeated in a third of all rows is collapsed before the shuffle.
-    The null-text group is removed after the aggregate (its key is null),
-    so no filter is pushed onto the text expression.
+    The null-text group is removed after the aggregate through the kept
+    row's text: a filter on the aggregate result cannot be pushed below it,
+    while one on the key would be pushed into the scan and evaluate the
+    cleaning expression a second time.
     """
     others = [c for c in df.columns if c != order_col]
     k = df.select(content_key(col).alias("_k"), F.struct(order_col, *others).alias("_r"))
     best = k.groupBy("_k").agg(F.min("_r").alias("_r"))
-    return best.filter(F.col("_k").isNotNull()).select("_r.*")
+    return best.filter(F.col(f"_r.{col}").isNotNull()).select("_r.*")
 
 
 def row_counts(df: DataFrame, distinct_col: str = "cleaned") -> DataFrame:

@@ -73,7 +73,8 @@ def tfidf_by_company(df: DataFrame, text: str = "cleaned", stop: Sequence[str] =
     companies using the term; the norm runs over the vocabulary terms only.
     """
     tf = company_term_tf(df, text, stop, by)
-    n_docs = tf.select(F.count_distinct(by)).scalar()
+    # every company is a document, also one whose text has no term left
+    n_docs = df.select(F.count_distinct(by)).scalar()
     stats = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
     vocab = vocabulary(stats, size, freq="total")
     # vocab has at most ``size`` rows: a bounded broadcast

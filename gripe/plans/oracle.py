@@ -158,7 +158,7 @@ def _sql() -> dict[str, str]:
     s["tfidf_top5"] = with_base(f""",
 tok AS (SELECT company, {tokens('cleaned', LEX.analysis_stop)} AS t FROM store WHERE company IS NOT NULL),
 tf AS (SELECT company, term, count(*) AS tf FROM (SELECT company, unnest(t) AS term FROM tok) GROUP BY 1, 2),
-nd AS (SELECT count(DISTINCT company) AS n FROM tf),
+nd AS (SELECT count(DISTINCT company) AS n FROM store),
 voc AS (SELECT term, sum(tf) AS total, count(*) AS df FROM tf GROUP BY term ORDER BY total DESC, term ASC LIMIT 30),
 w AS (SELECT tf.company, tf.term, tf.tf * (ln((1 + nd.n) / (1 + voc.df)) + 1) AS w FROM tf JOIN voc USING (term), nd),
 x AS (SELECT company, term, w / sqrt(sum(w * w) OVER (PARTITION BY company)) AS tfidf FROM w),
