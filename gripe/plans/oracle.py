@@ -284,6 +284,15 @@ def _sql_more() -> dict[str, str]:
     s["stream_clean_sentiment"] = with_base("SELECT link, company, cleaned, sentiment FROM enr")
     s["stream_idempotent_sink"] = with_base("SELECT link, company, sentiment FROM enr")
     s["skip_duplicate_insert"] = with_base("SELECT doc_id, company, cleaned FROM store")
+    s["csv_roundtrip"] = ("SELECT CAST(doc_id AS VARCHAR) AS link, source AS company, "
+                          "length(text) AS n_chars FROM documents")
+    s["history_roundtrip"] = ("SELECT CAST(doc_id AS VARCHAR) AS link, CAST(2 AS BIGINT) AS n_copies, "
+                              "source AS company FROM documents")
+    s["store_scan"] = with_base("SELECT doc_id, company, cleaned, sentiment FROM store")
+    s["conversation_sentiment"] = (
+        f"WITH c0 AS (SELECT role AS company, {clean('text', LEX.stream_stop)} AS cleaned FROM conversations), "
+        f"c1 AS (SELECT company, {sentiment('cleaned', LEX)} AS sentiment FROM c0) "
+        f"SELECT company, sentiment, count(*) AS n FROM c1 GROUP BY 1, 2")
     return s
 
 

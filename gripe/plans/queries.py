@@ -372,6 +372,46 @@ def q_skip_duplicate_insert(spark, sf):
     return read_store(spark, target).select("doc_id", "company", "cleaned")
 
 
+# --- more sources ------------------------------------------------------------
+
+def q_csv_roundtrip(spark, sf):
+    """documents as records → CSV with header → read back with the declared schema."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "records-csv")
+    CP.documents_as_complaints(spark, sf).select("company", "date", "link", "content") \
+        .write.option("header", True).option("multiLine", True).csv(path)
+    back = spark.read.option("header", True).option("multiLine", True).schema(
+        "company string, date string, link string, content string").csv(path)
+    return back.select("link", "company", F.char_length("content").alias("n_chars"))
+
+
+def q_history_roundtrip(spark, sf):
+    """documents as crawl records → JSONL history appended twice → read back (S8, S9),
+    then the seen-link set (U2) as the crawler rebuilds it on start."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "history-jsonl")
+    rec = CP.documents_as_complaints(spark, sf).select(
+        "company", "date", "link", "content", F.col("doc_id").cast("double").alias("crawl_timestamp"))
+    CP.append_history(rec, path)
+    CP.append_history(rec, path)
+    h = CP.read_history(spark, path)
+    return h.groupBy("link").agg(F.count(F.lit(1)).alias("n_copies"), F.min("company").alias("company"))
+
+
+def q_store_scan(spark, sf):
+    """The store written as Parquet and scanned back without ``_id``."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "store-parquet")
+    store(spark, sf).withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    return CP.load_complaints(spark, path).select("doc_id", "company", "cleaned", "sentiment")
+
+
+def q_conversation_sentiment(spark, sf):
+    """The second, short-text corpus: conversation turns, company := role."""
+    e = CP.enrich(CP.conversations_as_complaints(spark, sf), LEX)
+    return e.groupBy("company", "sentiment").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_text": q_clean_text,
     "clean_text_reference_lexicon": q_clean_text_reference_lexicon,
@@ -418,4 +458,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_clean_sentiment": q_stream_clean_sentiment,
     "stream_idempotent_sink": q_stream_idempotent_sink,
     "skip_duplicate_insert": q_skip_duplicate_insert,
+    "csv_roundtrip": q_csv_roundtrip,
+    "history_roundtrip": q_history_roundtrip,
+    "store_scan": q_store_scan,
+    "conversation_sentiment": q_conversation_sentiment,
 }
