@@ -267,6 +267,21 @@ def _sql_more() -> dict[str, str]:
         f"WITH {HREFS}, seen AS (SELECT DISTINCT url AS link, true AS s FROM pages WHERE url IS NOT NULL) "
         f"SELECT page_id, count(*) AS n_links, sum(admitted::BIGINT) AS n_admitted, "
         f"sum((admitted AND seen.s IS NULL)::BIGINT) AS n_new FROM adm LEFT JOIN seen USING (link) GROUP BY page_id")
+    s["crawl_low_yield_stop"] = f"""WITH {HREFS},
+seen AS (SELECT DISTINCT url AS link, true AS s FROM pages WHERE url IS NOT NULL),
+per_page AS (SELECT page_id, sum((admitted AND seen.s IS NULL)::BIGINT) AS n_new
+             FROM adm LEFT JOIN seen USING (link) GROUP BY page_id),
+meta AS (SELECT page_id, regexp_extract(url, '{URL_RE}', 2) AS site,
+                coalesce(TRY_CAST(nullif(regexp_extract(url, '[?&]page=(\d+)', 1), '') AS INT), 1) AS page_no
+         FROM pages),
+log AS (SELECT site, page_no, coalesce(sum(n_new), 0) AS n_new FROM meta LEFT JOIN per_page USING (page_id)
+        GROUP BY site, page_no),
+runs AS (SELECT *, page_no - coalesce(max(CASE WHEN n_new > 0 THEN page_no END) OVER (
+                    PARTITION BY site ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS empty_run,
+                page_no - row_number() OVER (PARTITION BY site ORDER BY page_no) AS gap FROM log)
+SELECT site, count(*) AS n_pages,
+       min(CASE WHEN page_no > 10 AND empty_run >= 10 AND gap = 0 THEN page_no END) AS stop_page
+FROM runs GROUP BY site"""
     company = f"coalesce(CASE " + " ".join(
         f"WHEN starts_with(url, {q(p)}) THEN {q(n)}" for n, p in sorted(L.CRAWL_TARGETS, key=lambda t: -len(t[1]))
     ) + f" END, regexp_extract(url, '{URL_RE}', 2))"

@@ -252,6 +252,20 @@ def q_page_records(spark, sf):
     return r.select("link", "company", "date", "content")
 
 
+def q_crawl_low_yield_stop(spark, sf):
+    """Crawl log per (site, listing page): site := host, page number := the URL's ``page``
+    parameter (1 when absent), new links := admitted links not among crawled pages; then
+    the first page where the crawl of a site stops (T9)."""
+    pages = _pages(spark, sf)
+    seen = pages.select(F.col("url").alias("link"))
+    summary = LK.round_summary(_links(spark, sf), seen)
+    page_no = F.coalesce(F.regexp_extract("url", r"[?&]page=(\d+)", 1).try_cast("int"), F.lit(1))
+    meta = pages.select("page_id", PG.url_parts("url")[1].alias("site"), page_no.alias("page_no"))
+    log = (meta.join(summary, "page_id", "left")
+           .groupBy("site", "page_no").agg(F.coalesce(F.sum("n_new"), F.lit(0)).alias("n_new")))
+    return LK.low_yield_stop(log, "site", "page_no", "n_new")
+
+
 # --- dates and JSON ----------------------------------------------------------
 
 def q_month_standardise(spark, sf):
@@ -446,6 +460,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "link_admission": q_link_admission,
     "new_links_antijoin": q_new_links_antijoin,
     "crawl_round_summary": q_crawl_round_summary,
+    "crawl_low_yield_stop": q_crawl_low_yield_stop,
     "page_records": q_page_records,
     "month_standardise": q_month_standardise,
     "json_roundtrip": q_json_roundtrip,
