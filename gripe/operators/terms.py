@@ -24,7 +24,12 @@ def analysis_tokens(text: "Column | str", stop: Sequence[str]) -> Column:
     return F.filter(toks, lambda x: ~x.isin(stop_s)) if stop_s else toks
 
 
-def term_stats(df: DataFrame, tokens: "Column | str") -> DataFrame:
+def _not_stop(c: Column, stop: Sequence[str]) -> Column:
+    stop_s = sorted(set(stop))
+    return ~c.isin(stop_s) if stop_s else F.lit(True)
+
+
+def term_stats(df: DataFrame, tokens: "Column | str", stop: Sequence[str] = ()) -> DataFrame:
     """Corpus term frequency and document frequency per term (A10, A11): (term, tf, df).
 
     Tokens are sorted inside the row (n log n), so equal terms sit side by
@@ -37,13 +42,16 @@ def term_stats(df: DataFrame, tokens: "Column | str") -> DataFrame:
     s = df.select(F.array_sort(t).alias("_s"))
     prev = F.slice(F.concat(F.array(F.lit(None).cast("string")), F.col("_s")), 1, F.size("_s"))
     e = s.select(F.inline(F.arrays_zip(F.col("_s").alias("term"), prev.alias("prev"))))
+    # stop words are dropped after the explode (a codegen'd predicate rather than
+    # an array lambda); equal terms stay adjacent, so the first-flags are unchanged
+    e = e.filter(_not_stop(F.col("term"), stop))
     first = (F.col("prev").isNull() | (F.col("prev") != F.col("term"))).cast("long")
     return e.groupBy("term").agg(F.count(F.lit(1)).alias("tf"), F.sum(first).alias("df"))
 
 
 def term_df(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (), min_df: int = 5) -> DataFrame:
     """Terms whose document frequency is at least ``min_df``."""
-    return term_stats(df, analysis_tokens(text, stop)).filter(F.col("df") >= min_df)
+    return term_stats(df, TX.word_tokens(text), stop).filter(F.col("df") >= min_df)
 
 
 def vocabulary(stats: DataFrame, size: int, freq: str = "tf", term: str = "term") -> DataFrame:
@@ -60,8 +68,8 @@ def lda_vocabulary(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (
 def company_term_tf(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (),
                     by: str = "company") -> DataFrame:
     """(company, term) → tf: the term counts of each company's concatenated text (A2)."""
-    e = df.filter(F.col(by).isNotNull()).select(by, F.explode(analysis_tokens(text, stop)).alias("term"))
-    return e.groupBy(by, "term").agg(F.count(F.lit(1)).alias("tf"))
+    e = df.filter(F.col(by).isNotNull()).select(by, F.explode(TX.word_tokens(text)).alias("term"))
+    return e.filter(_not_stop(F.col("term"), stop)).groupBy(by, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def tfidf_by_company(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (), size: int = 30,
@@ -128,8 +136,8 @@ def cloud_words(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (),
     the company's top word.
     """
     stop_s = sorted(set(stop))
-    e = df.filter(F.col(by).isNotNull()).select(by, F.explode(TX.whitespace_words(text)).alias("word"))
-    counts = e.groupBy(by, "word").agg(F.count(F.lit(1)).alias("n"))
+    e = df.filter(F.col(by).isNotNull()).select(by, F.explode(F.split(text, f"[{TX.WS_CLASS}]+")).alias("word"))
+    counts = e.filter(F.col("word") != "").groupBy(by, "word").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.withColumn("kept", (F.char_length("word") >= min_len) & ~F.col("word").isin(stop_s))
     # per-company size of the kept text; one row per company, joined back
     # (AQE turns this into a broadcast when the measured side is small)

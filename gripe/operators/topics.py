@@ -15,7 +15,7 @@ from .terms import analysis_tokens, lda_vocabulary
 
 
 def fit_topics(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (), k: int = 3, seed: int = 42,
-               min_df: int = 5, vocab_size: int = 1000, max_iter: int = 20, subsampling: float = 0.25):
+               min_df: int = 5, vocab_size: int = 1000, max_iter: int = 10, subsampling: float = 0.5):
     """Online variational LDA over the bounded vocabulary (M5).
 
     Priors 1/k, learning decay 0.7, offset 10 as in the original; larger

@@ -36,7 +36,7 @@ def prepare_store(enriched: DataFrame) -> DataFrame:
 
 
 def run_analysis(spark: SparkSession, store: DataFrame, lexicon: L.Lexicon = L.REFERENCE,
-                 lda_iter: int = 20, lda_subsampling: float = 0.25, load_seconds: float = 0.0) -> dict:
+                 lda_iter: int = 10, lda_subsampling: float = 0.5, load_seconds: float = 0.0) -> dict:
     """Stages A-E of the report: TF-IDF top terms, topic crosstab, churn model,
     risk summary, alarm count and the throughput figure.  Returns DataFrames
     (small, bounded result tables) and timings."""
