@@ -3,9 +3,10 @@
 The store is a Parquet table partitioned by ``key_bucket`` (a hash bucket
 of the unique key).  An insert first keeps one row per key inside the
 batch, then finds which of the batch keys already exist by a semi-join of
-the store against the batch keys: the store side is pruned to the buckets
-the batch touches (dynamic partition pruning), and only the matching keys
-come back, so the anti-join that follows is against a batch-sized table.
+the store against the batch keys.  The store scan is pruned to the buckets
+the batch touches (their ids, at most ``buckets`` values, become a
+partition filter), and only the matching keys come back, so the anti-join
+that follows is against a batch-sized table.
 Re-running the same batch after a failure inserts nothing twice.
 """
 
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -50,11 +52,20 @@ def upsert_new(batch: DataFrame, target: str, key: str, order_col: str | None =
         keep = b.groupBy("_key").agg(F.min(order_col).alias(order_col))
         b = b.join(keep, on=["_key", order_col], how="left_semi")
     b = b.dropDuplicates(["_key"]).withColumn(BUCKET, F.pmod(F.xxhash64("_key"), F.lit(buckets)).cast("int"))
-    if _exists(spark, target):
-        keys = b.select(BUCKET, "_key")
-        existing = spark.read.parquet(target).select(BUCKET, "_key").join(keys, on=[BUCKET, "_key"], how="left_semi")
-        b = b.join(existing, on=[BUCKET, "_key"], how="left_anti")
-    b.write.mode("append").partitionBy(BUCKET).parquet(target)
+    # the batch is read up to three times below; keep it (recomputed from lineage if an executor is lost)
+    b = b.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out = b
+        if _exists(spark, target):
+            keys = b.select(BUCKET, "_key")
+            # at most ``buckets`` small integers reach the driver: a bounded collect
+            touched = [r[0] for r in keys.select(BUCKET).distinct().collect()]
+            stored = spark.read.parquet(target).select(BUCKET, "_key").filter(F.col(BUCKET).isin(touched))
+            existing = stored.join(keys, on=[BUCKET, "_key"], how="left_semi")
+            out = b.join(existing, on=[BUCKET, "_key"], how="left_anti")
+        out.write.mode("append").partitionBy(BUCKET).parquet(target)
+    finally:
+        b.unpersist()
     return None
 
 
