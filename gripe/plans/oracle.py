@@ -163,7 +163,7 @@ voc AS (SELECT term, sum(tf) AS total, count(*) AS df FROM tf GROUP BY term ORDE
 w AS (SELECT tf.company, tf.term, tf.tf * (ln((1 + nd.n) / (1 + voc.df)) + 1) AS w FROM tf JOIN voc USING (term), nd),
 x AS (SELECT company, term, w / sqrt(sum(w * w) OVER (PARTITION BY company)) AS tfidf FROM w),
 r AS (SELECT *, row_number() OVER (PARTITION BY company ORDER BY tfidf DESC, term ASC) AS rank FROM x)
-SELECT company, term, rank, round(tfidf, 6) AS tfidf FROM r WHERE rank <= 5""")
+SELECT company, term, CAST(rank AS INTEGER) AS rank, round(tfidf, 6) AS tfidf FROM r WHERE rank <= 5""")
     s["bigram_top15"] = with_base(f",{BIGRAMS}\nSELECT bigram, n FROM bc")
     s["word_edges"] = with_base(
         f",{BIGRAMS}\nSELECT src, dst, weight, round(weight * 4.0 / max(weight) OVER (), 6) AS width FROM edges")
@@ -180,7 +180,7 @@ st AS (SELECT company, sum(CASE WHEN kept THEN n * length(word) ELSE 0 END)
                        + sum(CASE WHEN kept THEN n ELSE 0 END) - 1 AS kept_len FROM cnt GROUP BY company),
 ch AS (SELECT cnt.* FROM cnt JOIN st USING (company) WHERE kept OR kept_len < 11),
 r AS (SELECT *, row_number() OVER (PARTITION BY company ORDER BY n DESC, word ASC) AS rank FROM ch)
-SELECT company, word, n, rank, round(n / max(n) OVER (PARTITION BY company), 6) AS rel FROM r WHERE rank <= 60""")
+SELECT company, word, n, CAST(rank AS INTEGER) AS rank, round(n / max(n) OVER (PARTITION BY company), 6) AS rel FROM r WHERE rank <= 60""")
     return s
 
 
@@ -265,8 +265,9 @@ def _sql_more() -> dict[str, str]:
                                f"AND link NOT IN (SELECT url FROM pages WHERE url IS NOT NULL)")
     s["crawl_round_summary"] = (
         f"WITH {HREFS}, seen AS (SELECT DISTINCT url AS link, true AS s FROM pages WHERE url IS NOT NULL) "
-        f"SELECT page_id, count(*) AS n_links, sum(admitted::BIGINT) AS n_admitted, "
-        f"sum((admitted AND seen.s IS NULL)::BIGINT) AS n_new FROM adm LEFT JOIN seen USING (link) GROUP BY page_id")
+        f"SELECT page_id, count(*) AS n_links, CAST(sum(admitted::BIGINT) AS BIGINT) AS n_admitted, "
+        f"CAST(sum((admitted AND seen.s IS NULL)::BIGINT) AS BIGINT) AS n_new FROM adm LEFT JOIN seen USING (link) "
+        f"GROUP BY page_id")
     s["crawl_low_yield_stop"] = f"""WITH {HREFS},
 seen AS (SELECT DISTINCT url AS link, true AS s FROM pages WHERE url IS NOT NULL),
 per_page AS (SELECT page_id, sum((admitted AND seen.s IS NULL)::BIGINT) AS n_new
@@ -300,7 +301,7 @@ FROM runs GROUP BY site"""
     s["stream_idempotent_sink"] = with_base("SELECT link, company, sentiment FROM enr")
     s["skip_duplicate_insert"] = with_base("SELECT doc_id, company, cleaned FROM store")
     s["csv_roundtrip"] = ("SELECT CAST(doc_id AS VARCHAR) AS link, source AS company, "
-                          "length(text) AS n_chars FROM documents")
+                          "CAST(length(text) AS INTEGER) AS n_chars FROM documents")
     s["history_roundtrip"] = ("SELECT CAST(doc_id AS VARCHAR) AS link, CAST(2 AS BIGINT) AS n_copies, "
                               "source AS company FROM documents")
     s["store_scan"] = with_base("SELECT doc_id, company, cleaned, sentiment FROM store")
