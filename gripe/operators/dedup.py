@@ -27,9 +27,12 @@ def drop_null_text(df: DataFrame, col: str = "cleaned") -> DataFrame:
     return df.filter(F.col(col).isNotNull())
 
 
-def dedup_text(df: DataFrame, col: str = "cleaned", order_col: str = "doc_id") -> DataFrame:
+def dedup_text(df: DataFrame, col: str = "cleaned", order_col: "str | list[str]" = "doc_id") -> DataFrame:
     """Null texts dropped, then one row per distinct text: the smallest ``order_col`` (A1).
 
+    ``order_col`` may be a list (e.g. ``["crawled_at", "link"]``: earliest
+    crawl, then smallest link); the remaining columns break any tie.
+
     One pass: rows are grouped by the 32-byte content key and the row with
     the smallest ``order_col`` is kept as ``min(struct(order_col, ...))``.
     The partial (map-side) aggregate keeps one row per key per task, so a
@@ -39,10 +42,11 @@ def dedup_text(df: DataFrame, col: str = "cleaned", order_col: str = "doc_id") -
     while one on the key would be pushed into the scan and evaluate the
     cleaning expression a second time.
     """
-    others = [c for c in df.columns if c != order_col]
-    k = df.select(content_key(col).alias("_k"), F.struct(order_col, *others).alias("_r"))
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    others = [c for c in df.columns if c not in order]
+    k = df.select(content_key(col).alias("_k"), F.struct(*order, *others).alias("_r"))
     best = k.groupBy("_k").agg(F.min("_r").alias("_r"))
-    return best.filter(F.col(f"_r.{col}").isNotNull()).select("_r.*")
+    return best.filter(F.col(f"_r.{col}").isNotNull()).select(*[F.col(f"_r.{c}").alias(c) for c in df.columns])
 
 
 def row_counts(df: DataFrame, distinct_col: str = "cleaned") -> DataFrame:

@@ -30,9 +30,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def prepare_store(enriched: DataFrame) -> DataFrame:
-    """Null texts dropped, one row per cleaned text (A1, P3), materialised."""
-    cols = [c for c in ("doc_id", "company", "date", "link", "cleaned", "sentiment") if c in enriched.columns]
-    return materialize(DD.dedup_text(enriched.select(*cols), "cleaned", "doc_id"), "store")
+    """Null texts dropped, one row per cleaned text (A1, P3), materialised.
+
+    Keeper: the smallest ``doc_id`` when there is one, else the earliest
+    crawl and then the smallest link (records that came through the stream).
+    """
+    cols = [c for c in ("doc_id", "company", "date", "link", "crawled_at", "cleaned", "sentiment")
+            if c in enriched.columns]
+    order = "doc_id" if "doc_id" in cols else [c for c in ("crawled_at", "link") if c in cols]
+    return materialize(DD.dedup_text(enriched.select(*cols), "cleaned", order), "store")
 
 
 def run_analysis(spark: SparkSession, store: DataFrame, lexicon: L.Lexicon = L.REFERENCE,
@@ -97,3 +103,47 @@ def topics_of(store: DataFrame, lexicon: L.Lexicon = L.REFERENCE) -> DataFrame:
     vocab, cv, model = TP.fit_topics(store, "cleaned", lexicon.analysis_stop)
     return TP.assign_topics(store, cv, model, "cleaned", lexicon.analysis_stop).select(
         *store.columns, F.col("topic"))
+
+
+def run_job(spark: SparkSession, store_path: str, out_dir: str, lexicon: L.Lexicon = L.REFERENCE,
+            fmt: str = "parquet") -> dict:
+    """The periodic batch job (T8): store scan → dedup → report + chart tables → one output per table.
+
+    Returns the scalar figures (row count, LDA seconds, throughput).
+    """
+    from ..operators.sinks import write_report
+    from ..sources.complaints import load_complaints
+
+    t0 = time.time()
+    raw = load_complaints(spark, store_path)
+    if raw is None:
+        return {"n_rows": 0}
+    store = prepare_store(raw)
+    load_s = time.time() - t0
+    res = run_analysis(spark, store, lexicon, load_seconds=load_s)
+    topics = materialize(topics_of(store, lexicon), "chart-topics")
+    tables = {k: v for k, v in res.items() if isinstance(v, DataFrame)}
+    tables.update(chart_tables(store, lexicon, topics))
+    write_report(tables, out_dir, fmt)
+    return {k: v for k, v in res.items() if not isinstance(v, DataFrame)}
+
+
+def main(argv: list[str] | None = None) -> None:
+    import argparse
+    import json
+
+    from ..session import get_spark
+
+    p = argparse.ArgumentParser(description="complaint analysis job")
+    p.add_argument("--store", required=True, help="Parquet complaint store (stream output)")
+    p.add_argument("--out", required=True, help="output folder, one table per report section")
+    p.add_argument("--lexicon", default="reference", help="'reference', 'fixture' or a JSON file")
+    p.add_argument("--format", default="parquet")
+    a = p.parse_args(argv)
+    lex = L.profile(a.lexicon) if a.lexicon in L.PROFILES else L.Lexicon.load(a.lexicon)
+    spark = get_spark("gripe-analysis")
+    print(json.dumps(run_job(spark, a.store, a.out, lex, a.format)))
+
+
+if __name__ == "__main__":
+    main()

@@ -98,3 +98,39 @@ def debug_sink(df: DataFrame, cols=("company", "sentiment", "cleaned"), fmt: str
 def await_all(spark: SparkSession, timeout: float | None = None):
     """Block until any streaming query ends (T5)."""
     return spark.streams.awaitAnyTermination(timeout)
+
+
+def throughput(query) -> float:
+    """Rows per second over the query's recent micro-batches (A15, streaming)."""
+    rates = [p.get("processedRowsPerSecond") or 0.0 for p in (query.recentProgress or [])]
+    rates = [r for r in rates if r]
+    return sum(rates) / len(rates) if rates else 0.0
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit -m gripe.streaming.pipeline --store ... --checkpoint ... (--kafka host:port --topic t | --files dir)``"""
+    import argparse
+
+    from ..session import get_spark
+    from ..sources.kafka import read_complaint_stream
+
+    p = argparse.ArgumentParser(description="streaming complaint cleaner")
+    p.add_argument("--store", required=True)
+    p.add_argument("--checkpoint", required=True)
+    p.add_argument("--quarantine")
+    p.add_argument("--kafka")
+    p.add_argument("--topic", default="complaints")
+    p.add_argument("--files")
+    p.add_argument("--lexicon", default="reference")
+    p.add_argument("--available-now", action="store_true")
+    a = p.parse_args(argv)
+    spark = get_spark("gripe-stream")
+    lex = L.profile(a.lexicon) if a.lexicon in L.PROFILES else L.Lexicon.load(a.lexicon)
+    raw = read_complaint_stream(spark, a.kafka, a.topic) if a.kafka else read_json_files(spark, a.files)
+    trigger = {"availableNow": True} if a.available_now else None
+    q = start_pipeline(process(raw, lex), a.store, a.checkpoint, quarantine=a.quarantine, trigger=trigger)
+    q.awaitTermination()
+
+
+if __name__ == "__main__":
+    main()

@@ -93,3 +93,22 @@ def _empty_store(spark):
     p = os.path.join(tempfile.mkdtemp(prefix="gripe-empty-"), "s")
     spark.createDataFrame([], "company string, cleaned string").write.parquet(p)
     return p
+
+
+def test_stream_job_then_analysis_job(spark):
+    base = tempfile.mkdtemp(prefix="gripe-job-")
+    src = os.path.join(base, "src")
+    d = spark.read.parquet(f"{SF001}/documents.parquet")
+    rec = d.select(F.col("source").alias("company"), F.lit(None).cast("string").alias("date"),
+                   F.col("doc_id").cast("string").alias("link"), F.col("text").alias("content"),
+                   F.col("doc_id").cast("double").alias("crawl_timestamp"))
+    rec.write.json(src)
+    PL.main(["--store", base + "/store", "--checkpoint", base + "/ck", "--files", src,
+             "--lexicon", "fixture", "--available-now"])
+    assert SK.read_store(spark, base + "/store").count() == d.count()
+    res = AN.run_job(spark, base + "/store", base + "/out", L.FIXTURE)
+    n_distinct = Q.enriched(spark, SF001).select("cleaned").distinct().count()
+    assert res["n_rows"] == n_distinct
+    assert {"tfidf_top5", "topic_crosstab", "risk_summary", "metrics", "alarm_count", "bigram_top15",
+            "word_edges", "word_nodes", "cloud_words", "risk_heatmap", "company_volume", "risk_share",
+            "topic_share"} <= set(os.listdir(base + "/out"))
