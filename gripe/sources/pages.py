@@ -20,6 +20,11 @@ from ..functions import text as TX
 UWS = (r"\t\n\x{0B}\f\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
        r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
 
+# The same characters as a plain string (exactly the 29 characters for which
+# Python's ``str.isspace`` is true), for character trimming.
+UWS_CHARS = ("\t\n\x0b\f\r \x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+             + "\u2028\u2029\u202f\u205f\u3000")
+
 # Named character references decoded by the text extractor (``&amp;`` last).
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
             ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
@@ -62,8 +67,8 @@ def paragraphs(fragment: "Column | str") -> Column:
 
 
 def py_strip(c: "Column | str") -> Column:
-    """Python ``str.strip()``: Unicode whitespace at both ends."""
-    return F.regexp_replace(_col(c), f"^[{UWS}]+|[{UWS}]+$", "")
+    """Python ``str.strip()``: Unicode whitespace at both ends (a character trim, no regex)."""
+    return F.btrim(_col(c), F.lit(UWS_CHARS))
 
 
 def squeeze_unicode_ws(c: "Column | str") -> Column:
