@@ -125,8 +125,23 @@ def word_nodes(edges: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.count(F.lit(1)).alias("degree")))
 
 
+def _dunning(c12: Column, c1: Column, c2: Column, n: Column) -> Column:
+    """Dunning's (1993) log-likelihood ratio of a word pair from its counts:
+    pair c12, first word c1, second word c2, all words n.  0 when a word
+    makes up the whole text."""
+    def ll(k, m, x):
+        return (F.log(F.greatest(x, F.lit(1e-10))) * k
+                + F.log(F.greatest(1 - x, F.lit(1e-10))) * (m - k))
+    p = c2 / n
+    p1 = c12 / c1
+    p2 = (c2 - c12) / (n - c1)
+    s = ll(c12, c1, p) + ll(c2 - c12, n - c1, p) - ll(c12, c1, p1) - ll(c2 - c12, n - c1, p2)
+    return F.when((n <= c1) | (n <= c2), F.lit(0.0)).otherwise(-2 * s)
+
+
 def cloud_words(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (), n: int = 60,
-                min_len: int = 3, min_chars: int = 11, by: str = "company") -> DataFrame:
+                min_len: int = 3, min_chars: int = 11, by: str = "company",
+                collocations: bool = False, threshold: float = 30.0) -> DataFrame:
     """Per-company word frequencies for the word cloud.
 
     Words are whitespace tokens not in the stop list with at least
@@ -134,6 +149,12 @@ def cloud_words(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (),
     blank) is shorter than ``min_chars``, all of its words are used instead.
     Top ``n`` per company by count (ties by word) and the size relative to
     the company's top word.
+
+    ``collocations=True`` also merges word pairs: adjacent kept words of a
+    document whose log-likelihood score exceeds ``threshold`` become one
+    entry ``"a b"`` with the pair count, and each of the two words loses that
+    count (a word left with no count is dropped).  Pairs do not span
+    documents.
     """
     stop_s = sorted(set(stop))
     e = df.filter(F.col(by).isNotNull()).select(by, F.explode(F.split(text, f"[{TX.WS_CLASS}]+")).alias("word"))
@@ -143,10 +164,39 @@ def cloud_words(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (),
     # (AQE turns this into a broadcast when the measured side is small)
     stats = counts.groupBy(by).agg(
         (F.sum(F.when(F.col("kept"), F.col("n") * F.char_length("word")).otherwise(0))
-         + F.sum(F.when(F.col("kept"), F.col("n")).otherwise(0)) - 1).alias("_kept_len"))
+         + F.sum(F.when(F.col("kept"), F.col("n")).otherwise(0)) - 1).alias("_kept_len"),
+        F.sum(F.when(F.col("kept"), F.col("n")).otherwise(0)).alias("_n_kept"))
     chosen = (counts.join(stats, by)
               .filter(F.col("kept") | (F.col("_kept_len") < min_chars)))
+    if collocations:
+        chosen = _merge_collocations(df, chosen, stop_s, min_len, min_chars, by, text, threshold)
     rn = F.row_number().over(Window.partitionBy(by).orderBy(F.desc("n"), F.asc("word")))
     top = chosen.withColumn("rank", rn).filter(F.col("rank") <= n)
     rel = F.col("n") / F.max("n").over(Window.partitionBy(by))
     return top.select(by, "word", "n", "rank", rel.alias("rel"))
+
+
+def _merge_collocations(df: DataFrame, chosen: DataFrame, stop_s: list, min_len: int, min_chars: int,
+                        by: str, text: str, threshold: float) -> DataFrame:
+    """Collocation step of :func:`cloud_words` for companies that use their kept words."""
+    words = F.split(text, f"[{TX.WS_CLASS}]+")
+    kept = df.filter(F.col(by).isNotNull()).select(
+        by, F.filter(words, lambda w: (F.char_length(w) >= min_len) & ~w.isin(stop_s)).alias("_k"))
+    pairs = kept.select(by, F.explode(F.arrays_zip(F.slice("_k", 1, F.greatest(F.size("_k") - 1, F.lit(0))).alias("w1"),
+                                                    F.slice("_k", 2, F.greatest(F.size("_k") - 1, F.lit(0))).alias("w2")))
+                        .alias("p"))
+    pc = pairs.groupBy(by, F.col("p.w1").alias("w1"), F.col("p.w2").alias("w2")).agg(F.count(F.lit(1)).alias("c12"))
+    uses = chosen.filter(F.col("kept") & (F.col("_kept_len") >= min_chars))
+    u1 = uses.select(by, F.col("word").alias("w1"), F.col("n").alias("c1"), F.col("_n_kept").alias("nw"))
+    u2 = uses.select(by, F.col("word").alias("w2"), F.col("n").alias("c2"))
+    sc = (pc.join(u1, [by, "w1"]).join(u2, [by, "w2"])
+          .withColumn("score", _dunning(F.col("c12").cast("double"), F.col("c1").cast("double"),
+                                        F.col("c2").cast("double"), F.col("nw").cast("double"))))
+    col = sc.filter(F.col("score") > threshold).select(by, "w1", "w2", "c12")
+    red = (col.select(by, F.explode(F.array("w1", "w2")).alias("word"), "c12")
+           .groupBy(by, "word").agg(F.sum("c12").alias("_red")))
+    left = (chosen.join(red, [by, "word"], "left")
+            .withColumn("n", F.col("n") - F.coalesce(F.col("_red"), F.lit(0))).filter(F.col("n") > 0)
+            .select(by, "word", "n"))
+    merged = col.select(by, F.concat_ws(" ", "w1", "w2").alias("word"), F.col("c12").alias("n"))
+    return left.unionByName(merged)

@@ -181,9 +181,44 @@ st AS (SELECT company, sum(CASE WHEN kept THEN n * length(word) ELSE 0 END)
 ch AS (SELECT cnt.* FROM cnt JOIN st USING (company) WHERE kept OR kept_len < 11),
 r AS (SELECT *, row_number() OVER (PARTITION BY company ORDER BY n DESC, word ASC) AS rank FROM ch)
 SELECT company, word, n, CAST(rank AS INTEGER) AS rank, round(n / max(n) OVER (PARTITION BY company), 6) AS rel FROM r WHERE rank <= 60""")
+    s["cloud_words_collocations"] = with_base(f""",
+ww AS (SELECT company, list_filter(regexp_split_to_array(cleaned, '[{WS}]+'), lambda x: x <> '') AS w
+       FROM store WHERE company IS NOT NULL),
+cnt AS (SELECT company, word, count(*) AS n,
+               length(word) >= 3 AND NOT list_contains({stop_s}, word) AS kept
+        FROM (SELECT company, unnest(w) AS word FROM ww) GROUP BY 1, 2),
+st AS (SELECT company, sum(CASE WHEN kept THEN n * length(word) ELSE 0 END)
+                       + sum(CASE WHEN kept THEN n ELSE 0 END) - 1 AS kept_len,
+              sum(CASE WHEN kept THEN n ELSE 0 END) AS n_kept FROM cnt GROUP BY company),
+ch AS (SELECT cnt.*, st.kept_len, st.n_kept FROM cnt JOIN st USING (company) WHERE kept OR kept_len < 11),
+kw AS (SELECT company, list_filter(w, lambda x: length(x) >= 3 AND NOT list_contains({stop_s}, x)) AS k FROM ww),
+pr AS (SELECT company, k[i] AS w1, k[i + 1] AS w2 FROM kw, range(1, len(k)) r(i)),
+pc AS (SELECT company, w1, w2, count(*) AS c12 FROM pr GROUP BY 1, 2, 3),
+uses AS (SELECT * FROM ch WHERE kept AND kept_len >= 11),
+sc AS (SELECT pc.company, w1, w2, c12::DOUBLE AS c12, u1.n::DOUBLE AS c1, u2.n::DOUBLE AS c2,
+              u1.n_kept::DOUBLE AS nw
+       FROM pc JOIN uses u1 ON pc.company = u1.company AND pc.w1 = u1.word
+               JOIN uses u2 ON pc.company = u2.company AND pc.w2 = u2.word),
+sc2 AS (SELECT *, CASE WHEN nw <= c1 OR nw <= c2 THEN 0.0 ELSE -2 * (
+          {_ll('c12', 'c1', 'c2 / nw')} + {_ll('c2 - c12', 'nw - c1', 'c2 / nw')}
+          - {_ll('c12', 'c1', 'c12 / c1')} - {_ll('c2 - c12', 'nw - c1', '(c2 - c12) / (nw - c1)')}) END AS score
+        FROM sc),
+col AS (SELECT company, w1, w2, CAST(c12 AS BIGINT) AS c12 FROM sc2 WHERE score > 30),
+red AS (SELECT company, word, sum(c12) AS r FROM (SELECT company, w1 AS word, c12 FROM col UNION ALL
+                                                 SELECT company, w2, c12 FROM col) GROUP BY 1, 2),
+lft AS (SELECT ch.company, ch.word, ch.n - coalesce(red.r, 0) AS n FROM ch LEFT JOIN red USING (company, word)),
+mg AS (SELECT company, word, CAST(n AS BIGINT) AS n FROM lft WHERE n > 0
+       UNION ALL SELECT company, w1 || ' ' || w2, c12 FROM col),
+r AS (SELECT *, row_number() OVER (PARTITION BY company ORDER BY n DESC, word ASC) AS rank FROM mg)
+SELECT company, word, n, CAST(rank AS INTEGER) AS rank, round(n / max(n) OVER (PARTITION BY company), 6) AS rel
+FROM r WHERE rank <= 60""")
     return s
 
 
+def _ll(k: str, m: str, x: str) -> str:
+    return f"(ln(greatest({x}, 1e-10)) * ({k}) + ln(greatest(1 - ({x}), 1e-10)) * (({m}) - ({k})))"
+
+
 def _confusion() -> str:
     return with_base(""",
 c AS (SELECT sum(CASE WHEN churn_label = 1 AND rule_risk >= 75 THEN 1 ELSE 0 END)::BIGINT AS tp,
@@ -273,7 +308,7 @@ seen AS (SELECT DISTINCT url AS link, true AS s FROM pages WHERE url IS NOT NULL
 per_page AS (SELECT page_id, sum((admitted AND seen.s IS NULL)::BIGINT) AS n_new
              FROM adm LEFT JOIN seen USING (link) GROUP BY page_id),
 meta AS (SELECT page_id, regexp_extract(url, '{URL_RE}', 2) AS site,
-                coalesce(TRY_CAST(nullif(regexp_extract(url, '[?&]page=(\d+)', 1), '') AS INT), 1) AS page_no
+                coalesce(TRY_CAST(nullif(regexp_extract(url, '[?&]page=(\\d+)', 1), '') AS INT), 1) AS page_no
          FROM pages),
 log AS (SELECT site, page_no, coalesce(sum(n_new), 0) AS n_new FROM meta LEFT JOIN per_page USING (page_id)
         GROUP BY site, page_no),

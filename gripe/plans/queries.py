@@ -201,6 +201,11 @@ def q_cloud_words(spark, sf):
     return c.select("company", "word", "n", "rank", F.round("rel", R6).alias("rel"))
 
 
+def q_cloud_words_collocations(spark, sf):
+    c = TM.cloud_words(store(spark, sf), "cleaned", LEX.analysis_stop, 60, collocations=True)
+    return c.select("company", "word", "n", "rank", F.round("rel", R6).alias("rel"))
+
+
 # --- pages and links ---------------------------------------------------------
 
 TEST_DOMAIN = "example.com"  # the synthetic pages live under *.example.{com,net,org}
@@ -454,6 +459,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_edges": q_word_edges,
     "word_nodes": q_word_nodes,
     "cloud_words": q_cloud_words,
+    "cloud_words_collocations": q_cloud_words_collocations,
     "page_main_text": q_page_main_text,
     "page_paragraphs": q_page_paragraphs,
     "page_links": q_page_links,

@@ -155,3 +155,41 @@ def test_json_decode_rules(spark):
     assert out[1].company == "5" and out[1].content == '{"a":1}'
     assert all(out[i].company is None for i in (2, 3, 4))
     assert out[2].raw_value == "{bad json"
+
+
+def _py_cloud_collocations(docs, stop, threshold=30.0, min_len=3):
+    """Brute force of the collocation rule on one company's documents."""
+    def ll(k, m, x):
+        return math.log(max(x, 1e-10)) * k + math.log(max(1 - x, 1e-10)) * (m - k)
+
+    kept = [[w for w in d.split() if len(w) >= min_len and w not in stop] for d in docs]
+    uni, big = {}, {}
+    for ws in kept:
+        for w in ws:
+            uni[w] = uni.get(w, 0) + 1
+        for a, b in zip(ws, ws[1:]):
+            big[(a, b)] = big.get((a, b), 0) + 1
+    n = sum(uni.values())
+    out = dict(uni)
+    for (a, b), c12 in big.items():
+        c1, c2 = uni[a], uni[b]
+        if n <= c1 or n <= c2:
+            s = 0.0
+        else:
+            p, p1, p2 = c2 / n, c12 / c1, (c2 - c12) / (n - c1)
+            s = -2 * (ll(c12, c1, p) + ll(c2 - c12, n - c1, p) - ll(c12, c1, p1) - ll(c2 - c12, n - c1, p2))
+        if s > threshold:
+            out[a] -= c12
+            out[b] -= c12
+            out[f"{a} {b}"] = c12
+    return {w: c for w, c in out.items() if c > 0}
+
+
+def test_cloud_collocations_match_brute_force(spark):
+    docs = (["fatura iptal edildi sonra tekrar geldi"] * 12 + ["kart sorunu devam ediyor fatura"] * 5
+            + [f"kelime{i} fatura iptal" for i in range(6)] + ["iptal fatura"] * 2)
+    df = spark.createDataFrame([("A", d) for d in docs], "company string, cleaned string")
+    got = {r.word: r.n for r in TM.cloud_words(df, "cleaned", ["sonra"], 200, collocations=True).collect()}
+    want = _py_cloud_collocations(docs, {"sonra"})
+    assert got == want
+    assert any(" " in w for w in got)  # at least one pair was merged
