@@ -52,8 +52,15 @@ STORE_COLUMNS = ["company", "date", "link", "content", "cleaned", "tokens", "fil
 
 def idempotent_batch(target: str, key: str = "link", quarantine: str | None = None,
                      extra_sinks: list[Callable[[DataFrame, int], None]] | None = None,
-                     hashed_key: bool = False) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function: quarantine, skip-duplicates insert, extra sinks."""
+                     hashed_key: bool = False, on_error: str = "raise") -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function: quarantine, skip-duplicates insert, extra sinks.
+
+    ``on_error="raise"`` (default) fails the query so the checkpoint does not
+    advance and the batch is retried; ``"skip"`` reports the error and lets
+    the stream go on without the batch, as the original cleaner did (S5).
+    """
+    if on_error not in ("raise", "skip"):
+        raise ValueError("on_error must be 'raise' or 'skip'")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -65,6 +72,10 @@ def idempotent_batch(target: str, key: str = "link", quarantine: str | None = No
             SK.upsert_new(good, target, key, order_col=None, hashed_key=hashed_key)
             for sink in extra_sinks or []:
                 sink(good, batch_id)
+        except Exception as e:  # noqa: BLE001
+            if on_error == "raise":
+                raise
+            print(f"batch {batch_id} skipped: {type(e).__name__}: {e}", flush=True)
         finally:
             b.unpersist()
 
@@ -74,10 +85,10 @@ def idempotent_batch(target: str, key: str = "link", quarantine: str | None = No
 def start_pipeline(stream: DataFrame, target: str, checkpoint: str, key: str = "link",
                    quarantine: str | None = None, trigger: dict | None = None,
                    extra_sinks: list[Callable[[DataFrame, int], None]] | None = None,
-                   query_name: str | None = None):
+                   query_name: str | None = None, on_error: str = "raise"):
     """Start the single streaming query in append mode."""
     w = (stream.writeStream.outputMode("append")
-         .foreachBatch(idempotent_batch(target, key, quarantine, extra_sinks))
+         .foreachBatch(idempotent_batch(target, key, quarantine, extra_sinks, on_error=on_error))
          .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)

@@ -78,6 +78,29 @@ def test_one_query_feeds_two_sinks(spark):
     assert a == b and len(a) == 3  # same rows and the same processing timestamps
 
 
+def test_error_policy(spark):
+    import pytest
+
+    base = tempfile.mkdtemp(prefix="gripe-err-")
+    src = os.path.join(base, "src")
+    os.makedirs(src)
+    _write(src, "a.json", [json.dumps(RECORDS[0])], 1_000_000)
+
+    def failing(df, batch_id):
+        raise RuntimeError("sink down")
+
+    def run(policy, name):
+        q = PL.start_pipeline(PL.process(PL.read_json_files(spark, src), L.REFERENCE), os.path.join(base, name),
+                              os.path.join(base, name + "-ck"), extra_sinks=[failing], on_error=policy,
+                              trigger={"availableNow": True})
+        q.awaitTermination()
+
+    run("skip", "skip")  # the stream goes on; the store write before the failing sink stays
+    assert SK.read_store(spark, os.path.join(base, "skip")).count() == 1
+    with pytest.raises(Exception):
+        run("raise", "raise")
+
+
 def test_upsert_new_retry_inserts_nothing_twice(spark):
     target = os.path.join(tempfile.mkdtemp(prefix="gripe-upsert-"), "t")
     df = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "c", "y")], "doc_id long, link string, cleaned string")
