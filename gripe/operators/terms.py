@@ -180,8 +180,7 @@ def _merge_collocations(df: DataFrame, chosen: DataFrame, stop_s: list, min_len:
                         by: str, text: str, threshold: float) -> DataFrame:
     """Collocation step of :func:`cloud_words` for companies that use their kept words."""
     words = F.split(text, f"[{TX.WS_CLASS}]+")
-    kept = df.filter(F.col(by).isNotNull()).select(
-        by, F.filter(words, lambda w: (F.char_length(w) >= min_len) & ~w.isin(stop_s)).alias("_k"))
+    kept = df.filter(F.col(by).isNotNull()).select(by, TX.keep_words(words, stop_s, min_len).alias("_k"))
     pairs = kept.select(by, F.explode(F.arrays_zip(F.slice("_k", 1, F.greatest(F.size("_k") - 1, F.lit(0))).alias("w1"),
                                                     F.slice("_k", 2, F.greatest(F.size("_k") - 1, F.lit(0))).alias("w2")))
                         .alias("p"))

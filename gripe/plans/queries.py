@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import lexicons as L
-from ..functions import scoring as SC
 from ..functions import sentiment as S
 from ..functions import text as TX
 from ..functions import dates as DT

@@ -94,3 +94,10 @@ def test_bigrams_guard(spark):
     df = spark.createDataFrame([(["a", "b", "c"],), (["a"],), ([],)], "t array<string>")
     got = [r.b for r in df.select(TX.bigrams("t").alias("b")).collect()]
     assert got == [["a b", "b c"], [], []]
+
+
+def test_whitespace_words_and_keep_words(spark):
+    df = spark.createDataFrame([("  ab\tcde  bir üçüncü \n",)], "t string")
+    r = df.select(TX.whitespace_words("t").alias("w"), TX.keep_words(TX.whitespace_words("t"), ["bir"]).alias("k")).first()
+    assert r.w == ["ab", "cde", "bir", "üçüncü"]
+    assert r.k == ["cde", "üçüncü"]
