@@ -155,15 +155,30 @@ def page_links(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
 
 
 def tag_company(url: "Column | str", targets: Sequence[tuple[str, str]] = L.CRAWL_TARGETS) -> Column:
-    """Company of a URL from the crawl targets (longest matching prefix), else null."""
+    """Company of a URL from the crawl targets (longest matching prefix), else null.
+
+    ``targets`` holds (company, url) pairs; (company, category, url) triples
+    of the category crawl are accepted too.
+    """
     u = _col(url)
     out = None
-    for name, prefix in sorted(targets, key=lambda t: -len(t[1])):
+    pairs = [(t[0], t[-1]) for t in targets]
+    for name, prefix in sorted(pairs, key=lambda t: -len(t[1])):
         cond = u.startswith(prefix)
         out = F.when(cond, F.lit(name)) if out is None else out.when(cond, F.lit(name))
     return out
 
 
+def tag_category(url: "Column | str", targets=L.CATEGORY_TARGETS) -> Column:
+    """Category of a URL from the category crawl targets (company, category, url), else null."""
+    u = _col(url)
+    out = None
+    for _, category, prefix in sorted(targets, key=lambda t: -len(t[2])):
+        cond = u.startswith(prefix)
+        out = F.when(cond, F.lit(category)) if out is None else out.when(cond, F.lit(category))
+    return out
+
+
 def extract_records(pages: DataFrame, company: "Column | None" = None, now: "Column | None" = None) -> DataFrame:
     """Pages → crawl records (company, date, link, content); rejected pages dropped."""
     comp = company if company is not None else F.coalesce(tag_company("url"), url_parts("url")[1])

@@ -193,3 +193,16 @@ def test_cloud_collocations_match_brute_force(spark):
     want = _py_cloud_collocations(docs, {"sonra"})
     assert got == want
     assert any(" " in w for w in got)  # at least one pair was merged
+
+
+def test_tag_company_and_category(spark):
+    from gripe import lexicons as L
+
+    urls = ["https://www.sikayetvar.com/vodafone/fatura-iptal-123", "https://www.sikayetvar.com/turk-telekom/x",
+            "https://www.sikayetvar.com/turkcell/tarife-degisikligi/abc", "https://other.org/turkcell"]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = df.select(PG.tag_company("url").alias("c"), PG.tag_company("url", L.CATEGORY_TARGETS).alias("c2"),
+                    PG.tag_category("url").alias("k")).collect()
+    assert [r.c for r in got] == ["VODAFONE", "TURKTELEKOM", "TURKCELL", None]
+    assert [r.k for r in got] == [None, None, "tarife-degisikligi", None]
+    assert [r.c2 for r in got] == [None, None, "TURKCELL", None]
