@@ -91,3 +91,10 @@ def test_risk_summary_and_alarm(spark):
 def test_company_volume_order(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "company string")
     assert [(r.company, r.n) for r in RP.company_volume(df).collect()] == [("c", 2), ("a", 1), ("b", 1)]
+
+
+def test_global_max_and_value_counts(spark):
+    df = spark.createDataFrame([("a", 3), ("b", 7), ("c", 7)], "k string, v int")
+    assert {r.max_value for r in RP.global_max(df, "v").collect()} == {7}
+    vc = RP.value_counts(spark.createDataFrame([("x",), ("y",), ("y",), (None,)], "t string"), "t").collect()
+    assert [(r.t, r.n) for r in vc] == [("y", 2), ("x", 1)]

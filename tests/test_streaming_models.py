@@ -76,6 +76,7 @@ def test_one_query_feeds_two_sinks(spark):
     a = {(r.cleaned, r.processed_at) for r in SK.read_store(spark, target).collect()}
     b = {(r.cleaned, r.processed_at) for r in spark.read.parquet(side).collect()}
     assert a == b and len(a) == 3  # same rows and the same processing timestamps
+    assert PL.throughput(q) >= 0.0 and isinstance(q.recentProgress, list)
 
 
 def test_error_policy(spark):
