@@ -75,10 +75,17 @@ def read_store(spark, target: str) -> DataFrame:
 
 
 def write_report(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> dict[str, str]:
-    """One output per report section (S13); small tables are coalesced to one file."""
+    """One output per report section.
+
+    Result tables are small and written as one file each; ``scored`` (one
+    row per complaint) keeps its partitioning.
+    """
     paths = {}
     for name, df in tables.items():
         p = os.path.join(out_dir, name)
-        df.coalesce(1).write.mode("overwrite").format(fmt).option("header", True).save(p)
+        out = df if name == "scored" else df.coalesce(1)
+        if fmt == "csv":
+            out = out.select(*[c for c, t in out.dtypes if not t.startswith(("array", "struct", "map"))])
+        out.write.mode("overwrite").format(fmt).option("header", True).save(p)
         paths[name] = p
     return paths

@@ -65,10 +65,13 @@ def run_analysis(spark: SparkSession, store: DataFrame, lexicon: L.Lexicon = L.R
     train, test = CH.hash_split(feats, "link", 20)
     rf = CH.fit_forest(train)
     out["metrics"] = CH.binary_metrics(rf.transform(test), "churn_label", "prediction")
-    scored = CH.score_risk(rf, feats)
+    # per-complaint scores, written once: both summaries and any later reader use this table
+    scored = materialize(CH.score_risk(rf, feats).drop("prediction"), "scored")
     out["risk_summary"] = RP.risk_summary(scored, "churn_risk")
     out["alarm_count"] = RP.alarm_count(scored, "churn_risk", 75)
     out["lda_seconds"] = lda_s
+    out["_topics"] = topics  # the topic column, for the chart tables (no second LDA fit)
+    out["_scored"] = scored
     out["throughput"] = n_rows / max(load_seconds + lda_s, 1e-9)
     return out
 
@@ -95,8 +98,12 @@ def chart_tables(store: DataFrame, lexicon: L.Lexicon = L.REFERENCE, topics: Dat
 
 
 def report_rows(tables: dict) -> dict:
-    """Collect the bounded result tables (each has at most a few rows per company)."""
-    return {k: [r.asDict() for r in v.collect()] if isinstance(v, DataFrame) else v for k, v in tables.items()}
+    """Collect the bounded result tables (each has at most a few rows per company).
+
+    Keys starting with ``_`` are full-size tables and are left out.
+    """
+    return {k: [r.asDict() for r in v.collect()] if isinstance(v, DataFrame) else v for k, v in tables.items()
+            if not k.startswith("_")}
 
 
 def topics_of(store: DataFrame, lexicon: L.Lexicon = L.REFERENCE) -> DataFrame:
@@ -121,9 +128,9 @@ def run_job(spark: SparkSession, store_path: str, out_dir: str, lexicon: L.Lexic
     store = prepare_store(raw)
     load_s = time.time() - t0
     res = run_analysis(spark, store, lexicon, load_seconds=load_s)
-    topics = materialize(topics_of(store, lexicon), "chart-topics")
-    tables = {k: v for k, v in res.items() if isinstance(v, DataFrame)}
-    tables.update(chart_tables(store, lexicon, topics))
+    tables = {k: v for k, v in res.items() if isinstance(v, DataFrame) and not k.startswith("_")}
+    tables.update(chart_tables(store, lexicon, res["_topics"]))
+    tables["scored"] = res["_scored"]
     write_report(tables, out_dir, fmt)
     return {k: v for k, v in res.items() if not isinstance(v, DataFrame)}
 
