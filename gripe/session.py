@@ -36,6 +36,25 @@ def get_spark(app: str = "gripe", master: str | None = None, shuffle_partitions:
     return spark
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20, min_partitions: int = 200) -> dict:
+    """Shuffle and split sizing for a cluster run over ``input_bytes`` of input.
+
+    The full-corpus shuffles (dedup, term counts) move about as much data as
+    is read, so the initial shuffle partition count is sized for partitions
+    of ``target_partition_bytes``; AQE then coalesces the small ones and
+    splits skewed ones.  Example: 100 TB → about 800,000 initial partitions.
+    """
+    parts = max(min_partitions, -(-int(input_bytes) // target_partition_bytes))
+    mb = f"{target_partition_bytes >> 20}m"
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": mb,
+        "spark.sql.files.maxPartitionBytes": mb,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -98,3 +98,11 @@ def test_global_max_and_value_counts(spark):
     assert {r.max_value for r in RP.global_max(df, "v").collect()} == {7}
     vc = RP.value_counts(spark.createDataFrame([("x",), ("y",), ("y",), (None,)], "t string"), "t").collect()
     assert [(r.t, r.n) for r in vc] == [("y", 2), ("x", 1)]
+
+
+def test_cluster_conf_sizing():
+    from gripe.session import cluster_conf
+
+    c = cluster_conf(100 * 10**12)
+    assert 700_000 < int(c["spark.sql.shuffle.partitions"]) < 800_000
+    assert cluster_conf(10**6)["spark.sql.shuffle.partitions"] == "200"
