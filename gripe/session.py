@@ -36,21 +36,23 @@ def get_spark(app: str = "gripe", master: str | None = None, shuffle_partitions:
     return spark
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20, min_partitions: int = 200) -> dict:
+def cluster_conf(input_bytes: int, shuffle_partition_bytes: int = 1 << 30, split_bytes: int = 128 << 20,
+                 min_partitions: int = 200) -> dict:
     """Shuffle and split sizing for a cluster run over ``input_bytes`` of input.
 
     The full-corpus shuffles (dedup, term counts) move about as much data as
-    is read, so the initial shuffle partition count is sized for partitions
-    of ``target_partition_bytes``; AQE then coalesces the small ones and
-    splits skewed ones.  Example: 100 TB → about 800,000 initial partitions.
+    is read, so the initial shuffle partition count is sized for about
+    ``shuffle_partition_bytes`` each (spill-safe, and few enough for the
+    map-output bookkeeping of very wide shuffles); AQE then coalesces small
+    partitions toward the advisory size and splits skewed ones.  Example:
+    100 TB → about 93,000 initial shuffle partitions and 128 MB scan splits.
     """
-    parts = max(min_partitions, -(-int(input_bytes) // target_partition_bytes))
-    mb = f"{target_partition_bytes >> 20}m"
+    parts = max(min_partitions, -(-int(input_bytes) // shuffle_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": mb,
-        "spark.sql.files.maxPartitionBytes": mb,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{max(split_bytes, 256 << 20) >> 20}m",
+        "spark.sql.files.maxPartitionBytes": f"{split_bytes >> 20}m",
         "spark.sql.adaptive.skewJoin.enabled": "true",
     }
 

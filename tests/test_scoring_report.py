@@ -104,5 +104,6 @@ def test_cluster_conf_sizing():
     from gripe.session import cluster_conf
 
     c = cluster_conf(100 * 10**12)
-    assert 700_000 < int(c["spark.sql.shuffle.partitions"]) < 800_000
+    assert 90_000 < int(c["spark.sql.shuffle.partitions"]) < 95_000
+    assert c["spark.sql.files.maxPartitionBytes"] == "128m"
     assert cluster_conf(10**6)["spark.sql.shuffle.partitions"] == "200"
