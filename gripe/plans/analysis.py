@@ -139,7 +139,7 @@ def main(argv: list[str] | None = None) -> None:
     import argparse
     import json
 
-    from ..session import get_spark
+    from ..session import get_spark, size_session
 
     p = argparse.ArgumentParser(description="complaint analysis job")
     p.add_argument("--store", required=True, help="Parquet complaint store (stream output)")
@@ -149,6 +149,7 @@ def main(argv: list[str] | None = None) -> None:
     a = p.parse_args(argv)
     lex = L.profile(a.lexicon) if a.lexicon in L.PROFILES else L.Lexicon.load(a.lexicon)
     spark = get_spark("gripe-analysis")
+    size_session(spark, a.store)  # shuffle partitions from the store's size
     print(json.dumps(run_job(spark, a.store, a.out, lex, a.format)))
 
 

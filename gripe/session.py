@@ -57,6 +57,22 @@ def cluster_conf(input_bytes: int, shuffle_partition_bytes: int = 1 << 30, split
     }
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (file-system metadata only, no data read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def size_session(spark: SparkSession, path: str) -> dict:
+    """Apply :func:`cluster_conf` for the input at ``path`` to a running session (SQL settings only)."""
+    conf = cluster_conf(input_bytes(spark, path))
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

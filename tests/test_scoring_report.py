@@ -107,3 +107,9 @@ def test_cluster_conf_sizing():
     assert 90_000 < int(c["spark.sql.shuffle.partitions"]) < 95_000
     assert c["spark.sql.files.maxPartitionBytes"] == "128m"
     assert cluster_conf(10**6)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_input_bytes(spark):
+    from gripe.session import input_bytes
+
+    assert input_bytes(spark, "/root/testdata/sf0.001/documents.parquet") > 0
