@@ -58,11 +58,14 @@ def enrich(df: DataFrame, lexicon: L.Lexicon = L.REFERENCE, content: str = "cont
     ``cleaned`` is the stop-word-free text the analysis jobs read; the
     sentiment is computed on it, as in the original cleaner.
     """
-    st = TX.clean_stages(F.col(content), lexicon.stream_stop, turkish_case)
     cols: list[Column] = [F.col(c) for c in df.columns]
     if keep_arrays:
-        cols += [st["words"].alias("tokens"), st["filtered"].alias("filtered_tokens")]
-    out = df.select(*cols, st["cleaned"].alias("cleaned"))
+        # the token array feeds three outputs: build it once in its own projection
+        words = df.select(*cols, TX.letter_tokens(TX.fold_case(F.col(content), turkish_case)).alias("tokens"))
+        words = words.withColumn("filtered_tokens", TX.remove_stop("tokens", lexicon.stream_stop, lowered=True))
+        out = words.withColumn("cleaned", TX.join_tokens("filtered_tokens"))
+    else:
+        out = df.select(*cols, TX.clean_text(F.col(content), lexicon.stream_stop, turkish_case).alias("cleaned"))
     out = S.with_sentiment(out, "cleaned", lexicon, lowered=True)
     if stamp:
         out = out.withColumn("processed_at", F.current_timestamp())
