@@ -15,13 +15,17 @@ from .terms import analysis_tokens, lda_vocabulary
 
 
 def fit_topics(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (), k: int = 3, seed: int = 42,
-               min_df: int = 5, vocab_size: int = 1000, max_iter: int = 10, subsampling: float = 0.5):
+               min_df: int = 5, vocab_size: int = 1000, max_iter: int = 10, subsampling: float = 0.5,
+               restarts: int = 1):
     """Online variational LDA over the bounded vocabulary (M5).
 
     Priors 1/k, learning decay 0.7, offset 10 as in the original; larger
     mini-batches (``subsampling``) keep the number of Spark jobs small.  The
     count vectors are persisted for the iterations (recomputed from lineage
-    if an executor is lost).  Returns ``(vocab_terms, cv_model, lda_model)``.
+    if an executor is lost).  ``restarts`` > 1 fits with seeds ``seed``,
+    ``seed + 1``, ... and keeps the model with the highest log-likelihood on
+    the corpus, since variational fits can stop in a local optimum that
+    merges topics.  Returns ``(vocab_terms, cv_model, lda_model)``.
     """
     from pyspark.ml.clustering import LDA
     from pyspark.ml.feature import CountVectorizerModel
@@ -31,13 +35,21 @@ def fit_topics(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (), k
     cv = CountVectorizerModel.from_vocabulary(terms or ["_"], inputCol="_tokens", outputCol="_counts")
     vec = cv.transform(df.select(analysis_tokens(text, stop).alias("_tokens"))).select("_counts")
     vec = vec.persist(StorageLevel.MEMORY_AND_DISK)
-    lda = LDA(k=k, seed=seed, optimizer="online", maxIter=max_iter, featuresCol="_counts",
-              docConcentration=[1.0 / k] * k, topicConcentration=1.0 / k, learningDecay=0.7,
-              learningOffset=10.0, optimizeDocConcentration=False, subsamplingRate=subsampling,
-              topicDistributionCol="_dist")
-    model = lda.fit(vec)
+    best, best_ll = None, None
+    for s in range(seed, seed + max(1, restarts)):
+        lda = LDA(k=k, seed=s, optimizer="online", maxIter=max_iter, featuresCol="_counts",
+                  docConcentration=[1.0 / k] * k, topicConcentration=1.0 / k, learningDecay=0.7,
+                  learningOffset=10.0, optimizeDocConcentration=False, subsamplingRate=subsampling,
+                  topicDistributionCol="_dist")
+        model = lda.fit(vec)
+        if restarts <= 1:
+            best = model
+            break
+        ll = model.logLikelihood(vec)
+        if best_ll is None or ll > best_ll:
+            best, best_ll = model, ll
     vec.unpersist()
-    return terms, cv, model
+    return terms, cv, best
 
 
 def assign_topics(df: DataFrame, cv, model, text: str = "cleaned", stop: Sequence[str] = ()) -> DataFrame:
@@ -69,3 +81,27 @@ def topic_terms(model, vocab: Sequence[str], n: int = 10) -> DataFrame:
 def name_topics(topic: str = "topic", names: Mapping[int, str] = L.TOPIC_NAMES):
     """Topic number → fixed name; a number without a name gives null."""
     return map_default(topic, names, None)
+
+
+def name_topics_by_seeds(model, vocab: Sequence[str], seeds: Mapping[str, Sequence[str]], n: int = 20):
+    """Topic number → name by seed terms, so names survive arbitrary topic order (M6).
+
+    Each (topic, name) pair scores the summed weight of the name's seed
+    terms among the topic's top ``n`` terms; pairs are assigned greedily,
+    best score first, one name per topic.  Works on ``describeTopics``
+    (k × n rows, bounded by the parameters); returns {topic: name}, topics
+    without any seed term keep no name.
+    """
+    rows = topic_terms(model, vocab, n).collect()  # k * n rows
+    score: dict[tuple[int, str], float] = {}
+    for r in rows:
+        for name, terms in seeds.items():
+            if r.term in set(terms):
+                score[(r.topic, name)] = score.get((r.topic, name), 0.0) + float(r.weight)
+    out: dict[int, str] = {}
+    used: set[str] = set()
+    for (topic, name), _ in sorted(score.items(), key=lambda kv: (-kv[1], kv[0])):
+        if topic not in out and name not in used:
+            out[topic] = name
+            used.add(name)
+    return out

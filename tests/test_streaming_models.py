@@ -145,3 +145,37 @@ def test_driver_contract(spark):
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     assert len(qs) >= 40
+
+
+def _planted(spark):
+    groups = {"billing": ["fatura", "ucret", "odeme", "borc"], "network": ["sinyal", "baglanti", "hiz", "kesinti"],
+              "tariff": ["paket", "tarife", "dakika", "kampanya"]}
+    docs = []
+    for g, words in groups.items():
+        for i in range(60):
+            docs.append((len(docs), g, " ".join(words[(i + j) % 4] for j in range(12))))
+    return groups, spark.createDataFrame(docs, "doc_id long, company string, cleaned string")
+
+
+def test_planted_topics_are_recovered_and_named(spark):
+    groups, df = _planted(spark)
+    # best of several seeded fits by log-likelihood (a single fit may merge two topics)
+    vocab, cv, model = TP.fit_topics(df, "cleaned", [], k=3, min_df=5, max_iter=30, subsampling=0.5, restarts=8)
+    t = TP.assign_topics(df, cv, model, "cleaned")
+    # each planted group maps to one topic, and the three groups to three topics
+    per_group = {g: {r.topic for r in t.filter(F.col("company") == g).select("topic").distinct().collect()}
+                 for g in groups}
+    assert all(len(v) == 1 for v in per_group.values())
+    assert len(set().union(*per_group.values())) == 3
+    names = TP.name_topics_by_seeds(model, vocab, groups, n=6)
+    assert {names[next(iter(per_group[g]))] for g in groups} == set(groups)
+    assert all(names[next(iter(per_group[g]))] == g for g in groups)
+
+
+def test_lda_same_seed_same_result(spark):
+    _, df = _planted(spark)
+    runs = []
+    for _ in range(2):
+        vocab, cv, model = TP.fit_topics(df, "cleaned", [], k=3, max_iter=5)
+        runs.append(sorted((r.doc_id, r.topic) for r in TP.assign_topics(df, cv, model, "cleaned").collect()))
+    assert runs[0] == runs[1]
