@@ -27,6 +27,14 @@ def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def _sf_value(sf_dir: str):
+    tag = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(tag)
+    except ValueError:
+        return tag
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -76,7 +84,7 @@ def main() -> None:
         "value": total,
         "unit": "sec",
         "queries": times,
-        "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
+        "sf": _sf_value(sf_dir),
         "rows": n,
         "complaints_per_sec_load_plus_lda": round(res["throughput"], 1),
         "clean_sentiment_rows_per_sec": round(n / max(times["clean_sentiment"], 1e-9), 1),
