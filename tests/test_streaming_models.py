@@ -179,3 +179,13 @@ def test_lda_same_seed_same_result(spark):
         vocab, cv, model = TP.fit_topics(df, "cleaned", [], k=3, max_iter=5)
         runs.append(sorted((r.doc_id, r.topic) for r in TP.assign_topics(df, cv, model, "cleaned").collect()))
     assert runs[0] == runs[1]
+
+
+def test_binary_queue_value_decodes(spark):
+    """Queue values arrive as bytes (Kafka ``value``); the same decode + enrich applies."""
+    raw = spark.createDataFrame([(bytearray(json.dumps(r, ensure_ascii=False).encode("utf-8")),) for r in RECORDS]
+                                + [(bytearray(b"\xff\xfe not json"),)], "value binary")
+    out = PL.process(raw, L.REFERENCE).collect()
+    good = {r.link: r.sentiment for r in out if r.decoded}
+    assert good == {"https://x.com/1": "NEGATIF", "https://x.com/2": "POZITIF", "https://x.com/3": "NOTR (TALEP)"}
+    assert sum(1 for r in out if not r.decoded) == 1
