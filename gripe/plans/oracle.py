@@ -335,6 +335,13 @@ FROM runs GROUP BY site"""
     s["stream_clean_sentiment"] = with_base("SELECT link, company, cleaned, sentiment FROM enr")
     s["stream_idempotent_sink"] = with_base("SELECT link, company, sentiment FROM enr")
     s["skip_duplicate_insert"] = with_base("SELECT doc_id, company, cleaned FROM store")
+    s["stream_watermark_dedup"] = with_base("SELECT link, company, sentiment FROM enr")
+    s["seen_set_union"] = (f"WITH {HREFS} SELECT DISTINCT link FROM (SELECT url AS link FROM pages UNION ALL "
+                           f"SELECT link FROM adm WHERE admitted) WHERE link IS NOT NULL")
+    s["formatted_volume"] = with_base(
+        "SELECT company, format('{:,}', count(*)) AS n_text, "
+        "format('{:,.2f}', count(*) * 100.0 / sum(count(*)) OVER ()) || '%' AS pct_text "
+        "FROM store WHERE company IS NOT NULL GROUP BY company")
     s["csv_roundtrip"] = ("SELECT CAST(doc_id AS VARCHAR) AS link, source AS company, "
                           "CAST(length(text) AS INTEGER) AS n_chars FROM documents")
     s["history_roundtrip"] = ("SELECT CAST(doc_id AS VARCHAR) AS link, CAST(2 AS BIGINT) AS n_copies, "

@@ -270,6 +270,34 @@ def q_crawl_low_yield_stop(spark, sf):
     return LK.low_yield_stop(log, "site", "page_no", "n_new")
 
 
+def q_stream_watermark_dedup(spark, sf):
+    """Records delivered twice, one file per micro-batch, into a plain append sink: only the
+    stateful in-stream de-duplication (watermark on the crawl time) keeps one row per link (T6)."""
+    from ..session import scratch_path
+    from ..streaming import pipeline as PL
+    src = _records_json(spark, sf, copies=2)
+    out, ckpt = scratch_path(spark, "wm-out"), scratch_path(spark, "wm-ckpt")
+    s = PL.dedup_stream(PL.process(PL.read_json_files(spark, f"{src}/*", 4), LEX), "link", "crawled_at", "1 hour")
+    q = (s.select("link", "company", "sentiment").writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def q_seen_set_union(spark, sf):
+    """The seen set after a round: crawled pages ∪ newly admitted links."""
+    seen = _pages(spark, sf).select(F.col("url").alias("link"))
+    found = LK.admit_links(PG.page_links(_pages(spark, sf)), TEST_DOMAIN).select("link")
+    return LK.add_seen(seen, LK.new_links(found, seen))
+
+
+def q_formatted_volume(spark, sf):
+    """Company volume with display text: thousands separator and percent of all rows."""
+    from ..functions import scoring as SC
+    v = RP.share_of_total(RP.company_volume(store(spark, sf)))
+    return v.select("company", SC.fmt_int("n").alias("n_text"), SC.fmt_pct("pct").alias("pct_text"))
+
+
 # --- dates and JSON ----------------------------------------------------------
 
 def q_month_standardise(spark, sf):
@@ -459,6 +487,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_nodes": q_word_nodes,
     "cloud_words": q_cloud_words,
     "cloud_words_collocations": q_cloud_words_collocations,
+    "formatted_volume": q_formatted_volume,
     "page_main_text": q_page_main_text,
     "page_paragraphs": q_page_paragraphs,
     "page_links": q_page_links,
@@ -466,6 +495,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_links_antijoin": q_new_links_antijoin,
     "crawl_round_summary": q_crawl_round_summary,
     "crawl_low_yield_stop": q_crawl_low_yield_stop,
+    "seen_set_union": q_seen_set_union,
     "page_records": q_page_records,
     "month_standardise": q_month_standardise,
     "json_roundtrip": q_json_roundtrip,
@@ -477,6 +507,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rf_metrics": q_rf_metrics,
     "stream_clean_sentiment": q_stream_clean_sentiment,
     "stream_idempotent_sink": q_stream_idempotent_sink,
+    "stream_watermark_dedup": q_stream_watermark_dedup,
     "skip_duplicate_insert": q_skip_duplicate_insert,
     "csv_roundtrip": q_csv_roundtrip,
     "history_roundtrip": q_history_roundtrip,
