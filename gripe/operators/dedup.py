@@ -3,11 +3,13 @@
 Keeper rule: among rows with equal cleaned text the smallest ``order_col``
 wins (the original kept "first in store order", which is undefined).
 
-Plan: a 256-bit content key is computed per row; ``groupBy(key).min(id)``
-runs with map-side partial aggregation, so even a text repeated in a third
-of all rows collapses to one row per map task before the shuffle, and the
-shuffle carries 32-byte keys instead of whole texts.  The keepers are then
-semi-joined back on the unique id (no skew: one row per id).
+Plan: one pass.  A 256-bit content key (SHA-256) is computed per row and
+the row is grouped by it, keeping ``min(struct(order_col, ...))``.  The
+partial (map-side) aggregate keeps one row per key per task, so even a text
+repeated in a third of all rows is collapsed before the shuffle; the
+shuffle then moves each distinct text once per task, keyed by 32 bytes
+instead of the whole text.  The struct buffer makes this a sort-based
+aggregate, which spills rather than failing on a large partition.
 """
 
 from __future__ import annotations
