@@ -112,3 +112,19 @@ def test_stream_job_then_analysis_job(spark):
     assert {"tfidf_top5", "topic_crosstab", "risk_summary", "metrics", "alarm_count", "bigram_top15",
             "word_edges", "word_nodes", "cloud_words", "risk_heatmap", "company_volume", "risk_share",
             "topic_share"} <= set(os.listdir(base + "/out"))
+
+
+def test_native_sentiment_equals_pandas_udf_cross_check(spark):
+    """The original row-at-a-time UDF, kept only as an Arrow-batched cross-check."""
+    import pandas as pd
+    from pyspark.sql.functions import pandas_udf
+
+    lex = L.FIXTURE
+
+    @pandas_udf("string")
+    def udf_sentiment(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: _py_sentiment(t, lex))
+
+    e = Q.enriched(spark, SF001, lex)
+    bad = e.filter(~F.col("sentiment").eqNullSafe(udf_sentiment("cleaned"))).count()
+    assert bad == 0 and e.count() > 100
