@@ -138,7 +138,12 @@ def url_parts(url: "Column | str") -> tuple[Column, Column]:
 
 
 def resolve_href(href: "Column | str", base_url: "Column | str") -> Column:
-    """Absolute link for an ``href`` relative to the page URL (what ``.get_attribute('href')`` returns)."""
+    """Absolute link for an ``href`` relative to the page URL (what ``.get_attribute('href')`` returns).
+
+    Handles absolute, scheme-relative (``//host``), root-relative (``/path``)
+    and document-relative hrefs; ``./`` and ``../`` segments are kept as
+    written (a browser would normalise them).
+    """
     h, b = _col(href), _col(base_url)
     scheme, host = url_parts(b)
     base_dir = F.regexp_replace(F.regexp_replace(b, r"[?#].*$", ""), r"[^/]*$", "")
