@@ -370,11 +370,13 @@ def q_rf_metrics(spark, sf):
 
 def _records_json(spark, sf, copies: int = 1) -> str:
     """documents → crawl records as JSON lines in a fresh shared folder
-    (``copies`` > 1 writes the same records again as a replay)."""
+    (``copies`` > 1 writes the same records again as a replay).  Crawl times
+    are 1 ms apart, one crawl round, so a replay stays within the
+    de-duplication watermark at every scale factor."""
     from ..session import scratch_path
     d = CP.documents_as_complaints(spark, sf)
     rec = d.select("company", "date", "link", "content",
-                   (F.col("doc_id").cast("double") + F.lit(1.7e9)).alias("crawl_timestamp"))
+                   (F.lit(1.7e9) + F.col("doc_id").cast("double") / 1000.0).alias("crawl_timestamp"))
     path = scratch_path(spark, "records-json")
     for i in range(copies):
         rec.write.mode("append").json(f"{path}/round={i}")
