@@ -195,10 +195,10 @@ kw AS (SELECT company, list_filter(w, lambda x: length(x) >= 3 AND NOT list_cont
 pr AS (SELECT company, k[i] AS w1, k[i + 1] AS w2 FROM kw, range(1, len(k)) r(i)),
 pc AS (SELECT company, w1, w2, count(*) AS c12 FROM pr GROUP BY 1, 2, 3),
 uses AS (SELECT * FROM ch WHERE kept AND kept_len >= 11),
-sc AS (SELECT pc.company, w1, w2, c12::DOUBLE AS c12, u1.n::DOUBLE AS c1, u2.n::DOUBLE AS c2,
-              u1.n_kept::DOUBLE AS nw
-       FROM pc JOIN uses u1 ON pc.company = u1.company AND pc.w1 = u1.word
-               JOIN uses u2 ON pc.company = u2.company AND pc.w2 = u2.word),
+s1 AS MATERIALIZED (SELECT pc.company, w1, w2, c12, u1.n AS c1, u1.n_kept AS nw
+                   FROM pc JOIN uses u1 ON pc.company = u1.company AND pc.w1 = u1.word),
+sc AS (SELECT s1.company, w1, w2, c12::DOUBLE AS c12, c1::DOUBLE AS c1, u2.n::DOUBLE AS c2, nw::DOUBLE AS nw
+       FROM s1 JOIN uses u2 ON s1.company = u2.company AND s1.w2 = u2.word),
 sc2 AS (SELECT *, CASE WHEN nw <= c1 OR nw <= c2 THEN 0.0 ELSE -2 * (
           {_ll('c12', 'c1', 'c2 / nw')} + {_ll('c2 - c12', 'nw - c1', 'c2 / nw')}
           - {_ll('c12', 'c1', 'c12 / c1')} - {_ll('c2 - c12', 'nw - c1', '(c2 - c12) / (nw - c1)')}) END AS score
