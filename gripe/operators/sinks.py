@@ -38,11 +38,12 @@ def key_column(df: DataFrame, key: "str | Column", hashed: bool = False) -> Colu
 
 
 def upsert_new(batch: DataFrame, target: str, key: str, order_col: str | None = None, hashed_key: bool = False,
-               buckets: int = 64) -> int | None:
+               buckets: int = 64, cache: bool = True) -> int | None:
     """Append the rows of ``batch`` whose key is not yet in ``target``.
 
     ``hashed_key`` stores SHA-256 of the key (for long text keys).  Within
     the batch the smallest ``order_col`` wins per key (any row if None).
+    ``cache=False`` when the caller already keeps ``batch`` (``foreachBatch``).
     Returns nothing; the write is one Spark job with an atomic commit.
     """
     spark = batch.sparkSession
@@ -53,7 +54,8 @@ def upsert_new(batch: DataFrame, target: str, key: str, order_col: str | None =
         b = b.join(keep, on=["_key", order_col], how="left_semi")
     b = b.dropDuplicates(["_key"]).withColumn(BUCKET, F.pmod(F.xxhash64("_key"), F.lit(buckets)).cast("int"))
     # the batch is read up to three times below; keep it (recomputed from lineage if an executor is lost)
-    b = b.persist(StorageLevel.MEMORY_AND_DISK)
+    if cache:
+        b = b.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         out = b
         if _exists(spark, target):
@@ -65,7 +67,8 @@ def upsert_new(batch: DataFrame, target: str, key: str, order_col: str | None =
             out = b.join(existing, on=[BUCKET, "_key"], how="left_anti")
         out.write.mode("append").partitionBy(BUCKET).parquet(target)
     finally:
-        b.unpersist()
+        if cache:
+            b.unpersist()
     return None
 
 

@@ -16,8 +16,13 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # text rows carry long strings and token arrays: build cached column batches
+    # of 1,000 rows (default 10,000) so a cached batch fits in a task's memory
+    "spark.sql.inMemoryColumnarStorage.batchSize": "1000",
 }
 
+CACHE_BATCH_ROWS = 1000
+
 
 def get_spark(app: str = "gripe", master: str | None = None, shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
@@ -54,6 +59,7 @@ def cluster_conf(input_bytes: int, shuffle_partition_bytes: int = 1 << 30, split
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{max(split_bytes, 256 << 20) >> 20}m",
         "spark.sql.files.maxPartitionBytes": f"{split_bytes >> 20}m",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.inMemoryColumnarStorage.batchSize": str(CACHE_BATCH_ROWS),
     }
 
 

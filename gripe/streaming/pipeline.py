@@ -21,6 +21,7 @@ from .. import lexicons as L
 from .. import schemas
 from ..functions import jsonio as JS
 from ..operators import sinks as SK
+from ..session import CACHE_BATCH_ROWS
 from ..sources import complaints as CP
 
 
@@ -63,13 +64,18 @@ def idempotent_batch(target: str, key: str = "link", quarantine: str | None = No
         raise ValueError("on_error must be 'raise' or 'skip'")
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        conf = batch.sparkSession.conf
+        key_ = "spark.sql.inMemoryColumnarStorage.batchSize"
+        if int(conf.get(key_, "10000")) > CACHE_BATCH_ROWS:
+            # a batch of long texts with token arrays: small cached column batches
+            conf.set(key_, str(CACHE_BATCH_ROWS))
         b = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if quarantine:
                 bad = b.filter(~F.col("decoded")).select("raw_value", F.lit(batch_id).alias("batch_id"))
                 bad.write.mode("append").parquet(quarantine)
             good = b.filter(F.col("decoded")).select(*[c for c in STORE_COLUMNS if c in b.columns])
-            SK.upsert_new(good, target, key, order_col=None, hashed_key=hashed_key)
+            SK.upsert_new(good, target, key, order_col=None, hashed_key=hashed_key, cache=False)
             for sink in extra_sinks or []:
                 sink(good, batch_id)
         except Exception as e:  # noqa: BLE001
