@@ -73,7 +73,8 @@ def idempotent_batch(target: str, key: str = "link", quarantine: str | None = No
         try:
             if quarantine:
                 bad = b.filter(~F.col("decoded")).select("raw_value", F.lit(batch_id).alias("batch_id"))
-                bad.write.mode("append").parquet(quarantine)
+                if not bad.isEmpty():  # no empty files per micro-batch in the quarantine table
+                    bad.write.mode("append").parquet(quarantine)
             good = b.filter(F.col("decoded")).select(*[c for c in STORE_COLUMNS if c in b.columns])
             SK.upsert_new(good, target, key, order_col=None, hashed_key=hashed_key, cache=False)
             for sink in extra_sinks or []:
