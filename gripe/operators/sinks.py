@@ -65,7 +65,9 @@ def upsert_new(batch: DataFrame, target: str, key: str, order_col: str | None =
             stored = spark.read.parquet(target).select(BUCKET, "_key").filter(F.col(BUCKET).isin(touched))
             existing = stored.join(keys, on=[BUCKET, "_key"], how="left_semi")
             out = b.join(existing, on=[BUCKET, "_key"], how="left_anti")
-        out.write.mode("append").partitionBy(BUCKET).parquet(target)
+        # rebalance by bucket: AQE merges small and splits large partitions, so a
+        # micro-batch writes few files per bucket and a bulk load still spreads out
+        out.hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(target)
     finally:
         if cache:
             b.unpersist()
