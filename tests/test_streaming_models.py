@@ -189,3 +189,24 @@ def test_binary_queue_value_decodes(spark):
     good = {r.link: r.sentiment for r in out if r.decoded}
     assert good == {"https://x.com/1": "NEGATIF", "https://x.com/2": "POZITIF", "https://x.com/3": "NOTR (TALEP)"}
     assert sum(1 for r in out if not r.decoded) == 1
+
+
+def test_store_write_layout(spark):
+    """One file per key bucket from a small insert; no quarantine output without bad records."""
+    import glob
+
+    base = tempfile.mkdtemp(prefix="gripe-layout-")
+    target = os.path.join(base, "t")
+    df = spark.range(500).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("link")).repartition(8)
+    SK.upsert_new(df, target, "link", buckets=16)
+    buckets = glob.glob(target + "/key_bucket=*")
+    assert len(buckets) == 16
+    assert all(len(glob.glob(b + "/*.parquet")) == 1 for b in buckets)
+
+    src, quar = os.path.join(base, "src"), os.path.join(base, "quar")
+    os.makedirs(src)
+    _write(src, "a.json", [json.dumps(RECORDS[0])], 1_000_000)
+    q = PL.start_pipeline(PL.process(PL.read_json_files(spark, src), L.REFERENCE), os.path.join(base, "s"),
+                          os.path.join(base, "ck"), quarantine=quar, trigger={"availableNow": True})
+    q.awaitTermination()
+    assert not os.path.exists(quar)
