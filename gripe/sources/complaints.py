@@ -18,8 +18,12 @@ def ensure_parallelism(df: DataFrame, factor: int = 1) -> DataFrame:
     on a few cores only.  On large inputs the scan already has far more
     splits than cores and nothing changes (no shuffle is added).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism * factor
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism * factor
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the plan as is
+        return df
+    return df.repartition(cores) if parts < cores else df
 
 
 def documents_as_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
