@@ -347,10 +347,14 @@ def q_topic_terms(spark, sf):
     return TP.topic_terms(model, vocab, 10)
 
 
-def _forest(spark, sf):
+def _features(spark, sf):
     st, vocab, cv, model = _topics(spark, sf)
     t = TP.assign_topics(st, cv, model, "cleaned", LEX.analysis_stop)
-    f = CH.churn_features(t, LEX, topic="topic")
+    return CH.churn_features(t, LEX, topic="topic")
+
+
+def _forest(spark, sf):
+    f = _features(spark, sf)
     train, test = CH.hash_split(f, "link", 20)
     rf = CH.fit_forest(train)
     return f, test, rf
@@ -366,6 +370,17 @@ def q_rf_metrics(spark, sf):
     return CH.binary_metrics(rf.transform(test), "churn_label", "prediction")
 
 
+def q_rf_quality_metrics(spark, sf):
+    """The same forest features against a given label: the ``quality`` flag of ``labels``,
+    joined on doc_id (only labelled documents; AQE picks the join from measured sizes)."""
+    f = _features(spark, sf)
+    lab = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", F.col("quality").alias("quality_label"))
+    j = f.join(lab, "doc_id")
+    train, test = CH.hash_split(j, "link", 20)
+    rf = CH.fit_forest(train, label="quality_label")
+    return CH.binary_metrics(rf.transform(test), "quality_label", "prediction")
+
+
 # --- sinks and streaming -----------------------------------------------------
 
 def _records_json(spark, sf, copies: int = 1) -> str:
@@ -507,6 +522,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topic_terms": q_topic_terms,
     "rf_risk_summary": q_rf_risk_summary,
     "rf_metrics": q_rf_metrics,
+    "rf_quality_metrics": q_rf_quality_metrics,
     "stream_clean_sentiment": q_stream_clean_sentiment,
     "stream_idempotent_sink": q_stream_idempotent_sink,
     "stream_watermark_dedup": q_stream_watermark_dedup,

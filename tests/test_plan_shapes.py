@@ -8,7 +8,8 @@ from gripe.plans.queries import QUERIES
 from .conftest import SF001
 
 # model queries fit LDA / forests when called; their plans are MLlib's
-MODEL = {"lda_topic_share", "lda_company_crosstab", "topic_terms", "rf_risk_summary", "rf_metrics"}
+MODEL = {"lda_topic_share", "lda_company_crosstab", "topic_terms", "rf_risk_summary", "rf_metrics",
+         "rf_quality_metrics"}
 FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct", "BroadcastNestedLoopJoin"]
 
 
