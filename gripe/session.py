@@ -82,8 +82,9 @@ def size_session(spark: SparkSession, path: str) -> dict:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when nothing is configured (local tests) a
-    folder under the system temp dir is created and registered.
+    Read from the session.  Only a local master may do without (tests): a
+    folder under the system temp dir is then created and registered.  On a
+    cluster a machine-local folder would lose data, so that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -91,6 +92,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="gripe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
