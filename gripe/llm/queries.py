@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, exact_dedup, hilbert, mixing, simhash
+from . import embedding_dedup, exact_dedup, hilbert, language_id, mixing, packing, simhash
 from .common import table
 
 
@@ -18,6 +18,13 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.filter(~language_id.held_out("doc_id")))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dedup(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -26,13 +33,18 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op10_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.hilbert_shards(table(spark, sf_dir, "documents")).drop("cell")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_embedding_near_dedup, op3_exact_dedup, op5_simhash_near_dedup, op7_source_mixing, op10_hilbert_sharding)
+        op1_embedding_near_dedup, op3_exact_dedup, op4_language_id, op5_simhash_near_dedup, op7_source_mixing,
+        op9_best_fit_packing, op10_hilbert_sharding)
 }
 
 ORACLE_SQL: dict[str, str] = {
