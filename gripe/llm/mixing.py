@@ -89,23 +89,43 @@ def _thresholds(sizes: DataFrame, goal: DataFrame) -> DataFrame:
     return out
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, repeats, taken``.
-
-    ``repeats`` is how often the mix takes the document, ``taken`` = size * repeats."""
+def source_plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple,
+                max_repeats: int) -> tuple[DataFrame, DataFrame]:
+    """The sizes of all documents, and ``k, source_size, target, full, thr`` of every source (written tables)."""
     sizes = stage_table(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
         null_key(F.col(source_col)).alias("k"), word_count(text_col).alias("size"), id_hash(id_col).alias("hash")),
         "mix-sizes")
     goal = stage_table(targets(sizes, weights, max_repeats), "mix-goal")
-    per_source = stage_table(goal.drop("source").join(_thresholds(sizes, goal), "k"), "mix-plan")
+    return sizes, stage_table(goal.drop("source").join(_thresholds(sizes, goal), "k"), "mix-plan")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        weights: tuple = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """One row per document: ``doc_id, source, size, source_size, target, repeats, taken``.
+
+    ``repeats`` is how often the mix takes the document, ``taken`` = size * repeats."""
+    sizes, per_source = source_plan(docs, id_col, text_col, source_col, weights, max_repeats)
     repeats = F.col("full") + (F.col("hash") < F.col("thr")).cast("long")
     return (sizes.join(per_source, "k").withColumn("repeats", repeats)
             .select("doc_id", "source", "size", "source_size", "target", "repeats",
                     (F.col("size") * F.col("repeats")).alias("taken")))
 
 
+def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+              weights: tuple = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it, with all their columns.
+
+    The thresholds hold for a source's ids, so the rows are filtered in one scan
+    against one row per source; no text is shuffled by document."""
+    rows = docs.withColumn("_k", null_key(F.col(source_col))).withColumn("_hash", id_hash(id_col))
+    repeats = F.col("full") + (F.col("_hash") < F.col("thr")).cast("long")
+    per_source = source_plan(docs, id_col, text_col, source_col, weights, max_repeats)[1]
+    taken = rows.join(per_source.select(F.col("k").alias("_k"), "full", "thr"), "_k").withColumn("_n", repeats)
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_copy")
+    return taken.filter("_n > 0").select(*docs.columns, each).select(*docs.columns)
+
+
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,

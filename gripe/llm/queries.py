@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, exact_dedup, hilbert, language_id, mixing, packing, simhash
+from . import embedding_dedup, exact_dedup, hilbert, html_extract, language_id, mixing, packing, simhash, url_filter
 from .common import table
 
 
@@ -14,6 +14,13 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_near_dedup(table(spark, sf_dir, "embeddings"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    bayes = url_filter.fit()
+    words = url_filter.dictionary(url_filter.title_words(pages), bayes)
+    return url_filter.judge(pages, words, bayes)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -29,6 +36,10 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dedup(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -43,8 +54,8 @@ def op10_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_embedding_near_dedup, op3_exact_dedup, op4_language_id, op5_simhash_near_dedup, op7_source_mixing,
-        op9_best_fit_packing, op10_hilbert_sharding)
+        op1_embedding_near_dedup, op2_url_filter, op3_exact_dedup, op4_language_id, op5_simhash_near_dedup,
+        op6_html_extract, op7_source_mixing, op9_best_fit_packing, op10_hilbert_sharding)
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -56,15 +56,29 @@ def fingerprint(data: bytes, shingle: int = SHINGLE, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed long) of every row."""
+    """``doc_id, text_hash, fp`` (the fingerprint as a signed long) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = [fingerprint(x.as_buffer().to_pybytes() if x.is_valid else b"", shingle) for x in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(fp, dtype=np.uint64).view(np.int64))],
-                                             ["doc_id", "fp"])
+            fp = [fingerprint(x.as_buffer().to_pybytes() if x.is_valid else b"", shingle) for x in b.column(2)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(np.array(fp, dtype=np.uint64).view(np.int64))],
+                                             ["doc_id", "text_hash", "fp"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(text_or_empty(text_col), "UTF-8").alias("text"))
-    return src.mapInArrow(run, "doc_id long, fp long")
+    text = text_or_empty(text_col)
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
+                      F.encode(text, "UTF-8").alias("text"))
+    return src.mapInArrow(run, "doc_id long, text_hash long, fp long")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+               radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their component, with all their columns.
+
+    A row is found again by its id and the hash of its text.  Rows whose id is
+    null stay when no row of their component has an id."""
+    found = simhash_near_dedup(docs, id_col, text_col, shingle, radius)
+    go = stage_table(found.filter("NOT kept").select("doc_id", "text_hash").distinct(), "simhash-go")
+    same = docs[id_col].eqNullSafe(go["doc_id"]) & (F.xxhash64(text_or_empty(docs[text_col])) == go["text_hash"])
+    return docs.join(go, same, "left_anti")
 
 
 def _near_tiles(radius: int) -> list[tuple[int, ...]]:
@@ -124,7 +138,7 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) ->
 
 def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                        radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """``doc_id, fingerprint, component_id, kept`` for every row of ``docs``."""
+    """``doc_id, fingerprint, component_id, kept, text_hash`` for every row of ``docs``."""
     fps = stage_table(fingerprints(docs, id_col, text_col, shingle), "simhash-fps")
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     nodes = stage_table(nodes, "simhash-nodes")
@@ -135,4 +149,4 @@ def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = stage_table(at.join(first, "component").select("fp", "component_id"), "simhash-classes")
     return fps.join(classes, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash")
