@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +17,28 @@ from ..session import scratch_path
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()  # applications whose Python workers know this package
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package (Spark's file server hands it out), once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="gripe-"), "gripe_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -23,6 +48,7 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: a lost executor costs the re-read of a file, not a
     recomputation.  The folder is shared, so every executor can read it."""
     spark = df.sparkSession
+    ship(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

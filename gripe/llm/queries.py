@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, exact_dedup, hilbert, html_extract, language_id, mixing, packing, simhash, url_filter
+from . import embedding_dedup, exact_dedup, hilbert, html_extract, language_id, mixing, packing, simhash, suffix_dedup, url_filter
 from .common import table
 
 
@@ -44,6 +44,10 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), digest=True)
 
@@ -55,7 +59,8 @@ def op10_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_embedding_near_dedup, op2_url_filter, op3_exact_dedup, op4_language_id, op5_simhash_near_dedup,
-        op6_html_extract, op7_source_mixing, op9_best_fit_packing, op10_hilbert_sharding)
+        op6_html_extract, op7_source_mixing,
+        op8_suffix_dedup, op9_best_fit_packing, op10_hilbert_sharding)
 }
 
 ORACLE_SQL: dict[str, str] = {
