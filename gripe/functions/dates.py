@@ -36,8 +36,3 @@ def month_to_tr(c: "Column | str", months: Sequence[tuple[str, str]] = L.MONTHS_
     for en, tr in months:
         out = F.regexp_replace(out, rf"\b{en}\b", tr)
     return out
-
-
-def stamp(df, col: str = "processed_at"):
-    """Processing timestamp column."""
-    return df.withColumn(col, F.current_timestamp())

@@ -31,11 +31,6 @@ def risk_bin(score: "Column | str", edges: Sequence[float] = L.RISK_BIN_EDGES,
     return expr
 
 
-def risk_rank(label: "Column | str", labels: Sequence[str] = L.RISK_LABELS) -> Column:
-    """1-based position of a label in the fixed category order (K4)."""
-    return F.array_position(F.array(*[F.lit(x) for x in labels]), _col(label)).cast("int")
-
-
 def churn_label(crit_hits: "Column | str", weight: "Column | str") -> Column:
     """1 when crit ≥ 1 and weight ≥ 2, else 0 (P5)."""
     return F.when((_col(crit_hits) >= 1) & (_col(weight) >= 2), F.lit(1)).otherwise(F.lit(0))

@@ -72,11 +72,7 @@ def sentiment(text: "Column | str", lexicon: L.Lexicon = L.REFERENCE) -> Column:
     m = F.lower(t)
     score = lexicon_score(m, lexicon.negative, lexicon.positive)
     req = any_hit(m, lexicon.request)
-    return (F.when(t.isNull() | (t == ""), F.lit(L.NEUTRAL))
-            .when(req & (score > -4) & (score < 4), F.lit(L.REQUEST))
-            .when(score <= -2, F.lit(L.NEGATIVE))
-            .when(score >= 2, F.lit(L.POSITIVE))
-            .otherwise(F.lit(L.NEUTRAL)))
+    return sentiment_label(t, score, req)
 
 
 def map_default(c: "Column | str", mapping: Mapping, default=None) -> Column:

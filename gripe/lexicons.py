@@ -96,6 +96,12 @@ PAGE_JUNK = ["...", "Devamını oku", "Küçült", "Tümünü gör", "Daha az g
 # Corporate-reply markers: when present, only paragraph text is kept.
 CORPORATE_MARKERS = ["Değerli Müşterimiz", "Vodafone Memnuniyet Merkezi"]
 
+# Page marks the crawl looks for (fixed values).
+PARAGRAPH_CLASS = "wrap-anywhere"
+SHARE_CLASS = "selection-share"
+DATE_ATTRIBUTE = "data-base-ui-click-trigger"
+DATE_CLASS = "text-zinc-500"
+
 # Crawl targets: company -> listing URL, and the category crawl.
 CRAWL_TARGETS = [
     ("VODAFONE", "https://www.sikayetvar.com/vodafone"),

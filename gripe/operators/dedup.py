@@ -24,31 +24,29 @@ def content_key(c: "Column | str") -> Column:
     return F.unhex(F.sha2(col, 256))
 
 
-def drop_null_text(df: DataFrame, col: str = "cleaned") -> DataFrame:
-    """Drop rows whose text is null; the empty string stays."""
-    return df.filter(F.col(col).isNotNull())
-
-
-def dedup_text(df: DataFrame, col: str = "cleaned", order_col: "str | list[str]" = "doc_id") -> DataFrame:
-    """Null texts dropped, then one row per distinct text: the smallest ``order_col`` (A1).
+def dedup_text(df: DataFrame, col: str = "cleaned", order_col: "str | list[str]" = "doc_id",
+               carry: "list[str] | None" = None) -> DataFrame:
+    """Null texts dropped (P3; the empty string stays), then one row per distinct text: the smallest ``order_col`` (A1).
 
     ``order_col`` may be a list (e.g. ``["crawled_at", "link"]``: earliest
     crawl, then smallest link); the remaining columns break any tie.
+    ``carry`` names the columns to return (default all): only they travel
+    through the shuffle, so a count per company does not move the texts.
 
     One pass: rows are grouped by the 32-byte content key and the row with
     the smallest ``order_col`` is kept as ``min(struct(order_col, ...))``.
     The partial (map-side) aggregate keeps one row per key per task, so a
     text repeated in a third of all rows is collapsed before the shuffle.
-    The null-text group is removed after the aggregate through the kept
-    row's text: a filter on the aggregate result cannot be pushed below it,
-    while one on the key would be pushed into the scan and evaluate the
-    cleaning expression a second time.
+    The null-text group is removed after the aggregate through a flag in the
+    kept row: a filter on the key would be pushed into the scan and evaluate
+    the cleaning expression a second time.
     """
     order = [order_col] if isinstance(order_col, str) else list(order_col)
-    others = [c for c in df.columns if c not in order]
-    k = df.select(content_key(col).alias("_k"), F.struct(*order, *others).alias("_r"))
+    out = df.columns if carry is None else carry
+    others = [c for c in out if c not in order]
+    k = df.select(content_key(col).alias("_k"), F.struct(*order, *others, F.col(col).isNull().alias("_null")).alias("_r"))
     best = k.groupBy("_k").agg(F.min("_r").alias("_r"))
-    return best.filter(F.col(f"_r.{col}").isNotNull()).select(*[F.col(f"_r.{c}").alias(c) for c in df.columns])
+    return best.filter("NOT _r._null").select(*[F.col(f"_r.{c}").alias(c) for c in out])
 
 
 def row_counts(df: DataFrame, distinct_col: str = "cleaned") -> DataFrame:

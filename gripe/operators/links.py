@@ -3,7 +3,7 @@ round summaries and the low-yield stop (P7, J1, U1, U2, X7, T9)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import lexicons as L
@@ -34,33 +34,31 @@ def round_summary(links: DataFrame, seen: DataFrame, page: str = "page_id", key:
     ``links`` must carry an ``admitted`` boolean.  Within-round repeats count
     on every page, as in the original crawl loop.
     """
-    s = seen.select(key).filter(F.col(key).isNotNull()).dropDuplicates([key]).withColumn("_seen", F.lit(True))
-    j = links.join(s, on=key, how="left")
+    # one row per (page, link) before the join, so a link that stands on every page is not one task's work
+    per = links.groupBy(page, key, "admitted").agg(F.count(F.lit(1)).alias("_n"))
+    known = seen.select(key).filter(F.col(key).isNotNull()).dropDuplicates([key])
+    fresh = per.filter("admitted").select(key).dropDuplicates([key]).join(known, on=key, how="left_anti")
+    j = per.join(fresh.withColumn("_fresh", F.lit(True)), on=key, how="left")
     return j.groupBy(page).agg(
-        F.count(F.lit(1)).alias("n_links"),
-        F.sum(F.col("admitted").cast("long")).alias("n_admitted"),
-        F.sum((F.col("admitted") & F.col("_seen").isNull()).cast("long")).alias("n_new"))
+        F.sum("_n").alias("n_links"),
+        F.sum(F.when(F.col("admitted"), F.col("_n")).otherwise(0)).alias("n_admitted"),
+        F.sum(F.when(F.col("admitted") & F.col("_fresh"), F.col("_n")).otherwise(0)).alias("n_new"))
 
 
 def low_yield_stop(log: DataFrame, site: str = "site", page: str = "page_no", new: str = "n_new",
                    after: int = 10, run: int = 10) -> DataFrame:
-    """First page where the crawl of a site stops: page > ``after`` with the
-    last ``run`` pages (this one included) all without new links (T9).
+    """First page where the crawl of a site stops: page > ``after`` and the
+    last ``run`` crawled pages (this one included) all without new links (T9).
 
-    ``log`` has one row per crawled (site, page_no) with dense page numbers.
-    Written as joins instead of a per-site window, so a site with a third of
-    all pages is still split across tasks: each page with new links blocks
-    itself and the next ``run - 1`` pages; a candidate page is an unblocked
-    page whose run start (page - run + 1) was crawled.  Output: (site,
+    ``log`` has one row per crawled (site, page_no).  A page that was not
+    crawled neither counts as empty nor ends a run, as in the crawl loop.  Page
+    numbers of a site are bounded by the crawl limit, so the windows per site
+    are; the log is pre-aggregated to one narrow row per page.  Output: (site,
     n_pages, stop_page) with stop_page null when the crawl ran to its end.
     """
-    pages = log.select(site, page, new)
-    blocked = (pages.filter(F.col(new) > 0)
-               .select(site, F.explode(F.sequence(F.col(page), F.col(page) + (run - 1))).alias(page))
-               .dropDuplicates([site, page]))
-    cand = (pages.filter(F.col(page) > after).select(site, page)
-            .join(blocked, on=[site, page], how="left_anti")
-            .join(pages.select(site, (F.col(page) + (run - 1)).alias(page)), on=[site, page], how="left_semi"))
-    stops = cand.groupBy(site).agg(F.min(page).alias("stop_page"))
-    totals = pages.groupBy(site).agg(F.count(F.lit(1)).alias("n_pages"))
-    return totals.join(stops, on=site, how="left")
+    w = Window.partitionBy(site).orderBy(page)
+    last = w.rowsBetween(-(run - 1), 0)
+    pages = log.select(site, page, F.col(new).alias("_new")).withColumn(
+        "_stop", (F.col(page) > after) & (F.count(F.lit(1)).over(last) == run) & (F.max("_new").over(last) == 0))
+    return pages.groupBy(site).agg(F.count(F.lit(1)).alias("n_pages"),
+                                   F.min(F.when(F.col("_stop"), F.col(page))).alias("stop_page"))

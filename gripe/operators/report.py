@@ -28,13 +28,16 @@ def company_volume(df: DataFrame, by: str = "company") -> DataFrame:
             .orderBy(F.desc("n"), F.asc(by)))
 
 
-def category_counts(df: DataFrame, col: str, labels: Sequence, dtype: T.DataType = T.StringType()) -> DataFrame:
+def category_counts(df: DataFrame, col: str, labels: Sequence, dtype: T.DataType = T.StringType(),
+                    n: str | None = None) -> DataFrame:
     """Counts in the fixed category order; a missing category shows 0.
 
+    ``n``: a column of counts when ``df`` is already aggregated.
+
     The category table has ``len(labels)`` rows, so broadcasting it is safe.
     """
     spark = df.sparkSession
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(col).agg((F.sum(n) if n else F.count(F.lit(1))).alias("n"))
     cats = _categories(spark, col, labels, dtype)
     return (F.broadcast(cats).join(counts, on=col, how="left")
             .select(col, F.coalesce("n", F.lit(0)).cast("long").alias("n"), "_ord")
@@ -50,12 +53,16 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def share_of_total(counts: DataFrame, count_col: str = "n", digits: int | None = None) -> DataFrame:
     """Percent of the total per row.
 
-    Meant for already aggregated category tables (a handful of rows): the
-    un-partitioned window moves them to one task, which is bounded by the
-    number of categories.
-    """
-    total = F.sum(count_col).over(Window.partitionBy())
-    pct = F.col(count_col) * 100.0 / total
+    Meant for category tables (a handful of rows): the un-partitioned window
+    moves them to one task, which is bounded by the number of categories."""
+    pct = F.col(count_col) * 100.0 / F.sum(count_col).over(Window.partitionBy())
+    return counts.withColumn("pct", round2(pct, digits) if digits is not None else pct)
+
+
+def share_of_rows(counts: DataFrame, count_col: str = "n", digits: int | None = None) -> DataFrame:
+    """The same for tables with a row per company: the total is a one-row aggregate (a scalar subquery), so the
+    rows stay where they are."""
+    pct = F.col(count_col) * 100.0 / counts.agg(F.sum(count_col)).scalar()
     return counts.withColumn("pct", round2(pct, digits) if digits is not None else pct)
 
 

@@ -1,13 +1,15 @@
 """Idempotent "skip duplicates" insert and report sinks.
 
-The store is a Parquet table partitioned by ``key_bucket`` (a hash bucket
-of the unique key).  An insert first keeps one row per key inside the
-batch, then finds which of the batch keys already exist by a semi-join of
-the store against the batch keys.  The store scan is pruned to the buckets
-the batch touches (their ids, at most ``buckets`` values, become a
-partition filter), and only the matching keys come back, so the anti-join
-that follows is against a batch-sized table.
-Re-running the same batch after a failure inserts nothing twice.
+The store is a Parquet table in parts.  A part is named by a value that every
+delivery of a record shares: the crawl day of a streamed record, or a hash
+bucket of the key for batch inserts without a time.  An insert reads the keys
+of the parts its rows fall into and of no others (their folders are read
+directly; the store is neither listed nor scanned), keeps one row per key, and
+appends the rows whose key is not there yet.  Re-running a batch after a
+failure inserts nothing twice.
+
+A key that was crawled again on another day is a new version in another part;
+:func:`read_store` with ``key`` keeps the earliest of them.
 """
 
 from __future__ import annotations
@@ -17,19 +19,12 @@ import os
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
+from ..session import path_exists
 from .dedup import content_key
 
-BUCKET = "key_bucket"
-
-
-def _exists(spark, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except AnalysisException:
-        return False
+PART = "part"
+BUCKETS = 64
 
 
 def key_column(df: DataFrame, key: "str | Column", hashed: bool = False) -> Column:
@@ -37,58 +32,85 @@ def key_column(df: DataFrame, key: "str | Column", hashed: bool = False) -> Colu
     return content_key(c) if hashed else c
 
 
-def upsert_new(batch: DataFrame, target: str, key: str, order_col: str | None = None, hashed_key: bool = False,
-               buckets: int = 64, cache: bool = True) -> int | None:
-    """Append the rows of ``batch`` whose key is not yet in ``target``.
+def day_part(time: "str | Column") -> Column:
+    """Part of a record by the day of its (crawl) time."""
+    t = F.col(time) if isinstance(time, str) else time
+    return F.coalesce(F.date_format(t, "yyyy-MM-dd"), F.lit("undated"))
+
+
+def first_per_key(df: DataFrame, key: str, order_col: str | None = None) -> DataFrame:
+    """One row per ``key``: the smallest ``order_col``, a null after every value, ties by the other columns.
+
+    A partial aggregate per task, so a key with many copies is collapsed before the shuffle."""
+    rest = [c for c in df.columns if c not in (key, order_col)]
+    order = [F.col(order_col).isNull().alias("_none"), F.col(order_col)] if order_col else []
+    best = df.groupBy(key).agg(F.min(F.struct(*order, *rest)).alias("_r"))
+    return best.select(*[F.col(c) if c == key else F.col(f"_r.{c}").alias(c) for c in df.columns])
 
-    ``hashed_key`` stores SHA-256 of the key (for long text keys).  Within
-    the batch the smallest ``order_col`` wins per key (any row if None).
-    ``cache=False`` when the caller already keeps ``batch`` (``foreachBatch``).
-    Returns nothing; the write is one Spark job with an atomic commit.
+
+def upsert_new(batch: DataFrame, target: str, key: str, order_col: str | None = None, hashed_key: bool = False,
+               part: Column | None = None, buckets: int = BUCKETS, cache: bool = True) -> None:
+    """Append the rows of ``batch`` whose key is not yet in their part of ``target``.
+
+    ``hashed_key`` stores SHA-256 of the key (for long text keys).  Within the
+    batch the smallest ``order_col`` stays per key.  Rows without a key have no
+    place in a store with unique keys: the caller deals with them first (the
+    stream quarantines them).  ``cache=False`` when the caller already keeps
+    ``batch`` (``foreachBatch``).  The write is one Spark job with an atomic commit.
     """
     spark = batch.sparkSession
-    b = batch.withColumn("_key", key_column(batch, key, hashed_key))
-    b = b.filter(F.col("_key").isNotNull())
-    if order_col:
-        keep = b.groupBy("_key").agg(F.min(order_col).alias(order_col))
-        b = b.join(keep, on=["_key", order_col], how="left_semi")
-    b = b.dropDuplicates(["_key"]).withColumn(BUCKET, F.pmod(F.xxhash64("_key"), F.lit(buckets)).cast("int"))
+    b = batch.withColumn("_key", key_column(batch, key, hashed_key)).filter(F.col("_key").isNotNull())
+    place = part if part is not None else F.pmod(F.xxhash64("_key"), F.lit(buckets)).cast("string")
+    b = first_per_key(b.withColumn(PART, place), "_key", order_col)
     # the batch is read up to three times below; keep it (recomputed from lineage if an executor is lost)
-    if cache:
-        b = b.persist(StorageLevel.MEMORY_AND_DISK)
+    b = b.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         out = b
-        if _exists(spark, target):
-            keys = b.select(BUCKET, "_key")
-            # at most ``buckets`` small integers reach the driver: a bounded collect
-            touched = [r[0] for r in keys.select(BUCKET).distinct().collect()]
-            stored = spark.read.parquet(target).select(BUCKET, "_key").filter(F.col(BUCKET).isin(touched))
-            existing = stored.join(keys, on=[BUCKET, "_key"], how="left_semi")
-            out = b.join(existing, on=[BUCKET, "_key"], how="left_anti")
-        # rebalance by bucket: AQE merges small and splits large partitions, so a
-        # micro-batch writes few files per bucket and a bulk load still spreads out
-        out.hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(target)
+        # days or buckets of one batch: a bounded collect
+        touched = [f"{target}/{PART}={r[0]}" for r in b.select(PART).distinct().collect()]
+        there = [p for p in touched if path_exists(spark, p)]
+        if there:
+            kind = b.schema["_key"].dataType.simpleString()
+            stored = (spark.read.schema(f"_key {kind}, {PART} string").option("basePath", target).parquet(*there)
+                      .join(b.select(PART, "_key"), on=[PART, "_key"], how="left_semi"))
+            out = b.join(stored, on=[PART, "_key"], how="left_anti")
+        # rebalance by part: AQE merges small and splits large partitions, so a
+        # micro-batch writes few files per part and a bulk load still spreads out
+        out.hint("rebalance", PART).write.mode("append").partitionBy(PART).parquet(target)
     finally:
-        if cache:
-            b.unpersist()
-    return None
+        b.unpersist()
+
+
+def compact(spark, target: str, part: str, files: int = 1) -> None:
+    """Rewrite one part (a day that is over) into ``files`` files.
 
+    The copy is written beside the store first and then replaces the part, so a
+    failure before that leaves the part as it was."""
+    from ..session import scratch_path
 
-def read_store(spark, target: str) -> DataFrame:
-    """The store without its bookkeeping columns."""
-    return spark.read.parquet(target).drop("_key", BUCKET)
+    here = f"{target}/{PART}={part}"
+    copy = scratch_path(spark, "compact")
+    spark.read.parquet(here).repartition(files).write.parquet(copy)
+    spark.read.parquet(copy).write.mode("overwrite").parquet(here)
+
+
+def read_store(spark, target: str, key: str | None = None, order_col: str | None = None) -> DataFrame:
+    """The store without its bookkeeping columns; with ``key``, one row per key over all parts."""
+    df = spark.read.option("basePath", target).parquet(target)
+    if key:
+        df = first_per_key(df.drop(PART), "_key", order_col)
+    return df.drop("_key", PART)
 
 
 def write_report(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> dict[str, str]:
     """One output per report section.
 
-    Result tables are small and written as one file each; ``scored`` (one
-    row per complaint) keeps its partitioning.
-    """
+    The files of a section are few because AQE merges the small partitions of
+    its last exchange (``rebalance``); no stage is forced into one task."""
     paths = {}
     for name, df in tables.items():
         p = os.path.join(out_dir, name)
-        out = df if name == "scored" else df.coalesce(1)
+        out = df if name == "scored" else df.hint("rebalance")
         if fmt == "csv":
             out = out.select(*[c for c, t in out.dtypes if not t.startswith(("array", "struct", "map"))])
         out.write.mode("overwrite").format(fmt).option("header", True).save(p)

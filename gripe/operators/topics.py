@@ -15,12 +15,13 @@ from .terms import analysis_tokens, lda_vocabulary
 
 
 def fit_topics(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (), k: int = 3, seed: int = 42,
-               min_df: int = 5, vocab_size: int = 1000, max_iter: int = 10, subsampling: float = 0.5,
+               min_df: int = 5, vocab_size: int = 1000, passes: int = 10, updates: int = 20,
                restarts: int = 1):
     """Online variational LDA over the bounded vocabulary (M5).
 
-    Priors 1/k, learning decay 0.7, offset 10 as in the original; larger
-    mini-batches (``subsampling``) keep the number of Spark jobs small.  The
+    Priors 1/k, learning decay 0.7, offset 10 and ten ``passes`` over the corpus
+    as in the original.  The passes are made in ``updates`` mini-batches (each
+    a sample of passes / updates of the corpus), one Spark job each.  The
     count vectors are persisted for the iterations (recomputed from lineage
     if an executor is lost).  ``restarts`` > 1 fits with seeds ``seed``,
     ``seed + 1``, ... and keeps the model with the highest log-likelihood on
@@ -37,9 +38,9 @@ def fit_topics(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (), k
     vec = vec.persist(StorageLevel.MEMORY_AND_DISK)
     best, best_ll = None, None
     for s in range(seed, seed + max(1, restarts)):
-        lda = LDA(k=k, seed=s, optimizer="online", maxIter=max_iter, featuresCol="_counts",
+        lda = LDA(k=k, seed=s, optimizer="online", maxIter=updates, featuresCol="_counts",
                   docConcentration=[1.0 / k] * k, topicConcentration=1.0 / k, learningDecay=0.7,
-                  learningOffset=10.0, optimizeDocConcentration=False, subsamplingRate=subsampling,
+                  learningOffset=10.0, optimizeDocConcentration=False, subsamplingRate=min(1.0, passes / updates),
                   topicDistributionCol="_dist")
         model = lda.fit(vec)
         if restarts <= 1:

@@ -42,7 +42,7 @@ def prepare_store(enriched: DataFrame) -> DataFrame:
 
 
 def run_analysis(spark: SparkSession, store: DataFrame, lexicon: L.Lexicon = L.REFERENCE,
-                 lda_iter: int = 10, lda_subsampling: float = 0.5, load_seconds: float = 0.0) -> dict:
+                 lda_passes: int = 10, lda_updates: int = 20, load_seconds: float = 0.0) -> dict:
     """Stages A-E of the report: TF-IDF top terms, topic crosstab, churn model,
     risk summary, alarm count and the throughput figure.  Returns DataFrames
     (small, bounded result tables) and timings."""
@@ -52,8 +52,8 @@ def run_analysis(spark: SparkSession, store: DataFrame, lexicon: L.Lexicon = L.R
     out["tfidf_top5"] = TM.tfidf_by_company(store, "cleaned", lexicon.analysis_stop, 30, 5)
 
     t0 = time.time()
-    vocab, cv, model = TP.fit_topics(store, "cleaned", lexicon.analysis_stop, max_iter=lda_iter,
-                                     subsampling=lda_subsampling)
+    vocab, cv, model = TP.fit_topics(store, "cleaned", lexicon.analysis_stop, passes=lda_passes,
+                                     updates=lda_updates)
     lda_s = time.time() - t0
     topics = materialize(TP.assign_topics(store, cv, model, "cleaned", lexicon.analysis_stop)
                          .drop("topic_dist"), "topics")
@@ -97,21 +97,16 @@ def chart_tables(store: DataFrame, lexicon: L.Lexicon = L.REFERENCE, topics: Dat
     return t
 
 
-def report_rows(tables: dict) -> dict:
-    """Collect the bounded result tables (each has at most a few rows per company).
+def report_rows(tables: dict, max_rows: int = 10_000) -> dict:
+    """Result tables as rows for display: at most ``max_rows`` of each (tables per company can be large; the whole
+    tables are written by ``write_report``).
 
     Keys starting with ``_`` are full-size tables and are left out.
     """
-    return {k: [r.asDict() for r in v.collect()] if isinstance(v, DataFrame) else v for k, v in tables.items()
+    return {k: [r.asDict() for r in v.take(max_rows)] if isinstance(v, DataFrame) else v for k, v in tables.items()
             if not k.startswith("_")}
 
 
-def topics_of(store: DataFrame, lexicon: L.Lexicon = L.REFERENCE) -> DataFrame:
-    vocab, cv, model = TP.fit_topics(store, "cleaned", lexicon.analysis_stop)
-    return TP.assign_topics(store, cv, model, "cleaned", lexicon.analysis_stop).select(
-        *store.columns, F.col("topic"))
-
-
 def run_job(spark: SparkSession, store_path: str, out_dir: str, lexicon: L.Lexicon = L.REFERENCE,
             fmt: str = "parquet") -> dict:
     """The periodic batch job (T8): store scan → dedup → report + chart tables → one output per table.

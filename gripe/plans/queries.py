@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import lexicons as L
+from ..functions import scoring as SC
 from ..functions import sentiment as S
 from ..functions import text as TX
 from ..functions import dates as DT
@@ -26,6 +27,7 @@ from ..operators import report as RP
 from ..operators import terms as TM
 from ..sources import complaints as CP
 from ..sources import pages as PG
+from . import analysis as AN
 
 LEX = L.FIXTURE
 R6 = 6  # float results are compared at 6 decimals
@@ -36,12 +38,15 @@ def enriched(spark: SparkSession, sf_dir: str, lexicon: L.Lexicon = LEX) -> Data
     return CP.enrich(CP.documents_as_complaints(spark, sf_dir), lexicon)
 
 
-def store(spark: SparkSession, sf_dir: str, lexicon: L.Lexicon = LEX) -> DataFrame:
+def store(spark: SparkSession, sf_dir: str, lexicon: L.Lexicon = LEX, carry: "list[str] | None" = None) -> DataFrame:
     """The analysis input: cleaned records, null texts dropped, one row per cleaned
-    text, then the sentiment (a function of the text, so it is scored once per text)."""
+    text, then the sentiment (a function of the text, so it is scored once per text).
+    ``carry``: only these columns, without text and sentiment."""
     d = CP.documents_as_complaints(spark, sf_dir)
     c = d.select("doc_id", "company", "date", "link",
                  TX.clean_text("content", lexicon.stream_stop).alias("cleaned"))
+    if carry is not None:
+        return DD.dedup_text(c, "cleaned", "doc_id", carry)
     return S.with_sentiment(DD.dedup_text(c, "cleaned", "doc_id"), "cleaned", lexicon, lowered=True)
 
 
@@ -109,8 +114,9 @@ def q_rule_risk_rows(spark, sf):
 
 
 def q_risk_share(spark, sf):
-    r = risk_store(spark, sf)
-    counts = RP.category_counts(r, "risk_group", L.RISK_LABELS)
+    # at most 101 scores: binning them keeps the aggregate over the rows small enough to compile
+    scores = risk_store(spark, sf).groupBy("rule_risk").agg(F.count(F.lit(1)).alias("n"))
+    counts = RP.category_counts(scores.withColumn("risk_group", SC.risk_bin("rule_risk")), "risk_group", L.RISK_LABELS, n="n")
     return RP.share_of_total(counts).select("risk_group", "n", F.round("pct", R6).alias("pct"))
 
 
@@ -121,7 +127,7 @@ def q_risk_heatmap(spark, sf):
 
 
 def q_company_volume(spark, sf):
-    return RP.company_volume(store(spark, sf))
+    return RP.company_volume(store(spark, sf, carry=["company"]))
 
 
 def q_high_risk_rows(spark, sf):
@@ -153,7 +159,7 @@ def q_churn_label_rate(spark, sf):
 
 
 def q_split_buckets(spark, sf):
-    s = store(spark, sf)
+    s = store(spark, sf, carry=["doc_id", "link"])
     b = CH.split_bucket("link")
     return s.select("doc_id", b.alias("bucket"), (b < 20).alias("is_test"))
 
@@ -214,32 +220,51 @@ def _pages(spark, sf):
     return spark.read.parquet(f"{sf}/pages.parquet")
 
 
+def _page_links(spark, sf):
+    return PG.page_links(_pages(spark, sf), PG.PLAIN_PAGES)
+
+
 def _links(spark, sf):
-    links = PG.page_links(_pages(spark, sf))
     c = F.col("link")
     admitted = c.isNotNull() & c.contains(TEST_DOMAIN) & ~F.trim(c).endswith(L.BAD_LINK_SUFFIX)
-    return links.withColumn("admitted", admitted)
+    return _page_links(spark, sf).withColumn("admitted", admitted)
 
 
 def q_page_main_text(spark, sf):
-    return _pages(spark, sf).select("page_id", PG.main_text("html").alias("content"))
+    return PG.read_pages(_pages(spark, sf), PG.PLAIN_PAGES).select("page_id", PG.main_text(PG.PLAIN_PAGES).alias("content"))
 
 
 def q_page_paragraphs(spark, sf):
-    return _pages(spark, sf).select("page_id", PG.paragraphs(PG.article_html("html")).alias("paragraphs"))
+    return PG.read_pages(_pages(spark, sf), PG.PLAIN_PAGES).select("page_id", PG.paragraphs().alias("paragraphs"))
 
 
 def q_page_links(spark, sf):
-    return PG.page_links(_pages(spark, sf))
+    return _page_links(spark, sf)
+
+
+def q_page_text_marked(spark, sf):
+    """The pages as the company site marks them up: the article's text moved into a marked block, the date into
+    the header, a corporate reply on every third page; extracted with the site's own selectors (X1, X2, X4, P9, P10)."""
+    third = F.when(F.col("page_id") % 3 == 0, F.lit("<p>De&#287;erli M\u00fc\u015fterimiz, yan\u0131t.</p>")).otherwise("")
+    inner = F.regexp_extract("html", r"(?s)<article>(.*?)</article>", 1)
+    body = F.regexp_replace(F.regexp_replace(inner, r"</?b>|<br>", ""), r"(?s)<h1>.*?</h1>", "")
+    marked = F.regexp_replace(body, "<p>", "<p class='x wrap-anywhere'>")
+    day = F.concat((F.col("page_id") % 28 + 1).cast("string"), F.lit("  May&nbsp;10:30"))
+    html = F.concat(F.lit("<html><body><article><header><h2>Title that is long enough to be a text of its own</h2><span "
+                          "data-base-ui-click-trigger aria-label='"), day, F.lit("'>yesterday</span></header>"
+                    "<div class='a selection-share'>"), third, marked, F.lit("</div></article></body></html>"))
+    pages = _pages(spark, sf).select("page_id", "url", html.alias("html"))
+    read = PG.read_pages(pages, PG.CATEGORY_PAGES)
+    return read.select("page_id", PG.main_text(PG.CATEGORY_PAGES).alias("content"), PG.page_date().alias("date"))
 
 
 def q_link_admission(spark, sf):
-    return LK.admit_links(PG.page_links(_pages(spark, sf)), TEST_DOMAIN).select("page_id", "pos", "link")
+    return LK.admit_links(_page_links(spark, sf), TEST_DOMAIN).select("page_id", "pos", "link")
 
 
 def q_new_links_antijoin(spark, sf):
     """Admitted links not among the already crawled pages (the seen set)."""
-    found = LK.admit_links(PG.page_links(_pages(spark, sf)), TEST_DOMAIN).select("link")
+    found = LK.admit_links(_page_links(spark, sf), TEST_DOMAIN).select("link")
     seen = _pages(spark, sf).select(F.col("url").alias("link"))
     return LK.new_links(found, seen)
 
@@ -252,21 +277,17 @@ def q_crawl_round_summary(spark, sf):
 def q_page_records(spark, sf):
     """Pages → crawl records; the date falls back to a fixed crawl time (pages carry no date)."""
     now = F.lit("2024-05-05 10:30:00").cast("timestamp")
-    r = PG.extract_records(_pages(spark, sf), now=now)
-    return r.select("link", "company", "date", "content")
+    r = PG.extract_records(_pages(spark, sf), now=now, sel=PG.PLAIN_PAGES)
+    return r.select("link", "company", "date", "content", "crawl_timestamp")
 
 
 def q_crawl_low_yield_stop(spark, sf):
-    """Crawl log per (site, listing page): site := host, page number := the URL's ``page``
-    parameter (1 when absent), new links := admitted links not among crawled pages; then
-    the first page where the crawl of a site stops (T9)."""
-    pages = _pages(spark, sf)
-    seen = pages.select(F.col("url").alias("link"))
-    summary = LK.round_summary(_links(spark, sf), seen)
-    page_no = F.coalesce(F.regexp_extract("url", r"[?&]page=(\d+)", 1).try_cast("int"), F.lit(1))
-    meta = pages.select("page_id", PG.url_parts("url")[1].alias("site"), page_no.alias("page_no"))
-    log = (meta.join(summary, "page_id", "left")
-           .groupBy("site", "page_no").agg(F.coalesce(F.sum("n_new"), F.lit(0)).alias("n_new")))
+    """A crawl log from ``events``: site := user, listing page := hour since the start of 2024 (hours without
+    events are pages never crawled), new links := purchases in that hour; then the page where each site stops (T9)."""
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    hour = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit("2024-01-01 00:00:00").cast("timestamp"))) / F.lit(3_600_000_000)) + 1
+    log = e.groupBy(F.col("user_id").alias("site"), hour.cast("int").alias("page_no")).agg(
+        F.sum((F.col("event_type") == "purchase").cast("long")).alias("n_new"))
     return LK.low_yield_stop(log, "site", "page_no", "n_new")
 
 
@@ -287,14 +308,13 @@ def q_stream_watermark_dedup(spark, sf):
 def q_seen_set_union(spark, sf):
     """The seen set after a round: crawled pages ∪ newly admitted links."""
     seen = _pages(spark, sf).select(F.col("url").alias("link"))
-    found = LK.admit_links(PG.page_links(_pages(spark, sf)), TEST_DOMAIN).select("link")
+    found = LK.admit_links(_page_links(spark, sf), TEST_DOMAIN).select("link")
     return LK.add_seen(seen, LK.new_links(found, seen))
 
 
 def q_formatted_volume(spark, sf):
     """Company volume with display text: thousands separator and percent of all rows."""
-    from ..functions import scoring as SC
-    v = RP.share_of_total(RP.company_volume(store(spark, sf)))
+    v = RP.share_of_rows(RP.company_volume(store(spark, sf, carry=["company"])))
     return v.select("company", SC.fmt_int("n").alias("n_text"), SC.fmt_pct("pct").alias("pct_text"))
 
 
@@ -324,21 +344,26 @@ def q_json_event_props(spark, sf):
 # --- topic model and forest (model results: rows-only checks) ---------------
 
 def _topics(spark, sf):
-    st = store(spark, sf).select("doc_id", "company", "link", "cleaned", "sentiment")
+    """The store written once (every pass of the model reads that table), and the fitted topics."""
+    st = AN.materialize(store(spark, sf).select("doc_id", "company", "link", "cleaned", "sentiment"), "model-store")
     vocab, cv, model = TP.fit_topics(st, "cleaned", LEX.analysis_stop)
     return st, vocab, cv, model
 
 
+def _with_topics(df, cv, model, name):
+    """Rows with their topic, written once for the passes that follow."""
+    return AN.materialize(TP.assign_topics(df, cv, model, "cleaned", LEX.analysis_stop).drop("topic_dist"), name)
+
+
 def q_lda_topic_share(spark, sf):
     st, vocab, cv, model = _topics(spark, sf)
-    t = TP.assign_topics(st, cv, model, "cleaned", LEX.analysis_stop)
-    named = t.withColumn("topic_name", TP.name_topics("topic"))
+    named = _with_topics(st, cv, model, "topics").withColumn("topic_name", TP.name_topics("topic"))
     return RP.share_of_total(RP.value_counts(named, "topic_name"))
 
 
 def q_lda_company_crosstab(spark, sf):
     st, vocab, cv, model = _topics(spark, sf)
-    t = TP.assign_topics(st, cv, model, "cleaned", LEX.analysis_stop)
+    t = _with_topics(st, cv, model, "topics")
     return RP.crosstab_pct(t, "company", "topic", [1, 2, 3], names=["topic_1", "topic_2", "topic_3"], digits=2)
 
 
@@ -347,14 +372,9 @@ def q_topic_terms(spark, sf):
     return TP.topic_terms(model, vocab, 10)
 
 
-def _features(spark, sf):
-    st, vocab, cv, model = _topics(spark, sf)
-    t = TP.assign_topics(st, cv, model, "cleaned", LEX.analysis_stop)
-    return CH.churn_features(t, LEX, topic="topic")
-
-
 def _forest(spark, sf):
-    f = _features(spark, sf)
+    st, vocab, cv, model = _topics(spark, sf)
+    f = CH.churn_features(_with_topics(st, cv, model, "topics"), LEX, topic="topic")
     train, test = CH.hash_split(f, "link", 20)
     rf = CH.fit_forest(train)
     return f, test, rf
@@ -371,27 +391,88 @@ def q_rf_metrics(spark, sf):
 
 
 def q_rf_quality_metrics(spark, sf):
-    """The same forest features against a given label: the ``quality`` flag of ``labels``,
-    joined on doc_id (only labelled documents; AQE picks the join from measured sizes)."""
-    f = _features(spark, sf)
+    """The same forest features against a given label: the ``quality`` flag of ``labels``, joined on doc_id before
+    any de-duplication, so every labelled document counts."""
+    st, vocab, cv, model = _topics(spark, sf)
     lab = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", F.col("quality").alias("quality_label"))
-    j = f.join(lab, "doc_id")
-    train, test = CH.hash_split(j, "link", 20)
+    every = enriched(spark, sf).select("doc_id", "company", "link", "cleaned", "sentiment").join(lab, "doc_id")
+    f = CH.churn_features(_with_topics(every, cv, model, "labelled"), LEX, topic="topic")
+    train, test = CH.hash_split(f, "link", 20)
     rf = CH.fit_forest(train, label="quality_label")
     return CH.binary_metrics(rf.transform(test), "quality_label", "prediction")
 
 
+# --- the same operators on a topic that needs no model ------------------------
+
+def _ruled_topics(spark, sf):
+    """Topic := argmax of (negative, positive, churn-phrase) hits, first on ties."""
+    s = store(spark, sf)
+    dist = F.array(S.count_hits("cleaned", LEX.negative), S.count_hits("cleaned", LEX.positive),
+                   S.count_hits("cleaned", LEX.churn_critical_model)).cast("array<double>")
+    return s.withColumn("topic", SC.dominant_topic(dist))
+
+
+def q_topic_argmax(spark, sf):
+    """Dominant topic and its fixed name."""
+    t = _ruled_topics(spark, sf)
+    return t.select("doc_id", "topic", TP.name_topics("topic").alias("topic_name"))
+
+
+def q_topic_share(spark, sf):
+    """Counts and shares of the named topics, half-even rounding."""
+    named = _ruled_topics(spark, sf).withColumn("topic_name", TP.name_topics("topic"))
+    return RP.share_of_total(RP.value_counts(named, "topic_name"), digits=2)
+
+
+def q_topic_company_crosstab(spark, sf):
+    """Topic shares per company."""
+    return RP.crosstab_pct(_ruled_topics(spark, sf), "company", "topic", [1, 2, 3],
+                           names=["topic_1", "topic_2", "topic_3"], digits=2)
+
+
+def q_churn_features_topic(spark, sf):
+    """Churn features with the topic flags."""
+    f = CH.churn_features(_ruled_topics(spark, sf), LEX, topic="topic")
+    return f.select("doc_id", "topic", "is_billing", "is_infra", "churn_label")
+
+
+def q_report_readback(spark, sf):
+    """Report sections written as CSV and Parquet, then read back."""
+    from ..operators.sinks import write_report
+    from ..session import scratch_path
+    volume = RP.company_volume(store(spark, sf, carry=["company"]))
+    a = write_report({"volume": volume}, scratch_path(spark, "report"), "csv")
+    b = write_report({"volume": volume}, scratch_path(spark, "report"), "parquet")
+    csv = spark.read.option("header", True).schema("company string, n long").csv(a["volume"])
+    return csv.join(spark.read.parquet(b["volume"]).withColumnRenamed("n", "n_parquet"), "company")
+
+
+#: Frequent words of the test texts → words of the original lists.
+TO_TURKISH = (("the", "fatura"), ("and", "iptal"), ("of", "harika"), ("to", "istiyorum"), ("for", "zam"), ("la", "ve"),
+              ("der", "te\u015fekk\u00fcr"), ("is", "g\u00fczel"), ("in", "bir"))
+
+
+def q_turkish_clean_sentiment(spark, sf):
+    """The original lists on texts whose frequent words were exchanged for listed ones (M1, M2)."""
+    d = CP.documents_as_complaints(spark, sf)
+    c = F.col("content")
+    for word, tr in TO_TURKISH:
+        c = F.replace(c, F.lit(f" {word} "), F.lit(f" {tr} "))
+    e = CP.enrich(d.withColumn("content", c), L.REFERENCE)
+    return e.select("doc_id", "cleaned", "sentiment")
+
+
 # --- sinks and streaming -----------------------------------------------------
 
 def _records_json(spark, sf, copies: int = 1) -> str:
     """documents → crawl records as JSON lines in a fresh shared folder
     (``copies`` > 1 writes the same records again as a replay).  Crawl times
-    are 1 ms apart, one crawl round, so a replay stays within the
-    de-duplication watermark at every scale factor."""
+    lie within 50 minutes whatever the number of records, less than the
+    watermark delay of one hour, so no first delivery is ever late."""
     from ..session import scratch_path
     d = CP.documents_as_complaints(spark, sf)
     rec = d.select("company", "date", "link", "content",
-                   (F.lit(1.7e9) + F.col("doc_id").cast("double") / 1000.0).alias("crawl_timestamp"))
+                   (F.lit(1.7e9) + F.pmod("doc_id", F.lit(3_000_000)) / 1000.0).alias("crawl_timestamp"))
     path = scratch_path(spark, "records-json")
     for i in range(copies):
         rec.write.mode("append").json(f"{path}/round={i}")
@@ -441,11 +522,8 @@ def q_csv_roundtrip(spark, sf):
     """documents as records → CSV with header → read back with the declared schema."""
     from ..session import scratch_path
     path = scratch_path(spark, "records-csv")
-    CP.documents_as_complaints(spark, sf).select("company", "date", "link", "content") \
-        .write.option("header", True).option("multiLine", True).csv(path)
-    back = spark.read.option("header", True).option("multiLine", True).schema(
-        "company string, date string, link string, content string").csv(path)
-    return back.select("link", "company", F.char_length("content").alias("n_chars"))
+    CP.write_csv(CP.documents_as_complaints(spark, sf), path)
+    return CP.read_csv(spark, path)
 
 
 def q_history_roundtrip(spark, sf):
@@ -462,11 +540,11 @@ def q_history_roundtrip(spark, sf):
 
 
 def q_store_scan(spark, sf):
-    """The store written as Parquet and scanned back without ``_id``."""
+    """The store written as Parquet and scanned back with the declared columns."""
     from ..session import scratch_path
     path = scratch_path(spark, "store-parquet")
     store(spark, sf).withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
-    return CP.load_complaints(spark, path).select("doc_id", "company", "cleaned", "sentiment")
+    return CP.load_complaints(spark, path).select("link", "company", "cleaned", "sentiment")
 
 
 def q_conversation_sentiment(spark, sf):
@@ -507,6 +585,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "formatted_volume": q_formatted_volume,
     "page_main_text": q_page_main_text,
     "page_paragraphs": q_page_paragraphs,
+    "page_text_marked": q_page_text_marked,
     "page_links": q_page_links,
     "link_admission": q_link_admission,
     "new_links_antijoin": q_new_links_antijoin,
@@ -523,6 +602,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rf_risk_summary": q_rf_risk_summary,
     "rf_metrics": q_rf_metrics,
     "rf_quality_metrics": q_rf_quality_metrics,
+    "topic_argmax": q_topic_argmax,
+    "topic_share": q_topic_share,
+    "topic_company_crosstab": q_topic_company_crosstab,
+    "churn_features_topic": q_churn_features_topic,
+    "report_readback": q_report_readback,
+    "turkish_clean_sentiment": q_turkish_clean_sentiment,
     "stream_clean_sentiment": q_stream_clean_sentiment,
     "stream_idempotent_sink": q_stream_idempotent_sink,
     "stream_watermark_dedup": q_stream_watermark_dedup,

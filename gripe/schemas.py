@@ -21,18 +21,14 @@ STREAM_INPUT = T.StructType([
     T.StructField("crawl_timestamp", T.DoubleType()),
 ])
 
-# Stored complaint (after cleaning + sentiment).
+# What the analysis reads of a stored complaint (after cleaning + sentiment).
 STORE = T.StructType([
-    T.StructField("doc_id", T.LongType()),
     T.StructField("company", T.StringType()),
     T.StructField("date", T.StringType()),
     T.StructField("link", T.StringType()),
-    T.StructField("content", T.StringType()),
     T.StructField("cleaned", T.StringType()),
-    T.StructField("tokens", T.ArrayType(T.StringType())),
-    T.StructField("filtered_tokens", T.ArrayType(T.StringType())),
     T.StructField("sentiment", T.StringType()),
-    T.StructField("processed_at", T.TimestampType()),
+    T.StructField("crawled_at", T.TimestampType()),
 ])
 
 # CSV dataset of complaints (header row).

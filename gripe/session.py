@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -19,6 +20,8 @@ DEFAULT_CONF = {
     # text rows carry long strings and token arrays: build cached column batches
     # of 1,000 rows (default 10,000) so a cached batch fits in a task's memory
     "spark.sql.inMemoryColumnarStorage.batchSize": "1000",
+    # cleaning is CPU-bound: a small file is read in smaller splits (large inputs keep the usual ones)
+    "spark.sql.files.openCostInBytes": "262144",
 }
 
 CACHE_BATCH_ROWS = 1000
@@ -79,6 +82,32 @@ def size_session(spark: SparkSession, path: str) -> dict:
     return conf
 
 
+_SHIPPED: set[str] = set()  # applications whose Python workers know this package
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package (Spark's file server hands it out), once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="gripe-"), "gripe_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file system (any that Spark reads) has ``path``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

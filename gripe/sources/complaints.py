@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import lexicons as L
 from .. import schemas
@@ -11,28 +12,13 @@ from ..functions import sentiment as S
 from ..functions import text as TX
 
 
-def ensure_parallelism(df: DataFrame, factor: int = 1) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    Text cleaning is CPU-bound; a small file with few row groups would run
-    on a few cores only.  On large inputs the scan already has far more
-    splits than cores and nothing changes (no shuffle is added).
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism * factor
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the plan as is
-        return df
-    return df.repartition(cores) if parts < cores else df
-
-
 def documents_as_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map the ``documents`` table onto the complaint record model.
 
     company := source, content := text, link := doc_id as text, date := null.
     Only the four needed columns are read (column pruning reaches the scan).
     """
-    d = ensure_parallelism(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text"))
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     return d.select(
         F.col("doc_id"),
         F.col("source").alias("company"),
@@ -76,11 +62,10 @@ def enrich(df: DataFrame, lexicon: L.Lexicon = L.REFERENCE, content: str = "cont
     return out
 
 
-def load_complaints(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """Full scan of the complaint store (S7); ``None`` when it is empty."""
-    df = spark.read.format(fmt).load(path)
-    if "_id" in df.columns:
-        df = df.drop("_id")
+def load_complaints(spark: SparkSession, path: str, fmt: str = "parquet",
+                    schema: T.StructType = schemas.STORE) -> DataFrame | None:
+    """Scan of the complaint store with the declared columns, no others (S7); ``None`` when it is empty."""
+    df = spark.read.format(fmt).schema(schema).option("recursiveFileLookup", "true").load(path)
     return None if df.isEmpty() else df
 
 
@@ -95,21 +80,45 @@ def append_history(df: DataFrame, path: str) -> None:
     df.select([f.name for f in schemas.CRAWL_RECORD.fields]).write.mode("append").json(path)
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV dataset with a header row and the declared schema."""
-    return spark.read.option("header", True).schema(schemas.COMPLAINT_CSV).csv(path)
+#: Line breaks, backslashes and carriage returns of a text are written as two
+#: characters, so a record is one line and CSV files can still be split.
+_CSV = {"header": True, "quote": '"', "escape": '"', "nullValue": "\\N", "emptyValue": ""}
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV dataset with a header row."""
+    def one_line(c: Column) -> Column:
+        c = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+        return F.replace(F.replace(c, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+    cols = [f.name for f in schemas.COMPLAINT_CSV.fields]
+    df.select(*[one_line(F.col(c)).alias(c) for c in cols]).write.options(
+        **_CSV, quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, escaped: bool = True) -> DataFrame:
+    """CSV dataset with a header row and the declared schema.
+
+    ``escaped=False`` reads files of other writers whose quoted fields span
+    lines (such files cannot be split)."""
+    df = spark.read.options(**_CSV, multiLine=not escaped).schema(schemas.COMPLAINT_CSV).csv(path)
+    if not escaped:
+        return df
+
+    def text(c: str) -> Column:
+        # a pair of backslashes is put aside first, so that backslash + n in the text stays as it was
+        c = F.replace(F.col(c), F.lit("\\\\"), F.lit("\x00"))
+        c = F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+        return F.replace(c, F.lit("\x00"), F.lit("\\"))
+
+    return df.select(*[text(c).alias(c) for c in df.columns])
 
 
 def make_record(df: DataFrame, company: "Column | str", date: "Column | str",
-                link: "Column | str", content: "Column | str") -> DataFrame:
-    """Record constructor with the crawl time in epoch seconds."""
+                link: "Column | str", content: "Column | str", now: "Column | None" = None) -> DataFrame:
+    """Record constructor with the crawl time (default: the current time) in epoch seconds."""
+    at = now if now is not None else F.current_timestamp()
     c = lambda x: F.col(x) if isinstance(x, str) else x
     return df.select(c(company).alias("company"), c(date).alias("date"), c(link).alias("link"),
                      c(content).alias("content"),
-                     (F.unix_micros(F.current_timestamp()) / F.lit(1e6)).alias("crawl_timestamp"))
-
-
-def valid_content(df: DataFrame, content: str = "content") -> DataFrame:
-    """Non-empty content not starting with the error prefix."""
-    c = F.col(content)
-    return df.filter(c.isNotNull() & (c != "") & ~c.startswith(L.ERROR_PREFIX))
+                     (F.unix_micros(at) / F.lit(1e6)).alias("crawl_timestamp"))

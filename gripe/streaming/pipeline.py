@@ -56,12 +56,22 @@ def idempotent_batch(target: str, key: str = "link", quarantine: str | None = No
                      hashed_key: bool = False, on_error: str = "raise") -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: quarantine, skip-duplicates insert, extra sinks.
 
+    Every row of a batch ends in the store, is a duplicate of a stored row, or
+    is in the quarantine: records that do not decode and records without a key
+    go there with their raw text (``<target>_quarantine`` by default).  The
+    quarantine of a batch is its own folder and is overwritten on a retry.
+
     ``on_error="raise"`` (default) fails the query so the checkpoint does not
-    advance and the batch is retried; ``"skip"`` reports the error and lets
-    the stream go on without the batch, as the original cleaner did (S5).
+    advance and the batch is retried; ``"skip"`` puts the whole batch into the
+    quarantine and lets the stream go on (S5).
     """
     if on_error not in ("raise", "skip"):
         raise ValueError("on_error must be 'raise' or 'skip'")
+    rejects = quarantine or target.rstrip("/") + "_quarantine"
+
+    def put_aside(rows: DataFrame, batch_id: int, reason: str) -> None:
+        rows.select("raw_value", F.lit(reason).alias("reason")).write.mode("overwrite").parquet(
+            f"{rejects}/batch_id={batch_id}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         conf = batch.sparkSession.conf
@@ -70,19 +80,20 @@ def idempotent_batch(target: str, key: str = "link", quarantine: str | None = No
             # a batch of long texts with token arrays: small cached column batches
             conf.set(key_, str(CACHE_BATCH_ROWS))
         b = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        usable = F.col("decoded") & F.col(key).isNotNull()
         try:
-            if quarantine:
-                bad = b.filter(~F.col("decoded")).select("raw_value", F.lit(batch_id).alias("batch_id"))
-                if not bad.isEmpty():  # no empty files per micro-batch in the quarantine table
-                    bad.write.mode("append").parquet(quarantine)
-            good = b.filter(F.col("decoded")).select(*[c for c in STORE_COLUMNS if c in b.columns])
-            SK.upsert_new(good, target, key, order_col=None, hashed_key=hashed_key, cache=False)
+            bad = b.filter(~usable)
+            if not bad.isEmpty():  # no empty files per micro-batch in the quarantine table
+                put_aside(bad, batch_id, "no record or no key")
+            good = b.filter(usable).select(*[c for c in STORE_COLUMNS if c in b.columns])
+            SK.upsert_new(good, target, key, order_col="crawled_at", hashed_key=hashed_key,
+                          part=SK.day_part("crawled_at"))
             for sink in extra_sinks or []:
                 sink(good, batch_id)
         except Exception as e:  # noqa: BLE001
             if on_error == "raise":
                 raise
-            print(f"batch {batch_id} skipped: {type(e).__name__}: {e}", flush=True)
+            put_aside(b, batch_id, f"batch failed: {type(e).__name__}")
         finally:
             b.unpersist()
 
@@ -99,7 +110,7 @@ def start_pipeline(stream: DataFrame, target: str, checkpoint: str, key: str = "
          .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
-    w = w.trigger(**(trigger or {"processingTime": "0 seconds"}))
+    w = w.trigger(**(trigger or {"processingTime": "30 seconds"}))
     return w.start()
 
 

@@ -73,3 +73,67 @@ def test_hot_key_third_of_rows(spark):
     assert vol["HOT"] == n // 3 and sum(vol.values()) == n
     top = TM.cloud_words(df, "cleaned", [], 2).filter(F.col("company") == "HOT").orderBy("rank").collect()
     assert [(r.word, r.n) for r in top] == [("metin", 1000), ("aynı", 334)]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counts_per_company_do_not_ship_the_text(spark):
+    """The dedup aggregate carries only what its caller asked for."""
+    from gripe.plans import queries as Q
+
+    text = _plan(Q.q_company_volume(spark, SF001))
+    made = [line.split(" AS _r#")[0].rsplit("struct(", 1)[1] for line in text.splitlines() if " AS _r#" in line]
+    assert made and all("company" in x and "cleaned, cleaned" not in x and "content, " not in x for x in made)
+
+
+def test_formatted_volume_has_no_window_and_reports_no_coalesce(spark):
+    from gripe.operators import sinks as SK
+    from gripe.plans import queries as Q
+
+    assert "Window" not in _plan(Q.q_formatted_volume(spark, SF001))
+    import inspect
+
+    assert "coalesce(1)" not in inspect.getsource(SK.write_report)
+
+
+def test_risk_share_compiles(spark):
+    """The aggregate over the rows groups by the score, so its generated code stays small."""
+    from gripe.plans import queries as Q
+
+    text = _plan(Q.q_risk_share(spark, SF001))
+    assert "keys=[rule_risk" in text
+
+
+def test_round_summary_joins_pre_aggregated_links(spark):
+    from gripe.operators import links as LK
+
+    links = spark.createDataFrame([(1, "a", True)], "page_id long, link string, admitted boolean")
+    text = _plan(LK.round_summary(links, spark.createDataFrame([("a",)], "link string")))
+    assert text.count("partial_count(1)") == 1 and "Join" in text
+
+
+def test_lda_makes_ten_passes_by_default():
+    import inspect
+
+    from gripe.operators import topics as TP
+    from gripe.plans import analysis as AN
+
+    fit = inspect.signature(TP.fit_topics).parameters
+    job = inspect.signature(AN.run_analysis).parameters
+    assert fit["passes"].default == job["lda_passes"].default == 10
+    assert min(1.0, fit["passes"].default / fit["updates"].default) * fit["updates"].default >= 10
+
+
+def test_model_queries_read_the_documents_once(spark, monkeypatch):
+    """The store is written before the model's passes; every later scan is of that table."""
+    from gripe.plans import analysis as AN
+    from gripe.plans import queries as Q
+
+    written = []
+    real = AN.materialize
+    monkeypatch.setattr(AN, "materialize", lambda df, name: written.append(name) or real(df, name))
+    out = Q.q_rf_metrics(spark, SF001)
+    assert written == ["model-store", "topics"]
+    assert "documents.parquet" not in _plan(out)

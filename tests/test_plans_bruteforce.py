@@ -49,7 +49,7 @@ def test_clean_and_sentiment_match_brute_force(spark):
 
 def test_analysis_and_chart_plans(spark):
     store = AN.prepare_store(Q.enriched(spark, SF001, L.FIXTURE))
-    res = AN.run_analysis(spark, store, L.FIXTURE, lda_iter=5, lda_subsampling=0.5, load_seconds=1.0)
+    res = AN.run_analysis(spark, store, L.FIXTURE, lda_passes=2, lda_updates=5, load_seconds=1.0)
     assert res["n_rows"] == store.count() and res["throughput"] > 0
     rows = AN.report_rows({k: v for k, v in res.items() if k not in ("n_rows", "lda_seconds", "throughput")})
     assert len(rows["tfidf_top5"]) <= 5 * store.select("company").distinct().count()
@@ -57,7 +57,7 @@ def test_analysis_and_chart_plans(spark):
         assert abs(r["topic_1"] + r["topic_2"] + r["topic_3"] - 100) < 0.02
     m = rows["metrics"][0]
     assert 0 <= m["accuracy"] <= 1
-    charts = AN.report_rows(AN.chart_tables(store, L.FIXTURE, topics=AN.topics_of(store, L.FIXTURE)))
+    charts = AN.report_rows(AN.chart_tables(store, L.FIXTURE, topics=res["_topics"]))
     assert len(charts["bigram_top15"]) == 15
     assert abs(sum(r["pct"] for r in charts["risk_share"]) - 100) < 0.02
     assert abs(sum(r["pct"] for r in charts["topic_share"]) - 100) < 0.02

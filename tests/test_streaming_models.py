@@ -4,6 +4,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from gripe import lexicons as L
@@ -80,8 +81,6 @@ def test_one_query_feeds_two_sinks(spark):
 
 
 def test_error_policy(spark):
-    import pytest
-
     base = tempfile.mkdtemp(prefix="gripe-err-")
     src = os.path.join(base, "src")
     os.makedirs(src)
@@ -96,12 +95,92 @@ def test_error_policy(spark):
                               trigger={"availableNow": True})
         q.awaitTermination()
 
-    run("skip", "skip")  # the stream goes on; the store write before the failing sink stays
+    run("skip", "skip")  # the stream goes on; the batch is in the quarantine
     assert SK.read_store(spark, os.path.join(base, "skip")).count() == 1
+    put = spark.read.parquet(os.path.join(base, "skip_quarantine")).collect()
+    assert [json.loads(r.raw_value)["link"] for r in put] == [RECORDS[0]["link"]] and "RuntimeError" in put[0].reason
     with pytest.raises(Exception):
         run("raise", "raise")
 
 
+def test_every_row_is_stored_duplicate_or_quarantined(spark):
+    """Records without a link, undecodable lines, versions of one link in a batch, widely spread crawl times, a replay."""
+    base = tempfile.mkdtemp(prefix="gripe-lossless-")
+    src, target, ckpt = (os.path.join(base, n) for n in ("src", "store", "ckpt"))
+    os.makedirs(src)
+    rec = [{"company": "C", "date": "d", "link": f"l{i}", "content": f"metin {i}", "crawl_timestamp": 1.7e9 + 86_400.0 * 40 * i}
+           for i in range(5)]
+    rec.append({"company": "C", "date": "d", "content": "no link", "crawl_timestamp": 1.7e9})
+    rec.append(dict(rec[0], content="later version", crawl_timestamp=1.7e9 + 60))
+    rec.append({"company": "C", "date": "d", "link": "l9", "content": "no time"})
+    lines = [json.dumps(r) for r in rec] + ["{broken"]
+    _write(src, "a.json", lines, 1_000_000)
+    _write(src, "b.json", lines, 1_000_100)  # a second delivery of everything
+    raw = PL.read_json_files(spark, src, max_files_per_trigger=1)
+    PL.start_pipeline(PL.process(raw, L.REFERENCE), target, ckpt, trigger={"availableNow": True}).awaitTermination()
+    stored = sorted((r.link, r.content) for r in SK.read_store(spark, target).collect())
+    assert stored == sorted([(f"l{i}", f"metin {i}") for i in range(5)] + [("l9", "no time")])
+    rejected = spark.read.parquet(target + "_quarantine").collect()
+    assert len(rejected) == 4 and sorted({r.batch_id for r in rejected}) == [0, 1]
+    duplicates = 2 * len(lines) - len(stored) - len(rejected)
+    assert duplicates == 8  # l0..l4 and l9 again, and the later version of l0 twice
+
+
+def test_retried_batch_writes_nothing_twice(spark):
+    base = tempfile.mkdtemp(prefix="gripe-retry-")
+    lines = [json.dumps(r) for r in RECORDS] + ["{broken", json.dumps({"content": "no link"})]
+    batch = PL.process(spark.createDataFrame([(x,) for x in lines], "value string"), L.REFERENCE)
+    write = PL.idempotent_batch(base + "/s")
+    for _ in range(2):  # the same batch id again: as after a failure behind the writes
+        write(batch, 7)
+    assert SK.read_store(spark, base + "/s").count() == len(RECORDS)
+    assert spark.read.parquet(base + "/s_quarantine").count() == 2
+
+
+def test_insert_reads_only_the_parts_it_needs(spark, monkeypatch):
+    """The second micro-batch touches one day of three; the folders of the others are not opened."""
+    base = tempfile.mkdtemp(prefix="gripe-parts-")
+    rows = [(f"l{i}", f"2024-01-0{1 + i % 3} 10:00:00") for i in range(30)]
+    df = spark.createDataFrame(rows, "link string, t string").withColumn("crawled_at", F.to_timestamp("t")).drop("t")
+    SK.upsert_new(df, base + "/s", "link", order_col="crawled_at", part=SK.day_part("crawled_at"))
+    seen = []
+    exists = SK.path_exists
+    monkeypatch.setattr(SK, "path_exists", lambda s, p: seen.append(p) or exists(s, p))
+    for day in (1, 3):  # unreadable folders would fail a scan of the store
+        bad = f"{base}/s/part=2024-01-0{day}/part-bad.parquet"
+        with open(bad, "w") as f:
+            f.write("no parquet")
+    second = df.filter(F.dayofmonth("crawled_at") == 2).union(
+        spark.createDataFrame([("new", "2024-01-02 11:00:00")], "link string, t string").select("link", F.to_timestamp("t")))
+    SK.upsert_new(second, base + "/s", "link", order_col="crawled_at", part=SK.day_part("crawled_at"))
+    assert seen == [f"{base}/s/part=2024-01-02"]
+    got = spark.read.parquet(f"{base}/s/part=2024-01-02").select("link").collect()
+    assert sorted(r.link for r in got) == sorted([x for x, t in rows if "01-02" in t] + ["new"])
+
+
+def test_null_order_column_keeps_the_row(spark):
+    target = tempfile.mkdtemp(prefix="gripe-nullorder-") + "/s"
+    df = spark.createDataFrame([("a", None, "x"), ("b", None, "y"), ("b", 2, "z"), (None, 1, "w")], "link string, o long, v string")
+    SK.upsert_new(df, target, "link", order_col="o")
+    assert sorted((r.link, r.v) for r in SK.read_store(spark, target).collect()) == [("a", "x"), ("b", "z")]
+
+
+def test_compaction_and_versions_on_read(spark):
+    base = tempfile.mkdtemp(prefix="gripe-compact-")
+    for k in range(3):
+        df = spark.createDataFrame([(f"l{i}", f"2024-01-0{1 + k} 10:00:00", f"v{k}") for i in range(4)],
+                                   "link string, t string, v string").withColumn("crawled_at", F.to_timestamp("t")).drop("t")
+        SK.upsert_new(df, base + "/s", "link", order_col="crawled_at", part=SK.day_part("crawled_at"))
+        more = df.withColumn("link", F.concat("link", F.lit("b")))
+        SK.upsert_new(more, base + "/s", "link", order_col="crawled_at", part=SK.day_part("crawled_at"))
+    SK.compact(spark, base + "/s", "2024-01-02")
+    files = [f for f in os.listdir(base + "/s/part=2024-01-02") if f.endswith(".parquet")]
+    assert len(files) == 1
+    assert SK.read_store(spark, base + "/s").count() == 24
+    first = SK.read_store(spark, base + "/s", key="link", order_col="crawled_at").collect()
+    assert len(first) == 8 and {r.v for r in first} == {"v0"}
+
+
 def test_upsert_new_retry_inserts_nothing_twice(spark):
     target = os.path.join(tempfile.mkdtemp(prefix="gripe-upsert-"), "t")
     df = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "c", "y")], "doc_id long, link string, cleaned string")
@@ -114,7 +193,7 @@ def test_upsert_new_retry_inserts_nothing_twice(spark):
 def test_lda_invariants(spark):
     docs = CP.documents_as_complaints(spark, SF001)
     st = CP.enrich(docs, L.FIXTURE).select("doc_id", "company", "link", "cleaned", "sentiment")
-    vocab, cv, model = TP.fit_topics(st, "cleaned", L.FIXTURE.analysis_stop, max_iter=5, subsampling=0.5)
+    vocab, cv, model = TP.fit_topics(st, "cleaned", L.FIXTURE.analysis_stop, passes=2, updates=5)
     t = TP.assign_topics(st, cv, model, "cleaned", L.FIXTURE.analysis_stop)
     r = t.select(F.min("topic").alias("lo"), F.max("topic").alias("hi"),
                  F.max(F.abs(F.aggregate("topic_dist", F.lit(0.0), lambda a, x: a + x) - 1)).alias("err")).first()
@@ -160,7 +239,7 @@ def _planted(spark):
 def test_planted_topics_are_recovered_and_named(spark):
     groups, df = _planted(spark)
     # best of several seeded fits by log-likelihood (a single fit may merge two topics)
-    vocab, cv, model = TP.fit_topics(df, "cleaned", [], k=3, min_df=5, max_iter=30, subsampling=0.5, restarts=8)
+    vocab, cv, model = TP.fit_topics(df, "cleaned", [], k=3, min_df=5, passes=15, updates=30, restarts=8)
     t = TP.assign_topics(df, cv, model, "cleaned")
     # each planted group maps to one topic, and the three groups to three topics
     per_group = {g: {r.topic for r in t.filter(F.col("company") == g).select("topic").distinct().collect()}
@@ -176,7 +255,7 @@ def test_lda_same_seed_same_result(spark):
     _, df = _planted(spark)
     runs = []
     for _ in range(2):
-        vocab, cv, model = TP.fit_topics(df, "cleaned", [], k=3, max_iter=5)
+        vocab, cv, model = TP.fit_topics(df, "cleaned", [], k=3, passes=2, updates=5)
         runs.append(sorted((r.doc_id, r.topic) for r in TP.assign_topics(df, cv, model, "cleaned").collect()))
     assert runs[0] == runs[1]
 
@@ -192,14 +271,14 @@ def test_binary_queue_value_decodes(spark):
 
 
 def test_store_write_layout(spark):
-    """One file per key bucket from a small insert; no quarantine output without bad records."""
+    """One file per part from a small insert; no quarantine output without bad records."""
     import glob
 
     base = tempfile.mkdtemp(prefix="gripe-layout-")
     target = os.path.join(base, "t")
     df = spark.range(500).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("link")).repartition(8)
     SK.upsert_new(df, target, "link", buckets=16)
-    buckets = glob.glob(target + "/key_bucket=*")
+    buckets = glob.glob(target + "/part=*")
     assert len(buckets) == 16
     assert all(len(glob.glob(b + "/*.parquet")) == 1 for b in buckets)
 

@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from gripe.functions import dates as DT
@@ -9,6 +10,7 @@ from gripe.functions import jsonio as JS
 from gripe.operators import dedup as DD
 from gripe.operators import links as LK
 from gripe.operators import terms as TM
+from gripe.sources import complaints as CP
 from gripe.sources import pages as PG
 
 
@@ -77,26 +79,76 @@ def test_dedup_keeps_smallest_id_and_drops_null(spark):
     assert (c.n_rows, c.n_distinct) == (5, 2)
 
 
-PAGE = ('<html><body><nav><a href="/a">a</a></nav><article><header><span class="t" '
-        'data-base-ui-click-trigger aria-label="5 May 10:30">x</span></header>'
-        '<div><p class="wrap-anywhere">{p1}</p><p>{p2}</p></div></article>'
-        '<a href="https://other.org/x-video ">v</a><a href="rel/b">b</a><a href="//cdn.site.com/c">c</a></body></html>')
+LONG = "Faturam iki kez kesildi ve iptal talebim hala yanitsiz kaldi"  # > 40 characters
+NOW = "2024-05-05 10:30:00"
+
+
+def _page(body, date='<span class="t" data-base-ui-click-trigger aria-label="5  May 10:30">x</span>'):
+    return (f'<html><body><nav><a href="/a">a</a></nav><article><header>{date}<h1>A title that is longer than forty characters</h1>'
+            f'</header>{body}</article></body></html>')
+
+
+def _extract(spark, html, sel=None):
+    sel = sel or PG.COMPANY_PAGES
+    df = spark.createDataFrame([(1, "https://www.site.com/x", html)], "page_id long, url string, html string")
+    return PG.read_pages(df, sel).select(PG.main_text(sel).alias("text"), PG.paragraphs().alias("paras"),
+                                         PG.page_date(F.lit(NOW).cast("timestamp")).alias("date")).first()
+
+
+def test_page_candidates_in_order(spark):
+    share = f'<div class="b selection-share"><p class="x wrap-anywhere y">{LONG}</p><p>unmarked</p></div>'
+    r = _extract(spark, _page(share + f'<div class="reply"><p class="wrap-anywhere">Reply {LONG}</p></div>'))
+    assert r.text == LONG + "unmarked" and r.paras == LONG
+    # no marked block: the third div of the article; a short one is passed over for the marked paragraph's parent
+    r = _extract(spark, _page(f"<div>1</div><div>2</div><div>third {LONG}</div>"))
+    assert r.text == "third " + LONG
+    r = _extract(spark, _page(f'<div>1</div><div>2</div><div>short</div><div><p class="wrap-anywhere">{LONG}</p> end</div>'))
+    assert r.text == LONG + " end"
+    # category pages have no third-div candidate
+    assert _extract(spark, _page(f"<div>1</div><div>2</div><div>third {LONG}</div>"), PG.CATEGORY_PAGES).text is None
+    # nothing marked at all
+    assert _extract(spark, _page(f"<div><p>{LONG}</p></div>")).text is None
+
+
+def test_page_corporate_reply_keeps_marked_paragraphs(spark):
+    body = (f'<div class="selection-share">De&#287;erli M&uuml;&#351;terimiz, <p class=wrap-anywhere>{LONG}</p>'
+            f'<pre>not a paragraph</pre><p>unmarked</p><p class=\'wrap-anywhere\'> second&nbsp;one </p></div>')
+    assert _extract(spark, _page(body)).text == LONG + " second one"
 
 
 def test_page_text_gates(spark):
-    long_p = "Faturam iki kez kesildi ve iptal talebim hala yanitsiz kaldi"  # > 40 chars
-    pages = [(1, "https://www.site.com/a/b", PAGE.format(p1=long_p, p2="Devamını oku...")),
-             (2, "https://www.site.com/a/c", PAGE.format(p1="x" * 34, p2="")),
-             (4, "https://www.site.com/a/e", PAGE.format(p1="Değerli Müşterimiz " + "y" * 30, p2="kisa"))]
-    df = spark.createDataFrame(pages, "page_id long, url string, html string")
-    got = {r.page_id: r.t for r in df.select("page_id", PG.main_text("html").alias("t")).collect()}
-    # block textContent = date span text "x" + paragraphs; junk removed
-    assert got[1] == "x" + long_p
-    assert got[2] is None  # 35 characters: never a candidate (needs > 40)
-    assert got[4] == "Değerli Müşterimiz " + "y" * 30 + " kisa"  # corporate reply: paragraphs only
-    recs = PG.extract_records(df, company=F.lit("C"), now=F.lit("2024-05-05 10:30:00").cast("timestamp"))
-    assert recs.count() == 2
-    assert recs.filter("content like 'xFaturam%'").first().date == "5 May 10:30"
+    def got(n):
+        return _extract(spark, _page(f'<div class="selection-share"><p class="wrap-anywhere">{"x" * n}</p></div>')).text
+
+    assert [got(n) for n in (34, 35, 40)] == [None, None, None] and got(41) == "x" * 41
+    body = f'<div class="selection-share"><p class="wrap-anywhere">{LONG}... \n Devam\u0131n\u0131 oku</p></div>'
+    assert _extract(spark, _page(body)).text == LONG
+
+
+def test_page_dates(spark):
+    block = f'<div class="selection-share"><p class="wrap-anywhere">{LONG}</p></div>'
+    assert _extract(spark, _page(block)).date == "5 May\u0131s 10:30"  # label first, month mapped, white space squeezed
+    text_only = "<span data-base-ui-click-trigger>\n 7 June 09:00 </span>"
+    assert _extract(spark, _page(block, text_only)).date == "7 Haziran 09:00"
+    assert _extract(spark, _page(block, "<span data-base-ui-click-trigger>yesterday</span>")).date == "05 May\u0131s 10:30"
+    assert _extract(spark, _page(block, "")).date == "05 May\u0131s 10:30"
+    outside = _page(block, "") .replace("</body>", text_only + "</body>")
+    assert _extract(spark, outside).date == "7 Haziran 09:00"
+    assert _extract(spark, outside, PG.CATEGORY_PAGES).date == "05 May\u0131s 10:30"
+    toned = _page(block, "<span data-base-ui-click-trigger aria-label='1 May 1:00'></span>").replace(
+        "</article>", "<span class='text-zinc-500 s' data-base-ui-click-trigger aria-label='2 May 2:00'></span></article>")
+    assert _extract(spark, toned, PG.CATEGORY_PAGES).date == "2 May\u0131s 2:00"
+    label = _page(block, "").replace("</body>", "<span id='base-ui-3' aria-label='3 May 3:00'></span></body>")
+    assert _extract(spark, label, PG.CATEGORY_PAGES).date == "3 May\u0131s 3:00"
+
+
+def test_extract_records(spark):
+    good = _page(f'<div class="selection-share"><p class="wrap-anywhere">{LONG}</p></div>')
+    df = spark.createDataFrame([(1, "https://www.sikayetvar.com/vodafone/x", good), (2, "https://a.b/c", "<p>no</p>"), (3, None, None)],
+                               "page_id long, url string, html string")
+    (r,) = PG.extract_records(df, now=F.lit(NOW).cast("timestamp")).collect()
+    assert (r.company, r.date, r.link, r.content) == ("VODAFONE", "5 May\u0131s 10:30", "https://www.sikayetvar.com/vodafone/x", LONG)
+    assert r.crawl_timestamp == 1714905000.0
 
 
 def test_pick_candidate_rules(spark):
@@ -106,14 +158,27 @@ def test_pick_candidate_rules(spark):
     assert got == ["a" * 41, None, None, "c" * 36]
 
 
-def test_page_links_resolve_and_admission(spark):
-    df = spark.createDataFrame([(1, "https://www.site.com/a/b?page=2", PAGE.format(p1="x", p2="y"))],
-                               "page_id long, url string, html string")
+LISTING = ('<body><nav><a href="/menu">m</a></nav><article><a data-href="no" href="/a?x=1&amp;y=2">1</a><a href="/second">2</a></article>'
+           "<article><h2>t</h2><div><a class=x href='https://other.org/x-video '>v</a></div></article><article>no link</article>"
+           '<article><a>no href</a><a href="/late">l</a></article><article><a href=rel/b>b</a></article>'
+           '<article><a href="//cdn.site.com/c">c</a></article></body>')
+
+
+def test_page_links_first_anchor_of_each_card(spark):
+    df = spark.createDataFrame([(1, "https://www.site.com/a/b?page=2", LISTING)], "page_id long, url string, html string")
     links = PG.page_links(df).orderBy("pos").collect()
-    assert [r.link for r in links] == ["https://www.site.com/a", "https://other.org/x-video ",
+    assert [r.link for r in links] == ["https://www.site.com/a?x=1&y=2", "https://other.org/x-video ",
                                        "https://www.site.com/a/rel/b", "https://cdn.site.com/c"]
     adm = [r.link for r in LK.admit_links(PG.page_links(df), "site.com").orderBy("pos").collect()]
-    assert adm == ["https://www.site.com/a", "https://www.site.com/a/rel/b", "https://cdn.site.com/c"]
+    assert adm == ["https://www.site.com/a?x=1&y=2", "https://www.site.com/a/rel/b", "https://cdn.site.com/c"]
+
+
+def test_round_summary_counts_repeats_on_every_page(spark):
+    links = spark.createDataFrame([(1, "a", True), (1, "a", True), (1, "b", False), (2, "a", True), (2, "c", True), (3, "s", True)],
+                                  "page_id long, link string, admitted boolean")
+    seen = spark.createDataFrame([("s",), ("s",), (None,)], "link string")
+    got = {r.page_id: (r.n_links, r.n_admitted, r.n_new) for r in LK.round_summary(links, seen).collect()}
+    assert got == {1: (3, 2, 2), 2: (2, 2, 2), 3: (1, 1, 0)}
 
 
 def test_new_links_and_seen_set(spark):
@@ -132,6 +197,49 @@ def test_low_yield_stop(spark):
     assert got == {"s1": (30, 15), "s2": (11, 11), "s3": (39, None)}
 
 
+def test_low_yield_stop_counts_crawled_pages_only(spark):
+    log = [("gap", p, 0) for p in (1, 2, 11, 12)]  # four crawled pages are no run of ten
+    log += [("gap2", p, 1 if p == 1 else 0) for p in (1, *range(3, 40, 3))]  # the tenth empty page is 30
+    df = spark.createDataFrame(log, "site string, page_no int, n_new int")
+    got = {r.site: (r.n_pages, r.stop_page) for r in LK.low_yield_stop(df).collect()}
+    assert got == {"gap": (4, None), "gap2": (14, 30)}
+
+
+def test_csv_round_trip_with_awkward_texts(spark):
+    import tempfile
+
+    texts = ["two\nlines", "quote \" and, comma", "back\\slash \\n \\", "\r\n", "", None, "  blanks  ", "\\N", "tab\t;"]
+    df = spark.createDataFrame([("C", None, str(i), t) for i, t in enumerate(texts)],
+                               "company string, date string, link string, content string")
+    path = tempfile.mkdtemp(prefix="gripe-csv-") + "/c"
+    CP.write_csv(df, path)
+    got = {r.link: (r.company, r.date, r.content) for r in CP.read_csv(spark, path).collect()}
+    assert got == {str(i): ("C", None, t) for i, t in enumerate(texts)}
+    other = tempfile.mkdtemp(prefix="gripe-csv-") + "/o.csv"
+    with open(other, "w") as f:
+        f.write('company,date,link,content\nC,d,l1,"one\ntwo, ""three"""\nD,d,l2,plain\n')
+    assert [(r.link, r.content) for r in CP.read_csv(spark, other, escaped=False).collect()] == [
+        ("l1", 'one\ntwo, "three"'), ("l2", "plain")]
+
+
+def test_publish_keeps_a_copy_when_the_broker_is_down(spark):
+    import tempfile
+
+    from gripe.sources import kafka as KF
+
+    def down(values):
+        raise RuntimeError("no broker")
+
+    rec = spark.createDataFrame([("C", "d", "l", "x", 1.0)], "company string, date string, link string, content string, crawl_timestamp double")
+    path = tempfile.mkdtemp(prefix="gripe-hist-") + "/h"
+    assert KF.publish(rec, "b:1", "t", history=path, send=down) is False
+    assert [r.link for r in CP.read_history(spark, path).collect()] == ["l"]
+    with pytest.raises(RuntimeError):
+        KF.publish(rec, "b:1", "t", send=down)
+    sent = []
+    assert KF.publish(rec, "b:1", "t", send=lambda v: sent.extend(v.collect())) and '"link":"l"' in sent[0].value
+
+
 def test_month_standardise(spark):
     df = spark.createDataFrame([("5 May 10:00",), ("5 Mayıs 10:00",), ("1 January 09:00",), ("Mayday",)], "d string")
     assert [r.x for r in df.select(DT.month_to_tr("d").alias("x")).collect()] == [
