@@ -20,7 +20,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an identifiable language go: no letter, or two languages equally near."""
     model = language_id.train(docs.filter(~language_id.held_out("doc_id")))
     found = language_id.identify(docs, model, keep=True)
-    return found.filter((F.col("lang_pred") != "und") & ~F.col("ambiguous")).select(*docs.columns)
+    lang, _, close = found.columns[-3:]
+    return found.filter((F.col(lang) != "und") & ~F.col(close)).select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

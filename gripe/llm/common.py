@@ -2,41 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, ship
 
 #: ASCII white space of the contracts: space and 0x09-0x0D.
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
 
-_SHIPPED: set[str] = set()  # applications whose Python workers know this package
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package (Spark's file server hands it out), once per application."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="gripe-"), "gripe_package.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(top):
-            for n in names:
-                if n.endswith(".py"):
-                    full = os.path.join(folder, n)
-                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
-    sc.addPyFile(path)
-    _SHIPPED.add(sc.applicationId)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -54,6 +30,17 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores in front until no column of ``df`` has it (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def null_key(c: Column) -> Column:
     """A non-null join key that keeps null apart from every string and keeps the byte order (null last)."""
     return F.when(c.isNull(), F.lit("z")).otherwise(F.concat(F.lit("s"), c.cast("string")))

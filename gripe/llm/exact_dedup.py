@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage_table, text_or_empty
+from .common import fresh, stage_table, text_or_empty
 
 #: Equal to replacing each ``[\x20\x09-\x0D]+`` by one space, but a lone space is left alone.
 _RUN = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -69,14 +69,15 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Rows are matched to the decision by id and text hash.  Only when an id
     really repeats with the same text are those rows reduced to one."""
+    sha, won_id, won_sha, m = fresh(docs, "sha", "won_id", "won_sha", "m")
     won = (exact_dedup(docs, id_col, text_col).filter("kept")
-           .select(F.col("doc_id").alias("_won_id"), F.col("text_sha256").alias("_won_sha")))
-    rows = docs.withColumn("_sha", F.sha2(normalise(text_col), 256))
-    kept = rows.join(won, F.col(id_col).eqNullSafe(F.col("_won_id")) & (F.col("_sha") == F.col("_won_sha")), "left_semi")
-    repeats = (rows.groupBy(id_col, "_sha").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"))
+           .select(F.col("doc_id").alias(won_id), F.col("text_sha256").alias(won_sha)))
+    rows = docs.withColumn(sha, F.sha2(normalise(text_col), 256))
+    kept = rows.join(won, F.col(id_col).eqNullSafe(F.col(won_id)) & (F.col(sha) == F.col(won_sha)), "left_semi")
+    repeats = rows.groupBy(id_col, sha).agg(F.count(F.lit(1)).alias(m)).filter(F.col(m) > 1)
     if not repeats.isEmpty():
-        kept = kept.dropDuplicates([id_col, "_sha"])
-    return kept.drop("_sha")
+        kept = kept.dropDuplicates([id_col, sha])
+    return kept.drop(sha)
 
 
 SQL = r"""

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import utf8_buffer
+from .common import fresh, utf8_buffer
 
 TRAIN_ROWS = 4000
 ORDERS = (2, 3, 4)
@@ -192,7 +192,11 @@ def held_out(id_col: str) -> Column:
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
              ambiguous: float = AMBIGUOUS, keep: bool = False) -> DataFrame:
-    """``doc_id, lang_pred, score, ambiguous`` of every row; ``keep`` returns them beside the columns of ``docs``."""
+    """``doc_id, lang_pred, score, ambiguous`` of every row.
+
+    ``keep`` returns the three behind the columns of ``docs``; a name that
+    ``docs`` has already gets an underscore in front."""
+    lang_, score_, close_ = fresh(docs, "lang_pred", "score", "ambiguous") if keep else ("lang_pred", "score", "ambiguous")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = utf8_buffer(batch.column(batch.num_columns - 1))
@@ -218,6 +222,6 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     schema = ", ".join(f"`{c}` {t}" for c, t in src.dtypes[:-1]) + ", lang_pred string, score double, ambiguous boolean"
     out = src.mapInArrow(run, schema)
     first = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)] if keep else [F.col("doc_id")]
-    return out.select(*first, F.when(F.col("_known"), F.col("lang_pred")).otherwise("und").alias("lang_pred"),
-                      F.when(F.col("_known"), F.col("score")).otherwise(0.0).alias("score"),
-                      (F.col("_known") & F.col("ambiguous")).alias("ambiguous"))
+    return out.select(*first, F.when(F.col("_known"), F.col("lang_pred")).otherwise("und").alias(lang_),
+                      F.when(F.col("_known"), F.col("score")).otherwise(0.0).alias(score_),
+                      (F.col("_known") & F.col("ambiguous")).alias(close_))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD_RE, null_key, stage_table, text_or_empty
+from .common import WORD_RE, fresh, null_key, stage_table, text_or_empty
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -118,12 +118,12 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     The thresholds hold for a source's ids, so the rows are filtered in one scan
     against one row per source; no text is shuffled by document."""
-    rows = docs.withColumn("_k", null_key(F.col(source_col))).withColumn("_hash", id_hash(id_col))
-    repeats = F.col("full") + (F.col("_hash") < F.col("thr")).cast("long")
+    k, h, full, thr, n, copy = fresh(docs, "k", "hash", "full", "thr", "n", "copy")
     per_source = source_plan(docs, id_col, text_col, source_col, weights, max_repeats)[1]
-    taken = rows.join(per_source.select(F.col("k").alias("_k"), "full", "thr"), "_k").withColumn("_n", repeats)
-    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_copy")
-    return taken.filter("_n > 0").select(*docs.columns, each).select(*docs.columns)
+    rows = docs.withColumn(k, null_key(F.col(source_col))).withColumn(h, id_hash(id_col))
+    taken = rows.join(per_source.select(F.col("k").alias(k), F.col("full").alias(full), F.col("thr").alias(thr)), k)
+    taken = taken.withColumn(n, F.col(full) + (F.col(h) < F.col(thr)).cast("long")).filter(F.col(n) > 0)
+    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n))).alias(copy)).select(*docs.columns)
 
 
 SQL = r"""

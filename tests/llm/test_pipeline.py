@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -100,6 +101,17 @@ def test_pipeline_hard_rows(spark, make):
     check(spark, make(HARD))
 
 
+def test_pipeline_with_clashing_columns(spark, make):
+    docs = make(HARD)
+    for c in ("sha", "won_id", "won_sha", "m", "K", "hash", "full", "thr", "n", "copy", "lang_pred", "Score", "ambiguous", "kept",
+              "c0", "text_hash", "component_id", "c"):
+        if c.lower() not in {x.lower() for x in docs.columns}:
+            docs = docs.withColumn(c, F.lit(5))
+    plain = stages(spark, make(HARD))
+    for a, b in zip(stages(spark, docs)[:5], plain[:5]):
+        assert a.columns == docs.columns and sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+
+
 def test_pipeline_empty(spark, make):
     assert [d.count() for d in stages(spark, make([]))] == [0] * 6
 
