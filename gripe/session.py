@@ -85,9 +85,18 @@ def size_session(spark: SparkSession, path: str) -> dict:
 _SHIPPED: set[str] = set()  # applications whose Python workers know this package
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package (Spark's file server hands it out), once per application."""
+    """Give the Python workers this package (Spark's file server hands it out), once per application.
+
+    Rows with whole documents travel in Arrow batches of 1,000 (Spark's
+    default is 10,000), unless the session says otherwise, so that a batch of
+    long texts fits beside others in an executor."""
     sc = spark.sparkContext
+    if spark.conf.get(ARROW_ROWS, "10000") == "10000":
+        spark.conf.set(ARROW_ROWS, "1000")
     if sc.applicationId in _SHIPPED:
         return
     top = os.path.dirname(os.path.abspath(__file__))
