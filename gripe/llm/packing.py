@@ -31,7 +31,7 @@ from .common import stage_table
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-MAX_CACHED_WORDS = 700_000
+MAX_CACHED_WORDS = 300_000
 ROWS_PER_BUCKET = 500_000
 
 # --- tokens -------------------------------------------------------------------
@@ -54,7 +54,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.full = Tokenizer.from_file(path)
-        self.words = Tokenizer.from_file(path)
+        self.words = Tokenizer(self.full.model)  # the same model, not a second copy
         self.words.normalizer = normalizers.Sequence([])
         self.words.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
