@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
+from ..session import materialize
 
 
 def analysis_tokens(text: "Column | str", stop: Sequence[str]) -> Column:
@@ -80,9 +81,14 @@ def tfidf_by_company(df: DataFrame, text: str = "cleaned", stop: Sequence[str] =
     idf = ln((1 + N) / (1 + df)) + 1 with N companies and df the number of
     companies using the term; the norm runs over the vocabulary terms only.
     """
-    tf = company_term_tf(df, text, stop, by)
-    # every company is a document, also one whose text has no term left
-    n_docs = df.select(F.count_distinct(by)).scalar()
+    # every company is a document, also one whose text has no term left: each row adds one null term, so the companies
+    # are counted from the same pass over the input
+    tokens = F.array_append(F.coalesce(TX.word_tokens(text), F.array().cast("array<string>")), F.lit(None).cast("string"))
+    e = df.filter(F.col(by).isNotNull()).select(by, F.explode(tokens).alias("term"))
+    every = (e.filter(F.col("term").isNull() | _not_stop(F.col("term"), stop))
+             .groupBy(by, "term").agg(F.count(F.lit(1)).alias("tf")))
+    n_docs = every.filter(F.col("term").isNull()).agg(F.count(F.lit(1))).scalar()
+    tf = every.filter(F.col("term").isNotNull())
     stats = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
     vocab = vocabulary(stats, size, freq="total")
     # vocab has at most ``size`` rows: a bounded broadcast
@@ -160,6 +166,8 @@ def cloud_words(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (),
     e = df.filter(F.col(by).isNotNull()).select(by, F.explode(F.split(text, f"[{TX.WS_CLASS}]+")).alias("word"))
     counts = e.filter(F.col("word") != "").groupBy(by, "word").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.withColumn("kept", (F.char_length("word") >= min_len) & ~F.col("word").isin(stop_s))
+    if collocations:  # read six times below: written once, one narrow row per (company, word)
+        counts = materialize(counts, "cloud-words")
     # per-company size of the kept text; one row per company, joined back
     # (AQE turns this into a broadcast when the measured side is small)
     stats = counts.groupBy(by).agg(
@@ -185,6 +193,7 @@ def _merge_collocations(df: DataFrame, chosen: DataFrame, stop_s: list, min_len:
                                                     F.slice("_k", 2, F.greatest(F.size("_k") - 1, F.lit(0))).alias("w2")))
                         .alias("p"))
     pc = pairs.groupBy(by, F.col("p.w1").alias("w1"), F.col("p.w2").alias("w2")).agg(F.count(F.lit(1)).alias("c12"))
+    pc = materialize(pc, "cloud-pairs")
     uses = chosen.filter(F.col("kept") & (F.col("_kept_len") >= min_chars))
     u1 = uses.select(by, F.col("word").alias("w1"), F.col("n").alias("c1"), F.col("_n_kept").alias("nw"))
     u2 = uses.select(by, F.col("word").alias("w2"), F.col("n").alias("c2"))

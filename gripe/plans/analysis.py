@@ -19,14 +19,7 @@ from ..operators import dedup as DD
 from ..operators import report as RP
 from ..operators import terms as TM
 from ..operators import topics as TP
-from ..session import scratch_path
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write to a fresh table under the shared checkpoint folder and read it back."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+from ..session import materialize
 
 
 def prepare_store(enriched: DataFrame) -> DataFrame:
