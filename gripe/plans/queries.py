@@ -25,6 +25,7 @@ from ..operators import topics as TP
 from ..operators import dedup as DD
 from ..operators import report as RP
 from ..operators import terms as TM
+from ..session import read_table
 from ..sources import complaints as CP
 from ..sources import pages as PG
 from . import analysis as AN
@@ -217,7 +218,7 @@ TEST_DOMAIN = "example.com"  # the synthetic pages live under *.example.{com,net
 
 
 def _pages(spark, sf):
-    return spark.read.parquet(f"{sf}/pages.parquet")
+    return read_table(spark, f"{sf}/pages.parquet")
 
 
 def _page_links(spark, sf):

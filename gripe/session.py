@@ -20,8 +20,6 @@ DEFAULT_CONF = {
     # text rows carry long strings and token arrays: build cached column batches
     # of 1,000 rows (default 10,000) so a cached batch fits in a task's memory
     "spark.sql.inMemoryColumnarStorage.batchSize": "1000",
-    # cleaning is CPU-bound: a small file is read in smaller splits (large inputs keep the usual ones)
-    "spark.sql.files.openCostInBytes": "262144",
 }
 
 CACHE_BATCH_ROWS = 1000
@@ -74,6 +72,21 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
+def read_table(spark: SparkSession, path: str, *cols: str):
+    """A Parquet table; a small one is dealt out over the cores.
+
+    A table of less than one split per core (judged by its size on disk) may be
+    one row group, and the CPU-heavy text work on it would run in one task.
+    Larger tables have splits enough and are read as they are."""
+    df = spark.read.parquet(path)
+    if cols:
+        df = df.select(*cols)
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728b")
+    cores = spark.sparkContext.defaultParallelism
+    size = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(split))
+    return df.repartition(cores) if input_bytes(spark, path) < cores * size else df
+
+
 def size_session(spark: SparkSession, path: str) -> dict:
     """Apply :func:`cluster_conf` for the input at ``path`` to a running session (SQL settings only)."""
     conf = cluster_conf(input_bytes(spark, path))

@@ -10,6 +10,7 @@ from .. import lexicons as L
 from .. import schemas
 from ..functions import sentiment as S
 from ..functions import text as TX
+from ..session import read_table
 
 
 def documents_as_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,7 +19,7 @@ def documents_as_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     company := source, content := text, link := doc_id as text, date := null.
     Only the four needed columns are read (column pruning reaches the scan).
     """
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
+    d = read_table(spark, f"{sf_dir}/documents.parquet", "doc_id", "source", "text")
     return d.select(
         F.col("doc_id"),
         F.col("source").alias("company"),
