@@ -17,7 +17,7 @@ So the windows are dealt out by content:
 3. Anchors that occur once cannot have an equal window and go no further.
 4. The windows of each remaining anchor, with their bytes, are shuffled by the
    anchor.  Tasks join whole anchors into shares of bounded size and build each
-   share's suffix array with the difference-cover algorithm modulo 3: sort and
+   share's suffix array (equal contexts once) with the difference-cover algorithm modulo 3: sort and
    name the sampled triples, recurse on the names until they cover a window,
    sort the remaining suffixes by (symbol, rank of the next), merge.  Adjacent
    suffixes are compared over ``length`` bytes; of equal windows the earliest
@@ -191,38 +191,42 @@ def suffix_order(text: np.ndarray, reach: int) -> np.ndarray:
     n = len(text)
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: text[i:].tolist()), dtype=np.int64)
-    t = np.concatenate([text.astype(np.int64), np.zeros(3, dtype=np.int64)])
+    t = np.concatenate([text.astype(np.int64), np.zeros(6, dtype=np.int64)])
     base = int(t.max()) + 1
-    one, two = np.arange(1, n + 1, 3), np.arange(2, n + 1, 3)  # up to n, so that an end marker divides the halves
-    sample = np.concatenate([one, two])
-    sample = sample[sample <= n]
+    m0, m1, m2 = -(-n // 3), (n + 2) // 3, (n + 1) // 3  # positions 0, 3, ..; 1, 4, ..; 2, 5, .. up to n
 
-    triple = (t[sample] * base + t[np.minimum(sample + 1, n)]) * base + t[np.minimum(sample + 2, n)]
-    order = np.argsort(triple, kind="stable")
+    def every(x: np.ndarray, at: int, m: int) -> np.ndarray:
+        return x[at:at + 3 * m:3]
+
+    # sampled triples; position n belongs to the sample, so that an end marker divides the two halves
+    triple = np.concatenate([(every(t, k, m) * base + every(t, k + 1, m)) * base + every(t, k + 2, m) for k, m in ((1, m1), (2, m2))])
+    order = np.argsort(triple)  # equal triples share a name, so their order is free
     ordered = triple[order]
-    name = np.empty(len(sample), dtype=np.int64)
+    name = np.empty(len(triple), dtype=np.int64)
     name[order] = np.cumsum(np.concatenate([[1], (ordered[1:] != ordered[:-1]).astype(np.int64)]))
-    if int(name.max()) < len(sample) and reach > 3:
+    if int(name.max()) < len(name) and reach > 3:
         order = suffix_order(name, -(-reach // 3))
-    rank = np.zeros(n + 3, dtype=np.int64)
-    rank[sample[order]] = np.arange(1, len(sample) + 1)
+    place = np.empty(len(name), dtype=np.int64)
+    place[order] = np.arange(1, len(name) + 1)
+    rank = np.zeros(n + 9, dtype=np.int64)
+    rank[1:1 + 3 * m1:3], rank[2:2 + 3 * m2:3] = place[:m1], place[m1:]
 
     # the remaining suffixes, sorted by symbol and by the rank of the sampled suffix behind it
-    many = len(sample) + 1
-    rest = np.arange(0, n, 3)
-    pair = t[rest] * many + rank[rest + 1]
-    by = np.argsort(pair, kind="stable")
-    rest, pair = rest[by], pair[by]
+    many = len(name) + 1
+    pair = every(t, 0, m0) * many + every(rank, 1, m0)
+    by = np.argsort(pair)
     # merge: against class 1 one symbol and a rank decide, against class 2 two symbols and a rank
-    one, two = one[one < n], two[two < n]
-    c1 = np.searchsorted(np.sort(t[one] * many + rank[one + 1]), pair, "left")
-    long = (t[rest] * base + t[rest + 1]) * many + rank[rest + 2]
-    c2 = np.searchsorted(np.sort((t[two] * base + t[two + 1]) * many + rank[two + 2]), long, "left")
-    at = np.arange(len(rest)) + np.maximum.accumulate(c1 + c2)
-    out = np.full(n, -1, dtype=np.int64)
-    out[at] = rest
-    picked = sample[order]
-    out[out < 0] = picked[picked < n]
+    k1, k2 = (n + 1) // 3, n // 3  # without position n
+    c1 = np.searchsorted(np.sort(every(t, 1, k1) * many + every(rank, 2, k1)), pair[by], "left")
+    long = ((every(t, 0, m0) * base + every(t, 1, m0)) * many + every(rank, 2, m0))[by]
+    c2 = np.searchsorted(np.sort((every(t, 2, k2) * base + every(t, 3, k2)) * many + every(rank, 4, k2)), long, "left")
+    at = np.arange(m0) + np.maximum.accumulate(c1 + c2)
+    free = np.ones(n, dtype=bool)
+    free[at] = False
+    out = np.empty(n, dtype=np.int64)
+    out[at] = 3 * by
+    picked = np.where(order < m1, 3 * order + 1, 3 * (order - m1) + 2)
+    out[free] = picked[picked < n]
     return out
 
 
@@ -246,19 +250,26 @@ def repeats_of(contexts: list[bytes], counts: np.ndarray, key: np.ndarray, tie:
 
     Context k holds ``counts[k]`` windows; its first starts at ``at[k]`` of document (key, tie)[k]."""
     order = np.lexsort((at, tie, key))  # contexts in reading order
+    first: dict[bytes, int] = {}  # of equal contexts all but the first are repeats throughout
+    copy = np.array([first.setdefault(contexts[k], k) != k for k in order.tolist()], dtype=bool)
+    copies, order = order[copy], order[~copy]
     text = np.frombuffer(b"".join(contexts[k] for k in order), dtype=np.uint8)
     sizes = np.array([len(contexts[k]) for k in order])
     begin = np.cumsum(sizes) - sizes
-    counts = counts[order]
-    starts = np.repeat(begin - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+    many = counts[order]
+    starts = np.repeat(begin - np.cumsum(many) + many, many) + np.arange(many.sum())
     sa, new = equal_classes(text, starts, length)
     klass = np.cumsum(new) - 1
-    earliest = np.minimum.reduceat(sa, np.flatnonzero(new)) if len(sa) else sa  # positions are in reading order
+    earliest = np.minimum.reduceat(sa, np.flatnonzero(new))  # positions are in reading order
     late = np.sort(sa[sa != earliest[klass]])
     ctx = np.searchsorted(begin, late, "right") - 1
-    brk = np.flatnonzero(np.concatenate([[True], (np.diff(late) != 1) | (np.diff(ctx) != 0)])) if len(late) else late
-    last = np.append(brk[1:], len(late)) - 1
-    return order[ctx[brk]], late[brk] - begin[ctx[brk]], late[last] - begin[ctx[brk]]
+    new = np.ones(len(late), dtype=bool)
+    new[1:] = (np.diff(late) != 1) | (np.diff(ctx) != 0)
+    lo = np.flatnonzero(new)
+    hi = np.append(lo[1:], len(late))[:len(lo)] - 1
+    at = begin[ctx[lo]]
+    return (np.concatenate([copies, order[ctx[lo]]]), np.concatenate([np.zeros(len(copies), np.int64), late[lo] - at]),
+            np.concatenate([counts[copies] - 1, late[hi] - at]))
 
 
 _SPAN = ["key", "tie", "start", "stop"]
@@ -296,23 +307,24 @@ def _shares(length: int):
 
 
 def _contexts(length: int):
-    """Documents with the list of their remaining anchors → one row per anchor with the bytes of its windows."""
+    """Documents with the lists of their remaining anchors → one row per anchor with the bytes of its windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(0, b.num_rows, 64):
                 part = b.slice(r, 64)
-                out = []
-                for key, tie, text, items in zip(*(part.column(c) for c in range(4))):
-                    raw = text.as_buffer()
-                    view = memoryview(raw)
-                    for it in items.as_py():
-                        at, n = it["at"], it["n"]
-                        out.append((it["fp"], key.as_py(), tie.as_py(), at, n, bytes(view[at:at + n + length - 1]), it["many"]))
-                cols = list(zip(*out)) if out else [()] * 7
+                sizes = np.array([len(x) for x in part.column(3)])
+                starts, counts = (part.column(c).flatten().to_numpy() for c in (4, 5))
+                ctx: list[bytes] = []
+                at = 0
+                for text, m in zip(part.column(2), sizes.tolist()):
+                    raw = text.as_buffer().to_pybytes()
+                    lo = starts[at:at + m]
+                    ctx += [raw[i:j] for i, j in zip(lo.tolist(), (lo + counts[at:at + m] + (length - 1)).tolist())]
+                    at += m
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(),
-                                                           pa.binary(), pa.bool_()))],
-                    ["fp", "key", "tie", "at", "n", "ctx", "many"])
+                    [part.column(3).flatten(), pa.array(np.repeat(part.column(0).to_numpy(), sizes)),
+                     pa.array(np.repeat(part.column(1).to_numpy(), sizes)), pa.array(starts), pa.array(counts),
+                     pa.array(ctx, pa.binary())], ["fp", "key", "tie", "at", "n", "ctx"])
 
     return run
 
@@ -404,22 +416,30 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     often = (first.select(F.explode("fps").alias("fp")).groupBy("fp").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
              .select("fp", (F.col("c") > share_anchors).alias("many")))
     left = stage_table(marks.join(often, "fp"), "repeat-marks")
-    listed = left.groupBy("key", "tie").agg(F.collect_list(F.struct("fp", "at", "n", "many")).alias("items"))
-    contexts = raw.select("key", "tie", "raw").join(listed, ["key", "tie"]).mapInArrow(
-        _contexts(length), "fp long, key long, tie long, at long, n long, ctx binary, many boolean")
 
-    contexts = stage_table(contexts, "repeat-contexts")
-    few = contexts.filter("NOT many").drop("many")
-    shared = (few.repartition("fp").sortWithinPartitions("fp")
+    def with_bytes(some: DataFrame) -> DataFrame:
+        listed = some.groupBy("key", "tie").agg(F.collect_list(F.struct("fp", "at", "n")).alias("i")).select(
+            "key", "tie", F.col("i.fp").alias("fps"), F.col("i.at").alias("ats"), F.col("i.n").alias("ns"))
+        return raw.join(listed, ["key", "tie"]).select("key", "tie", "raw", "fps", "ats", "ns").mapInArrow(
+            _contexts(length), "fp long, key long, tie long, at long, n long, ctx binary")
+
+    # documents are shuffled by their key here and once more at the end, in one plan: the exchange is reused
+    shared = (with_bytes(left.filter("NOT many")).repartition("fp").sortWithinPartitions("fp")
               .mapInArrow(_shares(length), "key long, tie long, start long, stop long"))
     spans = copies.unionByName(shared)
-    if not contexts.filter("many").isEmpty():
-        each = stage_table(contexts.filter("many").drop("many").mapInArrow(
+    if not left.filter("many").isEmpty():
+        # equal contexts collapse first, per task and then by hash; the windows of the rest are compared one by one
+        hot = stage_table(with_bytes(left.filter("many")).withColumn("c", F.unhex(F.md5("ctx"))), "repeat-hot")
+        lead = hot.groupBy("fp", "c").agg(F.min(F.struct("key", "tie", "at")).alias("lead"))
+        hot = stage_table(hot.join(lead, ["fp", "c"]).withColumn("again", F.struct("key", "tie", "at") != F.col("lead")).drop("lead"),
+                          "repeat-hot-led")
+        again = hot.filter("again").select("key", "tie", F.col("at").alias("start"), (F.col("at") + F.col("n") + length - 1).alias("stop"))
+        each = stage_table(hot.filter("NOT again").select("fp", "key", "tie", "at", "n", "ctx").mapInArrow(
             _single(length), "w binary, key long, tie long, start long"), "repeat-windows")
         least = each.groupBy("w").agg(F.min(F.struct("key", "tie", "start")).alias("least"), F.count(F.lit(1)).alias("c"))
         late = (each.join(least.filter("c > 1"), "w").filter(F.struct("key", "tie", "start") != F.col("least"))
                 .select("key", "tie", "start", (F.col("start") + length).alias("stop")))
-        spans = spans.unionByName(late)
+        spans = spans.unionByName(again).unionByName(late)
 
     per = spans.groupBy("key", "tie").agg(F.collect_list("start").alias("lo"), F.collect_list("stop").alias("hi"))
     done = (raw.join(per, ["key", "tie"], "left").select("key", "copies", "raw", "lo", "hi")
