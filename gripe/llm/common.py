@@ -18,16 +18,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
+def stage_path(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` below ``spark.checkpoint.dir`` and read it back; also the folder, for :func:`discard`.
 
     Cuts the lineage: a lost executor costs the re-read of a file, not a
     recomputation.  The folder is shared, so every executor can read it."""
     spark = df.sparkSession
     ship(spark)
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    return stage_path(df, name)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

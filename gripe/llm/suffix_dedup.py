@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stage_table, text_or_empty, utf8_buffer
+from .common import discard, stage_path, stage_table, text_or_empty, utf8_buffer
 
 LENGTH = 100
 GRAM = 16
@@ -397,16 +397,19 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         texts = stage_table(once.select("key", tie.alias("tie"), "copies", "text"), "repeat-texts")
     raw = texts.select("key", "tie", F.encode("text", "UTF-8").alias("raw"), "copies")
 
-    units = stage_table(texts.select("key", "tie", "text").mapInArrow(
+    spark = docs.sparkSession
+    units, all_units = stage_path(texts.select("key", "tie", "text").mapInArrow(
         _units(length), "unit binary, key long, tie long, start long, windows long, runs array<int>, fps array<long>"),
         "repeat-units")
     # the first of equal units goes on; the windows of the others are repeats throughout
     first = units.groupBy("unit").agg(F.min(F.struct("key", "tie", "start", "windows", "runs", "fps")).alias("u"))
-    first = stage_table(first.select("unit", "u.*"), "repeat-first")
+    first, first_units = stage_path(first.select("unit", "u.*"), "repeat-first")
     lead = first.select("unit", F.struct("key", "tie", "start").alias("lead"))
     copies = (units.select("unit", "key", "tie", "start", "windows").join(lead, "unit")
               .filter(F.struct("key", "tie", "start") != F.col("lead"))
               .select("key", "tie", "start", (F.col("start") + F.col("windows") + length - 1).alias("stop")))
+    copies = stage_table(copies, "repeat-copies")
+    discard(spark, all_units)
 
     # anchors that occur more than once
     ahead = F.expr("concat(slice(runs, 2, size(runs)), array(cast(windows as int)))")
@@ -416,6 +419,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     often = (first.select(F.explode("fps").alias("fp")).groupBy("fp").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
              .select("fp", (F.col("c") > share_anchors).alias("many")))
     left = stage_table(marks.join(often, "fp"), "repeat-marks")
+    discard(spark, first_units)
 
     def with_bytes(some: DataFrame) -> DataFrame:
         listed = some.groupBy("key", "tie").agg(F.collect_list(F.struct("fp", "at", "n")).alias("i")).select(
