@@ -226,3 +226,41 @@ def test_empty_documents(make, op):
 
 def test_empty_embeddings(spark):
     assert embedding_dedup.embedding_near_dedup(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_share_solver_finds_every_late_window():
+    rng = np.random.default_rng(0)
+    length = 6
+    for turn in range(200):
+        k = int(rng.integers(1, 6))
+        counts = rng.integers(1, 8, k)
+        ctx = [bytes(rng.integers(97, 99 + int(rng.integers(0, 20)), m + length - 1).astype(np.uint8)) for m in counts]
+        if turn % 3 == 0 and k > 1:
+            ctx[1], counts[1] = ctx[0], counts[0]
+        key, at = rng.integers(0, 3, k), np.arange(k) * 100
+        got = {(int(c), o) for c, lo, hi in zip(*suffix_dedup.repeats_of(ctx, counts, key, np.zeros(k, np.int64), at, length))
+               for o in range(lo, hi + 1)}
+        seen, want = set(), set()
+        for j in sorted(range(k), key=lambda j: (key[j], at[j])):
+            for o in range(counts[j]):
+                w = ctx[j][o:o + length]
+                if w in seen:
+                    want.add((j, o))
+                seen.add(w)
+        assert got == want
+
+
+def test_units_cover_every_window_once():
+    rng = np.random.default_rng(1)
+    texts = [bytes(rng.integers(97, 100, n).astype(np.uint8)) for n in (0, 5, 99, 100, 101, 700, 20_000)] + [b"x" * 9000]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offs = np.cumsum([0] + [len(t) for t in texts])
+    units, counts, first, runs, fps = suffix_dedup.cut(data, offs)
+    covered = np.zeros(len(data), dtype=int)
+    for u, c in zip(units, counts):
+        covered[u:u + c] += 1
+    want = np.zeros(len(data), dtype=int)
+    for a, z in zip(offs[:-1], offs[1:]):
+        want[a:max(a, z - 99)] = 1
+    assert (covered == want).all() and len(first) == len(units) and len(fps) == len(runs)
+    assert (runs[first] == units).all() and counts.max() <= 2 * suffix_dedup.UNIT_MAX
