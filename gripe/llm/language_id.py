@@ -34,7 +34,7 @@ TRAIN_ROWS = 4000
 ORDERS = (2, 3, 4)
 BUCKET_BITS = 14
 #: Languages whose losses differ by less than this are an ambiguous decision.
-AMBIGUOUS = 0.05
+AMBIGUOUS = 0.01
 _SLICE = 1 << 19
 
 #: Bytes that are no letters of a lower-cased text count as a blank.
