@@ -101,16 +101,18 @@ def report_rows(tables: dict, max_rows: int = 10_000) -> dict:
 
 
 def run_job(spark: SparkSession, store_path: str, out_dir: str, lexicon: L.Lexicon = L.REFERENCE,
-            fmt: str = "parquet") -> dict:
+            fmt: str = "parquet", since: str | None = None) -> dict:
     """The periodic batch job (T8): store scan → dedup → report + chart tables → one output per table.
 
+    ``since`` limits the scan to complaints crawled on that day (``yyyy-MM-dd``) or later.
+
     Returns the scalar figures (row count, LDA seconds, throughput).
     """
     from ..operators.sinks import write_report
     from ..sources.complaints import load_complaints
 
     t0 = time.time()
-    raw = load_complaints(spark, store_path)
+    raw = load_complaints(spark, store_path, since=since)
     if raw is None:
         return {"n_rows": 0}
     store = prepare_store(raw)
@@ -134,11 +136,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out", required=True, help="output folder, one table per report section")
     p.add_argument("--lexicon", default="reference", help="'reference', 'fixture' or a JSON file")
     p.add_argument("--format", default="parquet")
+    p.add_argument("--since", help="first crawl day to read, yyyy-MM-dd")
     a = p.parse_args(argv)
     lex = L.profile(a.lexicon) if a.lexicon in L.PROFILES else L.Lexicon.load(a.lexicon)
     spark = get_spark("gripe-analysis")
     size_session(spark, a.store)  # shuffle partitions from the store's size
-    print(json.dumps(run_job(spark, a.store, a.out, lex, a.format)))
+    print(json.dumps(run_job(spark, a.store, a.out, lex, a.format, a.since)))
 
 
 if __name__ == "__main__":

@@ -64,9 +64,17 @@ def enrich(df: DataFrame, lexicon: L.Lexicon = L.REFERENCE, content: str = "cont
 
 
 def load_complaints(spark: SparkSession, path: str, fmt: str = "parquet",
-                    schema: T.StructType = schemas.STORE) -> DataFrame | None:
-    """Scan of the complaint store with the declared columns, no others (S7); ``None`` when it is empty."""
-    df = spark.read.format(fmt).schema(schema).option("recursiveFileLookup", "true").load(path)
+                    schema: T.StructType = schemas.STORE, since: str | None = None) -> DataFrame | None:
+    """Scan of the complaint store with the declared columns, no others (S7); ``None`` when it is empty.
+
+    ``since`` (``yyyy-MM-dd``) reads the parts of that crawl day and later, and the undated one: the periodic job
+    does not open older days."""
+    read = spark.read.format(fmt)
+    if since:
+        days = read.schema(T.StructType([*schema.fields, T.StructField("part", T.StringType())])).load(path)
+        df = days.filter(F.col("part") >= since).drop("part")  # "undated" sorts after every day
+    else:
+        df = read.schema(schema).option("recursiveFileLookup", "true").load(path)
     return None if df.isEmpty() else df
 
 

@@ -158,6 +158,17 @@ def test_insert_reads_only_the_parts_it_needs(spark, monkeypatch):
     assert sorted(r.link for r in got) == sorted([x for x, t in rows if "01-02" in t] + ["new"])
 
 
+def test_job_scan_prunes_days(spark):
+    base = tempfile.mkdtemp(prefix="gripe-since-")
+    rows = [(f"l{i}", f"2024-01-0{1 + i % 3} 10:00:00") for i in range(9)] + [("u", None)]
+    df = spark.createDataFrame(rows, "link string, t string").withColumn("crawled_at", F.to_timestamp("t")).drop("t")
+    SK.upsert_new(df, base + "/s", "link", order_col="crawled_at", part=SK.day_part("crawled_at"))
+    got = CP.load_complaints(spark, base + "/s", since="2024-01-02")
+    assert sorted(r.link for r in got.collect()) == sorted([x for x, t in rows if t is None or t >= "2024-01-02"])
+    assert "PartitionFilters: [isnotnull(part" in got._jdf.queryExecution().toString().replace("\n", " ")
+    assert CP.load_complaints(spark, base + "/s").count() == 10
+
+
 def test_null_order_column_keeps_the_row(spark):
     target = tempfile.mkdtemp(prefix="gripe-nullorder-") + "/s"
     df = spark.createDataFrame([("a", None, "x"), ("b", None, "y"), ("b", 2, "z"), (None, 1, "w")], "link string, o long, v string")
