@@ -31,7 +31,7 @@ from .common import stage_table
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-MAX_CACHED_WORDS = 300_000
+MAX_CACHED_WORDS = 550_000
 ROWS_PER_BUCKET = 500_000
 
 # --- tokens -------------------------------------------------------------------
@@ -40,8 +40,16 @@ ROWS_PER_BUCKET = 500_000
 _LETTERS = "a-zªµºß-öø-ÿ"
 _DIGITS = "0-9²³¹¼½¾"
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^\\s{_LETTERS}{_DIGITS}]+")
-#: Texts with these go through the tokenizer whole: beyond Latin-1, odd white space, special-token strings.
-_OTHER = re.compile("[\x1c-\x1f\x85Ā-\U0010ffff]|<\\|")
+def _plain(text: str) -> bool:
+    """Whether the word pattern holds for ``text``: Latin-1 without odd white space and special-token strings."""
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        if "\x85" in text:
+            return False
+    return not any(c in text for c in ("<|", "\x1c", "\x1d", "\x1e", "\x1f"))
 
 
 class WordTokenizer:
@@ -63,30 +71,34 @@ class WordTokenizer:
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > MAX_CACHED_WORDS:
-            self.known.clear()
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Encode words that are not remembered, and remember them."""
+        found: dict[str, bytes] = {}
         lines = [" ".join(words[i:i + 500]) for i in range(0, len(words), 500)]
         for at, e in enumerate(self.words.encode_batch_fast(lines, add_special_tokens=False)):
             ids = np.array(e.ids, dtype="<u4")
             cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
             raw, start = ids.tobytes(), 0
             for w, stop in zip(words[at * 500:(at + 1) * 500], cuts.tolist()):
-                self.known[w] = raw[start:stop]
+                found[w] = raw[start:stop]
                 start = stop
+        if len(self.known) + len(found) > MAX_CACHED_WORDS:
+            self.known.clear()
+        self.known.update(found)
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _OTHER.search(t) else _WORDS.findall(t.lower()) for t in texts]
+        split = [_WORDS.findall(t.lower()) if _plain(t) else None for t in texts]
         seen: set[str] = set()
         for ws in split:
             seen.update(ws or ())
-        new = [w for w in seen if w not in self.known]
-        if len(self.known) + len(new) > MAX_CACHED_WORDS:
-            self.known.clear()
-            new = list(seen)
+        # one look into the large table for each distinct word; the words of the texts use the small one
+        words = list(seen)
+        here = dict(zip(words, map(self.known.get, words)))
+        new = [w for w, ids in here.items() if ids is None]
         if new:
-            self._learn(new)
-        at = self.known.__getitem__
+            here.update(self._learn(new))
+        at = here.__getitem__
         out = [b"".join(map(at, ws)) if ws is not None else b"" for ws in split]
         for i, ws in enumerate(split):
             if ws is None:
