@@ -14,6 +14,12 @@ Defined cases: null or empty html gives an empty text; nothing is capped,
 whatever the page's length; broken markup is read as far as it goes (an
 unclosed script or comment reaches to the end); equal rows give equal texts;
 an empty table gives an empty result.
+
+Scripts, styles, templates, ``iframe`` fallbacks and the graphics of ``svg``
+are no text; what ``math``, ``object``, ``noscript`` and custom elements hold
+is.  ``<svg/>`` and ``<iframe/>`` are empty.  A graphic that is not closed ends
+at the next HTML tag, and an ``iframe`` that is not closed is empty, so neither
+takes the rest of the page with it.
 """
 
 from __future__ import annotations
@@ -32,10 +38,20 @@ from .labelled_pages import PAGES
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)
-      | <(script|style|noscript|template|svg|iframe|math|object)\b[^>]*>.*?(?:</\1\s*>|\Z)
+      | <(script|style)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)
       | <(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>
       | <(/?)([a-zA-Z][a-zA-Z0-9-]*)([^>]*)>
       | <[!?][^>]*>""", re.S | re.I | re.X)
+_TEMPLATE = re.compile(
+    r"""<!--.*?(?:-->|\Z)
+      | <(script|style)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)
+      | <(/?)(template)(?=[\s/>])[^>]*>""", re.S | re.I | re.X)
+_GRAPHIC = re.compile(
+    r"""<!--.*?(?:-->|\Z)
+      | <!\[CDATA\[.*?(?:\]\]>|\Z)
+      | <(/?)([a-zA-Z][a-zA-Z0-9-]*)(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>
+      | <(/?)([a-zA-Z][a-zA-Z0-9-]*)(?=[\s/>])[^>]*>""", re.S | re.I | re.X)
+_IFRAME = re.compile(r"<(/?)iframe(?=[\s/>])[^>]*>", re.I)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+|[0-9]+")
 _BLANKS = re.compile(r"\s+")
@@ -47,6 +63,9 @@ BLOCK_TAGS = frozenset(
     "figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup "
     "option p pre search section select summary table tbody td textarea tfoot th thead title tr ul".split())
 _VOID = frozenset(("hr",))
+#: HTML tags that cannot stand in a graphic and end it, closed or not.
+_NO_GRAPHIC = BLOCK_TAGS - {"title"} | frozenset(
+    "b big br code em embed font i img listing meta nobr ruby s small span strike strong sub sup tt u var".split())
 #: An opening tag that closes an open one of these kinds first, unless one of the fences lies between.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
            "th": ("td", "th"), "option": ("option",)}
@@ -62,6 +81,39 @@ class Block:
     keep: bool = False
 
 
+def _template_end(page: str, at: int) -> int:
+    """The end of the template opened before ``at``; templates nest."""
+    depth = 1
+    for m in _TEMPLATE.finditer(page, at):
+        if m[3]:
+            depth += -1 if m[2] else 1
+            if not depth:
+                return m.end()
+    return len(page)
+
+
+def _graphic_end(page: str, at: int, depth: int) -> tuple[int, int]:
+    """Where ``depth`` nested graphics, open at ``at``, end or come to a ``foreignObject`` (HTML); and how many stay open."""
+    links = 0
+    for m in _GRAPHIC.finditer(page, at):
+        tag, closing = (m[2] or m[4] or "").lower(), m[1] or m[3]
+        step = -1 if closing else 0 if m[0].endswith("/>") else 1
+        if tag == "svg":
+            depth += step
+            if not depth:
+                return m.end(), 0
+        elif tag == "a":
+            links += step
+            if links < 0:  # closes a link around the graphic
+                return m.start(), 0
+        elif tag == "foreignobject":
+            if step > 0:
+                return m.end(), depth
+        elif tag in _NO_GRAPHIC:
+            return m.start(), 0
+    return len(page), 0
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks of a page in page order, white space squeezed, character references decoded."""
     out: list[Block] = []
@@ -69,6 +121,7 @@ def blocks(page: str) -> list[Block]:
     parts: list[str] = []
     linked: list[str] = []
     link_at = -1  # depth at which the open link began
+    graphics: list[int] = []  # nested graphics around each open foreignObject
 
     def flush() -> None:
         if parts:
@@ -81,7 +134,7 @@ def blocks(page: str) -> list[Block]:
             linked.clear()
 
     at = 0
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             parts.append(page[at:m.start()])
             if link_at >= 0:
@@ -97,6 +150,20 @@ def blocks(page: str) -> list[Block]:
                 parts.append(" ")
             elif tag == "a":
                 link_at = -1 if closing else len(stack)
+            elif attrs and not attrs[0].isspace() and attrs[0] != "/":
+                continue  # another name, as in svg:rect
+            elif tag == "foreignobject" and closing and graphics or tag == "svg" and not closing and not attrs.endswith("/"):
+                at, still = _graphic_end(page, at, graphics.pop() if closing else 1)
+                if closing or still:
+                    parts.append(" ")
+                if still:
+                    graphics.append(still)
+            elif tag == "template" and not closing:
+                at = _template_end(page, at)
+            elif tag == "iframe" and not closing and not attrs.endswith("/"):
+                end = _IFRAME.search(page, at)
+                if end and end[1]:
+                    at = end.end()
             continue
         flush()
         if closing:

@@ -378,6 +378,31 @@ def test_extract_hard_rows(spark, field):
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string"), field).count() == 0
 
 
+@pytest.mark.parametrize("html,want", [
+    ('<p>One <svg class="i"/> two.</p><p>Three.</p>', ["One two.", "Three."]),
+    ('<p>a <svg-icon name="x"></svg-icon> b</p><p>Next para.</p>', ["a b", "Next para."]),
+    ("<template-x><p>In.</p></template-x><object-card>Card</object-card><p>Out.</p>", ["In.", "Card", "Out."]),
+    ("<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds, <math/>always.</p>", ["So x=1 holds, always."]),
+    ("<p>a <svg><title>Icon</title><g><svg><text>1</text></svg><text>2</text></g></svg>b</p>", ["a b"]),
+    ("<p>a <svg><path d='M>0'/></p><p>Next para.</p>", ["a", "Next para."]),
+    ("<p><a href=/>a <svg><a><path/></a></a> b</p>", ["a b"]),
+    ("<svg><foreignObject><div>Label</div></foreignObject><text>2</text></svg><p>Out.</p>", ["Label", "Out."]),
+    ("<p>a <iframe src='/x'/> b <iframe src='/y'></p><p>c <iframe>no frames</iframe>d</p>", ["a b", "c d"]),
+    ("<object data=x><p>Instead of the picture.</p></object><noscript><p>Still.</p></noscript>", ["Instead of the picture.", "Still."]),
+    ("<template><p>x</p><template>y</template>z<!-- </template> --></template><p>Out.</p>", ["Out."]),
+    ("<script>a</scripts>b</script ><p>Out.</p><style>p", ["Out."]),
+])
+def test_elements_that_are_no_text_end(html, want):
+    assert [b.text for b in html_extract.blocks(f"<article>{html}</article>")] == want
+
+
+def test_extract_keeps_the_text_after_an_icon(field):
+    lead, last = "The first sentence of the story, long enough to be read.", "The last sentence of the story, also long enough."
+    for icon in ('<svg class="i"/>', '<svg-icon name="x"></svg-icon>', "<svg><path d='M0'/></svg>"):
+        page = f"<html><body><article><p>{lead} {icon}</p><p>{last}</p></article></body></html>"
+        assert html_extract.main_text(page, field) == f"{lead}\n{last}"
+
+
 def test_extract_whole_table(spark):
     """The pages of the test tables wrap their text in one <article> without menus."""
     import html as htmllib
