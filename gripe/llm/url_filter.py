@@ -2,13 +2,18 @@
 
 Names such as ``cheapflights`` are split into words by a unigram Viterbi
 search, and multinomial naive Bayes over the words of host and path gives the
-verdict.  The unigram counts are those of all page titles (counted with Spark;
-the dictionary keeps the ``dictionary_size`` most frequent words, so its
-broadcast is bounded).  The classifier learns from labelled URLs
-(``LABELLED`` or the caller's own).
+verdict.  The unigram counts are those of the text of all pages.  The classifier
+learns from labelled URLs (``LABELLED`` or the caller's own).
 
-Judging is one scan without a shuffle; names repeat, so each worker remembers
-their words (``MAX_NAMES`` at most).
+Only a name that contains a word of the classifier can have a score.  The counts
+are joined in partitions with the distinct substrings of the distinct such names,
+and exactly the words found there reach the driver and the workers: their number
+follows the names of the table, not its rows, and no word is cut off.  Judging is
+one scan without a shuffle; names repeat, so each worker remembers their words
+(``MAX_NAMES`` at most).
+
+What an unknown word costs, and the least probability of the classifier's words,
+are fixed, so a table of more pages with the same shares gives the same verdicts.
 
 Defined cases: a null URL or one without ``://`` has empty host and path, fits
 no rule and has no words, so the class prior decides (allow); equal rows get
@@ -19,17 +24,24 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from unicodedata import normalize
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DICTIONARY_SIZE = 50_000
+from .html_extract import blocks
+
 PRIOR_BLOCK = 0.2
 MAX_WORD = 24
 MAX_NAMES = 200_000
+SLICE = 50_000
+#: Tenfold less probable with each letter: 10 ** -(UNKNOWN + letters) for an unknown word; a word of the classifier
+#: has at least 10 ** -(1 + letters), letters counted as ``SHORT`` at least.
+UNKNOWN = SHORT = 5
 
 #: (verdict, host, path); a rule is written host + path.
 RULES = (
@@ -64,6 +76,8 @@ LABELLED = {
 }
 
 _LETTERS = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[^\W\d_]+")
+_LOG_10 = math.log(10)
 
 
 def host_of(url: str | Column) -> Column:
@@ -85,28 +99,79 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> tuple[Column, C
     return rule, verdict
 
 
-def title_words(pages: DataFrame, html_col: str = "html", size: int = DICTIONARY_SIZE) -> dict[str, int]:
-    """Counts of the ``size`` most frequent words in the titles of all pages."""
-    title = F.lower(F.regexp_extract(F.coalesce(html_col, F.lit("")), r"(?is)<title[^>]*>(.*?)</title", 1))
-    words = pages.select(F.explode(F.split(title, "[^a-z]+")).alias("w")).filter("w <> ''")
-    top = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "w").limit(size)
-    return {r["w"]: r["n"] for r in top.collect()}  # bounded by ``size``
+def page_words(page: str) -> list[str]:
+    """The words of a page's text in lower case, inline tags and character references resolved."""
+    return [w for b in blocks(page) for w in _WORD.findall(b.text.lower() if b.text.isascii() else normalize("NFC", b.text.lower()))]
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``w, n``: words that can stand in a name, and all others as null."""
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["w", "n"])
+
+    count: Counter[str | None] = Counter()
+    for b in batches:
+        for page in b.column(0).to_pylist():
+            count.update(w if w.isascii() and len(w) <= MAX_WORD else None for w in page_words(page or ""))
+            if len(count) >= SLICE:
+                yield out()
+                count.clear()
+    if count:
+        yield out()
+
+
+def name_parts(urls: DataFrame, bayes: Bayes, url_col: str = "url") -> DataFrame:
+    """``w``: the distinct substrings, of ``MAX_WORD`` letters at most, of all names that contain a word of the classifier."""
+    known = re.compile("|".join(sorted(bayes.odds))) if bayes.odds else re.compile("(?!)")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
+        out: set[str] = set()
+        for b in batches:
+            for host, path in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for name in names_of(host, path):
+                    if name in seen:
+                        continue
+                    if len(seen) >= MAX_NAMES:
+                        seen.clear()
+                    seen.add(name)
+                    if known.search(name):
+                        for at in range(len(name)):
+                            out.update(name[at:end] for end in range(at + 1, min(len(name), at + MAX_WORD) + 1))
+                            if len(out) >= SLICE:
+                                yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.string())], ["w"])
+                                out.clear()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.string())], ["w"])
+
+    return urls.select(host_of(url_col).alias("host"), path_of(url_col).alias("path")).mapInArrow(run, "w string").distinct()
+
+
+def word_counts(pages: DataFrame, bayes: Bayes, url_col: str = "url", html_col: str = "html") -> tuple[dict[str, int], int]:
+    """Counts of the page words that the names can use, and the number of all words."""
+    count = pages.select(html_col).mapInArrow(_counts, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    parts = name_parts(pages, bayes, url_col).withColumn("used", F.lit(True))
+    found = count.join(parts, "w", "left").groupBy(F.when(F.col("used"), F.col("w")).alias("w")).agg(F.sum("n").alias("n"))
+    counts = {r["w"]: r["n"] for r in found.collect()}  # the words in names, and one sum of all others
+    total = sum(counts.values())
+    counts.pop(None, None)
+    return counts, total
 
 
 @dataclass
 class Words:
     """Unigram model of words."""
 
-    counts: dict[str, int]
-    total: float = field(init=False)
+    counts: dict[str, float]
+    total: float = 0.0  # of all words, also those without an entry; 0: the sum of ``counts``
 
     def __post_init__(self):
-        self.total = float(sum(self.counts.values()) or 1)
+        self.total = float(self.total or sum(self.counts.values()) or 1)
 
     def cost(self, w: str) -> float:
-        """-log probability; an unknown word costs more the longer it is."""
-        n = self.counts.get(w)
-        return math.log(self.total) - math.log(n) if n else math.log(self.total) + 2.3 * len(w)
+        """-log probability; an unknown word costs more the longer it is, and a known one never more than if unknown."""
+        n, unknown = self.counts.get(w), (UNKNOWN + len(w)) * _LOG_10
+        return min(math.log(self.total) - math.log(n), unknown) if n else unknown
 
     def split(self, name: str) -> list[str]:
         """The cheapest split of a run of letters (Viterbi over end positions; of equal costs the longer last word)."""
@@ -147,16 +212,21 @@ def fit(labelled: dict[str, tuple] = LABELLED, prior_block: float = PRIOR_BLOCK,
     return Bayes(odds, math.log(prior_block / (1 - prior_block)))
 
 
-def dictionary(corpus: dict[str, int], bayes: Bayes) -> Words:
-    """Corpus counts, in which the classifier's words have at least the mean count of a word."""
-    floor = max(1, round(sum(corpus.values()) / max(1, len(corpus))))
-    return Words(corpus | {w: max(corpus.get(w, 0), floor) for w in bayes.odds})
+def dictionary(corpus: dict[str, int], bayes: Bayes, total: int = 0) -> Words:
+    """Corpus counts (of ``total`` words), in which the classifier's words have a least share that no table's size changes."""
+    total = total or sum(corpus.values()) or 1
+    return Words(corpus | {w: max(corpus.get(w, 0), total * 10.0 ** -(1 + max(SHORT, len(w)))) for w in bayes.odds}, total)
+
+
+def names_of(host: str, path: str) -> list[str]:
+    """The runs of letters in the host's labels (without the last, the top-level domain) and in the path."""
+    return _LETTERS.findall(host.rpartition(".")[0]) + _LETTERS.findall(path.lower())
 
 
 def url_words(host: str, path: str, words: Words, memo: dict) -> list[str]:
-    """Words of the host's labels (without the last, the top-level domain) and of the path."""
+    """Words of all names of a URL."""
     out = []
-    for name in _LETTERS.findall(host.rpartition(".")[0]) + _LETTERS.findall(path.lower()):
+    for name in names_of(host, path):
         if name not in memo:
             if len(memo) >= MAX_NAMES:
                 memo.clear()

@@ -309,6 +309,51 @@ def test_viterbi_is_the_cheapest_split():
             assert math.isclose(sum(map(words.cost, got)), sum(map(words.cost, want)))
 
 
+URL_WORDS = ["freedom", "freeman", "winter", "cheapside", "betsy", "clickhouse", "window", "windsor"]
+
+
+def test_page_words():
+    page = ("<title>A Freedom</title><script>var freedom;</script><style>p{}</style><!-- freedom --><p class=freedom>the&nbsp;free<b>dom</b>, "
+            "f&uuml;r &#252;ber fu\u0308r x1y &amp; z</p>")
+    assert url_filter.page_words(page) == ["a", "freedom", "the", "freedom", "für", "über", "für", "x", "y", "z"]
+
+
+@pytest.mark.parametrize("pages", [1, 300])
+def test_url_words_of_the_whole_text(spark, pages):
+    """Words of the text (not of the titles) stay whole in names, however many pages and more frequent words there are."""
+    bayes = url_filter.fit()
+    body = "<p>" + " ".join([*URL_WORDS, "er te r y man dom side house sor or d"] * 2 + ["filler"] * 500) + "</p>"
+    urls = [f"http://{w}.org/" for w in URL_WORDS] + ["http://onlinecasino.org/", "http://m.freebetsbonus.org/", "http://none.org/", None]
+    df = spark.createDataFrame([(i, u, f"<title>t</title>{body}") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    df = df.crossJoin(spark.range(pages).select()) if pages > 1 else df
+    counts, total = url_filter.word_counts(df, bayes)
+    assert total == len(urls) * pages * (2 * (len(URL_WORDS) + 11) + 500 + 1)
+    assert counts["freedom"] == 2 * len(urls) * pages and "filler" not in counts
+    words = url_filter.dictionary(counts, bayes, total)
+    got = {r.host: r.verdict for r in url_filter.judge(df, words, bayes).collect()}
+    assert got == {f"{w}.org": "allow" for w in URL_WORDS} | {
+        "onlinecasino.org": "block", "m.freebetsbonus.org": "block", "none.org": "allow", "": "allow"}
+
+
+def test_kept_counts_give_the_scores_of_all_counts(spark):
+    bayes, pages = url_filter.fit(), spark.read.parquet(f"{SF001}/pages.parquet")
+    every = {}
+    for r in pages.collect():
+        for w in url_filter.page_words(r.html):
+            every[w] = every.get(w, 0) + 1
+    counts, total = url_filter.word_counts(pages, bayes)
+    assert total == sum(every.values()) and all(every[w] == n for w, n in counts.items())
+    a, b = (sorted(map(repr, url_filter.judge(pages, url_filter.dictionary(c, bayes, total), bayes).collect())) for c in (counts, every))
+    assert a == b
+
+
+def test_size_of_the_table_does_not_matter():
+    bayes, corpus = url_filter.fit(), {"the": 900, "te": 5, "r": 3, "dom": 2, "free": 4, "window": 1}
+    for name in [*URL_WORDS, "onlinecasino", "freebets", "thewindow"]:
+        splits = {tuple(url_filter.dictionary({w: n * k for w, n in corpus.items()}, bayes).split(name)) for k in (1, 1000)}
+        assert len(splits) == 1
+
+
 def test_url_query_over_the_whole_table(spark):
     got = queries.op2_url_filter(spark, SF001).collect()
     pages = {r.page_id: r.url for r in spark.read.parquet(f"{SF001}/pages.parquet").collect()}
