@@ -17,11 +17,12 @@ from gripe.llm.common import stage_table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an identifiable language go: no letter, or two languages equally near."""
+    """Documents without an identifiable language go: no letter, or nothing to learn from.
+
+    A close decision between two languages is a flag of the operator, no reason to go."""
     model = language_id.train(docs.filter(~language_id.held_out("doc_id")))
     found = language_id.identify(docs, model, keep=True)
-    lang, _, close = found.columns[-3:]
-    return found.filter((F.col(lang) != "und") & ~F.col(close)).select(*docs.columns)
+    return found.filter(F.col(found.columns[-3]) != "und").select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import math
 import re
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -97,6 +98,15 @@ def test_pipeline_keeps_clean_documents(spark):
     assert not [r for r in lost if re.search(r"[a-z]{3}", r.text)]
 
 
+def test_pipeline_keeps_close_decisions(spark, make):
+    """Two languages with the same texts are equally near; their documents have a language all the same."""
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 3 != 1][:40]  # all are learned from
+    docs = make([(i, "the cat sat on the mat", ("en", "de")[k % 2], "a") for k, i in enumerate(ids)] + [(100, "12 --", "en", "a")])
+    judged = language_id.identify(docs, language_id.train(docs.filter(~language_id.held_out("doc_id"))))
+    assert judged.filter("ambiguous").count() == 40
+    assert corpus_pipeline.language(spark, docs, "").count() == 40
+
+
 def test_pipeline_hard_rows(spark, make):
     check(spark, make(HARD))
 
