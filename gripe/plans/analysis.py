@@ -19,17 +19,26 @@ from ..operators import dedup as DD
 from ..operators import report as RP
 from ..operators import terms as TM
 from ..operators import topics as TP
+from ..operators.sinks import first_per_key
 from ..session import materialize
 
 
+_COLUMNS = ("doc_id", "company", "date", "link", "crawled_at", "cleaned", "sentiment")
+
+
+def first_per_link(stored: DataFrame) -> DataFrame:
+    """The earliest crawl of each link: the stream stores a link once per crawl day.  Rows without a link all stay."""
+    rows = stored.select(*[c for c in _COLUMNS if c in stored.columns])
+    return first_per_key(rows.filter("link IS NOT NULL"), "link", "crawled_at").unionByName(rows.filter("link IS NULL"))
+
+
 def prepare_store(enriched: DataFrame) -> DataFrame:
     """Null texts dropped, one row per cleaned text (A1, P3), materialised.
 
     Keeper: the smallest ``doc_id`` when there is one, else the earliest
     crawl and then the smallest link (records that came through the stream).
     """
-    cols = [c for c in ("doc_id", "company", "date", "link", "crawled_at", "cleaned", "sentiment")
-            if c in enriched.columns]
+    cols = [c for c in _COLUMNS if c in enriched.columns]
     order = "doc_id" if "doc_id" in cols else [c for c in ("crawled_at", "link") if c in cols]
     return materialize(DD.dedup_text(enriched.select(*cols), "cleaned", order), "store")
 
@@ -102,7 +111,7 @@ def report_rows(tables: dict, max_rows: int = 10_000) -> dict:
 
 def run_job(spark: SparkSession, store_path: str, out_dir: str, lexicon: L.Lexicon = L.REFERENCE,
             fmt: str = "parquet", since: str | None = None) -> dict:
-    """The periodic batch job (T8): store scan → dedup → report + chart tables → one output per table.
+    """The periodic batch job (T8): store scan → first crawl per link → dedup → report + chart tables → one output per table.
 
     ``since`` limits the scan to complaints crawled on that day (``yyyy-MM-dd``) or later.
 
@@ -115,7 +124,7 @@ def run_job(spark: SparkSession, store_path: str, out_dir: str, lexicon: L.Lexic
     raw = load_complaints(spark, store_path, since=since)
     if raw is None:
         return {"n_rows": 0}
-    store = prepare_store(raw)
+    store = prepare_store(first_per_link(raw))
     load_s = time.time() - t0
     res = run_analysis(spark, store, lexicon, load_seconds=load_s)
     tables = {k: v for k, v in res.items() if isinstance(v, DataFrame) and not k.startswith("_")}

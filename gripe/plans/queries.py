@@ -465,18 +465,25 @@ def q_turkish_clean_sentiment(spark, sf):
 
 # --- sinks and streaming -----------------------------------------------------
 
-def _records_json(spark, sf, copies: int = 1) -> str:
+def _records_json(spark, sf, copies: int = 1, days: int = 1) -> str:
     """documents → crawl records as JSON lines in a fresh shared folder
     (``copies`` > 1 writes the same records again as a replay).  Crawl times
     lie within 50 minutes whatever the number of records, less than the
-    watermark delay of one hour, so no first delivery is ever late."""
+    watermark delay of one hour, so no first delivery is ever late.  ``days`` > 1
+    spreads them over that many days, and of each replay every second record
+    was crawled again a day later."""
     from ..session import scratch_path
     d = CP.documents_as_complaints(spark, sf)
     rec = d.select("company", "date", "link", "content",
                    (F.lit(1.7e9) + F.pmod("doc_id", F.lit(3_000_000)) / 1000.0).alias("crawl_timestamp"))
     path = scratch_path(spark, "records-json")
     for i in range(copies):
-        rec.write.mode("append").json(f"{path}/round={i}")
+        if days > 1:
+            day = F.pmod(F.xxhash64("link"), F.lit(2 * days))
+            late = F.floor(day / 2) + F.when(day % 2 == 1, F.lit(i)).otherwise(0)
+            rec.withColumn("crawl_timestamp", F.col("crawl_timestamp") + late * 86400.0).write.mode("append").json(f"{path}/round={i}")
+        else:
+            rec.write.mode("append").json(f"{path}/round={i}")
     return path
 
 
@@ -499,10 +506,11 @@ def q_stream_clean_sentiment(spark, sf):
 
 
 def q_stream_idempotent_sink(spark, sf):
-    """The same records delivered twice (replay), one file per micro-batch: stored once."""
+    """The same records over three crawl days delivered twice, half of them crawled again a day later, one file per
+    micro-batch: stored once per day, read once."""
     from ..operators.sinks import read_store
-    target = _run_stream(spark, _records_json(spark, sf, copies=2), files_per_trigger=4)
-    return read_store(spark, target).select("link", "company", "sentiment")
+    target = _run_stream(spark, _records_json(spark, sf, copies=2, days=3), files_per_trigger=4)
+    return read_store(spark, target, key="link", order_col="crawled_at").select("link", "company", "sentiment")
 
 
 def q_skip_duplicate_insert(spark, sf):

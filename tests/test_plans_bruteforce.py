@@ -114,6 +114,20 @@ def test_stream_job_then_analysis_job(spark):
             "topic_share"} <= set(os.listdir(base + "/out"))
 
 
+def test_job_counts_a_link_crawled_on_two_days_once(spark):
+    rows = [("A", "l1", "fatura iptal", "2024-01-02 10:00:00"), ("A", "l1", "harika", "2024-01-01 10:00:00"),
+            ("A", "l1", "edited", None), ("A", None, "no link", "2024-01-01 10:00:00"), ("B", None, "also no link", None)]
+    raw = spark.createDataFrame(rows, "company string, link string, cleaned string, t string")
+    raw = raw.withColumn("crawled_at", F.to_timestamp("t")).drop("t")
+    assert sorted(r.cleaned for r in AN.first_per_link(raw).collect()) == ["also no link", "harika", "no link"]
+    base = tempfile.mkdtemp(prefix="gripe-days-")
+    docs = [(f"c{i % 3}", "", f"l{i}", f"fatura word{i} word{i % 5} iptal", "NOTR", day) for i in range(60) for day in (1, 2)]
+    store = spark.createDataFrame(docs, "company string, date string, link string, cleaned string, sentiment string, day int")
+    store.select(*[c for c in store.columns if c not in ("cleaned", "day")], F.concat("cleaned", F.lit(" day"), "day").alias("cleaned"),
+                 F.timestamp_seconds(F.col("day") * 86400).alias("crawled_at")).write.parquet(base + "/store")
+    assert AN.run_job(spark, base + "/store", base + "/out", L.FIXTURE)["n_rows"] == 60
+
+
 def test_native_sentiment_equals_pandas_udf_cross_check(spark):
     """The original row-at-a-time UDF, kept only as an Arrow-batched cross-check."""
     import pandas as pd
