@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, hilbert, html_extract, language_id, mixing, packing, simhash, suffix_dedup, url_filter
+from . import (
+    embedding_dedup, exact_dedup, hilbert, html_extract, language_id, mixing, packing, prefix_trie, quality, simhash,
+    suffix_dedup, url_filter, whitening)
 from .common import table
 
 
@@ -57,11 +60,26 @@ def op10_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.hilbert_shards(table(spark, sf_dir, "documents")).drop("cell")
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))  # null beyond the range of a long
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_embedding_near_dedup, op2_url_filter, op3_exact_dedup, op4_language_id, op5_simhash_near_dedup,
         op6_html_extract, op7_source_mixing,
-        op8_suffix_dedup, op9_best_fit_packing, op10_hilbert_sharding)
+        op8_suffix_dedup, op9_best_fit_packing, op10_hilbert_sharding, op11_quality_classifier,
+        op12_embedding_whitening, op13_conversation_trie)
 }
 
 ORACLE_SQL: dict[str, str] = {
