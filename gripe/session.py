@@ -160,3 +160,52 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def list_names(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Name and length of everything directly below a folder, sorted; nothing where the folder is missing."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted((s.getPath().getName(), int(s.getLen())) for s in fs.listStatus(p))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file (a marker or a manifest) that appears whole: written beside its place, then renamed."""
+    fs, p = _fs(spark, path)
+    _, beside = _fs(spark, path + ".new")
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(beside, p):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark reads; nothing happens where it is missing."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def move(spark: SparkSession, src: str, dst: str) -> None:
+    fs, a = _fs(spark, src)
+    _, b = _fs(spark, dst)
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"cannot move {src} to {dst}")

@@ -86,8 +86,8 @@ def idempotent_batch(target: str, key: str = "link", quarantine: str | None = No
             if not bad.isEmpty():  # no empty files per micro-batch in the quarantine table
                 put_aside(bad, batch_id, "no record or no key")
             good = b.filter(usable).select(*[c for c in STORE_COLUMNS if c in b.columns])
-            SK.upsert_new(good, target, key, order_col="crawled_at", hashed_key=hashed_key,
-                          part=SK.day_part("crawled_at"))
+            SK.insert_unique(good, target, key, order_col="crawled_at", hashed_key=hashed_key,
+                             part=SK.day_part("crawled_at"))
             for sink in extra_sinks or []:
                 sink(good, batch_id)
         except Exception as e:  # noqa: BLE001
