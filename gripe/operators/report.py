@@ -22,9 +22,9 @@ def _categories(spark: SparkSession, col: str, labels: Sequence, dtype: T.DataTy
     return spark.createDataFrame([(v, i + 1) for i, v in enumerate(labels)], schema)
 
 
-def company_volume(df: DataFrame, by: str = "company") -> DataFrame:
-    """Row count per company, largest first, name as tie-break (A4)."""
-    return (df.filter(F.col(by).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+def company_volume(df: DataFrame, by: str = "company", n: str | None = None) -> DataFrame:
+    """Row count per company, largest first, name as tie-break (A4).  ``n``: a column of counts, as below."""
+    return (df.filter(F.col(by).isNotNull()).groupBy(by).agg((F.sum(n) if n else F.count(F.lit(1))).alias("n"))
             .orderBy(F.desc("n"), F.asc(by)))
 
 
@@ -67,21 +67,25 @@ def share_of_rows(counts: DataFrame, count_col: str = "n", digits: int | None =
 
 
 def crosstab_pct(df: DataFrame, row: str, col: str, values: Sequence, names: Sequence[str] | None = None,
-                 digits: int | None = None) -> DataFrame:
+                 digits: int | None = None, n: str | None = None) -> DataFrame:
     """Row-normalised crosstab ×100 with one column per listed value.
 
+    ``n``: a column of counts when ``df`` is already aggregated.
+
     One aggregate of conditional counts per row key (partial aggregation,
     one shuffle; no pivot job).  A value no row has still gets a column (0).
     Rows with a null ``row`` or ``col`` are left out, as a crosstab does.
     """
     names = list(names or [str(v) for v in values])
     r, c = F.col(row), F.col(col)
-    counts = [F.count(F.when(c == F.lit(v), F.lit(1))).alias(f"_n{i}") for i, v in enumerate(values)]
-    agg = df.filter(r.isNotNull()).groupBy(row).agg(*counts, F.count(c).alias("_total"))
+    one = F.col(n) if n else F.lit(1)
+    counts = [F.coalesce(F.sum(F.when(c == F.lit(v), one)), F.lit(0)).alias(f"_n{i}") for i, v in enumerate(values)]
+    total = F.coalesce(F.sum(F.when(c.isNotNull(), one)), F.lit(0)).alias("_total")
+    agg = df.filter(r.isNotNull()).groupBy(row).agg(*counts, total)
     out = [F.col(row)]
-    for i, n in enumerate(names):
+    for i, name in enumerate(names):
         pct = F.col(f"_n{i}") * 100.0 / F.col("_total")
-        out.append((round2(pct, digits) if digits is not None else pct).alias(n))
+        out.append((round2(pct, digits) if digits is not None else pct).alias(name))
     return agg.filter(F.col("_total") > 0).select(*out)
 
 

@@ -81,12 +81,22 @@ def tfidf_by_company(df: DataFrame, text: str = "cleaned", stop: Sequence[str] =
     idf = ln((1 + N) / (1 + df)) + 1 with N companies and df the number of
     companies using the term; the norm runs over the vocabulary terms only.
     """
-    # every company is a document, also one whose text has no term left: each row adds one null term, so the companies
-    # are counted from the same pass over the input
+    return tfidf_from_counts(company_terms(df, text, stop, by), size, top, by)
+
+
+def company_terms(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (), by: str = "company", *more: str) -> DataFrame:
+    """(company, term) → tf, with one null term per row; ``more`` are further grouping columns.
+
+    Every company is a document, also one whose text has no term left: each row adds one null term, so the companies
+    are counted from the same pass over the input."""
     tokens = F.array_append(F.coalesce(TX.word_tokens(text), F.array().cast("array<string>")), F.lit(None).cast("string"))
-    e = df.filter(F.col(by).isNotNull()).select(by, F.explode(tokens).alias("term"))
-    every = (e.filter(F.col("term").isNull() | _not_stop(F.col("term"), stop))
-             .groupBy(by, "term").agg(F.count(F.lit(1)).alias("tf")))
+    e = df.filter(F.col(by).isNotNull()).select(*more, by, F.explode(tokens).alias("term"))
+    return (e.filter(F.col("term").isNull() | _not_stop(F.col("term"), stop))
+            .groupBy(*more, by, "term").agg(F.count(F.lit(1)).alias("tf")))
+
+
+def tfidf_from_counts(every: DataFrame, size: int = 30, top: int | None = 5, by: str = "company") -> DataFrame:
+    """TF-IDF from the counts of :func:`company_terms`."""
     n_docs = every.filter(F.col("term").isNull()).agg(F.count(F.lit(1))).scalar()
     tf = every.filter(F.col("term").isNotNull())
     stats = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
@@ -105,10 +115,14 @@ def tfidf_by_company(df: DataFrame, text: str = "cleaned", stop: Sequence[str] =
 
 def top_bigrams(df: DataFrame, text: str = "cleaned", n: int = 15) -> DataFrame:
     """The ``n`` most frequent adjacent word pairs of the corpus, no stop list."""
-    toks = df.select(TX.word_tokens(text).alias("_t"))  # built once, read 4 times below
-    e = toks.select(F.explode(TX.bigrams("_t")).alias("bigram"))
-    counts = e.groupBy("bigram").agg(F.count(F.lit(1)).alias("n"))
-    return vocabulary(counts, n, freq="n", term="bigram")
+    return vocabulary(bigram_counts(df, text), n, freq="n", term="bigram")
+
+
+def bigram_counts(df: DataFrame, text: str = "cleaned", *more: str) -> DataFrame:
+    """Every adjacent word pair with its count; ``more`` are further grouping columns."""
+    toks = df.select(*more, TX.word_tokens(text).alias("_t"))  # built once, read 4 times below
+    e = toks.select(*more, F.explode(TX.bigrams("_t")).alias("bigram"))
+    return e.groupBy(*more, "bigram").agg(F.count(F.lit(1)).alias("n"))
 
 
 def word_edges(bigram_counts: DataFrame, k: float = 4.0) -> DataFrame:
@@ -162,9 +176,21 @@ def cloud_words(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (),
     count (a word left with no count is dropped).  Pairs do not span
     documents.
     """
-    stop_s = sorted(set(stop))
-    e = df.filter(F.col(by).isNotNull()).select(by, F.explode(F.split(text, f"[{TX.WS_CLASS}]+")).alias("word"))
-    counts = e.filter(F.col("word") != "").groupBy(by, "word").agg(F.count(F.lit(1)).alias("n"))
+    counts = company_words(df, text, by)
+    return cloud_from_counts(counts, stop, n, min_len, min_chars, by, df if collocations else None, text, threshold)
+
+
+def company_words(df: DataFrame, text: str = "cleaned", by: str = "company", *more: str) -> DataFrame:
+    """(company, word) → n over white-space tokens; ``more`` are further grouping columns."""
+    e = df.filter(F.col(by).isNotNull()).select(*more, by, F.explode(F.split(text, f"[{TX.WS_CLASS}]+")).alias("word"))
+    return e.filter(F.col("word") != "").groupBy(*more, by, "word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def cloud_from_counts(counts: DataFrame, stop: Sequence[str] = (), n: int = 60, min_len: int = 3, min_chars: int = 11,
+                      by: str = "company", texts: DataFrame | None = None, text: str = "cleaned",
+                      threshold: float = 30.0) -> DataFrame:
+    """The cloud from the counts of :func:`company_words`; with ``texts`` also word pairs, which need the rows."""
+    stop_s, df, collocations = sorted(set(stop)), texts, texts is not None
     counts = counts.withColumn("kept", (F.char_length("word") >= min_len) & ~F.col("word").isin(stop_s))
     if collocations:  # read six times below: written once, one narrow row per (company, word)
         counts = materialize(counts, "cloud-words")

@@ -137,6 +137,11 @@ def _sql() -> dict[str, str]:
         f"FROM risk WHERE company IS NOT NULL AND risk_group IS NOT NULL GROUP BY company")
     s["company_volume"] = with_base(
         "SELECT company, count(*) AS n FROM store WHERE company IS NOT NULL GROUP BY company")
+    s["refresh_volume_risk"] = with_base(
+        "SELECT company, count(*) AS n, "
+        + ", ".join(f"round_even(count(*) FILTER (WHERE risk_group = {g}) * 100.0::DOUBLE / count(*), 2) AS {c}"
+                    for g, c in ((low, "low"), (mid, "mid"), (crit, "critical")))
+        + " FROM risk WHERE company IS NOT NULL AND risk_group IS NOT NULL GROUP BY company")
     s["high_risk_rows"] = with_base(
         "SELECT doc_id, company, CAST(rule_risk AS INT) AS rule_risk FROM risk WHERE rule_risk >= 75")
     s["rule_risk_summary"] = with_base(
@@ -164,6 +169,7 @@ w AS (SELECT tf.company, tf.term, tf.tf * (ln((1 + nd.n) / (1 + voc.df)) + 1) AS
 x AS (SELECT company, term, w / sqrt(sum(w * w) OVER (PARTITION BY company)) AS tfidf FROM w),
 r AS (SELECT *, row_number() OVER (PARTITION BY company ORDER BY tfidf DESC, term ASC) AS rank FROM x)
 SELECT company, term, CAST(rank AS INTEGER) AS rank, round(tfidf, 6) AS tfidf FROM r WHERE rank <= 5""")
+    s["refresh_tfidf"] = s["tfidf_top5"]
     s["bigram_top15"] = with_base(f",{BIGRAMS}\nSELECT bigram, n FROM bc")
     s["word_edges"] = with_base(
         f",{BIGRAMS}\nSELECT src, dst, weight, round(weight * 4.0 / max(weight) OVER (), 6) AS width FROM edges")
@@ -330,6 +336,11 @@ r AS (SELECT a.site, a.page_no, a.k - coalesce(max(b.k), 0) AS quiet FROM o a
       LEFT JOIN o b ON a.site = b.site AND b.k <= a.k AND b.n_new > 0 GROUP BY a.site, a.page_no, a.k)
 SELECT site, count(*) AS n_pages, min(CASE WHEN page_no > 10 AND quiet >= 10 THEN page_no END) AS stop_page
 FROM r GROUP BY site"""
+    s["stream_low_yield_stop"] = (
+        f"WITH stops AS ({s['crawl_low_yield_stop']}) SELECT site, (SELECT count(DISTINCT floor(epoch_us(ts) / 3600000000.0)) "
+        "FROM events WHERE user_id = site AND floor(epoch_us(ts) / 3600000000.0) - floor(epoch_us(TIMESTAMP '2024-01-01') "
+        "/ 3600000000.0) + 1 <= stop_page) AS n_pages, CAST(stop_page AS BIGINT) AS stop_page FROM stops WHERE stop_page IS NOT NULL")
+    s["stream_seen_links"] = s["new_links_antijoin"]
     company = f"coalesce(CASE " + " ".join(
         f"WHEN starts_with(url, {q(p)}) THEN {q(n)}" for n, p in sorted(L.CRAWL_TARGETS, key=lambda t: -len(t[1]))
     ) + f" END, regexp_extract(url, '{URL_RE}', 2))"

@@ -282,14 +282,18 @@ def q_page_records(spark, sf):
     return r.select("link", "company", "date", "content", "crawl_timestamp")
 
 
-def q_crawl_low_yield_stop(spark, sf):
+def _crawl_log(spark, sf):
     """A crawl log from ``events``: site := user, listing page := hour since the start of 2024 (hours without
-    events are pages never crawled), new links := purchases in that hour; then the page where each site stops (T9)."""
+    events are pages never crawled), new links := purchases in that hour."""
     e = spark.read.parquet(f"{sf}/events.parquet")
     hour = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit("2024-01-01 00:00:00").cast("timestamp"))) / F.lit(3_600_000_000)) + 1
-    log = e.groupBy(F.col("user_id").alias("site"), hour.cast("int").alias("page_no")).agg(
+    return e.groupBy(F.col("user_id").alias("site"), hour.cast("int").alias("page_no")).agg(
         F.sum((F.col("event_type") == "purchase").cast("long")).alias("n_new"))
-    return LK.low_yield_stop(log, "site", "page_no", "n_new")
+
+
+def q_crawl_low_yield_stop(spark, sf):
+    """The page where the crawl of each site stops."""
+    return LK.low_yield_stop(_crawl_log(spark, sf), "site", "page_no", "n_new")
 
 
 def q_stream_watermark_dedup(spark, sf):
@@ -513,6 +517,47 @@ def q_stream_idempotent_sink(spark, sf):
     return read_store(spark, target).select("link", "company", "sentiment")
 
 
+def _stream_rounds(spark, df, round_col: str, rounds: int, stream_of, per_trigger: int) -> DataFrame:
+    """``df`` written round by round (files in that order of time), read as a stream of several micro-batches through a
+    stateful operator; the rows it emitted."""
+    from ..session import scratch_path
+    src, out, ckpt = (scratch_path(spark, n) for n in ("rounds", "rounds-out", "rounds-ckpt"))
+    for k in range(rounds):
+        df.filter(F.col(round_col) == k).drop(round_col).write.mode("append").parquet(src)
+    rows = spark.readStream.schema(df.drop(round_col).schema).option("maxFilesPerTrigger", per_trigger).parquet(src)
+    found = stream_of(rows)
+
+    def put(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    q = (found.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(found.schema).parquet(f"{out}/*")
+
+
+def q_stream_seen_links(spark, sf):
+    """The seen set as keyed stream state: admitted links in three crawl rounds, the crawled pages as history; each new
+    link is emitted once (U2, J1, T6)."""
+    from ..streaming import state as ST
+    found = LK.admit_links(_page_links(spark, sf), TEST_DOMAIN).select(
+        "link", F.col("page_id").cast("double").alias("crawl_timestamp"), F.pmod("page_id", F.lit(3)).alias("round"))
+    seen = _pages(spark, sf).select(F.col("url").alias("link"), F.lit(0.0).alias("crawl_timestamp"))
+    got = _stream_rounds(spark, found, "round", 3, lambda s: ST.first_sightings(s, seen=seen), 4)
+    return got.select("link")
+
+
+def q_stream_low_yield_stop(spark, sf):
+    """The low-yield stop as keyed stream state over the crawl log in four ranges of pages: each site's stop once."""
+    from ..streaming import state as ST
+    log = _crawl_log(spark, sf)
+    top = log.agg(F.max("page_no")).scalar() + 1
+    # the rows of a site in one range of pages are in one file, so its pages arrive in order
+    log = log.withColumn("round", F.floor(F.col("page_no") * 4 / top)).repartition("site")
+    got = _stream_rounds(spark, log, "round", 4, lambda s: ST.stop_pages(s, "site", "page_no", "n_new"), 6)
+    return got.select("site", "n_pages", "stop_page")
+
+
 def q_skip_duplicate_insert(spark, sf):
     """Batch insert into a store with a unique cleaned-text key, run twice: one row per text,
     the smallest doc_id kept."""
@@ -525,6 +570,36 @@ def q_skip_duplicate_insert(spark, sf):
     return read_store(spark, target).select("doc_id", "company", "cleaned")
 
 
+def _refreshed(spark, sf) -> dict[str, DataFrame]:
+    """documents as records of three crawl days, stored day by day; the incremental report runs after each day and
+    reads that day only.  Crawl times follow doc_id, so the first copy of a text is that with the smallest id."""
+    from ..operators.sinks import day_part, insert_unique
+    from ..session import scratch_path
+    from . import refresh as RF
+    store_path, state = scratch_path(spark, "refresh-store"), scratch_path(spark, "refresh-state")
+    e = enriched(spark, sf).select("doc_id", "company", "date", "link", "cleaned", "sentiment")
+    top = e.agg(F.max("doc_id")).scalar() + 1
+    day = F.floor(F.col("doc_id") * 3 / top)
+    e = e.withColumn("crawled_at", F.timestamp_micros(F.lit(1_704_067_200_000_000) + day * 86_400_000_000 + F.col("doc_id")))
+    rec = AN.materialize(e.withColumn("day", day), "refresh-records")
+    for k in range(3):
+        insert_unique(rec.filter(F.col("day") == k).drop("day", "doc_id"), store_path, "link", order_col="crawled_at",
+                      part=day_part("crawled_at"))
+        RF.update(spark, store_path, state, LEX)
+    return RF.tables(spark, state, LEX)
+
+
+def q_refresh_tfidf(spark, sf):
+    """TF-IDF top terms of the incremental report: equal to the full run."""
+    return _refreshed(spark, sf)["tfidf_top5"].select("company", "term", "rank", F.round("tfidf", R6).alias("tfidf"))
+
+
+def q_refresh_volume_risk(spark, sf):
+    """Volumes and risk groups of the incremental report: equal to the full run."""
+    t = _refreshed(spark, sf)
+    return t["company_volume"].join(t["risk_heatmap"], "company")
+
+
 # --- more sources ------------------------------------------------------------
 
 def q_csv_roundtrip(spark, sf):
@@ -620,7 +695,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_clean_sentiment": q_stream_clean_sentiment,
     "stream_idempotent_sink": q_stream_idempotent_sink,
     "stream_watermark_dedup": q_stream_watermark_dedup,
+    "stream_seen_links": q_stream_seen_links,
+    "stream_low_yield_stop": q_stream_low_yield_stop,
     "skip_duplicate_insert": q_skip_duplicate_insert,
+    "refresh_tfidf": q_refresh_tfidf,
+    "refresh_volume_risk": q_refresh_volume_risk,
     "csv_roundtrip": q_csv_roundtrip,
     "history_roundtrip": q_history_roundtrip,
     "store_scan": q_store_scan,
