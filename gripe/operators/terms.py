@@ -113,11 +113,53 @@ def tfidf_from_counts(every: DataFrame, size: int = 30, top: int | None = 5, by:
     return out.withColumn("rank", rn).filter(F.col("rank") <= top)
 
 
+def top_bigrams_sketched(df: DataFrame, text: str = "cleaned", n: int = 15, **options) -> DataFrame:
+    """The same as :func:`top_bigrams` for corpora whose distinct pairs are too many to shuffle: ``df`` should be a stored
+    table, because it is read three times (:func:`heavy_hitters`)."""
+    toks = df.select(TX.word_tokens(text).alias("_t"))
+    return heavy_hitters(toks.select(F.explode(TX.bigrams("_t")).alias("bigram")), "bigram", n, **options)
+
+
 def top_bigrams(df: DataFrame, text: str = "cleaned", n: int = 15) -> DataFrame:
     """The ``n`` most frequent adjacent word pairs of the corpus, no stop list."""
     return vocabulary(bigram_counts(df, text), n, freq="n", term="bigram")
 
 
+def heavy_hitters(items: DataFrame, item: str, n: int, sample: float = 0.01, depth: int = 3, width: int = 1 << 16,
+                  trial: int = 1000) -> DataFrame:
+    """The ``n`` most frequent values of ``item`` with their exact counts ``n``, ties by value, without a shuffle of every
+    distinct value (M15, K1).
+
+    1. The counts of the ``trial`` values that are most frequent in a hash sample are taken over all rows; the n-th
+       largest of these true counts is a lower bound on the n-th largest of all.
+    2. In the same pass every row adds to one of ``width`` cells in each of ``depth`` rows of a count-min sketch.  A value can
+       reach the bound only if each of its cells does.
+    3. A second pass counts exactly the values all of whose cells reach the bound.
+
+    The sample decides how many values the second pass counts, not which come out.  A task sends at most
+    depth x width cells and ``trial`` counts, and in the second pass only candidates; the broadcast tables hold the trial values and
+    the cells that reach the bound.  ``items`` is read three times.  Null values are left out."""
+    rows = items.filter(F.col(item).isNotNull()).select(F.col(item).alias("item"))
+    drawn = rows.sample(fraction=sample, seed=7).groupBy("item").agg(F.count(F.lit(1)).alias("c"))
+    # at most ``trial`` values reach the driver's broadcast, and at most ``n`` counts the driver
+    likely = F.broadcast(materialize(drawn.orderBy(F.desc("c"), F.asc("item")).limit(trial).select("item"), "topk-trial"))
+    cells = [F.struct(F.lit(d).alias("d"), F.pmod(F.xxhash64("item", F.lit(d)), F.lit(width)).alias("cell"),
+                      F.lit(None).cast("string").alias("item")) for d in range(depth)]
+    told = rows.join(likely.withColumn("_likely", F.lit(True)), "item", "left")
+    own = F.struct(F.lit(-1).alias("d"), F.lit(0).cast("long").alias("cell"), F.col("item").cast("string").alias("item"))
+    marks = told.select(F.explode(F.when(F.col("_likely"), F.array(own, *cells)).otherwise(F.array(*cells))).alias("m"))
+    counts = materialize(marks.groupBy("m.d", "m.cell", "m.item").agg(F.count(F.lit(1)).alias("c")), "topk-sketch")
+    best = [r["c"] for r in counts.filter("d = -1").orderBy(F.desc("c")).limit(n).collect()]
+    bound = best[-1] if len(best) == n else 1
+    heavy = counts.filter((F.col("d") >= 0) & (F.col("c") >= bound)).select("d", "cell")
+    kept = rows.select("item", *[F.pmod(F.xxhash64("item", F.lit(d)), F.lit(width)).alias(f"c{d}") for d in range(depth)])
+    for d in range(depth):  # at most ``width`` cells each
+        mine = heavy.filter(F.col("d") == d).select(F.col("cell").alias(f"c{d}"))
+        kept = kept.join(F.broadcast(mine), f"c{d}", "left_semi")
+    exact = kept.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    return vocabulary(exact, n, freq="n", term="item").select(F.col("item").alias(item), "n")
+
+
 def bigram_counts(df: DataFrame, text: str = "cleaned", *more: str) -> DataFrame:
     """Every adjacent word pair with its count; ``more`` are further grouping columns."""
     toks = df.select(*more, TX.word_tokens(text).alias("_t"))  # built once, read 4 times below

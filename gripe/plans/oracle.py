@@ -171,6 +171,11 @@ r AS (SELECT *, row_number() OVER (PARTITION BY company ORDER BY tfidf DESC, ter
 SELECT company, term, CAST(rank AS INTEGER) AS rank, round(tfidf, 6) AS tfidf FROM r WHERE rank <= 5""")
     s["refresh_tfidf"] = s["tfidf_top5"]
     s["bigram_top15"] = with_base(f",{BIGRAMS}\nSELECT bigram, n FROM bc")
+    s["bigram_top15_sketched"] = s["bigram_top15"]
+    s["phrase_hits_automaton"] = s["phrase_hits_joined"] = (
+        "WITH w AS (SELECT string_split(lower(text), ' ') AS w FROM benchmark), "
+        "p AS (SELECT DISTINCT array_to_string(w[i:i + 1], ' ') AS phrase FROM w, range(1, greatest(len(w), 2)) r(i)) "
+        "SELECT doc_id, CAST((SELECT count(*) FROM p WHERE contains(lower(coalesce(text, '')), phrase)) AS INT) AS hits FROM documents")
     s["word_edges"] = with_base(
         f",{BIGRAMS}\nSELECT src, dst, weight, round(weight * 4.0 / max(weight) OVER (), 6) AS width FROM edges")
     s["word_nodes"] = with_base(

@@ -18,6 +18,7 @@ from ..functions import scoring as SC
 from ..functions import sentiment as S
 from ..functions import text as TX
 from ..functions import dates as DT
+from ..functions import phrases as PH
 from ..functions import jsonio as JS
 from ..operators import churn as CH
 from ..operators import links as LK
@@ -193,6 +194,35 @@ def q_bigram_top15(spark, sf):
     return TM.top_bigrams(store(spark, sf), "cleaned", 15)
 
 
+def q_bigram_top15_sketched(spark, sf):
+    """The same word pairs without a shuffle of every distinct pair: a sketch bounds the candidates, a second pass counts
+    them exactly (M15, K1)."""
+    st = AN.materialize(store(spark, sf, carry=["cleaned"]), "sketch-store")
+    return TM.top_bigrams_sketched(st, "cleaned", 15)
+
+
+def _benchmark_pairs(spark, sf) -> DataFrame:
+    """A phrase list that comes from data: the distinct adjacent word pairs of the benchmark texts."""
+    words = F.split(F.lower(F.col("text")), " ")
+    b = spark.read.parquet(f"{sf}/benchmark.parquet").select(words.alias("w"))
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 1, F.lit(1))),
+                        lambda i: F.concat_ws(" ", F.slice("w", i, F.lit(2))))
+    return b.select(F.explode(pairs).alias("phrase")).distinct()
+
+
+def q_phrase_hits_automaton(spark, sf):
+    """How many listed phrases occur in each text: one walk of a broadcast automaton per text."""
+    listed = [r["phrase"] for r in _benchmark_pairs(spark, sf).collect()]  # refused beyond MAX_BYTES
+    d = CP.documents_as_complaints(spark, sf).select("doc_id", F.lower("content").alias("t"))
+    return PH.count_phrases(d, listed, "t").select("doc_id", "hits")
+
+
+def q_phrase_hits_joined(spark, sf):
+    """The same with a phrase table of any size, joined by the phrases' first characters."""
+    d = CP.documents_as_complaints(spark, sf).select("doc_id", F.lower("content").alias("t"))
+    return PH.count_phrases_joined(d, _benchmark_pairs(spark, sf), "doc_id", "t", gram=8).select("doc_id", "hits")
+
+
 def q_word_edges(spark, sf):
     e = TM.word_edges(TM.top_bigrams(store(spark, sf), "cleaned", 15))
     return e.select("src", "dst", "weight", F.round("width", R6).alias("width"))
@@ -662,6 +692,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vocab_top1000": q_vocab_top1000,
     "tfidf_top5": q_tfidf_top5,
     "bigram_top15": q_bigram_top15,
+    "bigram_top15_sketched": q_bigram_top15_sketched,
+    "phrase_hits_automaton": q_phrase_hits_automaton,
+    "phrase_hits_joined": q_phrase_hits_joined,
     "word_edges": q_word_edges,
     "word_nodes": q_word_nodes,
     "cloud_words": q_cloud_words,
