@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import lexicons as L
 from ..functions import scoring as SC
 from ..functions import sentiment as S
+from ..session import materialize
 
 FEATURES = ["crit_hits", "mid_hits", "sentiment_weight", "is_billing", "is_infra"]
 
@@ -48,6 +49,60 @@ def hash_split(df: DataFrame, key: str = "link", test_pct: int = 20) -> tuple[Da
             b.filter(F.col("_bucket") < test_pct).drop("_bucket"))
 
 
+def _kth(df: DataFrame, col: str, k: int, bits: int = 60, digit: int = 12) -> tuple[int, int, int]:
+    """The ``k``-th smallest value of a non-negative number below 2^bits, the rows below it, and the rows equal to it.
+
+    Nested histograms: each pass counts the rows of one bucket of the pass before by their next ``digit`` bits, so at
+    most 2^digit counts reach the driver, whatever the number of rows."""
+    prefix, left = 0, k
+    rows = df
+    for shift in range(bits - digit, -1, -digit):
+        cell = F.shiftright(F.col(col), shift)
+        if shift + digit < bits:
+            rows = df.filter(F.shiftright(F.col(col), shift + digit) == prefix)
+        counts = sorted((r["cell"], r["count"]) for r in rows.groupBy(cell.alias("cell")).count().collect())
+        for prefix, n in counts:
+            if left <= n:
+                break
+            left -= n
+        else:
+            raise ValueError("k exceeds the number of rows")
+    return prefix, k - left, n
+
+
+def _hash60(c):
+    return F.conv(F.substring(F.md5(c), 1, 15), 16, 10).cast("long")
+
+
+def exact_split(df: DataFrame, key: str = "link", test_share: float = 0.2) -> DataFrame:
+    """``df`` with ``is_test``: true for exactly ceil(test_share x rows), those with the smallest hash of the key (M9).
+
+    Rows whose keys have one hash are taken by a hash of the whole row, and rows that are equal in every column by
+    number, so the count is exact whatever repeats.  A null key counts as empty.  The rows are written once; thresholds
+    come from nested histograms of their hashes, nothing is sorted."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    src = df.toDF(*names)
+    whole = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+    rows = materialize(src.select(*names, _hash60(F.coalesce(F.col(names[df.columns.index(key)]).cast("string"), F.lit(""))).alias("h1"),
+                                  _hash60(whole).alias("h2"), F.monotonically_increasing_id().alias("h3")), "split")
+    total = rows.count()
+    need, same, is_test = -(-total * round(test_share * 10 ** 9) // 10 ** 9), rows, F.lit(False)
+    for h, bits in (("h1", 60), ("h2", 60), ("h3", 63)):
+        if need <= 0:
+            break
+        bits = bits + (-bits) % 12
+        value, below, equal = _kth(same, h, need, bits)
+        tied = F.lit(True) if same is rows else met  # noqa: F821 - the rows equal in the hashes before
+        is_test = is_test | (tied & (F.col(h) < value))
+        need -= below
+        if need == equal:
+            is_test = is_test | (tied & (F.col(h) == value))
+            break
+        met = tied & (F.col(h) == value)
+        same = rows.filter(met)
+    return rows.select(*names, is_test.alias("is_test")).toDF(*df.columns, "is_test")
+
+
 def binary_metrics(df: DataFrame, label: str = "churn_label", pred: str = "prediction") -> DataFrame:
     """Accuracy, precision, recall and F1 of class 1 in one pass; 0 when undefined."""
     y, p = F.col(label).cast("int"), F.col(pred).cast("int")

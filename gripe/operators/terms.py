@@ -203,7 +203,7 @@ def _dunning(c12: Column, c1: Column, c2: Column, n: Column) -> Column:
 
 def cloud_words(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (), n: int = 60,
                 min_len: int = 3, min_chars: int = 11, by: str = "company",
-                collocations: bool = False, threshold: float = 30.0) -> DataFrame:
+                collocations: bool = False, threshold: float = 30.0, fold: bool = False) -> DataFrame:
     """Per-company word frequencies for the word cloud.
 
     Words are whitespace tokens not in the stop list with at least
@@ -217,9 +217,11 @@ def cloud_words(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (),
     entry ``"a b"`` with the pair count, and each of the two words loses that
     count (a word left with no count is dropped).  Pairs do not span
     documents.
+
+    ``fold=True`` merges case forms and plurals (:func:`fold_forms`); it is for texts that keep their case.
     """
     counts = company_words(df, text, by)
-    return cloud_from_counts(counts, stop, n, min_len, min_chars, by, df if collocations else None, text, threshold)
+    return cloud_from_counts(counts, stop, n, min_len, min_chars, by, df if collocations else None, text, threshold, fold)
 
 
 def company_words(df: DataFrame, text: str = "cleaned", by: str = "company", *more: str) -> DataFrame:
@@ -230,7 +232,7 @@ def company_words(df: DataFrame, text: str = "cleaned", by: str = "company", *mo
 
 def cloud_from_counts(counts: DataFrame, stop: Sequence[str] = (), n: int = 60, min_len: int = 3, min_chars: int = 11,
                       by: str = "company", texts: DataFrame | None = None, text: str = "cleaned",
-                      threshold: float = 30.0) -> DataFrame:
+                      threshold: float = 30.0, fold: bool = False) -> DataFrame:
     """The cloud from the counts of :func:`company_words`; with ``texts`` also word pairs, which need the rows."""
     stop_s, df, collocations = sorted(set(stop)), texts, texts is not None
     counts = counts.withColumn("kept", (F.char_length("word") >= min_len) & ~F.col("word").isin(stop_s))
@@ -246,12 +248,34 @@ def cloud_from_counts(counts: DataFrame, stop: Sequence[str] = (), n: int = 60,
               .filter(F.col("kept") | (F.col("_kept_len") < min_chars)))
     if collocations:
         chosen = _merge_collocations(df, chosen, stop_s, min_len, min_chars, by, text, threshold)
+    if fold:
+        chosen = fold_forms(chosen, by)
     rn = F.row_number().over(Window.partitionBy(by).orderBy(F.desc("n"), F.asc("word")))
     top = chosen.withColumn("rank", rn).filter(F.col("rank") <= n)
     rel = F.col("n") / F.max("n").over(Window.partitionBy(by))
     return top.select(by, "word", "n", "rank", rel.alias("rel"))
 
 
+def fold_forms(counts: DataFrame, by: str = "company") -> DataFrame:
+    """(by, word, n) with one row for all forms of a word.
+
+    A word ending in one ``s`` counts for the word without it where the company uses that one too (compared
+    without case).  Case forms are merged to the commonest of them, ties to the smallest.  Aggregates and one join
+    over the distinct words of the companies."""
+    low = F.lower("word")
+    plural = low.endswith("s") & ~low.endswith("ss") & (F.char_length("word") > 1)
+    base = F.when(plural, F.substr(low, F.lit(1), F.char_length(low) - 1))
+    forms = counts.select(by, "word", "n", low.alias("_low"), base.alias("_base"))
+    used = forms.select(by, F.col("_low").alias("_base")).distinct().withColumn("_used", F.lit(True))
+    folded = forms.join(used, [by, "_base"], "left")
+    one = F.coalesce("_used", F.lit(False))
+    form = F.when(one, F.substr("word", F.lit(1), F.char_length("word") - 1)).otherwise(F.col("word"))
+    each = folded.groupBy(by, F.when(one, F.col("_base")).otherwise(F.col("_low")).alias("_word"), form.alias("word")).agg(
+        F.sum("n").alias("n"))
+    best = each.groupBy(by, "_word").agg(F.min(F.struct((-F.col("n")).alias("most"), "word")).alias("_top"), F.sum("n").alias("n"))
+    return best.select(by, F.col("_top.word").alias("word"), "n")
+
+
 def _merge_collocations(df: DataFrame, chosen: DataFrame, stop_s: list, min_len: int, min_chars: int,
                         by: str, text: str, threshold: float) -> DataFrame:
     """Collocation step of :func:`cloud_words` for companies that use their kept words."""

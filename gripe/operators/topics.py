@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import permutations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -84,25 +85,44 @@ def name_topics(topic: str = "topic", names: Mapping[int, str] = L.TOPIC_NAMES):
     return map_default(topic, names, None)
 
 
-def name_topics_by_seeds(model, vocab: Sequence[str], seeds: Mapping[str, Sequence[str]], n: int = 20):
-    """Topic number → name by seed terms, so names survive arbitrary topic order (M6).
-
-    Each (topic, name) pair scores the summed weight of the name's seed
-    terms among the topic's top ``n`` terms; pairs are assigned greedily,
-    best score first, one name per topic.  Works on ``describeTopics``
-    (k × n rows, bounded by the parameters); returns {topic: name}, topics
-    without any seed term keep no name.
-    """
-    rows = topic_terms(model, vocab, n).collect()  # k * n rows
-    score: dict[tuple[int, str], float] = {}
-    for r in rows:
-        for name, terms in seeds.items():
-            if r.term in set(terms):
-                score[(r.topic, name)] = score.get((r.topic, name), 0.0) + float(r.weight)
-    out: dict[int, str] = {}
-    used: set[str] = set()
-    for (topic, name), _ in sorted(score.items(), key=lambda kv: (-kv[1], kv[0])):
-        if topic not in out and name not in used:
-            out[topic] = name
-            used.add(name)
-    return out
+def assign_names(scores: DataFrame, topics: Sequence[int], names: Sequence[str]) -> DataFrame:
+    """(topic, name, margin): the assignment of names to topics with the largest total score (M6).
+
+    ``scores`` has (topic, name, score); a missing pair scores 0.  All assignments are compared, so the number of topics
+    and of names is at most 7; the smaller side is filled up with topics or names that stand for none.  ``margin`` is
+    the lead over the best assignment that gives the topic another name; ties go to the first in the order given.
+    A topic whose score for its name is 0 has no name.  One join and aggregates; nothing is collected."""
+    k = max(len(topics), len(names))
+    if k > 7:
+        raise ValueError("at most 7 topics and names: all assignments are compared")
+    spark = scores.sparkSession
+    t = [*topics, *[None] * (k - len(topics))]
+    rows = [(p, topic, name) for p, order in enumerate(permutations([*names, *[None] * (k - len(names))]))
+            for topic, name in zip(t, order) if topic is not None]
+    every = spark.createDataFrame(rows, "p int, topic int, name string")  # at most 7! x 7 rows
+    s = scores.groupBy(F.col("topic").cast("int").alias("topic"), "name").agg(F.sum("score").alias("score"))
+    ways = every.join(s, ["topic", "name"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    total = ways.groupBy("p").agg(F.sum("score").alias("total"))
+    best = total.agg(F.max(F.struct("total", (-F.col("p")).alias("p"))).alias("b"))  # one row
+    full = ways.join(total, "p").join(F.broadcast(best))
+    mine = full.filter(F.col("p") == -F.col("b.p")).select("topic", F.col("name").alias("chosen"), F.col("score").alias("own"))
+    other = (full.join(F.broadcast(mine), "topic").groupBy("topic", "chosen", "own").agg(
+        F.max("b.total").alias("top"), F.max(F.when(~F.col("name").eqNullSafe(F.col("chosen")), F.col("total"))).alias("next")))
+    return other.select("topic", F.when(F.col("own") > 0, F.col("chosen")).alias("name"),
+                        F.when(F.col("own") > 0, F.col("top") - F.col("next")).alias("margin"))
+
+
+def seed_scores(terms: DataFrame, seeds: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(topic, name, score): the summed weight of each name's seed terms in (topic, term, weight)."""
+    rows = [(name, w) for name, words in seeds.items() for w in sorted(set(words))]
+    listed = terms.sparkSession.createDataFrame(rows, "name string, term string")  # the seed lists
+    return terms.join(F.broadcast(listed), "term").groupBy("topic", "name").agg(F.sum("weight").alias("score"))
+
+
+def name_topics_by_seeds(model, vocab: Sequence[str], seeds: Mapping[str, Sequence[str]], n: int = 20) -> DataFrame:
+    """(topic, name, margin) by seed terms, so names survive any order of the topics (M6).
+
+    Each pair scores the summed weight of the name's seed terms among the topic's top ``n`` terms; the names are
+    given so that the total is largest (:func:`assign_names`)."""
+    terms = topic_terms(model, vocab, n)
+    return assign_names(seed_scores(terms, seeds), range(1, model.getK() + 1), list(seeds))

@@ -156,6 +156,9 @@ def _sql() -> dict[str, str]:
     s["split_buckets"] = with_base(
         "SELECT doc_id, CAST(('0x' || substr(md5(link), 1, 8))::BIGINT % 100 AS INT) AS bucket, "
         "('0x' || substr(md5(link), 1, 8))::BIGINT % 100 < 20 AS is_test FROM store")
+    s["split_exact"] = with_base(
+        "SELECT doc_id, row_number() OVER (ORDER BY ('0x' || substr(md5(link), 1, 15))::BIGINT) <= ceil(0.2 * count(*) OVER ()) "
+        "AS is_test FROM store")
     s["confusion_metrics"] = _confusion()
     s["term_df_min5"] = with_base(f",{TERM_STATS}\nSELECT term, df FROM stats WHERE df >= 5")
     s["vocab_top1000"] = with_base(
@@ -192,6 +195,22 @@ st AS (SELECT company, sum(CASE WHEN kept THEN n * length(word) ELSE 0 END)
 ch AS (SELECT cnt.* FROM cnt JOIN st USING (company) WHERE kept OR kept_len < 11),
 r AS (SELECT *, row_number() OVER (PARTITION BY company ORDER BY n DESC, word ASC) AS rank FROM ch)
 SELECT company, word, n, CAST(rank AS INTEGER) AS rank, round(n / max(n) OVER (PARTITION BY company), 6) AS rel FROM r WHERE rank <= 60""")
+    s["cloud_words_folded"] = f"""WITH
+ww AS (SELECT source AS company, unnest(list_filter(regexp_split_to_array(text, '[{WS}]+'), lambda x: x <> '')) AS word
+       FROM documents WHERE source IS NOT NULL),
+cnt AS (SELECT company, word, count(*) AS n,
+               length(word) >= 3 AND NOT list_contains({stop_s}, word) AS kept FROM ww GROUP BY 1, 2),
+st AS (SELECT company, sum(CASE WHEN kept THEN n * length(word) ELSE 0 END)
+                       + sum(CASE WHEN kept THEN n ELSE 0 END) - 1 AS kept_len FROM cnt GROUP BY company),
+ch AS (SELECT cnt.*, lower(word) AS low FROM cnt JOIN st USING (company) WHERE kept OR kept_len < 11),
+f AS (SELECT company, n, word, low, regexp_matches(low, '[^s]s$') AND EXISTS (
+          SELECT 1 FROM ch b WHERE b.company = ch.company AND b.low = ch.low[:-2]) AS pl FROM ch),
+g AS (SELECT company, CASE WHEN pl THEN low[:-2] ELSE low END AS base, CASE WHEN pl THEN word[:-2] ELSE word END AS form,
+             sum(n) AS n FROM f GROUP BY 1, 2, 3),
+k AS (SELECT company, base, sum(n) AS n, arg_min(form, (-n, form)) AS word FROM g GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY company ORDER BY n DESC, word ASC) AS rank FROM k)
+SELECT company, word, CAST(n AS BIGINT) AS n, CAST(rank AS INTEGER) AS rank, round(n / max(n) OVER (PARTITION BY company), 6) AS rel
+FROM r WHERE rank <= 60"""
     s["cloud_words_collocations"] = with_base(f""",
 ww AS (SELECT company, list_filter(regexp_split_to_array(cleaned, '[{WS}]+'), lambda x: x <> '') AS w
        FROM store WHERE company IS NOT NULL),
@@ -293,14 +312,28 @@ def paragraphs() -> str:
     return f"coalesce(trim(array_to_string({ps}, ' ')), '')"
 
 
+def undot(u: str) -> str:
+    """Dot segments out of the path: the segments are added one by one to a growing path."""
+    shape = "'(?s)^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)(/[^?#]*)(.*)$'"
+    segs = f"string_split(regexp_extract({u}, {shape}, 2), '/')[2:]"
+    path = (f"list_reduce({segs}, lambda p, x: CASE x WHEN '.' THEN p WHEN '..' THEN regexp_replace(p, '/[^/]*$', '') "
+            "ELSE p || '/' || x END, '')")
+    tail = f"CASE WHEN {segs}[-1] IN ('.', '..') THEN {path} || '/' WHEN {path} = '' THEN '/' ELSE {path} END"
+    return (f"CASE WHEN regexp_matches({u}, {shape}) THEN regexp_extract({u}, {shape}, 1) || ({tail}) || regexp_extract({u}, {shape}, 3) "
+            f"ELSE {u} END")
+
+
 def resolve(h: str, url: str) -> str:
     scheme = f"regexp_extract({url}, '{URL_RE}', 1)"
     host = f"regexp_extract({url}, '{URL_RE}', 2)"
-    base_dir = f"regexp_replace(regexp_replace({url}, '[?#].*$', ''), '[^/]*$', '')"
-    return (f"CASE WHEN regexp_matches({h}, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN {h} "
-            f"WHEN starts_with({h}, '//') THEN {scheme} || ':' || {h} "
-            f"WHEN starts_with({h}, '/') THEN {scheme} || '://' || {host} || {h} "
-            f"ELSE {base_dir} || {h} END")
+    page = f"regexp_replace({url}, '#.*$', '')"
+    file = f"split_part({page}, '?', 1)"
+    folder = f"CASE WHEN contains(split_part({file}, '://', 2), '/') THEN regexp_replace({file}, '[^/]*$', '') ELSE {file} || '/' END"
+    return (f"CASE WHEN {h} = '' OR starts_with({h}, '#') THEN {page} || {h} WHEN starts_with({h}, '?') THEN {file} || {h} ELSE "
+            + undot(f"(CASE WHEN regexp_matches({h}, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN {h} "
+                    f"WHEN starts_with({h}, '//') THEN {scheme} || ':' || {h} "
+                    f"WHEN starts_with({h}, '/') THEN {scheme} || '://' || {host} || {h} "
+                    f"ELSE {folder} || {h} END)") + " END")
 
 
 HREFS = """hr AS (SELECT page_id, url, list_transform(list_transform(string_split(html, '<li>')[2:],
@@ -324,6 +357,10 @@ def _sql_more() -> dict[str, str]:
 c AS (SELECT page_id, CASE WHEN length(block) > 40 THEN CASE WHEN page_id % 3 = 0 THEN paras ELSE block END END AS t FROM b)
 SELECT page_id, CASE WHEN length(t) >= 35 THEN {junked('t')} END AS content,
        CAST(page_id % 28 + 1 AS VARCHAR) || ' May\u0131s 10:30' AS date FROM c"""
+    ways = ("CASE (pos + page_id) % 5 WHEN 0 THEN '../' || href[2:] WHEN 1 THEN './a/.././' || href[2:] WHEN 2 THEN '/x/../../y/.' || href "
+            "WHEN 3 THEN '?back=../' || href[2:] ELSE '//www.example.com' || href || '/..#a/../b' END")
+    s["page_links_dotted"] = (f"WITH {HREFS}, d AS (SELECT page_id, pos, {ways} AS href, url FROM ln JOIN pages USING (page_id)) "
+                              f"SELECT page_id, CAST(pos AS INT) AS pos, href, {resolve('href', 'url')} AS link FROM d")
     s["page_links"] = f"WITH {HREFS} SELECT page_id, CAST(pos AS INT) AS pos, href, link FROM ln"
     s["link_admission"] = f"WITH {HREFS} SELECT page_id, CAST(pos AS INT) AS pos, link FROM adm WHERE admitted"
     s["new_links_antijoin"] = (f"WITH {HREFS} SELECT DISTINCT link FROM adm WHERE admitted "
@@ -373,6 +410,13 @@ FROM r GROUP BY site"""
         "FROM store WHERE company IS NOT NULL GROUP BY company")
     s["csv_roundtrip"] = ("SELECT source AS company, CAST(NULL AS VARCHAR) AS date, CAST(doc_id AS VARCHAR) AS link, "
                           "text AS content FROM documents")
+    from .queries import AWKWARD
+    awkward = "text"
+    for word, put in AWKWARD:
+        awkward = f"replace({awkward}, {q(word)}, " + " || ".join("chr(%d)" % ord(c) for c in put) + ")"
+    s["csv_roundtrip_escapes"] = ("SELECT source AS company, CAST(NULL AS VARCHAR) AS date, CAST(doc_id AS VARCHAR) AS link, "
+                                  f"{awkward} AS content FROM documents")
+    s["stream_progress"] = "SELECT CAST(2 * count(*) AS BIGINT) AS rows_in, true AS once FROM documents"
     counts = [hits("cleaned", w) for w in (LEX.negative, LEX.positive, LEX.churn_critical_model)]
     names = " ".join(f"WHEN {k} THEN {q(v)}" for k, v in L.TOPIC_NAMES.items())
     ruled = with_base(f""",
@@ -380,6 +424,24 @@ tp AS (SELECT *, CASE WHEN h1 >= h2 AND h1 >= h3 THEN 1 WHEN h2 >= h3 THEN 2 ELS
        FROM (SELECT *, {counts[0]} AS h1, {counts[1]} AS h2, {counts[2]} AS h3 FROM feat2)),
 tn AS (SELECT *, CASE topic {names} END AS topic_name FROM tp)""")
     s["topic_argmax"] = ruled + "SELECT doc_id, CAST(topic AS INT) AS topic, topic_name FROM tn"
+    from .queries import TOPIC_SEEDS
+    seeds = ", ".join(f"({q(name)}, {q(w)})" for name, words in TOPIC_SEEDS.items() for w in sorted(set(words)))
+    labels = ", ".join(f"({k}, {q(name)})" for k, name in enumerate(TOPIC_SEEDS))
+    s["topic_names_seeded"] = ruled + f""",
+tw AS (SELECT topic, unnest({tokens('cleaned')}) AS term FROM tp),
+tt AS (SELECT topic, term, count(*) AS n FROM tw GROUP BY 1, 2),
+wt AS (SELECT topic, term, n / sum(n) OVER (PARTITION BY topic) AS weight FROM tt),
+nm(o, name) AS (VALUES {labels}), sd(name, term) AS (VALUES {seeds}),
+sc AS (SELECT t.topic, nm.name, nm.o, coalesce((SELECT sum(weight) FROM wt JOIN sd USING (term)
+         WHERE wt.topic = t.topic AND sd.name = nm.name), 0) AS score FROM (VALUES (1), (2), (3)) t(topic), nm),
+al AS (SELECT a.name AS n1, b.name AS n2, c.name AS n3, a.score AS s1, b.score AS s2, c.score AS s3, a.score + b.score + c.score AS total,
+              a.o AS o1, b.o AS o2 FROM sc a, sc b, sc c
+       WHERE a.topic = 1 AND b.topic = 2 AND c.topic = 3 AND a.name <> b.name AND a.name <> c.name AND b.name <> c.name),
+be AS (SELECT * FROM al ORDER BY total DESC, o1, o2 LIMIT 1)
+SELECT CAST(1 AS INT) AS topic, CASE WHEN s1 > 0 THEN n1 END AS name,
+       CASE WHEN s1 > 0 THEN round(total - (SELECT max(total) FROM al WHERE al.n1 <> be.n1), 6) END AS margin FROM be
+UNION ALL SELECT 2, CASE WHEN s2 > 0 THEN n2 END, CASE WHEN s2 > 0 THEN round(total - (SELECT max(total) FROM al WHERE al.n2 <> be.n2), 6) END FROM be
+UNION ALL SELECT 3, CASE WHEN s3 > 0 THEN n3 END, CASE WHEN s3 > 0 THEN round(total - (SELECT max(total) FROM al WHERE al.n3 <> be.n3), 6) END FROM be"""
     s["topic_share"] = ruled + ("SELECT topic_name, count(*) AS n, round_even(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 2) AS pct "
                                 "FROM tn WHERE topic_name IS NOT NULL GROUP BY topic_name")
     cols = ", ".join(f"round_even(count(*) FILTER (WHERE topic = {k}) * 100.0::DOUBLE / count(*), 2) AS topic_{k}" for k in (1, 2, 3))

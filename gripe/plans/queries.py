@@ -166,6 +166,11 @@ def q_split_buckets(spark, sf):
     return s.select("doc_id", b.alias("bucket"), (b < 20).alias("is_test"))
 
 
+def q_split_exact(spark, sf):
+    """A test set of exactly a fifth of the rows (M9)."""
+    return CH.exact_split(store(spark, sf, carry=["doc_id", "link"]), "link", 0.2).select("doc_id", "is_test")
+
+
 def q_confusion_metrics(spark, sf):
     """Metrics of the rule prediction (rule_risk ≥ 75) against the churn label."""
     r = CH.churn_features(risk_store(spark, sf), LEX, topic=None)
@@ -237,6 +242,12 @@ def q_cloud_words(spark, sf):
     return c.select("company", "word", "n", "rank", F.round("rel", R6).alias("rel"))
 
 
+def q_cloud_words_folded(spark, sf):
+    """The cloud of the uncleaned texts with case forms and plurals merged."""
+    t = TM.cloud_words(CP.documents_as_complaints(spark, sf), "content", LEX.analysis_stop, 60, fold=True)
+    return t.select("company", "word", "n", "rank", F.round("rel", R6).alias("rel"))
+
+
 def q_cloud_words_collocations(spark, sf):
     c = TM.cloud_words(store(spark, sf), "cleaned", LEX.analysis_stop, 60, collocations=True)
     return c.select("company", "word", "n", "rank", F.round("rel", R6).alias("rel"))
@@ -273,6 +284,18 @@ def q_page_links(spark, sf):
     return _page_links(spark, sf)
 
 
+def q_page_links_dotted(spark, sf):
+    """Each link's reference written in other ways (from the parent folder, with dot segments, with a query that holds
+    dots, without scheme), then resolved as a browser does (X5)."""
+    e = _page_links(spark, sf).join(_pages(spark, sf).select("page_id", "url"), "page_id")
+    way = F.pmod(F.col("pos") + F.col("page_id"), F.lit(5))
+    rest = F.substr("href", F.lit(2))
+    href = (F.when(way == 0, F.concat(F.lit("../"), rest)).when(way == 1, F.concat(F.lit("./a/.././"), rest))
+            .when(way == 2, F.concat(F.lit("/x/../../y/."), F.col("href"))).when(way == 3, F.concat(F.lit("?back=../"), rest))
+            .otherwise(F.concat(F.lit("//www.example.com"), F.col("href"), F.lit("/..#a/../b"))))
+    return e.select("page_id", "pos", href.alias("href"), PG.resolve_href(href, "url").alias("link"))
+
+
 def q_page_text_marked(spark, sf):
     """The pages as the company site marks them up: the article's text moved into a marked block, the date into
     the header, a corporate reply on every third page; extracted with the site's own selectors (X1, X2, X4, P9, P10)."""
@@ -465,6 +488,20 @@ def q_topic_company_crosstab(spark, sf):
                            names=["topic_1", "topic_2", "topic_3"], digits=2)
 
 
+#: Seed terms of the names of the ruled topics.
+TOPIC_SEEDS = {"complaint": LEX.negative, "praise": LEX.positive, "leaving": LEX.churn_critical_model}
+
+
+def q_topic_names_seeded(spark, sf):
+    """Names of the ruled topics by their seed terms: the best assignment and its margin (M6)."""
+    words = _ruled_topics(spark, sf).select("topic", F.explode(TX.word_tokens("cleaned")).alias("term"))
+    n = words.groupBy("topic", "term").agg(F.count(F.lit(1)).alias("n"))
+    size = n.groupBy("topic").agg(F.sum("n").alias("size"))
+    terms = n.join(size, "topic").select("topic", "term", (F.col("n") / F.col("size")).alias("weight"))
+    named = TP.assign_names(TP.seed_scores(terms, TOPIC_SEEDS), [1, 2, 3], list(TOPIC_SEEDS))
+    return named.select("topic", "name", F.round("margin", R6).alias("margin"))
+
+
 def q_churn_features_topic(spark, sf):
     """Churn features with the topic flags."""
     f = CH.churn_features(_ruled_topics(spark, sf), LEX, topic="topic")
@@ -640,6 +677,36 @@ def q_csv_roundtrip(spark, sf):
     return CP.read_csv(spark, path)
 
 
+def q_csv_roundtrip_escapes(spark, sf):
+    """The same with line breaks, backslashes, quotes and NULs in the texts."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "records-csv")
+    c = F.col("content")
+    for word, put in AWKWARD:
+        c = F.replace(c, F.lit(word), F.lit(put))
+    CP.write_csv(CP.documents_as_complaints(spark, sf).withColumn("content", c), path)
+    return CP.read_csv(spark, path)
+
+
+#: Frequent pieces of the test texts → characters that a line of CSV cannot hold as they are.
+AWKWARD = ((" the ", "a\x00b"), (" of ", "\\n\n"), (" in ", "\r\\"), (" and ", '\",\"\\0'))
+
+
+def q_stream_progress(spark, sf):
+    """The progress table of a stream in several micro-batches: batches counted once, rows in as the source has."""
+    from ..session import scratch_path
+    from ..streaming import pipeline as PL
+    path = scratch_path(spark, "progress")
+    log = PL.log_progress(spark, path)
+    try:
+        _run_stream(spark, _records_json(spark, sf, copies=2), files_per_trigger=6)
+        spark._jsparkSession.sparkContext().listenerBus().waitUntilEmpty(60_000)
+    finally:
+        spark.streams.removeListener(log)
+    p = PL.read_progress(spark, path)
+    return p.agg(F.sum("rows_in").alias("rows_in"), (F.count(F.lit(1)) == F.count_distinct("batch_id")).alias("once"))
+
+
 def q_history_roundtrip(spark, sf):
     """documents as crawl records → JSONL history appended twice → read back (S8, S9),
     then the seen-link set (U2) as the crawler rebuilds it on start."""
@@ -687,6 +754,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "churn_features": q_churn_features,
     "churn_label_rate": q_churn_label_rate,
     "split_buckets": q_split_buckets,
+    "split_exact": q_split_exact,
     "confusion_metrics": q_confusion_metrics,
     "term_df_min5": q_term_df_min5,
     "vocab_top1000": q_vocab_top1000,
@@ -698,12 +766,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_edges": q_word_edges,
     "word_nodes": q_word_nodes,
     "cloud_words": q_cloud_words,
+    "cloud_words_folded": q_cloud_words_folded,
     "cloud_words_collocations": q_cloud_words_collocations,
     "formatted_volume": q_formatted_volume,
     "page_main_text": q_page_main_text,
     "page_paragraphs": q_page_paragraphs,
     "page_text_marked": q_page_text_marked,
     "page_links": q_page_links,
+    "page_links_dotted": q_page_links_dotted,
     "link_admission": q_link_admission,
     "new_links_antijoin": q_new_links_antijoin,
     "crawl_round_summary": q_crawl_round_summary,
@@ -720,6 +790,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rf_metrics": q_rf_metrics,
     "rf_quality_metrics": q_rf_quality_metrics,
     "topic_argmax": q_topic_argmax,
+    "topic_names_seeded": q_topic_names_seeded,
     "topic_share": q_topic_share,
     "topic_company_crosstab": q_topic_company_crosstab,
     "churn_features_topic": q_churn_features_topic,
@@ -734,6 +805,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "refresh_tfidf": q_refresh_tfidf,
     "refresh_volume_risk": q_refresh_volume_risk,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_roundtrip_escapes": q_csv_roundtrip_escapes,
+    "stream_progress": q_stream_progress,
     "history_roundtrip": q_history_roundtrip,
     "store_scan": q_store_scan,
     "conversation_sentiment": q_conversation_sentiment,

@@ -89,16 +89,19 @@ def append_history(df: DataFrame, path: str) -> None:
     df.select([f.name for f in schemas.CRAWL_RECORD.fields]).write.mode("append").json(path)
 
 
-#: Line breaks, backslashes and carriage returns of a text are written as two
-#: characters, so a record is one line and CSV files can still be split.
+#: Backslashes, line breaks, carriage returns and NULs of a text are written as a backslash and a
+#: letter of their own, so a record is one line, CSV files can be split, and a backslash in a file always
+#: begins such a pair: the pairs are read back one kind after the other, the backslash's last.
+_ESCAPES = (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"), ("\x00", "\\0"))
 _CSV = {"header": True, "quote": '"', "escape": '"', "nullValue": "\\N", "emptyValue": ""}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV dataset with a header row."""
     def one_line(c: Column) -> Column:
-        c = F.replace(c, F.lit("\\"), F.lit("\\\\"))
-        return F.replace(F.replace(c, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+        for plain, pair in _ESCAPES:
+            c = F.replace(c, F.lit(plain), F.lit(pair))
+        return c
 
     cols = [f.name for f in schemas.COMPLAINT_CSV.fields]
     df.select(*[one_line(F.col(c)).alias(c) for c in cols]).write.options(
@@ -115,10 +118,10 @@ def read_csv(spark: SparkSession, path: str, escaped: bool = True) -> DataFrame:
         return df
 
     def text(c: str) -> Column:
-        # a pair of backslashes is put aside first, so that backslash + n in the text stays as it was
-        c = F.replace(F.col(c), F.lit("\\\\"), F.lit("\x00"))
-        c = F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
-        return F.replace(c, F.lit("\x00"), F.lit("\\"))
+        out = F.col(c)
+        for plain, pair in reversed(_ESCAPES):
+            out = F.replace(out, F.lit(pair), F.lit(plain))
+        return out
 
     return df.select(*[text(c).alias(c) for c in df.columns])
 

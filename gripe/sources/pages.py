@@ -217,20 +217,40 @@ def url_parts(url: "Column | str") -> tuple[Column, Column]:
     return F.regexp_extract(u, URL_RE, 1), F.regexp_extract(u, URL_RE, 2)
 
 
+def drop_dot_segments(url: "Column | str") -> Column:
+    """``.`` and ``..`` segments of the path taken out as RFC 3986 (5.2.4) says; authority, query and fragment stay.
+
+    URLs without an authority (``mailto:``) stay as they are."""
+    u = _col(url)
+    shape = r"(?s)^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)(/[^?#]*)(.*)$"
+    steps = F.slice(F.split(F.regexp_extract(u, shape, 2), "/"), 2, 1 << 30)  # behind the leading slash
+    kept = F.aggregate(
+        steps, F.array().cast("array<string>"),
+        lambda done, s: F.when(s == ".", done)
+        .when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.array_append(done, s)))
+    # a path that ends in a dot segment ends in a slash
+    last = F.element_at(steps, -1).isin(".", "..")
+    path = F.concat(F.lit("/"), F.array_join(F.when(last, F.array_append(kept, F.lit(""))).otherwise(kept), "/"))
+    return F.when(u.rlike(shape), F.concat(F.regexp_extract(u, shape, 1), path, F.regexp_extract(u, shape, 3))).otherwise(u)
+
+
 def resolve_href(href: "Column | str", base_url: "Column | str") -> Column:
     """Absolute link for an ``href`` relative to the page URL (what ``.get_attribute('href')`` returns).
 
-    Handles absolute, scheme-relative (``//host``), root-relative (``/path``)
-    and document-relative hrefs; ``./`` and ``../`` segments are kept as
-    written (a browser would normalise them).
-    """
+    RFC 3986 (5.2): absolute, scheme-relative (``//host``), root-relative (``/path``), query-only (``?q``),
+    fragment-only, empty and document-relative references; dot segments are taken out."""
     h, b = _col(href), _col(base_url)
     scheme, host = url_parts(b)
-    base_dir = F.regexp_replace(F.regexp_replace(b, r"[?#].*$", ""), r"[^/]*$", "")
-    return (F.when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), h)
-            .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-            .when(h.startswith("/"), F.concat(scheme, F.lit("://"), host, h))
-            .otherwise(F.concat(base_dir, h)))
+    page = F.regexp_replace(b, r"(?s)#.*$", "")
+    file = F.regexp_replace(page, r"(?s)[?].*$", "")
+    folder = F.when(file.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/]*$"), F.concat(file, F.lit("/"))).otherwise(
+        F.regexp_replace(file, r"[^/]*$", ""))
+    return (F.when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), drop_dot_segments(h))
+            .when(h.startswith("//"), drop_dot_segments(F.concat(scheme, F.lit(":"), h)))
+            .when(h.startswith("/"), drop_dot_segments(F.concat(scheme, F.lit("://"), host, h)))
+            .when((h == "") | h.startswith("#"), F.concat(page, h))
+            .when(h.startswith("?"), F.concat(file, h))
+            .otherwise(drop_dot_segments(F.concat(folder, h))))
 
 
 def page_links(pages: DataFrame, sel: Selectors = COMPANY_PAGES, page_id: str = "page_id", url: str = "url",

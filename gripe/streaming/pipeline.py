@@ -11,17 +11,19 @@ that was not written; a retried batch inserts nothing twice.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from .. import lexicons as L
 from .. import schemas
 from ..functions import jsonio as JS
 from ..operators import sinks as SK
-from ..session import CACHE_BATCH_ROWS
+from ..session import CACHE_BATCH_ROWS, write_text
 from ..sources import complaints as CP
 
 
@@ -136,6 +138,43 @@ def throughput(query) -> float:
     return sum(rates) / len(rates) if rates else 0.0
 
 
+PROGRESS = ("query string, run string, batch_id long, at string, rows_in long, seconds double, rows_per_second double")
+
+
+class ProgressLog(StreamingQueryListener):
+    """One small JSON file per micro-batch below ``path`` (A15): a table of what every query read and how fast.
+
+    A batch that is run again overwrites its file.  Use :func:`log_progress` to add it to a session."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        super().__init__()
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        took = (p.durationMs or {}).get("triggerExecution", 0) / 1000.0
+        row = {"query": str(p.id), "run": str(p.runId), "batch_id": p.batchId, "at": p.timestamp, "rows_in": p.numInputRows,
+               "seconds": took, "rows_per_second": p.numInputRows / took if took else 0.0}
+        write_text(self.spark, f"{self.path}/{p.id}-{p.batchId}.json", json.dumps(row) + "\n")
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def log_progress(spark: SparkSession, path: str) -> ProgressLog:
+    log = ProgressLog(spark, path)
+    spark.streams.addListener(log)
+    return log
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """The progress table: query, run, batch_id, at, rows_in, seconds, rows_per_second."""
+    return spark.read.schema(PROGRESS).option("pathGlobFilter", "*.json").json(path)
+
+
 def main(argv: list[str] | None = None) -> None:
     """``spark-submit -m gripe.streaming.pipeline --store ... --checkpoint ... (--kafka host:port --topic t | --files dir)``"""
     import argparse

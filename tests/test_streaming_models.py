@@ -257,7 +257,7 @@ def test_planted_topics_are_recovered_and_named(spark):
                  for g in groups}
     assert all(len(v) == 1 for v in per_group.values())
     assert len(set().union(*per_group.values())) == 3
-    names = TP.name_topics_by_seeds(model, vocab, groups, n=6)
+    names = {r.topic: r.name for r in TP.name_topics_by_seeds(model, vocab, groups, n=6).collect()}
     assert {names[next(iter(per_group[g]))] for g in groups} == set(groups)
     assert all(names[next(iter(per_group[g]))] == g for g in groups)
 
