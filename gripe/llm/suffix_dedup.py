@@ -23,8 +23,13 @@ So the windows are dealt out by content:
    suffixes are compared over ``length`` bytes; of equal windows the earliest
    stays.
 5. An anchor with more than ``SHARE_ANCHORS`` occurrences does not fit into a
-   share.  Its windows are compared one by one: grouped by a 128-bit hash with
-   partial aggregation, so that no task holds the group.
+   share.  Equal contexts of it are collapsed first.  The others are split by a longer
+   key: up to 16 neighbouring windows (counted from the anchor) share a core of at
+   least 85 bytes, and equal windows have equal cores.  Cores that occur once are
+   dropped, cores that fit go to shares as above, and the rest is
+   collapsed and split again with blocks of 8, 4, 2 and 1 windows, until a core is the window
+   itself.  A context has at most six rows in the first round, and only blocks across the
+   edge of a common passage go on, so nowhere is there a row per window.
 
 Defined cases: null text is empty; documents shorter than a window keep all
 bytes; a null id counts as the last; rows with equal id and text are one
@@ -52,6 +57,7 @@ UNIT_MAX = 4096  # a cut at the latest
 PIECE = 1 << 19  # bytes handled at once; longer texts go in overlapping pieces
 SHARE_ANCHORS = 2048
 SHARE_BYTES = 1_000_000
+BLOCK = 16  # windows of a block of a hot anchor in the first round
 _LAST = (1 << 63) - 1
 
 _rng = np.random.default_rng(5)
@@ -329,25 +335,67 @@ def _contexts(length: int):
     return run
 
 
-def _single(length: int):
-    """The windows of a context, one row each, by a 128-bit hash."""
+def anchor_of(ctx: np.ndarray, length: int, gram: int = GRAM) -> int:
+    """Where the anchor of the windows of a context lies: the leftmost gram of smallest hash in its first window."""
+    h = gram_hashes(ctx[:length], gram) & ~np.uint64((1 << 21) - 1)
+    return int(np.argmin(h))
+
+
+def blocks_of(ctx: bytes, n: int, width: int, length: int) -> list[tuple[int, int, int]]:
+    """The ``n`` windows of a context in blocks of at most ``width``: (key of the core, first window, number of windows).
+
+    Blocks are counted from the anchor, and their core is that of a whole block, so equal windows of two contexts are in
+    blocks of one key."""
+    a = anchor_of(np.frombuffer(ctx, dtype=np.uint8), length)
+    out, s = [], 0
+    while s < n:
+        b = (a - s) // width
+        low = a - (b + 1) * width + 1  # first window of the whole block, perhaps outside the context
+        stop = min(n, low + width)
+        core = ctx[low + width - 1:low + length]
+        key = hashlib.blake2b(core, digest_size=8, salt=(b * 256 + width).to_bytes(8, "little")).digest()
+        out.append((int.from_bytes(key, "little", signed=True), s, stop - s))
+        s = stop
+    return out
+
+
+def _blocks(length: int, width: int):
+    """Contexts → one row per block of their windows, keyed by the block's core."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(0, b.num_rows, 256):
                 part = b.slice(r, 256)
-                hashes, keys, ties, starts = [], [], [], []
-                for key, tie, at, n, ctx in zip(*(part.column(c).to_pylist() for c in range(1, 6))):
-                    hashes += [hashlib.blake2b(ctx[k:k + length], digest_size=16).digest() for k in range(n)]
-                    keys += [key] * n
-                    ties += [tie] * n
-                    starts += range(at, at + n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes, pa.binary()), pa.array(keys, pa.int64()), pa.array(ties, pa.int64()),
-                     pa.array(starts, pa.int64())], ["w", "key", "tie", "start"])
+                rows = [(fp, key, tie, at + s, m, ctx[s:s + m + length - 1])
+                        for key, tie, at, n, ctx in zip(*(part.column(c).to_pylist() for c in range(5)))
+                        for fp, s, m in blocks_of(ctx, n, width, length)]
+                kinds = (pa.int64(),) * 5 + (pa.binary(),)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["fp", "key", "tie", "at", "n", "ctx"])
 
     return run
 
 
+def _collapsed(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """The first of equal contexts, and the spans of the others, whose windows are repeats throughout."""
+    kept = stage_table(rows.withColumn("c", F.unhex(F.md5("ctx"))), "repeat-hot")
+    # written, so that the adaptive join can split a context that occurs very often
+    lead = stage_table(kept.groupBy("fp", "c").agg(F.min(F.struct("key", "tie", "at")).alias("lead")), "repeat-hot-lead")
+    led = stage_table(kept.join(lead, ["fp", "c"]).withColumn("again", F.struct("key", "tie", "at") != F.col("lead")).drop("lead", "c"),
+                      "repeat-hot-led")
+    spans = led.filter("again").select("key", "tie", F.col("at").alias("start"), (F.col("at") + F.col("n") + length - 1).alias("stop"))
+    return led.filter("NOT again").drop("again"), spans
+
+
+def _often(keys: DataFrame, share_anchors: int) -> DataFrame:
+    """Keys ``fp`` that occur more than once; ``many``: too often for a share.  Written, as joins with it may be skewed."""
+    return stage_table(keys.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+                       .select("fp", (F.col("c") > share_anchors).alias("many")), "repeat-often")
+
+
+def _in_shares(rows: DataFrame, length: int) -> DataFrame:
+    return (rows.select("fp", "key", "tie", "at", "n", "ctx").repartition("fp").sortWithinPartitions("fp")
+            .mapInArrow(_shares(length), "key long, tie long, start long, stop long"))
+
+
 def merge_spans(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs covered by the spans."""
     order = np.argsort(start, kind="stable")
@@ -387,6 +435,8 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                  share_anchors: int = SHARE_ANCHORS) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed`` (spans start..stop of removed bytes) per document."""
+    if max(SHARE_BYTES, share_anchors * 2 * length) >= 1 << 20:
+        raise ValueError("the contexts of share_anchors anchors must stay below 2^20 bytes")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     rows = rows.withColumn("key", F.coalesce("doc_id", F.lit(_LAST)))
     if rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty():
@@ -416,8 +466,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marks = first.select("key", "tie", "start", F.explode(F.arrays_zip("runs", ahead.alias("ends"), "fps")).alias("r")).select(
         F.col("r.fps").alias("fp"), "key", "tie", (F.col("start") + F.col("r.runs")).alias("at"),
         (F.col("r.ends") - F.col("r.runs")).cast("long").alias("n"))
-    often = (first.select(F.explode("fps").alias("fp")).groupBy("fp").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-             .select("fp", (F.col("c") > share_anchors).alias("many")))
+    often = _often(first.select(F.explode("fps").alias("fp")), share_anchors)
     left = stage_table(marks.join(often, "fp"), "repeat-marks")
     discard(spark, first_units)
 
@@ -428,22 +477,25 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             _contexts(length), "fp long, key long, tie long, at long, n long, ctx binary")
 
     # documents are shuffled by their key here and once more at the end, in one plan: the exchange is reused
-    shared = (with_bytes(left.filter("NOT many")).repartition("fp").sortWithinPartitions("fp")
-              .mapInArrow(_shares(length), "key long, tie long, start long, stop long"))
-    spans = copies.unionByName(shared)
-    if not left.filter("many").isEmpty():
-        # equal contexts collapse first, per task and then by hash; the windows of the rest are compared one by one
-        hot = stage_table(with_bytes(left.filter("many")).withColumn("c", F.unhex(F.md5("ctx"))), "repeat-hot")
-        lead = hot.groupBy("fp", "c").agg(F.min(F.struct("key", "tie", "at")).alias("lead"))
-        hot = stage_table(hot.join(lead, ["fp", "c"]).withColumn("again", F.struct("key", "tie", "at") != F.col("lead")).drop("lead"),
-                          "repeat-hot-led")
-        again = hot.filter("again").select("key", "tie", F.col("at").alias("start"), (F.col("at") + F.col("n") + length - 1).alias("stop"))
-        each = stage_table(hot.filter("NOT again").select("fp", "key", "tie", "at", "n", "ctx").mapInArrow(
-            _single(length), "w binary, key long, tie long, start long"), "repeat-windows")
-        least = each.groupBy("w").agg(F.min(F.struct("key", "tie", "start")).alias("least"), F.count(F.lit(1)).alias("c"))
-        late = (each.join(least.filter("c > 1"), "w").filter(F.struct("key", "tie", "start") != F.col("least"))
-                .select("key", "tie", "start", (F.col("start") + length).alias("stop")))
-        spans = spans.unionByName(again).unionByName(late)
+    spans = copies.unionByName(_in_shares(with_bytes(left.filter("NOT many")), length))
+    width, hot = BLOCK, left.filter("many")
+    if not hot.isEmpty():
+        rest, again = _collapsed(with_bytes(hot), length)
+        spans = spans.unionByName(again)
+        while True:
+            kept = stage_table(rest.select("key", "tie", "at", "n", "ctx").mapInArrow(
+                _blocks(length, width), "fp long, key long, tie long, at long, n long, ctx binary"), "repeat-blocks")
+            met = stage_table(kept.join(_often(kept.select("fp"), share_anchors), "fp"), "repeat-blocks-met")
+            if width > 1:
+                spans = spans.unionByName(_in_shares(met.filter("NOT many"), length))
+                met = met.filter("many")
+            if met.isEmpty():
+                break
+            rest, again = _collapsed(met.drop("many"), length)
+            spans = spans.unionByName(again)
+            if width == 1:  # a core is the window itself: what is left has no equal
+                break
+            width //= 2
 
     per = spans.groupBy("key", "tie").agg(F.collect_list("start").alias("lo"), F.collect_list("stop").alias("hi"))
     done = (raw.join(per, ["key", "tie"], "left").select("key", "copies", "raw", "lo", "hi")

@@ -198,6 +198,54 @@ def _repeat_rows():
     return [(i, t, None, None) for i, t in rows]
 
 
+def _hot_rows():
+    """Short documents around one common line, longer and shorter than a window, with edges that are shared by some."""
+    rng = np.random.default_rng(8)
+    words = ["w%d" % k for k in range(4000)]
+    line = " ".join(rng.choice(words, 18))
+    ends = [" ".join(rng.choice(words, 12)) for _ in range(5)]
+    rows = []
+    for k in range(120):
+        part = [line, line[:95], line[3:92], line[:99], line[10:]][k % 5]
+        tail = ends[k % 5][:5 + k % 23] if k % 3 else ""
+        rows.append((k, " ".join(rng.choice(words, 15)) + " " * (k % 4) + part + tail + " ".join(rng.choice(words, 9)), None, None))
+    return rows
+
+
+@pytest.mark.parametrize("share", [2048, 3, 1])
+def test_suffix_dedup_splits_hot_anchors(make, share):
+    rows = _hot_rows()
+    got = suffix_dedup.suffix_dedup(make(rows), share_anchors=share).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got), key=repr) == brute_repeats(rows)
+
+
+def test_equal_windows_have_equal_block_keys():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        core = rng.integers(97, 101, 140, dtype=np.uint8).tobytes()
+        texts = [rng.integers(97, 101, 60, dtype=np.uint8).tobytes() + core + rng.integers(97, 101, 60, dtype=np.uint8).tobytes() for _ in range(2)]
+        for width in (16, 8, 4, 2, 1):
+            keys = []
+            for t in texts:
+                data = np.frombuffer(t, np.uint8)
+                units, counts, first, runs, fps = suffix_dedup.cut(data, np.array([0, len(t)]))
+                ends = np.append(runs[1:], len(t) - 99)
+                of = {}
+                for lo, hi in zip(runs.tolist(), ends.tolist()):
+                    blocks = suffix_dedup.blocks_of(t[lo:hi + 99], hi - lo, width, 100)
+                    assert sum(m for *_, m in blocks) == hi - lo and all(0 < m <= width for *_, m in blocks)
+                    for key, s, m in blocks:
+                        of.update({t[w:w + 100]: key for w in range(lo + s, lo + s + m)})
+                keys.append(of)
+            both = keys[0].keys() & keys[1].keys()
+            assert len(both) >= 41 and all(keys[0][w] == keys[1][w] for w in both)
+
+
+def test_a_share_stays_within_the_suffix_array(make):
+    with pytest.raises(ValueError):
+        suffix_dedup.suffix_dedup(make(HARD), share_anchors=6000)
+
+
 @pytest.mark.parametrize("share", [2048, 1])
 def test_suffix_dedup_matches_brute_force(make, share):
     rows = _repeat_rows()
