@@ -124,16 +124,24 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) ->
     sizes = tiles.groupBy(*p).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
     blocks = (tiles.join(sizes, p).withColumn("blk", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
               .groupBy(*p, "blk").agg(F.array_sort(F.collect_list("fp")).alias("fps")))
-    blocks = stage_table(blocks, "simhash-blocks")
+    code = F.concat_ws("-", *p, "blk")
+    blocks = stage_table(blocks.withColumn("id", code), "simhash-blocks")
+    # the block pairs of all tile pairs are dealt out as short rows first; then each side's array is fetched by its id, so
+    # the pairs of one full tile spread over many tasks
+    names = blocks.select("id", *p, "blk")
     steps = F.explode(F.array(*[F.struct(*[F.lit(v).alias(f"d{k}") for k, v in enumerate(d)])
                                 for d in _near_tiles(radius)])).alias("d")
-    left = blocks.select("*", steps).select(
-        F.col("fps").alias("left"), F.col("blk").alias("lblk"),
+    left = names.select("*", steps).select(
+        F.col("id").alias("lid"), F.col("blk").alias("lblk"),
         (F.abs("d.d0") + F.abs("d.d1") + F.abs("d.d2") + F.abs("d.d3") == 0).alias("home"),
         *[(F.col(f"p{k}") + F.col(f"d.d{k}")).alias(f"p{k}") for k in range(4)])
-    pairs = (left.join(blocks, p).filter("NOT home OR lblk <= blk")
-             .select("left", F.col("fps").alias("right"), F.expr("home AND lblk = blk").alias("same")))
-    return pairs.mapInArrow(_compare(radius), "a long, b long")
+    pairs = (left.join(names, p).filter("NOT home OR lblk <= blk")
+             .select("lid", F.col("id").alias("rid"), F.expr("home AND lblk = blk").alias("same")))
+    pairs = stage_table(pairs.repartition("lid", "rid"), "simhash-pairs")
+    dealt = (pairs.join(blocks.select(F.col("id").alias("lid"), F.col("fps").alias("left")), "lid")
+             .join(blocks.select(F.col("id").alias("rid"), F.col("fps").alias("right")), "rid")
+             .select("left", "right", "same"))
+    return dealt.mapInArrow(_compare(radius), "a long, b long")
 
 
 def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
