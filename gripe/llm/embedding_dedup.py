@@ -16,7 +16,8 @@ block pair returns link counts and a spanning forest, never its pairs.
 Defined cases: vectors that are null, empty, zero, or hold null, NaN or
 infinite components link with nothing and are their own component; vectors of
 another length than the most common one are compared within their length; a
-null id is never the smallest of a group; an empty table gives an empty result.
+null id is never the smallest of a group; rows that share an id but not the vector are
+vectors of their own, each with its own links; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -181,10 +182,13 @@ def embedding_near_dedup(table: DataFrame, id_col: str = "vec_id", vec_col: str
     width = 4 if table.schema[vec_col].dataType.elementType.typeName() == "float" else 8
     rows = stage_table(table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v"))
                        .mapInArrow(_prepare, "vec_id long, vec binary"), "emb-rows")
-    nodes = stage_table(
-        rows.filter("vec IS NOT NULL").groupBy("vec")
-        .agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"))
-        .select(F.coalesce("least", F.xxhash64("vec")).alias("node"), "vec", "n", "least"), "emb-nodes")
+    found = stage_table(rows.filter("vec IS NOT NULL").groupBy("vec")
+                        .agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n")), "emb-vectors")
+    # a vector is known by the smallest id of its copies; where other vectors have that id, too, by its hash
+    shared = found.groupBy("least").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("least").alias("s"))
+    known = found.join(shared, F.col("least") == F.col("s"), "left")
+    nodes = stage_table(known.select(F.when(F.col("s").isNull() & F.col("least").isNotNull(), F.col("least"))
+                                     .otherwise(F.xxhash64("vec")).alias("node"), "vec", "n", "least"), "emb-nodes")
 
     common = nodes.groupBy(F.length("vec").alias("b")).agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c"), "b").first()
     books, slack, size = None, 0.0, 0

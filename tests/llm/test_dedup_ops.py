@@ -161,6 +161,32 @@ def test_embedding_dedup_matches_brute_force(spark):
     assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=repr) == want
 
 
+def test_rows_that_share_an_id_have_links_of_their_own(spark):
+    a, b = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0]
+    near_a, near_b = [1.0, 0.1, 0.0, 0.0], [0.0, 1.0, 0.1, 0.0]
+    rows = [(1, a), (1, b), (2, near_a), (3, near_b), (4, near_b), (None, [0.0, 0.0, 0.0, 1.0]), (None, [0.0, 0.0, 1.0, 0.0])]
+    got = embedding_dedup.embedding_near_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got if r.vec_id) == [(1, 1, 1), (1, 2, 1), (2, 1, 1), (3, 2, 1), (4, 2, 1)]
+    assert [(r.n_links, r.component_id) for r in got if r.vec_id is None] == [(0, None)] * 2
+
+
+@pytest.mark.parametrize("dims", [64, 16])
+def test_recall_on_planted_pairs_near_the_threshold(spark, dims):
+    """Pairs at cosine 0.90 to 0.93: at least 95 % are found, and nothing below 0.9."""
+    rng = np.random.default_rng(dims)
+    base = rng.normal(size=(1500, dims))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    turn = rng.normal(size=base.shape)
+    turn -= (turn * base).sum(1, keepdims=True) * base
+    turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+    c = rng.uniform(0.9, 0.93, size=(len(base), 1))
+    x = np.concatenate([base, c * base + np.sqrt(1 - c * c) * turn])
+    links = (x @ x.T >= 0.9).sum(1) - 1
+    got = embedding_dedup.embedding_near_dedup(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
+    found = np.array([r.n_links for r in sorted(got, key=lambda r: r.vec_id)])
+    assert (found <= links).all() and found.sum() >= 0.95 * links.sum() and links.sum() >= 3000
+
+
 def test_traversal_order_and_recall():
     rng = np.random.default_rng(2)
     d1, d2 = rng.random((20, 9)), rng.random((20, 9))
