@@ -10,8 +10,9 @@ one source has.
 Budgets are nested: a larger target of the same source takes a superset.
 
 Defined cases: null text has size 0; a null source is a source of its own and
-comes last; a null id has a hash of its own; rows with equal ids share a hash
-and are taken or left together; an empty table gives an empty result.
+comes last; the hash is of id and text, so rows that share an id (or have none) are
+dealt with one by one unless their texts are equal, too: those are taken or left together;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,9 +33,10 @@ def word_count(text: str) -> Column:
     return F.regexp_count(text_or_empty(text), F.lit(WORD_RE)).cast("long")
 
 
-def id_hash(doc_id: str) -> Column:
-    """60 bits of the md5 of the id's text."""
-    return F.conv(F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))), 1, 15), 16, 10).cast("long")
+def row_hash(doc_id: str, text: str) -> Column:
+    """60 bits of the md5 of the id and the text's md5."""
+    name = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.lit(":"), F.md5(text_or_empty(text)))
+    return F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("long")
 
 
 def targets(sizes: DataFrame, weights: tuple = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -94,7 +96,7 @@ def source_plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, we
     """The sizes of all documents, and ``k, source_size, target, full, thr`` of every source (written tables)."""
     sizes = stage_table(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-        null_key(F.col(source_col)).alias("k"), word_count(text_col).alias("size"), id_hash(id_col).alias("hash")),
+        null_key(F.col(source_col)).alias("k"), word_count(text_col).alias("size"), row_hash(id_col, text_col).alias("hash")),
         "mix-sizes")
     goal = stage_table(targets(sizes, weights, max_repeats), "mix-goal")
     return sizes, stage_table(goal.drop("source").join(_thresholds(sizes, goal), "k"), "mix-plan")
@@ -120,7 +122,7 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     against one row per source; no text is shuffled by document."""
     k, h, full, thr, n, copy = fresh(docs, "k", "hash", "full", "thr", "n", "copy")
     per_source = source_plan(docs, id_col, text_col, source_col, weights, max_repeats)[1]
-    rows = docs.withColumn(k, null_key(F.col(source_col))).withColumn(h, id_hash(id_col))
+    rows = docs.withColumn(k, null_key(F.col(source_col))).withColumn(h, row_hash(id_col, text_col))
     taken = rows.join(per_source.select(F.col("k").alias(k), F.col("full").alias(full), F.col("thr").alias(thr)), k)
     taken = taken.withColumn(n, F.col(full) + (F.col(h) < F.col(thr)).cast("long")).filter(F.col(n) > 0)
     return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n))).alias(copy)).select(*docs.columns)
@@ -129,7 +131,7 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS hash
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS hash
   FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,

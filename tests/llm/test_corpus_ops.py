@@ -57,6 +57,16 @@ def test_mixing_meets_its_targets(make, rows):
     assert sorted(map(repr, got)) == sorted(map(repr, again))
 
 
+def test_mixing_deals_with_rows_without_an_id_one_by_one(make):
+    """A hundred rows share the null id, and a hundred one id: the source still comes within one document of its target."""
+    for shared in (None, 7):
+        rows = [(shared, f"text number {k} " + "w " * 7, "en", "a") for k in range(100)] + [(1000 + k, "b " * 20, "en", "b") for k in range(50)]
+        got = mixing.mix(make(rows)).collect()
+        for source in ("a", "b"):
+            mine = [r for r in got if r.source == source]
+            assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(r.size for r in mine)
+
+
 def test_apply_mix_repeats_rows(make):
     docs = make(HARD)
     out = mixing.apply_mix(docs)
