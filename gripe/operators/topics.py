@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from itertools import permutations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import lexicons as L
@@ -103,8 +103,9 @@ def assign_names(scores: DataFrame, topics: Sequence[int], names: Sequence[str])
     s = scores.groupBy(F.col("topic").cast("int").alias("topic"), "name").agg(F.sum("score").alias("score"))
     ways = every.join(s, ["topic", "name"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
     total = ways.groupBy("p").agg(F.sum("score").alias("total"))
-    best = total.agg(F.max(F.struct("total", (-F.col("p")).alias("p"))).alias("b"))  # one row
-    full = ways.join(total, "p").join(F.broadcast(best))
+    # at most 7! totals in one window
+    total = total.withColumn("b", F.max(F.struct("total", (-F.col("p")).alias("p"))).over(Window.partitionBy()))
+    full = ways.join(total, "p")
     mine = full.filter(F.col("p") == -F.col("b.p")).select("topic", F.col("name").alias("chosen"), F.col("score").alias("own"))
     other = (full.join(F.broadcast(mine), "topic").groupBy("topic", "chosen", "own").agg(
         F.max("b.total").alias("top"), F.max(F.when(~F.col("name").eqNullSafe(F.col("chosen")), F.col("total"))).alias("next")))
