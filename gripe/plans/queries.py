@@ -638,20 +638,19 @@ def q_skip_duplicate_insert(spark, sf):
 
 
 def _refreshed(spark, sf) -> dict[str, DataFrame]:
-    """documents as records of three crawl days, stored day by day; the incremental report runs after each day and
-    reads that day only.  Crawl times follow doc_id, so the first copy of a text is that with the smallest id."""
-    from ..operators.sinks import day_part, insert_unique
+    """documents as records of three crawl days, written to a store day by day; the incremental report runs after each day
+    and reads that day only.  Crawl times follow doc_id, so the first copy of a text is that with the smallest id."""
+    from ..operators.sinks import day_part
     from ..session import scratch_path
     from . import refresh as RF
     store_path, state = scratch_path(spark, "refresh-store"), scratch_path(spark, "refresh-state")
     e = enriched(spark, sf).select("doc_id", "company", "date", "link", "cleaned", "sentiment")
-    top = e.agg(F.max("doc_id")).scalar() + 1
-    day = F.floor(F.col("doc_id") * 3 / top)
-    e = e.withColumn("crawled_at", F.timestamp_micros(F.lit(1_704_067_200_000_000) + day * 86_400_000_000 + F.col("doc_id")))
-    rec = AN.materialize(e.withColumn("day", day), "refresh-records")
+    top = (spark.read.parquet(f"{sf}/documents.parquet").agg(F.max("doc_id")).first()[0] or 0) + 1
+    day = F.floor(F.col("doc_id") * 3 / F.lit(top))
+    at = F.timestamp_micros(F.lit(1_704_067_200_000_000) + day * 86_400_000_000 + F.col("doc_id"))
     for k in range(3):
-        insert_unique(rec.filter(F.col("day") == k).drop("day", "doc_id"), store_path, "link", order_col="crawled_at",
-                      part=day_part("crawled_at"))
+        (e.filter(day == k).withColumn("crawled_at", at).drop("doc_id").withColumn("part", day_part("crawled_at"))
+         .write.mode("append").partitionBy("part").parquet(store_path))
         RF.update(spark, store_path, state, LEX)
     return RF.tables(spark, state, LEX)
 

@@ -132,7 +132,7 @@ def update(spark: SparkSession, store: str, state: str, lexicon: L.Lexicon = L.R
                              ["day", "crawled_at", "link"])
         rows = rows.withColumn("_key", DD.content_key("cleaned")).persist(StorageLevel.MEMORY_AND_DISK)
         texts = f"{state}/runs/{run}/texts"  # written once: five readers below
-        index.unseen(rows, before=first).write.parquet(texts)
+        index.unseen(rows, before=first).write.option("compression", "zstd").parquet(texts)
         rows.unpersist()
         new = spark.read.schema(rows.schema).parquet(texts)
         made = index.add(new.select("_key", F.col("day").alias("part")), run)
