@@ -141,14 +141,16 @@ def heavy_hitters(items: DataFrame, item: str, n: int, sample: float = 0.01, dep
     the cells that reach the bound.  ``items`` is read three times.  Null values are left out."""
     rows = items.filter(F.col(item).isNotNull()).select(F.col(item).alias("item"))
     drawn = rows.sample(fraction=sample, seed=7).groupBy("item").agg(F.count(F.lit(1)).alias("c"))
-    # at most ``trial`` values reach the driver's broadcast, and at most ``n`` counts the driver
-    likely = F.broadcast(materialize(drawn.orderBy(F.desc("c"), F.asc("item")).limit(trial).select("item"), "topk-trial"))
-    cells = [F.struct(F.lit(d).alias("d"), F.pmod(F.xxhash64("item", F.lit(d)), F.lit(width)).alias("cell"),
-                      F.lit(None).cast("string").alias("item")) for d in range(depth)]
-    told = rows.join(likely.withColumn("_likely", F.lit(True)), "item", "left")
-    own = F.struct(F.lit(-1).alias("d"), F.lit(0).cast("long").alias("cell"), F.col("item").cast("string").alias("item"))
-    marks = told.select(F.explode(F.when(F.col("_likely"), F.array(own, *cells)).otherwise(F.array(*cells))).alias("m"))
-    counts = materialize(marks.groupBy("m.d", "m.cell", "m.item").agg(F.count(F.lit(1)).alias("c")), "topk-sketch")
+    # at most ``trial`` values are broadcast, and at most ``n`` counts reach the driver; a trial value is counted under a
+    # number, so that the sketch is grouped by two numbers
+    likely = drawn.orderBy(F.desc("c"), F.asc("item")).limit(trial).select(
+        "item", (F.row_number().over(Window.orderBy("item")) - 1).cast("long").alias("_likely"))
+    likely = F.broadcast(materialize(likely, "topk-trial"))
+    cells = [F.struct(F.lit(d).alias("d"), F.pmod(F.xxhash64("item", F.lit(d)), F.lit(width)).alias("cell")) for d in range(depth)]
+    told = rows.join(likely, "item", "left")
+    own = F.struct(F.lit(-1).alias("d"), F.col("_likely").alias("cell"))
+    marks = told.select(F.explode(F.when(F.col("_likely").isNotNull(), F.array(own, *cells)).otherwise(F.array(*cells))).alias("m"))
+    counts = materialize(marks.groupBy("m.d", "m.cell").agg(F.count(F.lit(1)).alias("c")), "topk-sketch")
     best = [r["c"] for r in counts.filter("d = -1").orderBy(F.desc("c")).limit(n).collect()]
     bound = best[-1] if len(best) == n else 1
     heavy = counts.filter((F.col("d") >= 0) & (F.col("c") >= bound)).select("d", "cell")
