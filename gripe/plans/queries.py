@@ -23,6 +23,7 @@ from ..functions import jsonio as JS
 from ..operators import churn as CH
 from ..operators import links as LK
 from ..operators import topics as TP
+from ..operators import topics_minibatch as TB
 from ..operators import dedup as DD
 from ..operators import report as RP
 from ..operators import terms as TM
@@ -430,6 +431,23 @@ def q_topic_terms(spark, sf):
     return TP.topic_terms(model, vocab, 10)
 
 
+def _minibatch(spark, sf):
+    st = AN.materialize(store(spark, sf).select("doc_id", "link", "cleaned"), "minibatch-store")
+    return st, TB.fit_minibatch(st, "cleaned", LEX.analysis_stop, key="link")
+
+
+def q_lda_minibatch_perplexity(spark, sf):
+    """Updates made and held-out perplexity after each pass of the mini-batch topic model (M5)."""
+    st, model = _minibatch(spark, sf)
+    return spark.createDataFrame(model.history, "pass int, updates long, perplexity double")
+
+
+def q_lda_minibatch_topics(spark, sf):
+    """Each text with its dominant topic by the mini-batch topic model."""
+    st, model = _minibatch(spark, sf)
+    return model.assign(st, "cleaned", LEX.analysis_stop).select("doc_id", "topic", "topic_dist")
+
+
 def _forest(spark, sf):
     st, vocab, cv, model = _topics(spark, sf)
     f = CH.churn_features(_with_topics(st, cv, model, "topics"), LEX, topic="topic")
@@ -785,6 +803,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lda_topic_share": q_lda_topic_share,
     "lda_company_crosstab": q_lda_company_crosstab,
     "topic_terms": q_topic_terms,
+    "lda_minibatch_perplexity": q_lda_minibatch_perplexity,
+    "lda_minibatch_topics": q_lda_minibatch_topics,
     "rf_risk_summary": q_rf_risk_summary,
     "rf_metrics": q_rf_metrics,
     "rf_quality_metrics": q_rf_quality_metrics,
