@@ -18,11 +18,7 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    bayes = url_filter.fit()
-    counts, total = url_filter.word_counts(pages, bayes)
-    words = url_filter.dictionary(counts, bayes, total)
-    return url_filter.judge(pages, words, bayes)
+    return url_filter.url_filter(table(spark, sf_dir, "pages"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import itertools
 import math
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -364,6 +365,46 @@ def test_size_of_the_table_does_not_matter():
         assert len(splits) == 1
 
 
+CLEAN_HOSTS = """bluemountain oldtownmuseum mathsforkids healthylunch windmill openlibrary filmclub cyclingnews sailingschool watercolour
+    bookshop weatherreport jazzmusic foodbank bluebird wildflowers localhistory freedom betsy edwin threads farmers winchester winter
+    window windsor clickhouse cheapside freeman sussex therapist expertsexchange""".split()
+BAD_HOSTS = """megacasino hotsexcams cheapviagra xxxvideos pornmovies freespinscasino bettingbonus replicahandbags bestslots buypills
+    lotteryjackpot crackedwarez pillsdiscount escortdating freebitcoin onlinepoker viagrashop replicawatchshop paydayloan""".split()
+
+
+def test_url_verdicts_of_hosts_outside_the_labelled_ones():
+    """None of these hosts is a labelled one; at least nine in ten of each kind are right, without any page text."""
+    bayes = url_filter.fit()
+    words = url_filter.dictionary({}, bayes, 10**6, url_filter.general_words())
+    learned = {"".join(w) for urls in url_filter.LABELLED.values() for u in urls for w in [u.split(" / ")[0].split()]}
+    for hosts, sign in ((CLEAN_HOSTS, -1), (BAD_HOSTS, 1)):
+        new = [h for h in hosts if h not in learned]
+        right = [h for h in new if sign * bayes.score(url_filter.url_words(h + ".org", "", words, {})) > 0]
+        assert len(right) >= 0.9 * len(new), sorted(set(new) - set(right))
+
+
+def test_long_unknown_words_are_one_word():
+    words = url_filter.Words({"free": 5, "casino": 4}, 100.0, {"flower": 0.01})
+    long = "qzx" * 40
+    assert words.split(long) == [long] and words.split("free" + long + "casino") == ["free", long, "casino"]
+    assert words.split("flowerfree") == ["flower", "free"]
+
+
+def test_url_filter_joins_give_the_scores_of_a_dictionary(spark):
+    """Words and names are joined in partitions; hot, long, null and repeated rows, and columns with the joins' own names."""
+    text = "<p>" + " ".join(["casino winner farm ers free dom", "ththzz spins lucky"] * 3) + "</p>"
+    urls = [*URLS, *["http://luckyspins.org/free/"] * 200, "http://" + "casinofree" * 30 + ".org/" + "ththzz" * 200, None, "x", "http://farmers.org/"]
+    df = spark.createDataFrame([(i // 2, u, text if i % 3 else None) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    df = df.withColumn("salt", F.lit("s")).withColumn("score", F.lit(1)).withColumn("host", F.lit(2)).withColumn("n", F.lit(3))
+    bayes, general = url_filter.fit(), url_filter.general_words()
+    count = Counter(w for r in df.collect() for w in url_filter.page_words(r.html or ""))
+    words = url_filter.dictionary(dict(count), bayes, 0, general)
+    want = sorted((r.page_id, r.host, r.path, str(r.rule), r.verdict, round(r.score, 4)) for r in url_filter.judge(df, words, bayes).collect())
+    got = sorted((r.page_id, r.host, r.path, str(r.rule), r.verdict, round(r.score, 4)) for r in url_filter.url_filter(df).collect())
+    assert len(got) == len(urls) and got == want
+    assert url_filter.url_filter(df.limit(0)).count() == 0
+
+
 def test_url_query_over_the_whole_table(spark):
     got = queries.op2_url_filter(spark, SF001).collect()
     pages = {r.page_id: r.url for r in spark.read.parquet(f"{SF001}/pages.parquet").collect()}
