@@ -39,14 +39,11 @@ HELD_OUT = 50
 
 
 def digamma(x: np.ndarray) -> np.ndarray:
-    """Derivative of the log gamma function for x > 0: recurrence up to 6, then the asymptotic series."""
-    x, out = np.array(x, dtype=np.float64), np.zeros(np.shape(x))
-    for _ in range(6):
-        small = x < 6
-        out[small] -= 1 / x[small]
-        x[small] += 1
+    """Derivative of the log gamma function for x > 0: six steps of the recurrence, then the asymptotic series."""
+    back = sum(1 / (x + i) for i in range(6))
+    x = x + 6
     f = 1 / (x * x)
-    return out + np.log(x) - 0.5 / x - f * (1 / 12 - f * (1 / 120 - f * (1 / 252 - f * (1 / 240 - f / 132))))
+    return np.log(x) - 0.5 / x - f * (1 / 12 - f * (1 / 120 - f * (1 / 252 - f * (1 / 240 - f / 132)))) - back
 
 
 def e_log(weights: np.ndarray) -> np.ndarray:
