@@ -5,13 +5,16 @@ vector traverses the cells in the multi-sequence order (increasing sum of its
 two squared half distances) and stops once the sum exceeds its nearest cell's
 by a slack that is calibrated for the target recall: on the fitting sample,
 vectors are turned to exactly the threshold angle in random directions and the
-slack is the quantile of what the traversal needed to meet them.  All visited
-candidates are then verified by cosine in double precision, block by block.
+slack is the quantile of what the traversal needed to meet them.  The size of
+the codebooks is the one that costs least on the sample: cells visited (vectors
+moved) against vectors compared.  All visited candidates are then verified by
+cosine in double precision, block by block.
 
 Only the codebooks are fitted on a bounded sample (``fit_rows``); every vector
 is indexed and is a query.  Copies of a vector are one node with a multiplicity.
-Cells and the queries routed to them are split into blocks of bounded size; a
-block pair returns link counts and a spanning forest, never its pairs.
+Visits are short rows without vectors.  Cells and the queries that visit them
+are split into blocks of bounded size, block pairs are dealt out before their
+vectors are fetched, and a block pair returns link counts and a spanning forest, never its pairs.
 
 Defined cases: vectors that are null, empty, zero, or hold null, NaN or
 infinite components link with nothing and are their own component; vectors of
@@ -36,7 +39,10 @@ THRESHOLD = 0.9
 TARGET_RECALL = 0.97
 FIT_ROWS = 20_000
 BLOCK = 1024
+MIN_CODES = 4
 MAX_CODES = 1024
+#: What moving a vector to one more cell costs, in comparisons of two vectors.
+ROUTE_COST = 200.0
 
 
 def unit(raw: np.ndarray) -> np.ndarray:
@@ -115,6 +121,27 @@ def visited(d1: np.ndarray, d2: np.ndarray, slack: float) -> list[np.ndarray]:
     return out
 
 
+def plan_index(sample: np.ndarray, n: int, threshold: float = THRESHOLD, recall: float = TARGET_RECALL,
+               route_cost: float = ROUTE_COST, probes: int = 1000) -> tuple[tuple, float]:
+    """Codebooks and slack of the size that costs least for ``n`` vectors.
+
+    Small codebooks give large cells (more vectors compared), large ones many visited cells (more vectors moved).
+    Both are measured on the sample for doubling sizes: a vector costs its visited cells times ``route_cost`` plus
+    the vectors in them.  Sizes are tried until the cost rises."""
+    best, codes = None, MIN_CODES
+    while codes <= min(MAX_CODES, max(MIN_CODES, len(sample))):
+        books, slack = fit_index(sample, codes, threshold, recall)
+        d1, d2 = half_distances(unit(sample), books)
+        k = d2.shape[1]
+        held = np.bincount(d1.argmin(1) * k + d2.argmin(1), minlength=d1.shape[1] * k) * (n / len(sample))
+        met = [c[c >= c[0]] for c in visited(d1[:probes], d2[:probes], slack)]
+        cost = np.mean([len(c) * route_cost + held[c].sum() for c in met])
+        if best and cost >= best[0]:
+            break
+        best, codes = (cost, books, slack), codes * 2
+    return best[1], best[2]
+
+
 def _route(dim_bytes: int, width: int, books: tuple, slack: float):
     """Own cell and visited cells; of two cells that visit each other only the smaller number visits the larger."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,9 +160,8 @@ def _route(dim_bytes: int, width: int, books: tuple, slack: float):
                 if cells[i] is None:  # other lengths: one cell per length, below the grid
                     own[i] = -1 - len(v)
                     cells[i] = np.array([own[i]])
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(own), pa.array(cells, pa.list_(pa.int64()))],
-                ["node", "vec", "n", "own", "cells"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own), pa.array(cells, pa.list_(pa.int64()))],
+                                             ["node", "own", "cells"])
 
     return run
 
@@ -167,12 +193,35 @@ def _verify(threshold: float, width: int):
     return run
 
 
-def _blocks(rows: DataFrame, block: int, prefix: str) -> DataFrame:
-    """Rows of each cell packed into blocks of about ``block`` rows."""
-    parts = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
-    packed = rows.join(parts, "cell").withColumn("blk", F.pmod(F.xxhash64("node"), F.col("parts")))
-    return packed.groupBy("cell", "blk").agg(F.collect_list(F.struct("node", "vec", "n", "home")).alias("r")).select(
-        "cell", *[F.col(f"r.{c}").alias(prefix + c) for c in ("node", "vec", "n", "home")])
+def _blocks(rows: DataFrame, blk: str, prefix: str) -> DataFrame:
+    """The vectors of each (cell, block) side by side."""
+    return rows.groupBy("cell", blk).agg(F.collect_list(F.struct("node", "vec", "n", "home")).alias("r")).select(
+        "cell", blk, *[F.col(f"r.{c}").alias(prefix + c) for c in ("node", "vec", "n", "home")])
+
+
+def _block_pairs(routed: DataFrame, nodes: DataFrame, block: int) -> DataFrame:
+    """The block pairs to compare, each with the vectors of both sides.
+
+    Cells, visits and block pairs are dealt out as short rows without vectors; a visit to a cell that holds no other
+    vector ends there.  Vectors are fetched by node for the visits that are left."""
+    visits = routed.select("node", F.explode("cells").alias("cell"), "own").select(
+        "node", "cell", (F.col("cell") == F.col("own")).alias("home"))
+    sizes = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("q"), F.sum(F.col("home").cast("long")).alias("m"))
+    sizes = stage_table(sizes.filter("m > 0 AND q > 1").select(
+        "cell", "m", F.ceil(F.col("q") / block).cast("int").alias("q_parts"),
+        F.ceil(F.col("m") / block).cast("int").alias("m_parts")), "emb-cells")
+    h = F.xxhash64("node")
+    placed = visits.join(sizes, "cell").select(
+        "node", "cell", "home", "m", F.pmod(h, F.col("q_parts")).cast("int").alias("q_blk"),
+        F.pmod(h, F.col("m_parts")).cast("int").alias("m_blk"))
+    full = stage_table(placed.join(nodes.select("node", "vec", "n"), "node"), "emb-visits")
+    queries = _blocks(full.filter("NOT home OR m > 1"), "q_blk", "q_")
+    members = _blocks(full.filter("home"), "m_blk", "m_")
+    pairs = sizes.select("cell", "m_parts", F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("q_blk"))
+    pairs = pairs.repartition("cell", "q_blk").select(
+        "cell", "q_blk", F.explode(F.sequence(F.lit(0), F.col("m_parts") - 1)).alias("m_blk"))
+    return pairs.join(queries, ["cell", "q_blk"]).join(members, ["cell", "m_blk"]).select(
+        "q_node", "q_vec", "q_n", "q_home", "m_node", "m_vec", "m_n")
 
 
 def embedding_near_dedup(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -196,17 +245,12 @@ def embedding_near_dedup(table: DataFrame, id_col: str = "vec_id", vec_col: str
         size = common["b"]
         sample = (nodes.filter(F.length("vec") == size).orderBy(F.xxhash64("vec")).limit(fit_rows)
                   .select("vec").collect())  # bounded by fit_rows
-        codes = int(min(MAX_CODES, max(16, 2 ** np.ceil(np.log2(np.sqrt(common["c"] / 16))))))
         kind = np.float32 if width == 4 else np.float64
-        books, slack = fit_index(np.stack([np.frombuffer(r["vec"], kind) for r in sample]), codes, threshold, recall)
-
-    routed = stage_table(nodes.select("node", "vec", "n").mapInArrow(
-        _route(size, width, books, slack), "node long, vec binary, n long, own long, cells array<long>"), "emb-routed")
-    queries = routed.select("node", "vec", "n", "own", F.explode("cells").alias("cell")).withColumn(
-        "home", F.col("cell") == F.col("own"))
-    members = routed.select("node", "vec", "n", F.col("own").alias("cell"), F.lit(True).alias("home"))
-    pairs = _blocks(queries, block, "q_").join(_blocks(members, block, "m_"), "cell").select(
-        "q_node", "q_vec", "q_n", "q_home", "m_node", "m_vec", "m_n")
+        books, slack = plan_index(np.stack([np.frombuffer(r["vec"], kind) for r in sample]), common["c"], threshold, recall)
+
+    routed = stage_table(nodes.select("node", "vec").mapInArrow(
+        _route(size, width, books, slack), "node long, own long, cells array<long>"), "emb-routed")
+    pairs = _block_pairs(routed, nodes, block)
     met = stage_table(pairs.mapInArrow(_verify(threshold, width), "node long, links long, hook long"), "emb-links")
 
     linked = components(met.select(F.col("node").alias("a"), F.col("hook").alias("b")))
