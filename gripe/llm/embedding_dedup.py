@@ -42,7 +42,7 @@ BLOCK = 1024
 MIN_CODES = 4
 MAX_CODES = 1024
 #: What moving a vector to one more cell costs, in comparisons of two vectors.
-ROUTE_COST = 200.0
+ROUTE_COST = 500.0
 
 
 def unit(raw: np.ndarray) -> np.ndarray:
@@ -113,7 +113,8 @@ def visited(d1: np.ndarray, d2: np.ndarray, slack: float) -> list[np.ndarray]:
     for r in range(len(d1)):
         a, b = d1[r, o1[r]], d2[r, o2[r]]
         bound = a[0] + b[0] + slack
-        steps = np.searchsorted(b, bound - a[:np.searchsorted(a, bound - b[0], "right")], "right")
+        steps = np.searchsorted(b, bound - a[:max(1, np.searchsorted(a, bound - b[0], "right"))], "right")
+        steps[0] = max(1, steps[0])  # the nearest cell, also where rounding would leave it out
         rows = np.repeat(np.arange(len(steps)), steps)
         cols = np.arange(len(rows)) - np.repeat(np.cumsum(steps) - steps, steps)
         order = np.argsort(a[rows] + b[cols], kind="stable")

@@ -187,6 +187,24 @@ def test_recall_on_planted_pairs_near_the_threshold(spark, dims):
     assert (found <= links).all() and found.sum() >= 0.95 * links.sum() and links.sum() >= 3000
 
 
+def test_visits_stay_few_as_the_table_grows():
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((6000, 16))
+    visits = []
+    for n in (6_000, 6_000 * 64):
+        books, slack = embedding_dedup.plan_index(x, n)
+        d1, d2 = embedding_dedup.half_distances(embedding_dedup.unit(x[:300]), books)
+        visits.append(np.mean([len(c[c >= c[0]]) for c in embedding_dedup.visited(d1, d2, slack)]))
+    assert visits[1] < 8 * visits[0]  # 64 times the vectors
+
+
+def test_the_nearest_cell_is_always_visited():
+    x = np.ones((50, 8)) * 0.1
+    books, slack = embedding_dedup.plan_index(x, 50)
+    for c in embedding_dedup.visited(*embedding_dedup.half_distances(embedding_dedup.unit(x), books), slack - 1e-9):
+        assert len(c) >= 1
+
+
 def test_traversal_order_and_recall():
     rng = np.random.default_rng(2)
     d1, d2 = rng.random((20, 9)), rng.random((20, 9))
