@@ -9,7 +9,7 @@ no more than any other key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -115,9 +115,12 @@ def tfidf_from_counts(every: DataFrame, size: int = 30, top: int | None = 5, by:
 
 def top_bigrams_sketched(df: DataFrame, text: str = "cleaned", n: int = 15, **options) -> DataFrame:
     """The same as :func:`top_bigrams` for corpora whose distinct pairs are too many to shuffle: ``df`` should be a stored
-    table, because it is read three times (:func:`heavy_hitters`)."""
-    toks = df.select(TX.word_tokens(text).alias("_t"))
-    return heavy_hitters(toks.select(F.explode(TX.bigrams("_t")).alias("bigram")), "bigram", n, **options)
+    table, because it is read twice and a sample of its texts once more (:func:`heavy_hitters`)."""
+    def pairs(rows: DataFrame) -> DataFrame:
+        toks = rows.select(TX.word_tokens(text).alias("_t"))
+        return toks.select(F.explode(TX.bigrams("_t")).alias("bigram"))
+
+    return heavy_hitters(pairs(df), "bigram", n, draw=lambda share: pairs(df.sample(fraction=share, seed=7)), **options)
 
 
 def top_bigrams(df: DataFrame, text: str = "cleaned", n: int = 15) -> DataFrame:
@@ -126,7 +129,7 @@ def top_bigrams(df: DataFrame, text: str = "cleaned", n: int = 15) -> DataFrame:
 
 
 def heavy_hitters(items: DataFrame, item: str, n: int, sample: float = 0.01, depth: int = 3, width: int = 1 << 16,
-                  trial: int = 1000) -> DataFrame:
+                  trial: int = 1000, draw: Callable[[float], DataFrame] | None = None) -> DataFrame:
     """The ``n`` most frequent values of ``item`` with their exact counts ``n``, ties by value, without a shuffle of every
     distinct value (M15, K1).
 
@@ -138,26 +141,30 @@ def heavy_hitters(items: DataFrame, item: str, n: int, sample: float = 0.01, dep
 
     The sample decides how many values the second pass counts, not which come out.  A task sends at most
     depth x width cells and ``trial`` counts, and in the second pass only candidates; the broadcast tables hold the trial values and
-    the cells that reach the bound.  ``items`` is read three times.  Null values are left out."""
+    the cells that reach the bound.  ``items`` is read three times; with ``draw``, which gives the items of a share of
+    the input rows, the sample is taken before items are made, and they are read twice.  Null values are left out."""
     rows = items.filter(F.col(item).isNotNull()).select(F.col(item).alias("item"))
-    drawn = rows.sample(fraction=sample, seed=7).groupBy("item").agg(F.count(F.lit(1)).alias("c"))
+    some = draw(sample).filter(F.col(item).isNotNull()).select(F.col(item).alias("item")) if draw else (
+        rows.sample(fraction=sample, seed=7))
+    drawn = some.groupBy("item").agg(F.count(F.lit(1)).alias("c"))
     # at most ``trial`` values are broadcast, and at most ``n`` counts reach the driver; a trial value is counted under a
-    # number, so that the sketch is grouped by two numbers
+    # negative number, so that the sketch is grouped by one number; one hash of the value gives its cell in every row
     likely = drawn.orderBy(F.desc("c"), F.asc("item")).limit(trial).select(
         "item", (F.row_number().over(Window.orderBy("item")) - 1).cast("long").alias("_likely"))
     likely = F.broadcast(materialize(likely, "topk-trial"))
-    cells = [F.struct(F.lit(d).alias("d"), F.pmod(F.xxhash64("item", F.lit(d)), F.lit(width)).alias("cell")) for d in range(depth)]
-    told = rows.join(likely, "item", "left")
-    own = F.struct(F.lit(-1).alias("d"), F.col("_likely").alias("cell"))
+    low, high = F.col("_h").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("_h", 32)
+    cells = [F.pmod(low + high * F.lit(d), F.lit(width)) + F.lit(d * width) for d in range(depth)]
+    told = rows.join(likely, "item", "left").select("_likely", F.xxhash64("item").alias("_h"))
+    own = -F.col("_likely") - 1
     marks = told.select(F.explode(F.when(F.col("_likely").isNotNull(), F.array(own, *cells)).otherwise(F.array(*cells))).alias("m"))
-    counts = materialize(marks.groupBy("m.d", "m.cell").agg(F.count(F.lit(1)).alias("c")), "topk-sketch")
-    best = [r["c"] for r in counts.filter("d = -1").orderBy(F.desc("c")).limit(n).collect()]
+    counts = materialize(marks.groupBy("m").agg(F.count(F.lit(1)).alias("c")), "topk-sketch")
+    best = [r["c"] for r in counts.filter("m < 0").orderBy(F.desc("c")).limit(n).collect()]
     bound = best[-1] if len(best) == n else 1
-    heavy = counts.filter((F.col("d") >= 0) & (F.col("c") >= bound)).select("d", "cell")
-    kept = rows.select("item", *[F.pmod(F.xxhash64("item", F.lit(d)), F.lit(width)).alias(f"c{d}") for d in range(depth)])
+    heavy = counts.filter((F.col("m") >= 0) & (F.col("c") >= bound)).select("m")
+    kept = rows.withColumn("_h", F.xxhash64("item"))
     for d in range(depth):  # at most ``width`` cells each
-        mine = heavy.filter(F.col("d") == d).select(F.col("cell").alias(f"c{d}"))
-        kept = kept.join(F.broadcast(mine), f"c{d}", "left_semi")
+        mine = heavy.filter((F.col("m") >= d * width) & (F.col("m") < (d + 1) * width)).select(F.col("m").alias(f"c{d}"))
+        kept = kept.join(F.broadcast(mine), cells[d] == F.col(f"c{d}"), "left_semi")
     exact = kept.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
     return vocabulary(exact, n, freq="n", term="item").select(F.col("item").alias(item), "n")
 
