@@ -221,7 +221,8 @@ def _block_pairs(routed: DataFrame, nodes: DataFrame, block: int) -> DataFrame:
     pairs = sizes.select("cell", "m_parts", F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("q_blk"))
     pairs = pairs.repartition("cell", "q_blk").select(
         "cell", "q_blk", F.explode(F.sequence(F.lit(0), F.col("m_parts") - 1)).alias("m_blk"))
-    return pairs.join(queries, ["cell", "q_blk"]).join(members, ["cell", "m_blk"]).select(
+    # members first: the queries, many times as many, stay where their blocks were built
+    return pairs.join(members, ["cell", "m_blk"]).join(queries, ["cell", "q_blk"]).select(
         "q_node", "q_vec", "q_n", "q_home", "m_node", "m_vec", "m_n")
 
 
