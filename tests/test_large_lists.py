@@ -84,3 +84,18 @@ def test_100000_phrases_in_one_scan(spark):
     joined = PH.count_phrases_joined(docs.filter("doc_id % 97 = 3"), spark.createDataFrame([(p,) for p in phrases], "phrase string"), "doc_id", gram=6)
     assert "NestedLoop" not in joined._jdf.queryExecution().toString()
     assert {r.doc_id: r.hits for r in joined.collect()} == some
+
+
+def test_joined_grams_by_bytes(spark, monkeypatch):
+    """Only grams that a phrase begins with leave the text; texts, phrases and blocks end anywhere, also inside a character."""
+    monkeypatch.setattr(PH, "BLOCK", 16)
+    texts = ["", None, "a", "ab", "çığ şu", "x" * 40 + "iptal et", "iptal e", "tiptal", "a\x00\x00", "abcdefgh", "abcdefghi abcdefgz", "şşşşşşşş"]
+    texts += ["ğü" * i + "the end" + "ı" * i for i in range(9)]
+    phrases = ["", "", "a", "a\x00", "a\x00\x00", "ab", "ığ", "ş", "şşşşş", "iptal et", "tip", "abcdefgh", "abcdefghi", "abcdefgz", "the end", "endı", "end", "zz", "zz"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, cleaned string")
+    table = spark.createDataFrame([(p,) for p in phrases], "phrase string")
+    want = {i: sum(p in (t or "") for p in phrases) for i, t in enumerate(texts)}
+    for gram in (0, 1, 3, 8, 20):
+        assert {r.id: r.hits for r in PH.count_phrases_joined(df, table, "id", gram=gram).collect()} == want
+    plan = PH.count_phrases_joined(df, table, "id", gram=8)._jdf.queryExecution().toString()
+    assert "regexp_extract_all" not in plan and "MapInArrow" in plan
