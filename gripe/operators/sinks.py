@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import os
+from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -114,11 +115,13 @@ def open_index(spark, target: str, key_type: str, **options) -> KeyIndex:
 
 
 def insert_unique(batch: DataFrame, target: str, key: str, order_col: str | None = None, hashed_key: bool = False,
-                  part: Column | None = None, buckets: int = BUCKETS, run: str | None = None, **index_options) -> None:
+                  part: Column | None = None, buckets: int = BUCKETS, run: str | None = None,
+                  finish: Callable[[DataFrame], DataFrame] | None = None, **index_options) -> None:
     """Append the rows of ``batch`` whose key is nowhere in ``target``.
 
     Within the batch the smallest ``order_col`` stays per key; a key that is stored stays as it is, as with a
-    unique index.  Rows without a key are the caller's business.  ``run`` names the insert in the index."""
+    unique index.  Rows without a key are the caller's business.  ``run`` names the insert in the index.  ``finish``
+    adds columns to the rows that are written, after the shuffles; it must keep every row and column."""
     spark = batch.sparkSession
     b = batch.withColumn("_key", key_column(batch, key, hashed_key)).filter(F.col("_key").isNotNull())
     place = part if part is not None else F.pmod(F.xxhash64("_key"), F.lit(buckets)).cast("string")
@@ -128,7 +131,9 @@ def insert_unique(batch: DataFrame, target: str, key: str, order_col: str | None
     try:
         made = index.add(new.select("_key", F.col(PART).alias("part")), run)
         if made:
-            new.hint("rebalance", PART).write.mode("append").partitionBy(PART).parquet(target)
+            out = new.hint("rebalance", PART)
+            out = finish(out) if finish else out
+            out.write.mode("append").option("compression", "zstd").partitionBy(PART).parquet(target)
             index.commit(made)
             index.compact()
     finally:

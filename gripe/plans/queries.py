@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -566,6 +567,7 @@ def _records_json(spark, sf, copies: int = 1, days: int = 1) -> str:
     rec = d.select("company", "date", "link", "content",
                    (F.lit(1.7e9) + F.pmod("doc_id", F.lit(3_000_000)) / 1000.0).alias("crawl_timestamp"))
     path = scratch_path(spark, "records-json")
+    rec = rec.persist(StorageLevel.MEMORY_AND_DISK) if copies > 1 else rec  # the table is read and dealt out once
     for i in range(copies):
         if days > 1:
             day = F.pmod(F.xxhash64("link"), F.lit(2 * days))
@@ -573,6 +575,7 @@ def _records_json(spark, sf, copies: int = 1, days: int = 1) -> str:
             rec.withColumn("crawl_timestamp", F.col("crawl_timestamp") + late * 86400.0).write.mode("append").json(f"{path}/round={i}")
         else:
             rec.write.mode("append").json(f"{path}/round={i}")
+    rec.unpersist()
     return path
 
 
@@ -581,8 +584,8 @@ def _run_stream(spark, src: str, key: str = "link", files_per_trigger: int | Non
     from ..streaming import pipeline as PL
     target, ckpt, quar = (scratch_path(spark, n) for n in ("stream-store", "stream-ckpt", "stream-quarantine"))
     raw = PL.read_json_files(spark, f"{src}/*", files_per_trigger)
-    q = PL.start_pipeline(PL.process(raw, LEX), target, ckpt, key=key, quarantine=quar,
-                          trigger={"availableNow": True})
+    q = PL.start_pipeline(PL.records(raw), target, ckpt, key=key, quarantine=quar,
+                          trigger={"availableNow": True}, lexicon=LEX)
     q.awaitTermination()
     return target
 

@@ -35,15 +35,25 @@ def read_json_files(spark: SparkSession, path: str, max_files_per_trigger: int |
     return r.load(path)
 
 
+def _decoded(raw: DataFrame) -> DataFrame:
+    d = JS.decode_frame(raw, "value", schemas.STREAM_INPUT, keep_raw=True)
+    return d.withColumn("decoded", F.col("company").isNotNull() | F.col("content").isNotNull()
+                        | F.col("link").isNotNull() | F.col("date").isNotNull())
+
+
 def process(raw: DataFrame, lexicon: L.Lexicon = L.REFERENCE, keep_arrays: bool = True) -> DataFrame:
     """Decode the queue value and enrich: the stream output schema plus ``raw_value`` / ``decoded``."""
-    d = JS.decode_frame(raw, "value", schemas.STREAM_INPUT, keep_raw=True)
-    d = d.withColumn("decoded", F.col("company").isNotNull() | F.col("content").isNotNull()
-                     | F.col("link").isNotNull() | F.col("date").isNotNull())
-    out = CP.enrich(d, lexicon, content="content", keep_arrays=keep_arrays, stamp=True)
+    out = CP.enrich(_decoded(raw), lexicon, content="content", keep_arrays=keep_arrays, stamp=True)
     return out.withColumn("crawled_at", F.timestamp_seconds("crawl_timestamp"))
 
 
+def records(raw: DataFrame) -> DataFrame:
+    """Decode the queue value and stamp it, without the columns that follow from the text: for a pipeline with a
+    ``lexicon``, which makes them when it writes a row, so that copies of a row are dropped while rows are short."""
+    return _decoded(raw).withColumns({"processed_at": F.current_timestamp(),
+                                      "crawled_at": F.timestamp_seconds("crawl_timestamp")})
+
+
 def dedup_stream(df: DataFrame, key: str = "link", event_time: str = "crawled_at", delay: str = "1 hour") -> DataFrame:
     """Optional in-stream de-duplication within a watermark (T6); exact dedup stays in the sink."""
     return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
@@ -55,7 +65,8 @@ STORE_COLUMNS = ["company", "date", "link", "content", "cleaned", "tokens", "fil
 
 def idempotent_batch(target: str, key: str = "link", quarantine: str | None = None,
                      extra_sinks: list[Callable[[DataFrame, int], None]] | None = None,
-                     hashed_key: bool = False, on_error: str = "raise") -> Callable[[DataFrame, int], None]:
+                     hashed_key: bool = False, on_error: str = "raise",
+                     lexicon: L.Lexicon | None = None) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: quarantine, skip-duplicates insert, extra sinks.
 
     Every row of a batch ends in the store, is a duplicate of a stored row, or
@@ -66,6 +77,8 @@ def idempotent_batch(target: str, key: str = "link", quarantine: str | None = No
     ``on_error="raise"`` (default) fails the query so the checkpoint does not
     advance and the batch is retried; ``"skip"`` puts the whole batch into the
     quarantine and lets the stream go on (S5).
+
+    ``lexicon``: the batch has the rows of :func:`records`; new ones are enriched on their way to the sinks.
     """
     if on_error not in ("raise", "skip"):
         raise ValueError("on_error must be 'raise' or 'skip'")
@@ -75,23 +88,31 @@ def idempotent_batch(target: str, key: str = "link", quarantine: str | None = No
         rows.select("raw_value", F.lit(reason).alias("reason")).write.mode("overwrite").parquet(
             f"{rejects}/batch_id={batch_id}")
 
+    def finish(rows: DataFrame) -> DataFrame:
+        out = CP.enrich(rows, lexicon, content="content", keep_arrays=True) if lexicon else rows
+        first = [c for c in STORE_COLUMNS if c in out.columns]
+        return out.select(*first, *[c for c in out.columns if c not in first])
+
     def write(batch: DataFrame, batch_id: int) -> None:
         conf = batch.sparkSession.conf
         key_ = "spark.sql.inMemoryColumnarStorage.batchSize"
         if int(conf.get(key_, "10000")) > CACHE_BATCH_ROWS:
             # a batch of long texts with token arrays: small cached column batches
             conf.set(key_, str(CACHE_BATCH_ROWS))
-        b = batch.persist(StorageLevel.MEMORY_AND_DISK)
         usable = F.col("decoded") & F.col(key).isNotNull()
+        kept = batch
+        if on_error == "raise":  # only rows that may be put aside need their raw text
+            kept = batch.withColumn("raw_value", F.when(usable, F.lit(None)).otherwise(F.col("raw_value")))
+        b = kept.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             bad = b.filter(~usable)
             if not bad.isEmpty():  # no empty files per micro-batch in the quarantine table
                 put_aside(bad, batch_id, "no record or no key")
             good = b.filter(usable).select(*[c for c in STORE_COLUMNS if c in b.columns])
             SK.insert_unique(good, target, key, order_col="crawled_at", hashed_key=hashed_key,
-                             part=SK.day_part("crawled_at"))
+                             part=SK.day_part("crawled_at"), finish=finish)
             for sink in extra_sinks or []:
-                sink(good, batch_id)
+                sink(finish(good), batch_id)
         except Exception as e:  # noqa: BLE001
             if on_error == "raise":
                 raise
@@ -105,10 +126,10 @@ def idempotent_batch(target: str, key: str = "link", quarantine: str | None = No
 def start_pipeline(stream: DataFrame, target: str, checkpoint: str, key: str = "link",
                    quarantine: str | None = None, trigger: dict | None = None,
                    extra_sinks: list[Callable[[DataFrame, int], None]] | None = None,
-                   query_name: str | None = None, on_error: str = "raise"):
+                   query_name: str | None = None, on_error: str = "raise", lexicon: L.Lexicon | None = None):
     """Start the single streaming query in append mode."""
     w = (stream.writeStream.outputMode("append")
-         .foreachBatch(idempotent_batch(target, key, quarantine, extra_sinks, on_error=on_error))
+         .foreachBatch(idempotent_batch(target, key, quarantine, extra_sinks, on_error=on_error, lexicon=lexicon))
          .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
@@ -196,7 +217,7 @@ def main(argv: list[str] | None = None) -> None:
     lex = L.profile(a.lexicon) if a.lexicon in L.PROFILES else L.Lexicon.load(a.lexicon)
     raw = read_complaint_stream(spark, a.kafka, a.topic) if a.kafka else read_json_files(spark, a.files)
     trigger = {"availableNow": True} if a.available_now else None
-    q = start_pipeline(process(raw, lex), a.store, a.checkpoint, quarantine=a.quarantine, trigger=trigger)
+    q = start_pipeline(records(raw), a.store, a.checkpoint, quarantine=a.quarantine, trigger=trigger, lexicon=lex)
     q.awaitTermination()
 
 

@@ -300,3 +300,27 @@ def test_store_write_layout(spark):
                           os.path.join(base, "ck"), quarantine=quar, trigger={"availableNow": True})
     q.awaitTermination()
     assert not os.path.exists(quar)
+
+
+def test_copies_are_dropped_before_texts_are_enriched(spark, monkeypatch):
+    """With a lexicon the insert moves short rows; the store holds the same as with enriched batches."""
+    import json
+    import tempfile
+
+    from gripe.operators import sinks as SK
+
+    base = tempfile.mkdtemp(prefix="short-rows-")
+    rec = [("a", "X Fatura, 2024! iptal", 5.0), ("a", "zam", 5.0), ("a", "later", 6.0), ("b", None, None), ("c", "", 1.0),
+           (None, "no link", 2.0)]
+    lines = [json.dumps({"company": "K", "date": "d", "link": k, "content": c, "crawl_timestamp": t}) for k, c, t in rec] + ["{broken"]
+    raw = spark.createDataFrame([(x,) for x in lines], "value string")
+    moved, plain = [], SK.first_per_key
+    monkeypatch.setattr(SK, "first_per_key", lambda df, *a: (moved.append(set(df.columns)), plain(df, *a))[1])
+    for _ in range(2):
+        PL.idempotent_batch(base + "/short", lexicon=L.REFERENCE)(PL.records(raw), 0)
+    assert moved and not any({"tokens", "filtered_tokens", "cleaned", "sentiment"} & m for m in moved)
+    PL.idempotent_batch(base + "/long")(PL.process(raw, L.REFERENCE), 0)
+    a, b = (SK.read_store(spark, f"{base}/{x}").drop("processed_at") for x in ("short", "long"))
+    assert a.columns == b.columns and a.count() == 3
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert {r.raw_value for r in spark.read.parquet(base + "/short_quarantine").collect()} == set(lines[-2:])
