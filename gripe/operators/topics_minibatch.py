@@ -16,12 +16,10 @@ empty table the model is its random start and the perplexity null.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import StorageLevel
@@ -94,19 +92,25 @@ def slices(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def _bag_arrays(words: pa.Array, known: pa.Array) -> tuple[np.ndarray, ...]:
+    """Of the rows with a known term: their places, where their terms begin, how many they are; all terms' numbers and counts."""
+    words = words.fill_null(pa.scalar([], words.type))
+    row = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
+    at = pc.index_in(words.flatten().cast(pa.string()), value_set=known).fill_null(-1).to_numpy(zero_copy_only=False)
+    cell, n = np.unique(row[at >= 0] * len(known) + at[at >= 0], return_counts=True)
+    rows, starts = np.unique(cell // len(known), return_index=True)
+    return rows, starts, np.diff(np.append(starts, len(cell))), cell % len(known), n
+
+
 def bags(tokens: DataFrame, vocab: Sequence[str]) -> DataFrame:
     """(h, ids, n): the terms of each row by number, rising, with their counts; rows without one are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(vocab, pa.string())
         for b in batches:
-            words = b.column(1).fill_null(pa.scalar([], b.column(1).type))
-            row = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
-            at = pc.index_in(words.flatten().cast(pa.string()), value_set=known).fill_null(-1).to_numpy(zero_copy_only=False)
-            cell, n = np.unique(row[at >= 0] * len(vocab) + at[at >= 0], return_counts=True)
-            rows, starts = np.unique(cell // len(vocab), return_index=True)
-            ends = pa.array(np.append(starts, len(cell)), pa.int32())
+            rows, starts, _, cols, n = _bag_arrays(b.column(1), known)
+            ends = pa.array(np.append(starts, len(cols)), pa.int32())
             yield pa.RecordBatch.from_arrays([
-                b.column(0).take(pa.array(rows)), pa.ListArray.from_arrays(ends, pa.array(cell % len(vocab), pa.int32())),
+                b.column(0).take(pa.array(rows)), pa.ListArray.from_arrays(ends, pa.array(cols, pa.int32())),
                 pa.ListArray.from_arrays(ends, pa.array(n, pa.int32()))], ["h", "ids", "n"])
 
     ship(tokens.sparkSession)
@@ -126,20 +130,25 @@ class TopicModel:
     def assign(self, df: DataFrame, text: str = "cleaned", stop: Sequence[str] = ()) -> DataFrame:
         """Adds ``topic_dist`` and ``topic`` (1-based, of equal shares the first)."""
         vocab, beta, k = self.vocab, e_log(self.weights), self.k
-
-        @F.pandas_udf("array<double>")
-        def dist(tokens):
-            place, out = {w: i for i, w in enumerate(vocab)}, []
-            for words in tokens:
-                used = Counter(place[w] for w in words if w in place) if words is not None else {}
-                gamma = np.ones(k)
-                if used:
-                    gamma = posterior(np.zeros(1, int), np.array(sorted(used)), np.array([float(used[i]) for i in sorted(used)]), beta)[0]
-                out.append(gamma / gamma.sum())
-            return pd.Series(out, dtype=object)
+        names = [f"c{i}" for i in range(len(df.columns))]  # no name of ``df`` meets ours
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = pa.array(vocab, pa.string())
+            for b in batches:
+                gamma = np.ones((b.num_rows, k))
+                row, _, size, cols, n = _bag_arrays(b.column(len(names)), known)
+                if len(row):
+                    gamma[row] = posterior(np.cumsum(size) - size, cols, n.astype(np.float64), beta)
+                share = gamma / gamma.sum(axis=1, keepdims=True)
+                ends = pa.array(np.arange(b.num_rows + 1) * k, pa.int32())
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(share.ravel()))],
+                                                 [*names, "dist"])
 
         ship(df.sparkSession)
-        return df.withColumn("topic_dist", dist(analysis_tokens(text, stop))).withColumn("topic", dominant_topic("topic_dist"))
+        rows = df.toDF(*names).select(*names, analysis_tokens(names[df.columns.index(text)], stop).alias("tokens"))
+        kinds = ", ".join(f"{c} {t}" for c, t in rows.dtypes[:-1])
+        out = rows.mapInArrow(run, f"{kinds}, dist array<double>").toDF(*df.columns, "topic_dist")
+        return out.withColumn("topic", dominant_topic("topic_dist"))
 
     def terms(self, spark, n: int = 10) -> DataFrame:
         """(topic, rank, term, weight): the ``n`` top words of each topic; of equal weights the first term."""

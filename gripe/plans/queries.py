@@ -446,7 +446,7 @@ def q_lda_minibatch_perplexity(spark, sf):
 def q_lda_minibatch_topics(spark, sf):
     """Each text with its dominant topic by the mini-batch topic model."""
     st, model = _minibatch(spark, sf)
-    return model.assign(st, "cleaned", LEX.analysis_stop).select("doc_id", "topic", "topic_dist")
+    return model.assign(st.select("doc_id", "cleaned"), "cleaned", LEX.analysis_stop).select("doc_id", "topic", "topic_dist")
 
 
 def _forest(spark, sf):

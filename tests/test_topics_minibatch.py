@@ -104,3 +104,21 @@ def test_hard_rows_and_empty_table(spark):
     assert max(got[-4].topic_dist) > 0.99
     empty = TB.fit_minibatch(df.limit(0), passes=2)
     assert empty.history == [] and empty.assign(df.limit(0)).count() == 0
+
+
+def test_assign_goes_through_arrow_batches(spark):
+    """Rows are assigned in batches, without a Python function per column; each gets what it gets alone."""
+    import numpy as np
+
+    m = TB.TopicModel(["ab", "cd", "ef"], np.array([[9.0, 1.0, 1.0], [1.0, 9.0, 2.0]]))
+    texts = ["ab ab cd", None, "", "zz", "cd ef ef", "ab"]
+    df = spark.createDataFrame(list(enumerate(texts)), "topic_id int, cleaned string").coalesce(1)
+    out = m.assign(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+    got = {r.topic_id: (r.topic, list(r.topic_dist)) for r in out.collect()}
+    assert out.columns == ["topic_id", "cleaned", "topic_dist", "topic"]
+    for i, t in enumerate(texts):
+        one = m.assign(df.filter(F.col("topic_id") == i)).first()
+        assert got[i] == (one.topic, list(one.topic_dist))
+    assert got[1] == got[2] == got[3] == (1, [0.5, 0.5]) and got[0][0] == got[5][0] == 1 and got[4][0] == 2
