@@ -40,7 +40,7 @@ def term_stats(df: DataFrame, tokens: "Column | str", stop: Sequence[str] = ())
     is materialised in its own projection so it is built once per row.
     """
     t = F.col(tokens) if isinstance(tokens, str) else tokens
-    s = df.select(F.array_sort(t).alias("_s"))
+    s = df.select(F.sort_array(t).alias("_s"))  # array_sort calls a comparison lambda for each pair of tokens
     prev = F.slice(F.concat(F.array(F.lit(None).cast("string")), F.col("_s")), 1, F.size("_s"))
     e = s.select(F.inline(F.arrays_zip(F.col("_s").alias("term"), prev.alias("prev"))))
     # stop words are dropped after the explode (a codegen'd predicate rather than
