@@ -64,16 +64,24 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"), "text_sha256")
 
 
+#: So many (id, hash) pairs of dropped rows are sent to every executor, about 15 MB; more of them are joined by a shuffle.
+MAX_SENT = 200_000
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Rows are matched to the decision by id and text hash.  Only when an id
-    really repeats with the same text are those rows reduced to one."""
-    sha, won_id, won_sha, m = fresh(docs, "sha", "won_id", "won_sha", "m")
-    won = (exact_dedup(docs, id_col, text_col).filter("kept")
-           .select(F.col("doc_id").alias(won_id), F.col("text_sha256").alias(won_sha)))
-    rows = docs.withColumn(sha, F.sha2(normalise(text_col), 256))
-    kept = rows.join(won, F.col(id_col).eqNullSafe(F.col(won_id)) & (F.col(sha) == F.col(won_sha)), "left_semi")
+    Rows are matched to the decision by id and text hash: those go whose id is not the one that stays.  While the
+    dropped ones are few, no text is shuffled for it.  Only when an id really repeats with the same text are those rows
+    reduced to one."""
+    sha, lost_id, lost_sha, m = fresh(docs, "sha", "lost_id", "lost_sha", "m")
+    lost = (exact_dedup(docs, id_col, text_col).filter(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+            .select(F.col("doc_id").alias(lost_id), F.unhex("text_sha256").alias(lost_sha)))
+    lost = stage_table(lost.distinct(), "exact-lost")
+    if lost.count() <= MAX_SENT:
+        lost = F.broadcast(lost)
+    rows = docs.withColumn(sha, F.unhex(F.sha2(normalise(text_col), 256)))
+    kept = rows.join(lost, F.col(id_col).eqNullSafe(F.col(lost_id)) & (F.col(sha) == F.col(lost_sha)), "left_anti")
     repeats = rows.groupBy(id_col, sha).agg(F.count(F.lit(1)).alias(m)).filter(F.col(m) > 1)
     if not repeats.isEmpty():
         kept = kept.dropDuplicates([id_col, sha])
