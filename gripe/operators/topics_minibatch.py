@@ -130,7 +130,8 @@ class TopicModel:
     def assign(self, df: DataFrame, text: str = "cleaned", stop: Sequence[str] = ()) -> DataFrame:
         """Adds ``topic_dist`` and ``topic`` (1-based, of equal shares the first)."""
         vocab, beta, k = self.vocab, e_log(self.weights), self.k
-        names = [f"c{i}" for i in range(len(df.columns))]  # no name of ``df`` meets ours
+        base = df.drop("topic_dist")
+        names = [f"c{i}" for i in range(len(base.columns))]  # no name of ``df`` meets ours
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = pa.array(vocab, pa.string())
@@ -145,9 +146,11 @@ class TopicModel:
                                                  [*names, "dist"])
 
         ship(df.sparkSession)
-        rows = df.toDF(*names).select(*names, analysis_tokens(names[df.columns.index(text)], stop).alias("tokens"))
+        rows = base.toDF(*names).select(*names, analysis_tokens(names[base.columns.index(text)], stop).alias("tokens"))
         kinds = ", ".join(f"{c} {t}" for c, t in rows.dtypes[:-1])
-        out = rows.mapInArrow(run, f"{kinds}, dist array<double>").toDF(*df.columns, "topic_dist")
+        out = rows.mapInArrow(run, f"{kinds}, dist array<double>").toDF(*base.columns, "topic_dist")
+        if len(base.columns) < len(df.columns):  # an earlier assignment is replaced in its place
+            out = out.select(*df.columns)
         return out.withColumn("topic", dominant_topic("topic_dist"))
 
     def terms(self, spark, n: int = 10) -> DataFrame:
