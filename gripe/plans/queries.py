@@ -54,8 +54,24 @@ def store(spark: SparkSession, sf_dir: str, lexicon: L.Lexicon = LEX, carry: "li
     return S.with_sentiment(DD.dedup_text(c, "cleaned", "doc_id"), "cleaned", lexicon, lowered=True)
 
 
+def scored_store(spark: SparkSession, sf_dir: str, score: Callable[[DataFrame], DataFrame] = lambda df: df,
+                 lexicon: L.Lexicon = LEX) -> DataFrame:
+    """The rows of the store with sentiment and the columns that ``score`` adds, without the text.
+
+    All of these are functions of the cleaned text, so rows are scored where they are read, and ids and scores alone go
+    through the shuffle of the de-duplication."""
+    d = CP.documents_as_complaints(spark, sf_dir).select(
+        "doc_id", "company", TX.clean_text("content", lexicon.stream_stop).alias("cleaned"))
+    r = score(S.with_sentiment(d, "cleaned", lexicon, lowered=True))
+    return DD.dedup_text(r, "cleaned", "doc_id", [c for c in r.columns if c != "cleaned"])
+
+
 def risk_store(spark: SparkSession, sf_dir: str, lexicon: L.Lexicon = LEX) -> DataFrame:
-    return CH.rule_risk_table(store(spark, sf_dir, lexicon), lexicon)
+    return scored_store(spark, sf_dir, lambda df: CH.rule_risk_table(df, lexicon), lexicon)
+
+
+def churn_store(spark: SparkSession, sf_dir: str, lexicon: L.Lexicon = LEX) -> DataFrame:
+    return scored_store(spark, sf_dir, lambda df: CH.churn_features(df, lexicon, topic=None), lexicon)
 
 
 # --- cleaning, dedup, sentiment -------------------------------------------
@@ -83,7 +99,7 @@ def q_sentiment_rows(spark, sf):
 
 
 def q_sentiment_by_company(spark, sf):
-    return store(spark, sf).groupBy("company", "sentiment").agg(F.count(F.lit(1)).alias("n"))
+    return scored_store(spark, sf).groupBy("company", "sentiment").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_sentiment_reference_lexicon(spark, sf):
@@ -105,7 +121,7 @@ def q_lexicon_hits(spark, sf):
 
 
 def q_sentiment_weight_lookup(spark, sf):
-    s = store(spark, sf)
+    s = scored_store(spark, sf)
     return (s.select("sentiment", S.sentiment_weight("sentiment").alias("sentiment_weight"))
             .groupBy("sentiment", "sentiment_weight").agg(F.count(F.lit(1)).alias("n")))
 
@@ -151,12 +167,12 @@ def q_alarm_count(spark, sf):
 # --- churn features, label, split, metrics ----------------------------------
 
 def q_churn_features(spark, sf):
-    f = CH.churn_features(store(spark, sf), LEX, topic=None)
+    f = churn_store(spark, sf)
     return f.select("doc_id", "crit_hits", "mid_hits", "sentiment_weight", "churn_label")
 
 
 def q_churn_label_rate(spark, sf):
-    f = CH.churn_features(store(spark, sf), LEX, topic=None)
+    f = churn_store(spark, sf)
     return (f.groupBy("company").agg(F.sum("churn_label").cast("long").alias("n_churn"),
                                      F.count(F.lit(1)).alias("n"))
             .withColumn("rate", F.round(F.col("n_churn") / F.col("n"), R6)))
@@ -175,7 +191,7 @@ def q_split_exact(spark, sf):
 
 def q_confusion_metrics(spark, sf):
     """Metrics of the rule prediction (rule_risk ≥ 75) against the churn label."""
-    r = CH.churn_features(risk_store(spark, sf), LEX, topic=None)
+    r = scored_store(spark, sf, lambda df: CH.churn_features(CH.rule_risk_table(df, LEX), LEX, topic=None))
     r = r.withColumn("prediction", (F.col("rule_risk") >= 75).cast("int"))
     m = CH.binary_metrics(r, "churn_label", "prediction")
     return m.select("tp", "fp", "tn", "fn",

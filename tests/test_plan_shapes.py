@@ -137,3 +137,19 @@ def test_model_queries_read_the_documents_once(spark, monkeypatch):
     out = Q.q_rf_metrics(spark, SF001)
     assert written == ["model-store", "topics"]
     assert "documents.parquet" not in _plan(out)
+
+
+def test_rows_are_scored_before_the_dedup_shuffle(spark, tmp_path):
+    """No text is in the rows that the de-duplication of scored rows moves and sorts; the results are those of the store."""
+    from gripe.operators import churn as CH
+    from gripe.plans import queries as Q
+
+    rows = [(3, "attion erble nicht", "b"), (1, "ATTION erble  nicht", "a"), (2, "x", "a"), (4, None, "c"),
+            (1, "attion erble nicht", None)]
+    sf = str(tmp_path)
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{sf}/documents.parquet")
+    for fn in (Q.q_high_risk_rows, Q.q_rule_risk_rows, Q.q_confusion_metrics, Q.q_churn_features, Q.q_sentiment_by_company):
+        assert ", cleaned, " not in _plan(fn(spark, sf)), fn
+    got = Q.q_rule_risk_rows(spark, sf).orderBy("doc_id").collect()
+    full = CH.rule_risk_table(Q.store(spark, sf), Q.LEX).select(*got[0].asDict()).orderBy("doc_id").collect()
+    assert got == full and [(r.doc_id, r.company) for r in got] == [(1, None), (2, "a")]
