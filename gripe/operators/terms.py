@@ -9,13 +9,15 @@ no more than any other key.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
-from ..session import materialize
+from ..session import materialize, ship
 
 
 def analysis_tokens(text: "Column | str", stop: Sequence[str]) -> Column:
@@ -229,6 +231,8 @@ def cloud_words(df: DataFrame, text: str = "cleaned", stop: Sequence[str] = (),
 
     ``fold=True`` merges case forms and plurals (:func:`fold_forms`); it is for texts that keep their case.
     """
+    if collocations:  # read for the words and for the pairs: the rows are made once
+        df = materialize(df.filter(F.col(by).isNotNull()).select(by, text), "cloud-texts", "zstd")
     counts = company_words(df, text, by)
     return cloud_from_counts(counts, stop, n, min_len, min_chars, by, df if collocations else None, text, threshold, fold)
 
@@ -245,7 +249,7 @@ def cloud_from_counts(counts: DataFrame, stop: Sequence[str] = (), n: int = 60,
     """The cloud from the counts of :func:`company_words`; with ``texts`` also word pairs, which need the rows."""
     stop_s, df, collocations = sorted(set(stop)), texts, texts is not None
     counts = counts.withColumn("kept", (F.char_length("word") >= min_len) & ~F.col("word").isin(stop_s))
-    if collocations:  # read six times below: written once, one narrow row per (company, word)
+    if collocations:  # read many times below: written once, one narrow row per (company, word)
         counts = materialize(counts, "cloud-words")
     # per-company size of the kept text; one row per company, joined back
     # (AQE turns this into a broadcast when the measured side is small)
@@ -253,6 +257,8 @@ def cloud_from_counts(counts: DataFrame, stop: Sequence[str] = (), n: int = 60,
         (F.sum(F.when(F.col("kept"), F.col("n") * F.char_length("word")).otherwise(0))
          + F.sum(F.when(F.col("kept"), F.col("n")).otherwise(0)) - 1).alias("_kept_len"),
         F.sum(F.when(F.col("kept"), F.col("n")).otherwise(0)).alias("_n_kept"))
+    if collocations:  # one row per company
+        stats = materialize(stats, "cloud-sizes")
     chosen = (counts.join(stats, by)
               .filter(F.col("kept") | (F.col("_kept_len") < min_chars)))
     if collocations:
@@ -285,27 +291,103 @@ def fold_forms(counts: DataFrame, by: str = "company") -> DataFrame:
     return best.select(by, F.col("_top.word").alias("word"), "n")
 
 
+def _word_ids(counts: DataFrame, by: str) -> tuple[DataFrame, int]:
+    """``counts`` with a number ``_id`` for each (``by``, word), a 64-bit hash under the returned seed.
+
+    Numbers are compared instead of words below, so they must differ: they are counted, and where two words share one
+    the next seed is taken."""
+    for seed in range(100):
+        ids = counts.withColumn("_id", F.xxhash64(F.lit(seed), by, "word"))
+        n = ids.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("_id").alias("distinct")).first()
+        if n["n"] == n["distinct"]:
+            return ids, seed
+    raise RuntimeError("no seed gives every word a number of its own")
+
+
+def _common_from(sizes: dict[int, int], rows: int) -> int:
+    """The smallest k for which at most ``rows`` words are used 2^k times or more; ``sizes``: words by floor(log2(uses))."""
+    least, total = max(sizes, default=0) + 1, 0
+    for k in sorted(sizes, reverse=True):
+        total += sizes[k]
+        if total > rows:
+            break
+        least = k
+    return least
+
+
+def _may_exceed(threshold: float, most: int, low: int, high: int):
+    """Drops the pairs whose score cannot exceed ``threshold``, with a margin of 1 for rounding; the rest is scored later.
+
+    An unknown count lies between the pair's and ``most``, an unknown number of words between ``low`` and ``high``."""
+    def xlogx(x: np.ndarray) -> np.ndarray:
+        return x * np.log(np.maximum(x, 1.0))
+
+    def score(k, c1, c2, n) -> np.ndarray:
+        return 2 * (xlogx(k) + xlogx(c1 - k) + xlogx(c2 - k) + xlogx(n - c1 - c2 + k) + xlogx(n)
+                    - xlogx(c1) - xlogx(n - c1) - xlogx(c2) - xlogx(n - c2))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            def known(at: int, other) -> np.ndarray:
+                c = batch.column(at)
+                return np.where(c.is_null().to_numpy(zero_copy_only=False), other, c.fill_null(0).to_numpy()).astype(np.float64)
+
+            k = known(2, 0)
+            more1, more2, least_n = known(3, np.maximum(k, most)), known(4, np.maximum(k, most)), known(5, low)
+            may = ((more1 + more2 - k > least_n) | (score(k, known(3, k), known(4, k), known(5, high)) > threshold - 1)
+                   | (score(k, more1, more2, least_n) > threshold - 1))
+            yield batch.filter(pa.array(may))
+
+    return run
+
+
 def _merge_collocations(df: DataFrame, chosen: DataFrame, stop_s: list, min_len: int, min_chars: int,
-                        by: str, text: str, threshold: float) -> DataFrame:
-    """Collocation step of :func:`cloud_words` for companies that use their kept words."""
-    words = F.split(text, f"[{TX.WS_CLASS}]+")
-    kept = df.filter(F.col(by).isNotNull()).select(by, TX.keep_words(words, stop_s, min_len).alias("_k"))
-    pairs = kept.select(by, F.explode(F.arrays_zip(F.slice("_k", 1, F.greatest(F.size("_k") - 1, F.lit(0))).alias("w1"),
-                                                    F.slice("_k", 2, F.greatest(F.size("_k") - 1, F.lit(0))).alias("w2")))
-                        .alias("p"))
-    pc = pairs.groupBy(by, F.col("p.w1").alias("w1"), F.col("p.w2").alias("w2")).agg(F.count(F.lit(1)).alias("c12"))
-    pc = materialize(pc, "cloud-pairs")
-    uses = chosen.filter(F.col("kept") & (F.col("_kept_len") >= min_chars))
-    u1 = uses.select(by, F.col("word").alias("w1"), F.col("n").alias("c1"), F.col("_n_kept").alias("nw"))
-    u2 = uses.select(by, F.col("word").alias("w2"), F.col("n").alias("c2"))
-    sc = (pc.join(u1, [by, "w1"]).join(u2, [by, "w2"])
-          .withColumn("score", _dunning(F.col("c12").cast("double"), F.col("c1").cast("double"),
-                                        F.col("c2").cast("double"), F.col("nw").cast("double"))))
-    col = sc.filter(F.col("score") > threshold).select(by, "w1", "w2", "c12")
-    red = (col.select(by, F.explode(F.array("w1", "w2")).alias("word"), "c12")
-           .groupBy(by, "word").agg(F.sum("c12").alias("_red")))
-    left = (chosen.join(red, [by, "word"], "left")
+                        by: str, text: str, threshold: float, common: int = 500_000) -> DataFrame:
+    """Collocation step of :func:`cloud_words` for companies that use their kept words.
+
+    Pairs are counted as two numbers, so the one shuffle of all pairs moves no word.  The counts of the ``common``
+    commonest words are broadcast (two numbers and a size each), and a pair of such words is scored where it was counted.
+    The count of a rarer word lies between the pair's and the smallest count broadcast; of a pair that attracts, the score
+    is largest where the words are rarest and the company is largest, of one that repels, at the other ends.  A pair that reaches the
+    threshold at neither is left out too, and the rest is joined by shuffles."""
+    chosen, seed = _word_ids(chosen, by)
+    kept = df.filter(F.col(by).isNotNull()).select(by, TX.keep_words(F.split(text, f"[{TX.WS_CLASS}]+"), stop_s, min_len).alias("_k"))
+    kept = kept.select(F.transform("_k", lambda w: F.xxhash64(F.lit(seed), F.col(by), w)).alias("_k"))
+    last = F.greatest(F.size("_k") - 1, F.lit(0))
+    pairs = kept.select(F.inline(F.arrays_zip(F.slice("_k", 1, last).alias("id1"), F.slice("_k", 2, last).alias("id2"))))
+    pc = pairs.groupBy("id1", "id2").agg(F.count(F.lit(1)).alias("c12"))
+    uses = chosen.filter(F.col("kept") & (F.col("_kept_len") >= min_chars)).select("_id", "n", F.col("_n_kept").alias("nw"))
+
+    def first(u: DataFrame) -> DataFrame:
+        return u.select(F.col("_id").alias("id1"), F.col("n").alias("c1"), "nw")
+
+    def second(u: DataFrame) -> DataFrame:
+        return u.select(F.col("_id").alias("id2"), F.col("n").alias("c2"))
+
+    def exceeds(rows: DataFrame) -> DataFrame:
+        return rows.filter(_dunning(*[F.col(c).cast("double") for c in ("c12", "c1", "c2", "nw")]) > threshold)
+
+    size = F.floor(F.log2("n")).cast("int")
+    held = uses.groupBy(size.alias("k")).agg(F.count(F.lit(1)).alias("words"), F.min("nw").alias("low"), F.max("nw").alias("high")).collect()
+    least = _common_from({r["k"]: r["words"] for r in held}, common)  # at most 64 rows
+    low, high = min((r["low"] for r in held), default=0), max((r["high"] for r in held), default=0)
+    top = uses.filter(size >= least)
+    met = pc.join(F.broadcast(first(top)), "id1", "left").join(F.broadcast(second(top)), "id2", "left")
+    ship(df.sparkSession)
+    met = met.select("id1", "id2", "c12", "c1", "c2", "nw").mapInArrow(
+        _may_exceed(threshold, (1 << least) - 1, low, high), "id1 long, id2 long, c12 long, c1 long, c2 long, nw long")
+    told = F.col("c1").isNotNull() & F.col("c2").isNotNull()
+    met = materialize(met, "cloud-pairs")
+    rare = met.filter(~told).select("id1", "id2", "c12").join(first(uses), "id1").join(second(uses), "id2")
+    both = exceeds(met.filter(told)).select("id1", "id2", "c12").unionByName(exceeds(rare).select("id1", "id2", "c12"))
+    col = materialize(both, "cloud-collocations")
+    red = (col.select(F.explode(F.array("id1", "id2")).alias("_id"), "c12")
+           .groupBy("_id").agg(F.sum("c12").alias("_red")))
+    left = (chosen.join(red, "_id", "left")
             .withColumn("n", F.col("n") - F.coalesce(F.col("_red"), F.lit(0))).filter(F.col("n") > 0)
             .select(by, "word", "n"))
-    merged = col.select(by, F.concat_ws(" ", "w1", "w2").alias("word"), F.col("c12").alias("n"))
+    words = chosen.select("_id", by, "word")
+    merged = (col.join(words.select(F.col("_id").alias("id1"), by, F.col("word").alias("w1")), "id1")
+              .join(words.select(F.col("_id").alias("id2"), F.col("word").alias("w2")), "id2")
+              .select(by, F.concat_ws(" ", "w1", "w2").alias("word"), F.col("c12").alias("n")))
     return left.unionByName(merged)

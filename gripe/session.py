@@ -155,10 +155,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, compression: str = "snappy"):
     """Write to a fresh table under the shared checkpoint folder and read it back (cuts the lineage)."""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

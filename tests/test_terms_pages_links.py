@@ -314,3 +314,54 @@ def test_tag_company_and_category(spark):
     assert [r.c for r in got] == ["VODAFONE", "TURKTELEKOM", "TURKCELL", None]
     assert [r.k for r in got] == [None, None, "tarife-degisikligi", None]
     assert [r.c2 for r in got] == [None, None, "TURKCELL", None]
+
+
+def test_collocations_move_no_words_and_lose_no_pair(spark, monkeypatch):
+    """Pairs are stored as numbers, and however few words are broadcast, the cloud is that of a plain count."""
+    import math
+    import random
+
+    from gripe.operators import terms as TM
+
+    rng = random.Random(3)
+    words = [f"w{chr(97 + i // 20)}{chr(97 + i % 20)}" for i in range(80)]
+    texts = [("a", " ".join(rng.choices(words, [1 / (i + 1) for i in range(80)], k=rng.randint(0, 40)))) for _ in range(120)]
+    texts += [("b", "new york is big new york"), ("b", None), (None, "new york"), ("c", "ab cd"), ("a", "rare pair " * 9), ("a", "odd couple")]
+    df = spark.createDataFrame(texts, "company string, cleaned string")
+
+    def plain(company):
+        docs = [[w for w in (t or "").split() if len(w) >= 3 and w != "is"] for c, t in texts if c == company]
+        n, pairs = {}, {}
+        for d in docs:
+            for w in d:
+                n[w] = n.get(w, 0) + 1
+            for p in zip(d, d[1:]):
+                pairs[p] = pairs.get(p, 0) + 1
+        total, out = sum(n.values()), dict(n)
+
+        def ll(k, m, x):
+            return math.log(max(x, 1e-10)) * k + math.log(max(1 - x, 1e-10)) * (m - k)
+
+        for (a, b), k in pairs.items():
+            c1, c2 = n[a], n[b]
+            if total <= c1 or total <= c2:
+                continue
+            p, p1, p2 = c2 / total, k / c1, (c2 - k) / (total - c1)
+            if -2 * (ll(k, c1, p) + ll(c2 - k, total - c1, p) - ll(k, c1, p1) - ll(c2 - k, total - c1, p2)) > 5:
+                out[f"{a} {b}"] = k
+                out[a], out[b] = out[a] - k, out[b] - k
+        return {w: k for w, k in out.items() if k > 0}
+
+    kinds = {}
+    real, smallest = TM.materialize, TM._common_from
+    monkeypatch.setattr(TM, "materialize", lambda d, name, *a: kinds.update({name: dict(d.dtypes)}) or real(d, name, *a))
+    for least in (None, 0, 3, 5, 30):
+        if least is not None:
+            monkeypatch.setattr(TM, "_common_from", lambda sizes, rows: least)
+        got = TM.cloud_words(df, "cleaned", ["is"], 1000, collocations=True, threshold=5.0).collect()
+        for company in "ab":
+            assert {r.word: r.n for r in got if r.company == company} == plain(company), (least, company)
+        assert {r.word: r.n for r in got if r.company == "c"} == {"ab": 1, "cd": 1}
+    assert any(" " in r.word for r in got) and set(kinds["cloud-pairs"].values()) == {"bigint"}
+    assert "cloud-texts" in kinds  # the texts are made once for both counts
+    assert [smallest({0: 5, 1: 3, 4: 2}, k) for k in (0, 2, 4, 5, 9, 10)] == [5, 4, 4, 1, 1, 0] and smallest({}, 5) == 1
