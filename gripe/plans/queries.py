@@ -28,7 +28,7 @@ from ..operators import topics_minibatch as TB
 from ..operators import dedup as DD
 from ..operators import report as RP
 from ..operators import terms as TM
-from ..session import read_table
+from ..session import materialize, read_table
 from ..sources import complaints as CP
 from ..sources import pages as PG
 from . import analysis as AN
@@ -654,7 +654,7 @@ def q_stream_seen_links(spark, sf):
 def q_stream_low_yield_stop(spark, sf):
     """The low-yield stop as keyed stream state over the crawl log in four ranges of pages: each site's stop once."""
     from ..streaming import state as ST
-    log = _crawl_log(spark, sf)
+    log = materialize(_crawl_log(spark, sf), "crawl-log")  # read for the last page and in every round
     top = log.agg(F.max("page_no")).scalar() + 1
     # the rows of a site in one range of pages are in one file, so its pages arrive in order
     log = log.withColumn("round", F.floor(F.col("page_no") * 4 / top)).repartition("site")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -94,22 +94,27 @@ class EmptyRuns(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("run", "last long, pages long, empty long, stopped boolean")
 
-    def handleInputRows(self, key, rows, timer) -> Iterator[pd.DataFrame]:
-        last, pages, empty, stopped = self.state.get() if self.state.exists() else (None, 0, 0, False)
+    def handleInputRows(self, key, rows, timer) -> Iterator[Row]:
+        last, pages, empty, stopped = self.state.get() or (None, 0, 0, False)  # one call to the store, none to ask whether
         if stopped:
             return
-        batch = pd.concat(list(rows))[[self.page, self.new]].dropna(subset=[self.page])  # pages of a site: bounded by the crawl
-        for page, new in batch.groupby(self.page, sort=True)[self.new].max().items():
+        found: dict = {}  # pages of a site: bounded by the crawl
+        for r in rows:
+            page, new = r[self.page], r[self.new]
+            if page is not None and page == page:  # neither null nor NaN
+                most = found.get(page)
+                found[page] = new if most is None else most if new is None else max(most, new)
+        for page in sorted(found):
             if last is not None and page <= last:
                 continue
             last, pages = int(page), pages + 1
-            empty = empty + 1 if not new or pd.isna(new) else 0
+            empty = empty + 1 if not found[page] else 0
             if empty >= self.run and page > self.after:
                 stopped = True
                 break
         self.state.update((last, pages, empty, stopped))
         if stopped:
-            yield pd.DataFrame({self.site: [key[0]], "n_pages": [pages], "stop_page": [last]})
+            yield Row(**{self.site: key[0], "n_pages": pages, "stop_page": last})
 
     def close(self) -> None:
         pass
@@ -125,6 +130,7 @@ def stop_pages(log: DataFrame, site: str = "site", page: str = "page_no", new: s
     use_rocksdb(log.sparkSession)
     rows = log.filter(F.col(site).isNotNull()).select(site, page, F.col(new).cast("long").alias(new))
     kind = dict(rows.dtypes)[site]
-    return rows.groupBy(site).transformWithStateInPandas(
+    # rows, not frames: a site has a few rows in a batch, and a frame for each site costs more than its pages
+    return rows.groupBy(site).transformWithState(
         statefulProcessor=EmptyRuns(site, page, new, after, run),
         outputStructType=f"{site} {kind}, n_pages long, stop_page long", outputMode="Update", timeMode="None")

@@ -108,3 +108,32 @@ def test_stop_pages_equal_the_batch_form(spark):
     assert {r.site: r.stop_page for r in got} == want and len(got) == len(want)
     crawled = {r.site: r.n_pages for r in got}
     assert all(crawled[s] == sum(1 for x, p, _ in log if x == s and p <= want[s]) for s in want)
+
+
+def test_stop_pages_takes_rows_one_by_one():
+    """A site's rows are walked as they come, without a frame for each site: pages out of order and repeated, null counts
+    (empty pages), null pages (none), pages behind the last one, and nothing after the stop."""
+    from pyspark.sql import Row
+
+    class State:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    runs = ST.EmptyRuns("site", "page_no", "n_new", 3, 2)
+    runs.state = State()
+
+    def feed(*pages):
+        return list(runs.handleInputRows((7,), iter([Row(site=7, page_no=p, n_new=n) for p, n in pages]), None))
+
+    assert feed((2, 0), (1, None), (2, 5), (None, 9), (3, 0)) == [] and runs.state.value == (3, 3, 1, False)
+    assert feed((1, 0), (3, 0)) == [] and runs.state.value == (3, 3, 1, False)
+    assert feed((6, None), (5, 1), (6, None), (9, 0), (8, 0), (7, 4)) == [Row(site=7, n_pages=8, stop_page=9)]
+    assert feed((10, 0)) == [] and runs.state.value == (9, 8, 2, True)
