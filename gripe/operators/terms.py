@@ -119,8 +119,7 @@ def top_bigrams_sketched(df: DataFrame, text: str = "cleaned", n: int = 15, **op
     """The same as :func:`top_bigrams` for corpora whose distinct pairs are too many to shuffle: ``df`` should be a stored
     table, because it is read twice and a sample of its texts once more (:func:`heavy_hitters`)."""
     def pairs(rows: DataFrame) -> DataFrame:
-        toks = rows.select(TX.word_tokens(text).alias("_t"))
-        return toks.select(F.explode(TX.bigrams("_t")).alias("bigram"))
+        return _bigram_rows(rows, text)
 
     return heavy_hitters(pairs(df), "bigram", n, draw=lambda share: pairs(df.sample(fraction=share, seed=7)), **options)
 
@@ -171,10 +170,18 @@ def heavy_hitters(items: DataFrame, item: str, n: int, sample: float = 0.01, dep
     return vocabulary(exact, n, freq="n", term="item").select(F.col("item").alias(item), "n")
 
 
+def _bigram_rows(df: DataFrame, text: str, *more: str) -> DataFrame:
+    """One row per adjacent word pair (W6).  Words are joined after they became rows: generated code, where a lambda over
+    the pairs of an array is interpreted."""
+    toks = df.select(*more, TX.word_tokens(text).alias("_t"))  # built once, read 4 times below
+    last = F.greatest(F.size("_t") - 1, F.lit(0))
+    e = toks.select(*more, F.inline(F.arrays_zip(F.slice("_t", 1, last).alias("_a"), F.slice("_t", 2, last).alias("_b"))))
+    return e.select(*more, F.concat_ws(" ", "_a", "_b").alias("bigram"))
+
+
 def bigram_counts(df: DataFrame, text: str = "cleaned", *more: str) -> DataFrame:
     """Every adjacent word pair with its count; ``more`` are further grouping columns."""
-    toks = df.select(*more, TX.word_tokens(text).alias("_t"))  # built once, read 4 times below
-    e = toks.select(*more, F.explode(TX.bigrams("_t")).alias("bigram"))
+    e = _bigram_rows(df, text, *more)
     return e.groupBy(*more, "bigram").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -137,7 +137,9 @@ def update(spark: SparkSession, store: str, state: str, lexicon: L.Lexicon = L.R
         new = spark.read.schema(rows.schema).parquet(texts)
         made = index.add(new.select("_key", F.col("day").alias("part")), run)
         for name, table in _partials(new, lexicon).items():
-            table.hint("rebalance", "day").write.partitionBy("day").parquet(f"{state}/runs/{run}/{name}")
+            # several days are brought together first, for few files each; the rows of one day are there already
+            table = table if len(todo) == 1 else table.hint("rebalance", "day")
+            table.write.partitionBy("day").parquet(f"{state}/runs/{run}/{name}")
         remove(spark, texts)
     m["days"] = {**{d: v for d, v in known.items() if d < first}, **{d: {"files": days[d], "run": run} for d in todo}}
     m["lexicon"] = _lexicon_id(lexicon)

@@ -365,3 +365,40 @@ def test_collocations_move_no_words_and_lose_no_pair(spark, monkeypatch):
     assert any(" " in r.word for r in got) and set(kinds["cloud-pairs"].values()) == {"bigint"}
     assert "cloud-texts" in kinds  # the texts are made once for both counts
     assert [smallest({0: 5, 1: 3, 4: 2}, k) for k in (0, 2, 4, 5, 9, 10)] == [5, 4, 4, 1, 1, 0] and smallest({}, 5) == 1
+
+
+def test_bigrams_are_rows_before_they_are_joined(spark):
+    """Pairs are made in generated code, not by a lambda over an array; short, empty and null texts have none."""
+    from gripe.operators import terms as TM
+
+    df = spark.createDataFrame([("d", "aa bb aa bb"), ("d", "aa"), ("d", ""), ("d", None), ("e", "x aa  bb"), (None, "bb aa")], "day string, cleaned string")
+    counted = TM.bigram_counts(df, "cleaned", "day")
+    assert "lambda" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert {(r.day, r.bigram): r.n for r in counted.collect()} == {
+        ("d", "aa bb"): 2, ("d", "bb aa"): 1, ("e", "aa bb"): 1, (None, "bb aa"): 1}
+
+
+def test_refresh_of_one_day_moves_its_counts_once(spark, tmp_path):
+    """The counts of a single day are written where they were added up; several days are brought together first."""
+    from gripe import lexicons as L
+    from gripe.plans import refresh as RF
+
+    def store(*days):
+        rows = [(f"l{d}{i}", "a", None, f"aa bb {d} cc{i}", "NOTR", d) for d in days for i in range(3)]
+        df = spark.createDataFrame(rows, "link string, company string, date string, cleaned string, sentiment string, part string")
+        (df.selectExpr("*", "cast(part || ' 10:00:00' as timestamp) as crawled_at")
+         .write.mode("append").partitionBy("part").parquet(f"{tmp_path}/store"))
+
+    hints = []
+    kind = type(spark.range(1))
+    old = kind.hint
+    kind.hint = lambda self, name, *a: hints.append(name) or old(self, name, *a)
+    try:
+        store("2024-01-01")
+        assert RF.update(spark, f"{tmp_path}/store", f"{tmp_path}/state", L.FIXTURE) == ["2024-01-01"] and not hints
+        store("2024-01-02", "2024-01-03")
+        assert len(RF.update(spark, f"{tmp_path}/store", f"{tmp_path}/state", L.FIXTURE)) == 2 and hints.count("rebalance") == len(RF.PARTIALS)
+    finally:
+        kind.hint = old
+    got = RF.tables(spark, f"{tmp_path}/state", L.FIXTURE)["company_volume"].collect()
+    assert [(r.company, r.n) for r in got] == [("a", 9)]
